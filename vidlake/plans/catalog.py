@@ -55,3 +55,46 @@ def q_silver(spark, sf_dir):
 @register("gold_trending_videos")
 def q_trending(spark, sf_dir):
     return round_doubles(gold.trending_videos(silver_of(spark, sf_dir)))
+
+
+@register("gold_daily_metrics")
+def q_daily(spark, sf_dir):
+    return round_doubles(gold.daily_metrics(silver_of(spark, sf_dir)))
+
+
+@register("gold_channel_performance")
+def q_channel_perf(spark, sf_dir):
+    return round_doubles(gold.channel_performance(silver_of(spark, sf_dir), as_of=AS_OF))
+
+
+@register("gold_category_analysis")
+def q_category_analysis(spark, sf_dir):
+    return round_doubles(gold.category_analysis(silver_of(spark, sf_dir)))
+
+
+@register("gold_posting_time_analysis")
+def q_posting_time(spark, sf_dir):
+    return round_doubles(gold.posting_time_analysis(silver_of(spark, sf_dir)))
+
+
+@register("gold_category_performance")
+def q_category_performance(spark, sf_dir):
+    return round_doubles(gold.category_performance(silver_of(spark, sf_dir)))
+
+
+@register("gold_engagement_drivers")
+def q_engagement_drivers(spark, sf_dir):
+    return round_doubles(gold.engagement_drivers(silver_of(spark, sf_dir)))
+
+
+def _analytic(name, fn):
+    def run(spark, sf_dir):
+        return round_doubles(fn(silver_of(spark, sf_dir)))
+    run.__name__ = name
+    register(name)(run)
+
+
+from vidlake.operators.analytics import ANALYTIC_QUERIES  # noqa: E402
+
+for _n, _f in ANALYTIC_QUERIES.items():
+    _analytic(_n, _f)
