@@ -98,3 +98,9 @@ from vidlake.operators.analytics import ANALYTIC_QUERIES  # noqa: E402
 
 for _n, _f in ANALYTIC_QUERIES.items():
     _analytic(_n, _f)
+
+
+@register("features")
+def q_features(spark, sf_dir):
+    from vidlake.operators.features import build_features
+    return round_doubles(build_features(silver_of(spark, sf_dir)))
