@@ -104,3 +104,49 @@ for _n, _f in ANALYTIC_QUERIES.items():
 def q_features(spark, sf_dir):
     from vidlake.operators.features import build_features
     return round_doubles(build_features(silver_of(spark, sf_dir)))
+
+
+def _posting(spark, sf_dir):
+    return gold.posting_time_analysis(silver_of(spark, sf_dir))
+
+
+@register("rec_category_top_slots")
+def q_rec_category(spark, sf_dir):
+    from vidlake.operators.recommend import category_recommendations
+    return round_doubles(category_recommendations(_posting(spark, sf_dir), top_n=5))
+
+
+@register("rec_channel_slots")
+def q_rec_channel_slots(spark, sf_dir):
+    from vidlake.operators.recommend import channel_slots
+    return round_doubles(channel_slots(silver_of(spark, sf_dir)))
+
+
+@register("rec_channel_top_slots")
+def q_rec_channel_top(spark, sf_dir):
+    from vidlake.operators.recommend import channel_recommendations
+    return round_doubles(channel_recommendations(silver_of(spark, sf_dir), top_n=5))
+
+
+@register("rec_posting_schedule")
+def q_rec_schedule(spark, sf_dir):
+    from vidlake.operators.recommend import posting_schedule
+    return round_doubles(posting_schedule(_posting(spark, sf_dir), videos_per_week=3))
+
+
+@register("rec_posting_schedule_diverse")
+def q_rec_schedule_diverse(spark, sf_dir):
+    from vidlake.operators.recommend import posting_schedule
+    return round_doubles(posting_schedule(_posting(spark, sf_dir), videos_per_week=3, diversify=True))
+
+
+@register("rec_strategy_comparison")
+def q_rec_strategy(spark, sf_dir):
+    from vidlake.operators.recommend import strategy_comparison
+    return round_doubles(strategy_comparison(_posting(spark, sf_dir)))
+
+
+@register("rec_bundle")
+def q_rec_bundle(spark, sf_dir):
+    from vidlake.operators.recommend import recommendation_bundle
+    return recommendation_bundle(_posting(spark, sf_dir), generated_at="2024-01-31T00:00:00")
