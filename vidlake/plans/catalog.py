@@ -150,3 +150,62 @@ def q_rec_strategy(spark, sf_dir):
 def q_rec_bundle(spark, sf_dir):
     from vidlake.operators.recommend import recommendation_bundle
     return recommendation_bundle(_posting(spark, sf_dir), generated_at="2024-01-31T00:00:00")
+
+
+@register("pip_landed_csv_to_silver")
+def q_csv_silver(spark, sf_dir):
+    """SNK-1 -> SRC-1 -> PIP-2 -> SNK-3 -> SRC-2 through files in the shared
+    scratch folder; the result must equal the in-memory silver."""
+    from vidlake.plans.pipelines import bronze_to_silver_job
+    from vidlake.session import scratch_path
+    from vidlake.sources import sinks
+    from vidlake.sources.files import read_table
+
+    configure(spark)
+    base = scratch_path(spark, "csv_silver")
+    landed, _ = sinks.write_bronze_csv(load_bronze(spark, sf_dir), f"{base}/landing", run_ts="fixed")
+    bronze_to_silver_job(spark, landed, f"{base}/silver", as_of=AS_OF)
+    silver = read_table(spark, f"{base}/silver")
+    return round_doubles(silver.drop(*LINEAGE_COLUMNS).select(*[c for c in SILVER_OUT_ORDER]))
+
+
+@register("src_api_flatten")
+def q_api_flatten(spark, sf_dir):
+    """SRC-6: API-shaped JSON landed from the driver tables, read back and
+    flattened to bronze rows."""
+    from vidlake.session import scratch_path
+    from vidlake.sources.api import bronze_to_api_responses, read_api_responses
+
+    configure(spark)
+    path = scratch_path(spark, "api_json")
+    bronze_to_api_responses(load_bronze(spark, sf_dir)).write.mode("overwrite").json(path)
+    return read_api_responses(spark, path)
+
+
+@register("stream_incremental_silver")
+def q_stream_silver(spark, sf_dir):
+    """SRC-7: two landings (videos published before 2024, then the rest,
+    plus a re-landing of already-seen rows) consumed by two availableNow
+    runs; silver must hold every video exactly once."""
+    from pyspark.sql import functions as F
+
+    from vidlake.session import scratch_path
+    from vidlake.sources import sinks
+    from vidlake.sources.files import read_table
+    from vidlake.streaming.incremental import incremental_silver
+
+    configure(spark)
+    base = scratch_path(spark, "stream")
+    bronze = load_bronze(spark, sf_dir)
+    early = F.col("publish_time") < F.lit("2024-01-01")
+    sinks.write_bronze_csv(bronze.filter(early), f"{base}/landing", run_ts="1")
+    incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)
+    sinks.write_bronze_csv(bronze.filter(~early | early.isNull()), f"{base}/landing", run_ts="2")
+    sinks.write_bronze_csv(bronze.filter(early), f"{base}/landing", run_ts="3")
+    incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)
+    silver = read_table(spark, f"{base}/silver")
+    return round_doubles(silver.drop(*LINEAGE_COLUMNS).select(*SILVER_OUT_ORDER))
+
+
+SILVER_OUT_ORDER = [c for c in __import__("vidlake.plans.silver", fromlist=["SILVER_COLUMNS"]).SILVER_COLUMNS
+                    if c not in LINEAGE_COLUMNS]
