@@ -209,3 +209,60 @@ def q_stream_silver(spark, sf_dir):
 
 SILVER_OUT_ORDER = [c for c in __import__("vidlake.plans.silver", fromlist=["SILVER_COLUMNS"]).SILVER_COLUMNS
                     if c not in LINEAGE_COLUMNS]
+
+
+@register("ml_scoring_features")
+def q_ml_features(spark, sf_dir):
+    from vidlake.operators.ml import scoring_features, scoring_input_from_silver
+    return round_doubles(scoring_features(scoring_input_from_silver(silver_of(spark, sf_dir))))
+
+
+def _ml_frames(spark, sf_dir):
+    from vidlake.operators.ml import split_frame, training_frame
+    return split_frame(training_frame(silver_of(spark, sf_dir)))
+
+
+@register("ml_regressor_selection")
+def q_ml_selection(spark, sf_dir):
+    """ML-4, ML-5, ML-7, ML-8: candidates on validation, winner on test."""
+    from vidlake.operators.ml import train_and_select
+    train, valid, test = (f.persist() for f in _ml_frames(spark, sf_dir))
+    _, _, rows = train_and_select(train, valid, test)
+    return spark.createDataFrame(rows, "model string, split string, rmse double, mae double, r2 double, mape double")
+
+
+@register("ml_engagement_classifiers")
+def q_ml_classifiers(spark, sf_dir):
+    """ML-6, ML-7: the three engagement classifiers on the validation split."""
+    from vidlake.operators.ml import _pipeline, classification_metrics, classifiers
+    train, valid, _ = (f.persist() for f in _ml_frames(spark, sf_dir))
+    rows = []
+    for name, est in classifiers().items():
+        m = classification_metrics(_pipeline(est).fit(train).transform(valid))
+        rows.append((name, m["accuracy"], m["weightedPrecision"], m["weightedRecall"], m["f1"], m.get("auc")))
+    return spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, "
+                                       "f1 double, auc double")
+
+
+@register("ml_batch_scoring")
+def q_ml_scoring(spark, sf_dir):
+    """ML-10 save (quality gate), ML-3 load latest, ML-2 + ML-12 score the
+    held-out split with an interval, SNK-8 write, read back."""
+    from vidlake.operators.ml import (_pipeline, load_latest, predict, regression_metrics, regressors,
+                                      residual_interval, save_model, scoring_input_from_silver)
+    from vidlake.session import scratch_path
+    from vidlake.sources.sinks import write_predictions
+
+    configure(spark)
+    silver = silver_of(spark, sf_dir)
+    train, valid, test = (f.persist() for f in _ml_frames(spark, sf_dir))
+    model = _pipeline(regressors()["linear_regression"]).fit(train)
+    metrics = regression_metrics(model.transform(valid)).first().asDict()
+    registry = scratch_path(spark, "models")
+    save_model(spark, model, registry, "views_regressor", metrics, version="20240131_000000")
+    loaded, meta = load_latest(spark, registry, "views_regressor")
+    to_score = scoring_input_from_silver(silver.join(test.select("video_id"), "video_id", "left_semi"))
+    preds = predict(loaded, to_score, meta["timestamp"], residual_interval(loaded, valid))
+    out = scratch_path(spark, "predictions")
+    write_predictions(preds, out, mode="overwrite")
+    return spark.read.parquet(out).drop("prediction_timestamp")
