@@ -122,10 +122,10 @@ def population_stability(baseline: DataFrame, current: DataFrame, column: str,
     qs = [i / buckets for i in range(1, buckets)]
     edges = baseline.select(F.percentile_approx(column, qs, accuracy)).scalar()
     v = F.col(column)
-    bucket = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(v > e, 1).otherwise(0))
+    bucket = F.aggregate(F.col("_edges"), F.lit(0), lambda acc, e: acc + F.when(v > e, 1).otherwise(0))
 
     def dist(df: DataFrame, name: str) -> DataFrame:
-        c = df.filter(v.isNotNull()).select(bucket.alias("bucket"))
+        c = df.filter(v.isNotNull()).select(v, edges.alias("_edges")).select(bucket.alias("bucket"))
         c = c.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         return c.select("bucket", (F.col("n") / F.sum("n").over(_whole())).alias(name))
 

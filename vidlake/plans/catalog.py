@@ -266,3 +266,64 @@ def q_ml_scoring(spark, sf_dir):
     out = scratch_path(spark, "predictions")
     write_predictions(preds, out, mode="overwrite")
     return spark.read.parquet(out).drop("prediction_timestamp")
+
+
+@register("dq_validation_report")
+def q_dq_validation(spark, sf_dir):
+    """DQ-1..3 and DQ-8 on the landed (bronze) rows."""
+    from vidlake.functions.quality import validation_report
+    configure(spark)
+    r = validation_report(load_bronze(spark, sf_dir))
+    return r.withColumn("n_missing_columns", F.size("missing_columns")).drop("missing_columns")
+
+
+@register("dq_ingestion_summary")
+def q_dq_summary(spark, sf_dir):
+    from vidlake.functions.quality import ingestion_summary
+    configure(spark)
+    return ingestion_summary(load_bronze(spark, sf_dir))
+
+
+@register("dq_duplicate_keys")
+def q_dq_duplicates(spark, sf_dir):
+    from vidlake.functions.quality import duplicate_keys
+    configure(spark)
+    return duplicate_keys(load_bronze(spark, sf_dir))
+
+
+@register("dq_quality_dimensions")
+def q_dq_dimensions(spark, sf_dir):
+    from vidlake.functions.quality import quality_dimensions
+    return round_doubles(quality_dimensions(silver_of(spark, sf_dir), as_of=AS_OF))
+
+
+@register("dq_drift_psi")
+def q_dq_drift(spark, sf_dir):
+    """DQ-11: views of 2024 uploads against the earlier uploads."""
+    from vidlake.functions.quality import population_stability
+    s = silver_of(spark, sf_dir)
+    early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
+    return round_doubles(population_stability(s.filter(early), s.filter(~early), "views"))
+
+
+@register("dq_observed_filter_counts")
+def q_dq_observed(spark, sf_dir):
+    """DQ-7: kept/removed counts observed during the (here: no-op) write."""
+    from vidlake.functions.clean import clean_and_standardize
+    from vidlake.functions.metrics import add_derived_metrics
+    from vidlake.functions.quality import apply_data_quality_filters
+    configure(spark)
+    cleaned = add_derived_metrics(clean_and_standardize(load_bronze(spark, sf_dir), as_of=AS_OF))
+    kept, obs = apply_data_quality_filters(cleaned, observe=True)
+    kept.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return spark.createDataFrame([(m["input_rows"], m["kept_rows"], m["input_rows"] - m["kept_rows"])],
+                                 "input_rows long, kept_rows long, removed_rows long")
+
+
+@register("dq_retained_masked")
+def q_dq_retention_mask(spark, sf_dir):
+    """DQ-12 + DQ-13: a 90-day retention window, channel names hashed."""
+    from vidlake.functions.quality import mask_columns, retain_recent
+    s = retain_recent(silver_of(spark, sf_dir), as_of=AS_OF, days=90)
+    return mask_columns(s.select("video_id", "channel_title", "publish_date", "views"))
