@@ -327,3 +327,14 @@ def q_dq_retention_mask(spark, sf_dir):
     from vidlake.functions.quality import mask_columns, retain_recent
     s = retain_recent(silver_of(spark, sf_dir), as_of=AS_OF, days=90)
     return mask_columns(s.select("video_id", "channel_title", "publish_date", "views"))
+
+
+def _sql_text(name):
+    def run(spark, sf_dir):
+        from vidlake.plans.sql import analytic_sql
+        return round_doubles(analytic_sql(spark, name, silver_of(spark, sf_dir)))
+    register(f"sql_{name}")(run)
+
+
+for _n in ANALYTIC_QUERIES:
+    _sql_text(_n)
