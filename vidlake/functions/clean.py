@@ -82,31 +82,36 @@ def quality_score(views: Column, title: Column, channel: Column) -> Column:
 
 
 def clean_and_standardize(df: DataFrame, as_of=None, job_name: str = "bronze_to_silver") -> DataFrame:
-    """CLN-1..13 + DQ-5 in one projection after the de-duplication shuffle."""
+    """CLN-1..13 + DQ-5: the de-duplication shuffle, then two projections
+    (casts, null fills, trims and timestamp parsing; then the columns derived
+    from them)."""
     df = deduplicate(standardize_column_names(df))
-    casts = {c: F.expr(f"try_cast({c} AS BIGINT)") for c in COUNTER_COLUMNS if c in df.columns}
-    casts.update({c: F.expr(f"try_cast({c} AS BOOLEAN)") for c in FLAG_COLUMNS if c in df.columns})
-    if "category_id" in df.columns:
-        casts["category_id"] = F.expr("try_cast(category_id AS INT)")
-    df = df.withColumns(casts)
-    df = df.fillna({"likes": 0, "dislikes": 0, "comment_count": 0})
-    df = df.fillna({c: False for c in FLAG_COLUMNS if c in df.columns})
-
-    ts = parse_publish_time(F.col("publish_time"))
-    df = df.withColumns({
-        "publish_timestamp": ts,
-        "title": F.trim("title"),
-        "channel_title": F.trim("channel_title"),
-        "description": F.trim("description"),
-    })
-    pd_ = F.to_date("publish_timestamp")
-    df = df.withColumns({
+    fills = {"likes": 0, "dislikes": 0, "comment_count": 0}
+    first = {}
+    for c in df.columns:
+        col = F.col(f"`{c}`")
+        if c in COUNTER_COLUMNS:
+            col = F.expr(f"try_cast(`{c}` AS BIGINT)")
+            if c in fills:
+                col = F.coalesce(col, F.lit(fills[c]).cast("bigint"))
+        elif c in FLAG_COLUMNS:
+            col = F.coalesce(F.expr(f"try_cast(`{c}` AS BOOLEAN)"), F.lit(False))
+        elif c == "category_id":
+            col = F.expr("try_cast(category_id AS INT)")
+        elif c in ("title", "channel_title", "description"):
+            col = F.trim(col)
+        first[c] = col.alias(c)
+    first["publish_timestamp"] = parse_publish_time(F.col("publish_time")).alias("publish_timestamp")
+    df = df.select(*first.values())
+
+    ts, pd_ = F.col("publish_timestamp"), F.to_date("publish_timestamp")
+    return df.select("*", *[e.alias(n) for n, e in {
         "publish_date": pd_,
-        "publish_year": F.year("publish_timestamp"),
-        "publish_month": F.month("publish_timestamp"),
-        "publish_day": F.dayofmonth("publish_timestamp"),
-        "publish_hour": F.hour("publish_timestamp"),
-        "publish_day_of_week": F.dayofweek("publish_timestamp"),
+        "publish_year": F.year(ts),
+        "publish_month": F.month(ts),
+        "publish_day": F.dayofmonth(ts),
+        "publish_hour": F.hour(ts),
+        "publish_day_of_week": F.dayofweek(ts),
         "days_since_publish": F.datediff(as_of_date(as_of), pd_),
         "title_length": F.length("title"),
         "description_length": F.length("description"),
@@ -114,7 +119,4 @@ def clean_and_standardize(df: DataFrame, as_of=None, job_name: str = "bronze_to_
         "data_quality_score": quality_score(F.col("views"), F.col("title"), F.col("channel_title")),
         "processed_timestamp": F.current_timestamp(),
         "processing_job": F.lit(job_name),
-    })
-    return df
-
-
+    }.items()])

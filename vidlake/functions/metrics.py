@@ -30,12 +30,14 @@ def engagement_category(rate: Column) -> Column:
 
 
 def add_derived_metrics(df: DataFrame) -> DataFrame:
+    """MET-1..6 in one projection."""
     v, lk, dk, cc, d = (F.col(c) for c in ("views", "likes", "dislikes", "comment_count", "days_since_publish"))
-    df = df.withColumns({
-        "engagement_rate": engagement_rate(v, lk, cc),
+    rate = engagement_rate(v, lk, cc)
+    return df.select("*", *[e.alias(n) for n, e in {
+        "engagement_rate": rate,
         "like_ratio": ratio_or_zero(lk, lk + dk),
         "comment_ratio": ratio_or_zero(cc, v),
         "views_per_day": F.when(d > 0, v / d).otherwise(v.cast("double")),
-    })
-    df = df.withColumn("viral_score", viral_score(v, F.col("engagement_rate"), d))
-    return df.withColumn("engagement_category", engagement_category(F.col("engagement_rate")))
+        "viral_score": viral_score(v, rate, d),
+        "engagement_category": engagement_category(rate),
+    }.items()])

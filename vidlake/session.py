@@ -83,3 +83,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread_small(df):
+    """Round-robin a DataFrame whose scan has fewer splits than the cluster
+    has cores (a small table stored as one file), so the narrow work after
+    it uses every core.  Large inputs already have at least that many splits
+    and pass through untouched: no shuffle is added at scale."""
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # e.g. Spark Connect: no RDD access; leave the plan alone
+        pass
+    return df

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.schemas import BRONZE_COLUMNS
+from vidlake.session import spread_small
 
 # Fixed values of the adapter specification (FIXTURES.md section 2).
 EVENT_TYPE_TO_CATEGORY = {"signup": 10, "error": 20, "click": 22, "view": 24, "purchase": 28}
@@ -53,7 +54,7 @@ def bronze_from_events(events: DataFrame, documents: DataFrame) -> DataFrame:
         (e % n_docs).alias("doc_key"),
     )
     docs = documents.select(F.col("doc_id").alias("doc_key"), F.substring("text", 1, _TEXT_SPAN).alias("text"))
-    joined = ev.join(docs, "doc_key", "inner")
+    joined = spread_small(ev).join(spread_small(docs), "doc_key", "inner")
 
     video_id = F.format_string("vid_%06d", e)
     title_body = F.col("text").substr(F.lit(1) + (e * 7) % 40, F.lit(10) + e % 70)
