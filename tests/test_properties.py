@@ -119,3 +119,25 @@ def test_row_number_dense_from_one(spark, sf_small):
         F.count("*").alias("n"), F.max("trending_rank_in_category").alias("mx"),
         F.count_distinct("trending_rank_in_category").alias("d"))
     assert all(r.n == r.mx == r.d for r in t.collect())
+
+
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_row_number_within_matches_window(spark, batch):
+    from pyspark.sql import Window
+
+    from vidlake.operators.ranking import row_number_within
+
+    rnd = random.Random(batch)
+    rows = [(("hot" if rnd.random() < 0.6 else rnd.choice(["a", "b", None])), rnd.choice([1.0, 2.0, 3.0, None]), i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, x double, id int")
+    order = [F.col("x").desc_nulls_last(), F.col("id").asc()]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {r.id: r.rn for r in row_number_within(df, ["k"], order, "rn", num_partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+            .collect()}
+    assert got == want

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.text import day_name, title_class
-from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of
+from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of, row_number_within
 
 ACC = PERCENTILE_ACCURACY
 
@@ -50,9 +50,10 @@ def daily_trending(silver: DataFrame, max_days: int = 7, percentile: float = 0.9
     """Q3: strict ``>`` against the global percentile, rank per publish day."""
     p = percentile_of(silver, "viral_score", percentile, ACC)
     t = silver.filter((F.col("days_since_publish") <= max_days) & (F.col("viral_score") > p))
-    w = Window.partitionBy("publish_date").orderBy(*desc_then("viral_score"))
     t = t.select("publish_date", "video_id", "title", "channel_title", "category_id", "views",
-                 "engagement_rate", "viral_score", F.row_number().over(w).alias("daily_rank"))
+                 "engagement_rate", "viral_score")
+    # one day may hold most of the last week's uploads: skew-safe numbering
+    t = row_number_within(t, ["publish_date"], desc_then("viral_score"), "daily_rank")
     return t.orderBy(F.col("publish_date").desc(), F.col("viral_score").desc(), F.col("video_id"))
 
 

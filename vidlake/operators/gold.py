@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.clean import as_of_date
-from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of
+from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of, row_number_within
 
 TRENDING_COLUMNS = [
     "video_id", "title", "channel_title", "category_id", "publish_date", "views", "likes",
@@ -120,8 +120,9 @@ def trending_videos(silver: DataFrame, percentile: float = 0.9, max_days: int =
     t = silver.filter((F.col("viral_score") >= threshold)
                       & (F.col("days_since_publish") <= max_days)
                       & (F.col("engagement_rate") >= min_engagement))
-    w = Window.partitionBy("category_id").orderBy(*desc_then("viral_score"))
-    t = t.withColumn("trending_rank_in_category", F.row_number().over(w))
+    # rank inside category without funnelling a category into one task
+    t = row_number_within(t.select(*[c for c in TRENDING_COLUMNS if c != "trending_rank_in_category"]),
+                          ["category_id"], desc_then("viral_score"), "trending_rank_in_category")
     return t.select(*TRENDING_COLUMNS)
 
 
