@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from vidlake.functions import text as tx
 from vidlake.functions.clean import tag_count
+from vidlake.operators.joins import join_checked_broadcast
 from vidlake.operators.ranking import PERCENTILE_ACCURACY
 
 ROLLING_WINDOWS = (7, 14, 30)
@@ -198,14 +199,14 @@ def engagement_features(df: DataFrame) -> DataFrame:
 
 def category_features(df: DataFrame) -> DataFrame:
     """FEA-24..25: per-category aggregate (partial aggregation, one row per
-    category) joined back instead of an unordered window that would put each
-    category's rows into one task."""
+    category) joined back with a size-checked broadcast, instead of an
+    unordered window that would put each category's rows into one task."""
     cat = df.groupBy(F.col("category_id").alias("_cat")).agg(
         F.avg("views").alias("category_avg_views"),
         F.avg("engagement_rate").alias("category_avg_engagement"),
         F.count("video_id").alias("category_video_count"),
     )
-    j = df.join(cat, F.col("category_id").eqNullSafe(F.col("_cat")), "left").drop("_cat")
+    j = join_checked_broadcast(df, cat, F.col("category_id").eqNullSafe(F.col("_cat")), "left").drop("_cat")
     return j.withColumns({
         "views_vs_category_avg": F.try_divide(F.col("views"), F.col("category_avg_views")),
         "engagement_vs_category_avg": F.try_divide(F.col("engagement_rate"), F.col("category_avg_engagement")),
