@@ -51,3 +51,10 @@ def test_retrain_decision():
     assert ml.retrain_decision({"r2": 0.5}, {"r2": 0.7}, 0.1)["retrain"]
     assert ml.retrain_decision({"r2": 0.69}, {"r2": 0.7}, 0.5)["drifted"]
     assert not ml.retrain_decision({"r2": 0.69}, {"r2": 0.7}, 0.1)["retrain"]
+
+
+def test_cross_validated_tuning(spark, sf_small):
+    train, _, _ = ml.split_frame(ml.training_frame(silver_of(spark, sf_small)))
+    best = ml.tune(train, folds=2, num_trees=(5,), max_depth=(3, 4))
+    assert best.stages[-1].getNumTrees == 5
+    assert len(ml.feature_importances(best)) == len(ml.MODEL_FEATURES)

@@ -180,10 +180,11 @@ def feature_importances(model: PipelineModel) -> list[tuple[str, float]]:
     return sorted(zip(MODEL_FEATURES, vals), key=lambda kv: -kv[1])
 
 
-def tune(train: DataFrame, label: str = "label_views", folds: int = 5, parallelism: int = 2) -> PipelineModel:
-    """ML-9: k-fold cross validation over a small grid for the forest."""
+def tune(train: DataFrame, label: str = "label_views", folds: int = 5, parallelism: int = 2,
+         num_trees=(20, 50), max_depth=(5, 8)) -> PipelineModel:
+    """ML-9: k-fold cross validation over a grid for the forest."""
     rf = RandomForestRegressor(labelCol=label, featuresCol="features", seed=SEED)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, [20, 50]).addGrid(rf.maxDepth, [5, 8]).build()
+    grid = ParamGridBuilder().addGrid(rf.numTrees, list(num_trees)).addGrid(rf.maxDepth, list(max_depth)).build()
     cv = CrossValidator(estimator=_pipeline(rf), estimatorParamMaps=grid, numFolds=folds, seed=SEED,
                         evaluator=RegressionEvaluator(labelCol=label, metricName="r2"), parallelism=parallelism)
     return cv.fit(train).bestModel
