@@ -38,57 +38,37 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
 
     1. range-partition on (keys, order): Spark samples the sort key, so a hot
        key is cut into many consecutive partitions, each sorted;
-    2. number rows inside each partition per key (one vectorised pass per
-       Arrow batch -- rows arrive sorted, so a key's rows are contiguous);
-    3. per (key, partition) counts -> running sum over partition index gives
-       each slice's offset (at most partitions + keys rows);
-    4. rank = offset + local number.
-
-    ``order`` must be a total order (end with a unique column) for
-    deterministic output.  The numbered frame is persisted so both consumers
-    see one partitioning; a lost executor recomputes it from the same plan.
+    2. ``monotonically_increasing_id`` after the in-partition sort encodes
+       (partition index, position in sorted order); a key's rows inside one
+       partition are contiguous, so position - first position of the key in
+       that partition is its local rank;
+    3. per (key, partition): first position and row count; a running sum of
+       counts over partition index gives each slice's offset (at most
+       partitions + keys rows, joined back by AQE's broadcast);
+    4. rank = offset + local rank.
+
+    All JVM-side.  ``order`` must be a total order (end with a unique column).
+    The numbered frame is persisted so both consumers see one assignment; a
+    lost executor recomputes its partitions from the same plan and order.
     """
     from pyspark import StorageLevel
     from pyspark.sql import Window
-    from pyspark.sql import types as T
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    out_schema = T.StructType(df.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
-                                                  T.StructField("_local", T.LongType(), False)])
-    key_names = list(keys)
-
-    def number(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev_key, carry = None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            k = pdf[key_names].astype("object")
-            k = k.where(k.notna(), "\u0000null")
-            same = k.eq(k.shift(1)).all(axis=1)
-            first = tuple(k.iloc[0])
-            same.iloc[0] = prev_key is not None and first == prev_key
-            grp = (~same).cumsum()
-            local = pdf.groupby(grp.values).cumcount().astype("int64") + 1
-            if same.iloc[0]:
-                local = local.where(grp != grp.iloc[0], local + carry)
-            prev_key, carry = tuple(k.iloc[-1]), int(local.iloc[-1])
-            yield pdf.assign(_pid=pd.Series(pid, index=pdf.index, dtype="int32"), _local=local.values)
-
-    local = ranged.mapInPandas(number, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = local.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                .withColumn("_mid", F.monotonically_increasing_id())
+                .withColumn("_pid", F.shiftright("_mid", 33))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    stats = numbered.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_opid"),
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    stats = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_opid"), "_first",
+                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     cond = F.col("_pid") == F.col("_opid")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    j = local.join(offsets, cond, "inner")
-    return j.withColumn(name, (F.col("_off") + F.col("_local")).cast("int")).drop(
-        "_pid", "_local", "_opid", "_off", *[f"_k_{k}" for k in keys])
+    j = numbered.join(stats, cond, "inner")
+    rank = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
+    return j.withColumn(name, rank.cast("int")).drop(
+        "_mid", "_pid", "_opid", "_first", "_off", *[f"_k_{k}" for k in keys])
