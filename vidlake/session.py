@@ -102,3 +102,25 @@ def spread_small(df):
     except Exception:  # e.g. Spark Connect: no RDD access; leave the plan alone
         pass
     return df
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
+               max_partition_bytes: int = 512 << 20) -> dict:
+    """Settings to start from for a given input volume and cluster size.
+
+    Initial shuffle partitions are sized so each holds about
+    ``target_partition_bytes`` of the input (and at least 3 waves of the
+    cluster's cores); AQE then coalesces small ones to the advisory size and
+    splits skewed ones.  Scan splits stay at ``max_partition_bytes``.  E.g.
+    100 TB on 1000 executors x 8 cores -> ~400k initial shuffle partitions.
+    """
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        **ADAPTIVE_CONF, **REQUIRED_CONF,
+    }
