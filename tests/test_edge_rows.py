@@ -163,3 +163,16 @@ def test_q1_rank_with_ties(spark):
     s = bronze_to_silver(bronze(spark, rows), as_of=AS_OF)
     r = [(x.views, x.view_rank) for x in analytics.top_videos_by_views(s, limit=3).orderBy("view_rank").collect()]
     assert r == [(100, 1), (100, 1), (70, 3)]
+
+
+def test_holiday_calendar_table(spark):
+    from vidlake.operators.features import holiday_flag
+    rows = [row(video_id="ny", publish_time="2024-01-01T10:00:00.000Z"),
+            row(video_id="cal", publish_time="2024-01-15T10:00:00.000Z"),
+            row(video_id="no", publish_time="2024-01-16T10:00:00.000Z")]
+    s = bronze_to_silver(bronze(spark, rows), as_of=AS_OF)
+    default = {r.video_id: r.is_holiday for r in holiday_flag(s).collect()}
+    assert default == {"ny": 1, "cal": 0, "no": 0}
+    cal = spark.createDataFrame([("2024-01-15",), ("2024-01-15",)], "holiday_date string")
+    table = {r.video_id: r.is_holiday for r in holiday_flag(s, cal).collect()}
+    assert table == {"ny": 0, "cal": 1, "no": 0}

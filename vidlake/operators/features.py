@@ -87,15 +87,10 @@ def text_features(df: DataFrame) -> DataFrame:
     })
 
 
-def _seq_order():
-    return [F.col("publish_timestamp").asc_nulls_first(), F.col("video_id").asc_nulls_first()]
-
-
 def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS) -> DataFrame:
     """FEA-15..20 and FEA-31 through the (channel, day) decomposition."""
     ch, day = "channel_title", "publish_date"
     v, e = F.col("views"), F.col("engagement_rate")
-    last_key = F.struct("publish_timestamp", "video_id")
     daily = df.groupBy(ch, day).agg(
         F.count(F.lit(1)).alias("d_rows"),
         F.count("video_id").alias("d_vid"),
@@ -103,63 +98,67 @@ def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS) -> DataFram
         F.sum("likes").alias("d_sl"), F.count("likes").alias("d_cl"),
         F.sum("comment_count").alias("d_sc"), F.count("comment_count").alias("d_cc"),
         F.sum(e).alias("d_se"), F.count(e).alias("d_ce"),
-        F.max_by(e, last_key).alias("d_last_eng"),
+        F.max_by(e, F.struct("publish_timestamp", "video_id")).alias("d_last_eng"),
     )
+
+    # --- per-channel windows over one row per active day
     wd = Window.partitionBy(ch).orderBy(day)
     before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    prev_day = F.lag(day).over(wd)
-    daily = daily.withColumns({
-        "day_gap": F.datediff(F.col(day), prev_day),
+
+    def prefix(c):
+        return F.coalesce(F.sum(c).over(before), F.lit(0))
+    cols = {
+        "day_gap": F.datediff(F.col(day), F.lag(day).over(wd)),
         "prev_last_eng": F.lag("d_last_eng").over(wd),
-        "c_rows": F.coalesce(F.sum("d_rows").over(before), F.lit(0)),
-        "c_vid": F.coalesce(F.sum("d_vid").over(before), F.lit(0)),
-        "c_sv": F.sum("d_sv").over(before), "c_cv": F.coalesce(F.sum("d_cv").over(before), F.lit(0)),
-        "c_se": F.sum("d_se").over(before), "c_ce": F.coalesce(F.sum("d_ce").over(before), F.lit(0)),
-    })
-    # gaps of earlier days: each day adds its first upload's gap (none for the
-    # channel's first day) and a zero for every other upload that day
-    g_n = F.when(F.col("day_gap").isNotNull(), F.col("d_rows")).otherwise(F.col("d_rows") - 1)
-    g_s = F.coalesce(F.col("day_gap"), F.lit(0))
-    daily = daily.withColumns({"_g_n": g_n, "_g_s": g_s.cast("long"), "_g_ss": (g_s * g_s).cast("long")})
-    daily = daily.withColumns({
-        "cg_n": F.coalesce(F.sum("_g_n").over(before), F.lit(0)),
-        "cg_s": F.coalesce(F.sum("_g_s").over(before), F.lit(0)),
-        "cg_ss": F.coalesce(F.sum("_g_ss").over(before), F.lit(0)),
-    })
+        "c_vid": prefix("d_vid"), "c_sv": F.sum("d_sv").over(before), "c_cv": prefix("d_cv"),
+        "c_se": F.sum("d_se").over(before), "c_ce": prefix("d_ce"),
+    }
     udays = F.unix_date(F.col(day))
+    rolling = []
     for n in windows:
         wr = Window.partitionBy(ch).orderBy(udays).rangeBetween(-n, -1)
-        cnt_v = F.coalesce(F.sum("d_cv").over(wr), F.lit(0))
-        daily = daily.withColumns({
-            f"rolling_avg_views_{n}d": F.try_divide(F.sum("d_sv").over(wr), F.nullif(cnt_v, F.lit(0))),
-            f"rolling_avg_likes_{n}d": F.try_divide(F.sum("d_sl").over(wr), F.nullif(F.sum("d_cl").over(wr), F.lit(0))),
-            f"rolling_avg_comments_{n}d": F.try_divide(F.sum("d_sc").over(wr), F.nullif(F.sum("d_cc").over(wr), F.lit(0))),
-            f"rolling_avg_engagement_{n}d": F.try_divide(F.sum("d_se").over(wr), F.nullif(F.sum("d_ce").over(wr), F.lit(0))),
+
+        def avg_of(s_, c_):
+            return F.try_divide(F.sum(s_).over(wr), F.nullif(F.sum(c_).over(wr), F.lit(0)))
+        r = {
+            f"rolling_avg_views_{n}d": avg_of("d_sv", "d_cv"),
+            f"rolling_avg_likes_{n}d": avg_of("d_sl", "d_cl"),
+            f"rolling_avg_comments_{n}d": avg_of("d_sc", "d_cc"),
+            f"rolling_avg_engagement_{n}d": avg_of("d_se", "d_ce"),
             f"rolling_sum_views_{n}d": F.sum("d_sv").over(wr),
             f"rolling_video_count_{n}d": F.coalesce(F.sum("d_vid").over(wr), F.lit(0)),
             f"rolling_max_views_{n}d": F.max("d_mv").over(wr),
-        })
-    rolling = [f"rolling_{k}_{n}d" for n in windows for k in
-               ("avg_views", "avg_likes", "avg_comments", "avg_engagement", "sum_views", "video_count", "max_views")]
-    daily = daily.select(ch, day, "day_gap", "prev_last_eng", "c_vid", "c_sv", "c_cv", "c_se", "c_ce",
-                         "cg_n", "cg_s", "cg_ss", *rolling)
+        }
+        cols.update(r)
+        rolling += list(r)
+    daily = daily.select(ch, day, "d_rows", *[c.alias(k) for k, c in cols.items()])
+    # gaps of earlier days: each day adds its first upload's gap (none for the
+    # channel's first day) and a zero for every other upload that day
+    g_s = F.coalesce(F.col("day_gap"), F.lit(0)).cast("long")
+    g_n = F.when(F.col("day_gap").isNotNull(), F.col("d_rows")).otherwise(F.col("d_rows") - 1)
+    daily = daily.select(
+        ch, day, "day_gap", "prev_last_eng", "c_vid", "c_sv", "c_cv", "c_se", "c_ce", *rolling,
+        F.coalesce(F.sum(g_n).over(before), F.lit(0)).alias("cg_n"),
+        F.coalesce(F.sum(g_s).over(before), F.lit(0)).alias("cg_s"),
+        F.coalesce(F.sum(g_s * g_s).over(before), F.lit(0)).alias("cg_ss"))
 
+    # --- back to videos; windows inside one (channel, day)
     j = df.join(daily, [ch, day], "left")
-    wi = Window.partitionBy(ch, day).orderBy(*_seq_order())
+    wi = Window.partitionBy(ch, day).orderBy(F.col("publish_timestamp").asc_nulls_first(),
+                                             F.col("video_id").asc_nulls_first())
     wi_before = wi.rowsBetween(Window.unboundedPreceding, -1)
-    pos = F.row_number().over(wi)
-    j = j.withColumns({
-        "_pos": pos,
+    j = j.select("*", *[c.alias(k) for k, c in {
+        "_pos": F.row_number().over(wi),
         "_i_vid": F.coalesce(F.count("video_id").over(wi_before), F.lit(0)),
         "_i_sv": F.sum(v).over(wi_before), "_i_cv": F.coalesce(F.count(v).over(wi_before), F.lit(0)),
         "_i_se": F.sum(e).over(wi_before), "_i_ce": F.coalesce(F.count(e).over(wi_before), F.lit(0)),
         "_prev_eng_same_day": F.lag(e).over(wi),
-    })
-    nulls0 = lambda c: F.coalesce(c, F.lit(0))
-    sv = nulls0(F.col("c_sv")) + nulls0(F.col("_i_sv"))
-    cv = F.col("c_cv") + F.col("_i_cv")
-    se = nulls0(F.col("c_se")) + nulls0(F.col("_i_se"))
-    ce = F.col("c_ce") + F.col("_i_ce")
+    }.items()])
+
+    def z(c):
+        return F.coalesce(F.col(c), F.lit(0))
+    sv, cv = z("c_sv") + z("_i_sv"), F.col("c_cv") + F.col("_i_cv")
+    se, ce = z("c_se") + z("_i_se"), F.col("c_ce") + F.col("_i_ce")
     first_of_day = F.col("_pos") == 1
     # gaps of the earlier uploads of this day: the first upload's day gap
     # (absent on the channel's first day) and zeros for the rest
@@ -172,16 +171,15 @@ def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS) -> DataFram
     gss = (F.col("cg_ss") + i_gs * i_gs).cast("double")
     gap_sd = F.when(gn > 1, F.sqrt(F.greatest((gss - gs * gs / gn) / (gn - 1), F.lit(0.0))))
     prev_eng = F.when(first_of_day, F.col("prev_last_eng")).otherwise(F.col("_prev_eng_same_day"))
-    j = j.withColumns({
+    out = {
         "channel_avg_views_historical": F.try_divide(sv, F.nullif(cv, F.lit(0))),
         "channel_avg_engagement_historical": F.try_divide(se, F.nullif(ce, F.lit(0))),
         "channel_video_count_historical": (F.col("c_vid") + F.col("_i_vid")).cast("long"),
         "days_since_last_upload": F.when(first_of_day, F.col("day_gap")).otherwise(F.lit(0)),
         "channel_consistency_score": F.try_divide(F.lit(1.0), gap_sd + F.lit(1.0)),
         "engagement_growth_rate": F.try_divide(e - prev_eng, F.nullif(prev_eng, F.lit(0.0))),
-    })
-    return j.drop("day_gap", "prev_last_eng", "c_vid", "c_sv", "c_cv", "c_se", "c_ce", "cg_n", "cg_s", "cg_ss",
-                  "_pos", "_i_vid", "_i_sv", "_i_cv", "_i_se", "_i_ce", "_prev_eng_same_day")
+    }
+    return j.select(*df.columns, *rolling, *[c.alias(k) for k, c in out.items()])
 
 
 def engagement_features(df: DataFrame) -> DataFrame:
@@ -234,7 +232,7 @@ def holiday_flag(df: DataFrame, holidays=None) -> DataFrame:
         md = list(holidays or DEFAULT_HOLIDAYS)
         return df.withColumn("is_holiday", F.date_format("publish_date", "MM-dd").isin(md).cast("int"))
     cal = holidays.select(F.col("holiday_date").cast("date").alias("_hd")).distinct().withColumn("_h", F.lit(1))
-    j = df.join(cal, F.col("publish_date") == F.col("_hd"), "left")
+    j = join_checked_broadcast(df, cal, F.col("publish_date") == F.col("_hd"), "left")
     return j.withColumn("is_holiday", F.coalesce("_h", F.lit(0))).drop("_hd", "_h")
 
 
