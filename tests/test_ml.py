@@ -30,7 +30,7 @@ def test_scoring_defaults(spark):
 
 def test_registry_gate_latest_and_batch_scoring(spark, sf_small, scratch):
     train, valid, test = ml.split_frame(ml.training_frame(silver_of(spark, sf_small)))
-    model = ml._pipeline(ml.regressors()["linear_regression"]).fit(train)
+    model = ml.fit(ml.regressors()["linear_regression"], train)
     metrics = ml.regression_metrics(model.transform(valid)).first().asDict()
     reg = scratch("registry")
     assert ml.save_model(spark, model, reg, "m", metrics, gate=("r2", 2.0)) is None  # unreachable bar
@@ -58,3 +58,15 @@ def test_cross_validated_tuning(spark, sf_small):
     best = ml.tune(train, folds=2, num_trees=(5,), max_depth=(3, 4))
     assert best.stages[-1].getNumTrees == 5
     assert len(ml.feature_importances(best)) == len(ml.MODEL_FEATURES)
+
+
+def test_classifier_scores_after_an_observation(spark, sf_small):
+    # a session that has served an Observation must still score a fitted
+    # logistic regression (its training summary would drag the session along)
+    from pyspark.sql import Observation
+    obs = Observation("probe")
+    spark.range(5).observe(obs, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert obs.get["n"] == 5
+    train, valid, _ = ml.split_frame(ml.training_frame(silver_of(spark, sf_small)))
+    m = ml.classification_metrics(ml.fit(ml.classifiers()["logistic_regression"], train).transform(valid))
+    assert 0.0 <= m["accuracy"] <= 1.0

@@ -14,7 +14,8 @@ import json
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import (GBTClassifier, LogisticRegression, LogisticRegressionModel,
+                                       MultilayerPerceptronClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -111,6 +112,23 @@ def _pipeline(estimator) -> Pipeline:
     ])
 
 
+def fit(estimator, train: DataFrame) -> PipelineModel:
+    """Fit ``assembler -> scaler -> estimator``.
+
+    A fitted logistic-regression model keeps its training summary, which
+    holds the session; once the session has served an ``Observation`` it no
+    longer serialises, and scoring tasks fail.  Such models are saved to the
+    shared checkpoint folder and loaded back (a loaded model has no summary).
+    """
+    model = _pipeline(estimator).fit(train)
+    if any(getattr(st, "hasSummary", False) and isinstance(st, LogisticRegressionModel) for st in model.stages):
+        from vidlake.session import scratch_path
+        path = scratch_path(train.sparkSession, "fitted_model")
+        model.write().overwrite().save(path)
+        model = PipelineModel.load(path)
+    return model
+
+
 def regressors(label: str = "label_views") -> dict:
     """ML-5 (gradient boosting stands in for the XGBoost entry)."""
     return {
@@ -159,7 +177,7 @@ def train_and_select(train: DataFrame, valid: DataFrame, test: DataFrame, candid
     candidates = candidates or regressors(label)
     rows, best = [], None
     for name, est in candidates.items():
-        model = _pipeline(est).fit(train)
+        model = fit(est, train)
         m = regression_metrics(model.transform(valid), label).first().asDict()
         rows.append({"model": name, "split": "validation", **m})
         if best is None or (m["r2"] is not None and m["r2"] > best[2]):

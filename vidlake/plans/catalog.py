@@ -234,11 +234,12 @@ def q_ml_selection(spark, sf_dir):
 @register("ml_engagement_classifiers")
 def q_ml_classifiers(spark, sf_dir):
     """ML-6, ML-7: the three engagement classifiers on the validation split."""
-    from vidlake.operators.ml import _pipeline, classification_metrics, classifiers
+    from vidlake.operators.ml import classification_metrics, classifiers, fit
+    configure(spark)
     train, valid, _ = (f.persist() for f in _ml_frames(spark, sf_dir))
     rows = []
     for name, est in classifiers().items():
-        m = classification_metrics(_pipeline(est).fit(train).transform(valid))
+        m = classification_metrics(fit(est, train).transform(valid))
         rows.append((name, m["accuracy"], m["weightedPrecision"], m["weightedRecall"], m["f1"], m.get("auc")))
     return spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, "
                                        "f1 double, auc double")
@@ -248,7 +249,7 @@ def q_ml_classifiers(spark, sf_dir):
 def q_ml_scoring(spark, sf_dir):
     """ML-10 save (quality gate), ML-3 load latest, ML-2 + ML-12 score the
     held-out split with an interval, SNK-8 write, read back."""
-    from vidlake.operators.ml import (_pipeline, load_latest, predict, regression_metrics, regressors,
+    from vidlake.operators.ml import (fit, load_latest, predict, regression_metrics, regressors,
                                       residual_interval, save_model, scoring_input_from_silver)
     from vidlake.session import scratch_path
     from vidlake.sources.sinks import write_predictions
@@ -256,7 +257,7 @@ def q_ml_scoring(spark, sf_dir):
     configure(spark)
     silver = silver_of(spark, sf_dir)
     train, valid, test = (f.persist() for f in _ml_frames(spark, sf_dir))
-    model = _pipeline(regressors()["linear_regression"]).fit(train)
+    model = fit(regressors()["linear_regression"], train)
     metrics = regression_metrics(model.transform(valid)).first().asDict()
     registry = scratch_path(spark, "models")
     save_model(spark, model, registry, "views_regressor", metrics, version="20240131_000000")
