@@ -141,3 +141,23 @@ def test_row_number_within_matches_window(spark, batch):
     want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
             .collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_exact_percentile_matches_quantile_disc(spark, seed):
+    import duckdb
+
+    from vidlake.operators.ranking import exact_percentile
+
+    rnd = random.Random(seed)
+    vals = [rnd.choice([0.0, 0.0, 0.0, None]) if rnd.random() < 0.3 else rnd.lognormvariate(3, 2) * rnd.choice([1, -1])
+            for _ in range(3000)]
+    vals += [7.5] * 500  # a hot value
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
+    for p in (0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0):
+        want = con.sql(f"SELECT quantile_disc(x, {p}) FROM t").fetchall()[0][0]
+        assert exact_percentile(df, "x", p, buckets=8, band_rows=50) == want, p
+        assert exact_percentile(df, "x", p) == want, p

@@ -111,16 +111,18 @@ def quality_dimensions(silver: DataFrame, as_of=None) -> DataFrame:
 
 
 def population_stability(baseline: DataFrame, current: DataFrame, column: str,
-                         buckets: int = 10, floor: float = 1e-4, accuracy: int = 1_000_000) -> DataFrame:
+                         buckets: int = 10, floor: float = 1e-4) -> DataFrame:
     """DQ-11: population stability index of ``column``.
 
-    Bucket edges are the baseline's quantiles (one aggregate, used as a scalar
-    subquery); each side is bucketed by counting the edges strictly below the
+    Bucket edges are the baseline's exact quantiles (distributed selection);
+    each side is bucketed by counting the edges strictly below the
     value, counted per bucket (partial aggregation), and the two count tables
     (at most ``buckets`` rows each) are joined.  Empty buckets take ``floor``.
     """
+    from vidlake.operators.ranking import exact_percentile
+
     qs = [i / buckets for i in range(1, buckets)]
-    edges = baseline.select(F.percentile_approx(column, qs, accuracy)).scalar()
+    edges = F.array(*[F.lit(exact_percentile(baseline, column, q)) for q in qs])
     v = F.col(column)
     bucket = F.aggregate(F.col("_edges"), F.lit(0), lambda acc, e: acc + F.when(v > e, 1).otherwise(0))
 

@@ -48,7 +48,7 @@ def channel_metrics(silver: DataFrame, min_videos: int = 10, limit: int = 50) ->
 
 def daily_trending(silver: DataFrame, max_days: int = 7, percentile: float = 0.9) -> DataFrame:
     """Q3: strict ``>`` against the global percentile, rank per publish day."""
-    p = percentile_of(silver, "viral_score", percentile, ACC)
+    p = percentile_of(silver, "viral_score", percentile)
     t = silver.filter((F.col("days_since_publish") <= max_days) & (F.col("viral_score") > p))
     t = t.select("publish_date", "video_id", "title", "channel_title", "category_id", "views",
                  "engagement_rate", "viral_score")
@@ -104,7 +104,7 @@ def posting_slots(silver: DataFrame, limit: int = 50) -> DataFrame:
 def high_engagement(silver: DataFrame, percentile: float = 0.9, min_views: int = 10000,
                     limit: int = 100) -> DataFrame:
     """Q7."""
-    p = percentile_of(silver, "engagement_rate", percentile, ACC)
+    p = percentile_of(silver, "engagement_rate", percentile)
     t = silver.filter((F.col("engagement_rate") >= p) & (F.col("views") >= min_views))
     t = t.select("video_id", "title", "channel_title", "category_id", "views", "likes", "comment_count",
                  "engagement_rate", "like_ratio", "comment_ratio", "title_length", "description_length",
@@ -180,7 +180,7 @@ def viral_videos(silver: DataFrame, percentile: float = 0.95, max_days: int = 30
                  min_ratio: float = 2.0, limit: int = 50) -> DataFrame:
     """Q11: candidate filter first (pushed below the join), then an inner
     join to the per-channel average (one row per channel)."""
-    p = percentile_of(silver, "viral_score", percentile, ACC)
+    p = percentile_of(silver, "viral_score", percentile)
     c = silver.groupBy("channel_title").agg(F.avg("views").alias("channel_avg_views"))
     v = silver.filter((F.col("viral_score") > p) & (F.col("days_since_publish") <= max_days))
     j = v.join(c, "channel_title", "inner")

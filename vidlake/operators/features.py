@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from vidlake.functions import text as tx
 from vidlake.functions.clean import tag_count
 from vidlake.operators.joins import join_checked_broadcast
-from vidlake.operators.ranking import PERCENTILE_ACCURACY
+from vidlake.operators.ranking import exact_percentile
 
 ROLLING_WINDOWS = (7, 14, 30)
 # Fixed month-day holidays used when no calendar table is given (FEA-30).
@@ -212,10 +212,17 @@ def category_features(df: DataFrame) -> DataFrame:
 
 
 def target_variables(df: DataFrame, target_col: str = "views", high_threshold_percentile: float = 0.75,
-                     accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    """FEA-26..27: all four thresholds from one percentile aggregate, used as
-    a scalar subquery."""
-    qs = df.select(F.percentile_approx(target_col, [high_threshold_percentile, 0.5, 0.75, 0.9], accuracy)).scalar()
+                     accuracy: int | None = None) -> DataFrame:
+    """FEA-26..27: thresholds at the high-performance percentile and at
+    0.5 / 0.75 / 0.9 (exact by default; ``accuracy`` switches to one
+    ``percentile_approx`` scalar subquery)."""
+    ps = [high_threshold_percentile, 0.5, 0.75, 0.9]
+    if accuracy is not None:
+        arr = df.select(F.percentile_approx(target_col, ps, accuracy)).scalar()
+        qs = [arr[i] for i in range(4)]
+    else:
+        cache = {}
+        qs = [F.lit(cache.setdefault(p, exact_percentile(df, target_col, p))) for p in ps]
     t = F.col(target_col)
     return df.withColumns({
         "high_performance": F.when(t >= qs[0], 1).otherwise(0),

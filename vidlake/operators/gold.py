@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.clean import as_of_date
-from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of, row_number_within
+from vidlake.operators.ranking import desc_then, percentile_of, row_number_within
 
 TRENDING_COLUMNS = [
     "video_id", "title", "channel_title", "category_id", "publish_date", "views", "likes",
@@ -114,7 +114,7 @@ def category_analysis(silver: DataFrame, rolling_rows: int = 7) -> DataFrame:
 
 
 def trending_videos(silver: DataFrame, percentile: float = 0.9, max_days: int = 7,
-                    min_engagement: float = 0.03, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+                    min_engagement: float = 0.03, accuracy: int | None = None) -> DataFrame:
     """AGG-10, FLT-1, WIN-2, PRJ-1."""
     threshold = percentile_of(silver, "viral_score", percentile, accuracy)
     t = silver.filter((F.col("viral_score") >= threshold)

@@ -5,18 +5,73 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Relative-error parameter for percentile_approx.  1e6 makes the result the
-# exact order statistic (rank ceil(p*n)) below a million rows per group and a
-# rank error under one in a million above that.
-PERCENTILE_ACCURACY = 1_000_000
+# Accuracy of grouped percentile_approx (Spark's default).  Each task keeps a
+# digest of about 1/accuracy relative rank error per group (~0.25 MB), so
+# digests stay small however many rows a task holds; exact below ~10k rows
+# per group.
+PERCENTILE_ACCURACY = 10_000
+# Exact global thresholds: histogram buckets per refinement pass, and the band
+# size below which the remaining candidates are resolved by a top-k.
+SELECT_BUCKETS = 4096
+SELECT_BAND_ROWS = 200_000
 
 
-def percentile_of(df: DataFrame, column: str, p, accuracy: int = PERCENTILE_ACCURACY) -> Column:
-    """Global percentile as an uncorrelated scalar subquery (BLK-2).
+def exact_percentile(df: DataFrame, column: str, p: float, buckets: int = SELECT_BUCKETS,
+                     band_rows: int = SELECT_BAND_ROWS):
+    """Exact ``PERCENTILE_DISC``: the value of rank ceil(p * n) among the
+    non-null values (what ``percentile_approx`` returns when it is exact).
 
-    Spark runs the one-row aggregate once and inlines the value into the outer
-    plan; nothing goes through Python and no cross join is built."""
-    return df.select(F.percentile_approx(column, p, accuracy)).scalar()
+    A single global ``percentile_approx`` funnels every task's digest into
+    one reducer; at high accuracy those digests approach the task's row
+    count.  Here every pass is a distributed, partially aggregated count:
+
+    1. n, min, max of the column;
+    2. while the candidate band holds more than ``band_rows`` values: count
+       the band per value bucket (``buckets`` equal-width buckets between the
+       band's min and max; at most ``buckets`` rows reach the driver) and keep
+       the bucket that contains the wanted rank;
+    3. the k-th smallest of the remaining band by a distributed top-k.
+
+    A band whose values are all equal (a hot value) ends the search at once.
+    Each pass narrows by about ``buckets``x, so 10^12 rows need ~3 passes.
+    Returns a Python scalar (None when there are no values).
+    """
+    import math
+
+    base = df.select(F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    if not st or not st["n"]:
+        return None
+    k = max(1, int(math.ceil(p * st["n"])))
+    band, lo, hi, n_band = base, st["lo"], st["hi"], st["n"]
+    v = F.col("_x").cast("double")
+    while n_band > band_rows and lo != hi:
+        width = (float(hi) - float(lo)) / buckets
+        b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+        counts = sorted(band.groupBy(b.alias("b")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")).collect())
+        seen = 0
+        for r in counts:
+            if seen + r["c"] >= k:
+                break
+            seen += r["c"]
+        k -= seen
+        band = band.filter(b == F.lit(r["b"]))
+        lo, hi, n_band = r["mn"], r["mx"], r["c"]
+    if lo == hi:
+        return lo
+    return band.orderBy(F.col("_x").asc()).limit(k).agg(F.max("_x")).first()[0]
+
+
+def percentile_of(df: DataFrame, column: str, p, accuracy: int | None = None) -> Column:
+    """Global threshold (BLK-2) as a literal for the outer plan.
+
+    Default: exact (``exact_percentile``).  With ``accuracy`` given, an
+    uncorrelated scalar subquery over ``percentile_approx`` instead (one lazy
+    aggregate, no driver round trip, approximate above ~accuracy rows)."""
+    if accuracy is not None:
+        return df.select(F.percentile_approx(column, p, accuracy)).scalar()
+    return F.lit(exact_percentile(df, column, p))
 
 
 def desc_then(*cols: str, tie: str = "video_id") -> list[Column]:
