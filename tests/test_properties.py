@@ -84,10 +84,11 @@ def _same(a, b):
     return a == pytest.approx(b, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_channel_history_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,parts", [(1, None), (2, 13), (3, 40)])
+def test_channel_history_equals_brute_force(spark, seed, parts):
+    # parts=13/40: a hot (channel, day) spans several ordered slices
     s = random_silver(spark, seed)
-    got = {r.video_id: r.asDict() for r in channel_history_features(s).collect()}
+    got = {r.video_id: r.asDict() for r in channel_history_features(s, num_partitions=parts).collect()}
     pdf = s.toPandas()
     pdf["views"] = pdf["views"].astype("float")
     want = brute_force(pdf)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from vidlake.functions import text as tx
 from vidlake.functions.clean import tag_count
 from vidlake.operators.joins import join_checked_broadcast
-from vidlake.operators.ranking import exact_percentile
+from vidlake.operators.ranking import exact_percentile, ordered_slices
 
 ROLLING_WINDOWS = (7, 14, 30)
 # Fixed month-day holidays used when no calendar table is given (FEA-30).
@@ -87,7 +87,7 @@ def text_features(df: DataFrame) -> DataFrame:
     })
 
 
-def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS) -> DataFrame:
+def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS, num_partitions: int | None = None) -> DataFrame:
     """FEA-15..20 and FEA-31 through the (channel, day) decomposition."""
     ch, day = "channel_title", "publish_date"
     v, e = F.col("views"), F.col("engagement_rate")
@@ -142,17 +142,49 @@ def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS) -> DataFram
         F.coalesce(F.sum(g_s).over(before), F.lit(0)).alias("cg_s"),
         F.coalesce(F.sum(g_s * g_s).over(before), F.lit(0)).alias("cg_ss"))
 
-    # --- back to videos; windows inside one (channel, day)
-    j = df.join(daily, [ch, day], "left")
-    wi = Window.partitionBy(ch, day).orderBy(F.col("publish_timestamp").asc_nulls_first(),
-                                             F.col("video_id").asc_nulls_first())
-    wi_before = wi.rowsBetween(Window.unboundedPreceding, -1)
+    # --- back to videos.  Each (channel, day) is cut into ordered slices
+    # (range partitioning), so even one channel-day holding a third of all
+    # rows spreads over many tasks: windows run per slice, and per-slice
+    # prefix statistics carry the running sums across slices.
+    order = [F.col("publish_timestamp").asc_nulls_first(), F.col("video_id").asc_nulls_first()]
+    sliced = ordered_slices(df, [ch, day], order, num_partitions)
+    slice_stats = sliced.groupBy(ch, day, "_pid").agg(
+        F.min("_mid").alias("s_first"), F.count(F.lit(1)).alias("s_rows"),
+        F.count("video_id").alias("s_vid"), F.sum(v).alias("s_sv"), F.count(v).alias("s_cv"),
+        F.sum(e).alias("s_se"), F.count(e).alias("s_ce"), F.max_by(e, F.col("_mid")).alias("s_last_eng"))
+    ws = Window.partitionBy(ch, day).orderBy("_pid")
+    ws_before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    slice_stats = slice_stats.select(
+        F.col(ch).alias("_sc"), F.col(day).alias("_sd"), F.col("_pid").alias("_sp"), "s_first",
+        *[F.coalesce(F.sum(c).over(ws_before), F.lit(0)).alias(f"o{c[1:]}")
+          for c in ("s_rows", "s_vid", "s_cv", "s_ce")],
+        F.sum("s_sv").over(ws_before).alias("o_sv"), F.sum("s_se").over(ws_before).alias("o_se"),
+        F.lag("s_last_eng").over(ws).alias("prev_slice_last_eng"))
+    # day-level features ride on the (small) slice table, so the rows are
+    # joined once, on (channel, day, slice)
+    slice_stats = slice_stats.join(
+        daily, F.col("_sc").eqNullSafe(F.col(ch)) & F.col("_sd").eqNullSafe(F.col(day)), "left").drop(ch, day)
+
+    wl = Window.partitionBy(ch, day, "_pid").orderBy("_mid")
+    wl_before = wl.rowsBetween(Window.unboundedPreceding, -1)
+    rows = sliced.select("*", *[c.alias(k) for k, c in {
+        "_l_vid": F.coalesce(F.count("video_id").over(wl_before), F.lit(0)),
+        "_l_sv": F.sum(v).over(wl_before), "_l_cv": F.coalesce(F.count(v).over(wl_before), F.lit(0)),
+        "_l_se": F.sum(e).over(wl_before), "_l_ce": F.coalesce(F.count(e).over(wl_before), F.lit(0)),
+        "_l_prev_eng": F.lag(e).over(wl),
+    }.items()])
+    cond = (F.col(ch).eqNullSafe(F.col("_sc")) & F.col(day).eqNullSafe(F.col("_sd"))
+            & (F.col("_pid") == F.col("_sp")))
+    j = rows.join(slice_stats, cond, "inner")
+    first_in_slice = F.col("_mid") == F.col("s_first")
     j = j.select("*", *[c.alias(k) for k, c in {
-        "_pos": F.row_number().over(wi),
-        "_i_vid": F.coalesce(F.count("video_id").over(wi_before), F.lit(0)),
-        "_i_sv": F.sum(v).over(wi_before), "_i_cv": F.coalesce(F.count(v).over(wi_before), F.lit(0)),
-        "_i_se": F.sum(e).over(wi_before), "_i_ce": F.coalesce(F.count(e).over(wi_before), F.lit(0)),
-        "_prev_eng_same_day": F.lag(e).over(wi),
+        "_pos": F.col("o_rows") + (F.col("_mid") - F.col("s_first")) + F.lit(1),
+        "_i_vid": F.col("o_vid") + F.col("_l_vid"),
+        "_i_sv": F.coalesce(F.col("o_sv"), F.lit(0)) + F.coalesce(F.col("_l_sv"), F.lit(0)),
+        "_i_cv": F.col("o_cv") + F.col("_l_cv"),
+        "_i_se": F.coalesce(F.col("o_se"), F.lit(0.0)) + F.coalesce(F.col("_l_se"), F.lit(0.0)),
+        "_i_ce": F.col("o_ce") + F.col("_l_ce"),
+        "_prev_eng_same_day": F.when(first_in_slice, F.col("prev_slice_last_eng")).otherwise(F.col("_l_prev_eng")),
     }.items()])
 
     def z(c):

@@ -83,6 +83,24 @@ def desc_then(*cols: str, tie: str = "video_id") -> list[Column]:
     return out
 
 
+def ordered_slices(df: DataFrame, keys: list[str], order: list[Column],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on (keys, order), sort inside each partition, and tag
+    rows with ``_mid`` (partition index << 33 | position in sorted order) and
+    ``_pid`` (the partition index).  A key's rows inside one partition form a
+    contiguous *slice*; a hot key spans many slices.  Persisted so that every
+    consumer sees the same assignment (a lost executor recomputes its
+    partitions from the same plan and total order)."""
+    from pyspark import StorageLevel
+
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
+    return (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright("_mid", 33))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
 def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name: str,
                       num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays
@@ -106,16 +124,9 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
     The numbered frame is persisted so both consumers see one assignment; a
     lost executor recomputes its partitions from the same plan and order.
     """
-    from pyspark import StorageLevel
     from pyspark.sql import Window
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    numbered = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright("_mid", 33))
-                .persist(StorageLevel.MEMORY_AND_DISK))
+    numbered = ordered_slices(df, keys, order, num_partitions)
     stats = numbered.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_opid"), "_first",
