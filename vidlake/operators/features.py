@@ -294,11 +294,12 @@ def select_feature_columns(df: DataFrame, include_declared: bool = True) -> Data
 def build_features(silver: DataFrame, windows=ROLLING_WINDOWS, target_col: str = "views",
                    high_threshold_percentile: float = 0.75, holidays=None,
                    include_declared: bool = True) -> DataFrame:
-    df = temporal_features(silver)
+    # thresholds first: they read one column of silver, not the feature plan
+    df = target_variables(silver, target_col, high_threshold_percentile)
+    df = temporal_features(df)
     df = text_features(df)
     df = channel_history_features(df, windows)
     df = engagement_features(df)
     df = category_features(df)
-    df = target_variables(df, target_col, high_threshold_percentile)
     df = holiday_flag(df, holidays)
     return select_feature_columns(df, include_declared)
