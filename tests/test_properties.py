@@ -162,3 +162,19 @@ def test_exact_percentile_matches_quantile_disc(spark, seed):
         want = con.sql(f"SELECT quantile_disc(x, {p}) FROM t").fetchall()[0][0]
         assert exact_percentile(df, "x", p, buckets=8, band_rows=50) == want, p
         assert exact_percentile(df, "x", p) == want, p
+
+
+def test_exact_percentiles_shared_pass(spark):
+    import duckdb
+
+    from vidlake.operators.ranking import exact_percentiles
+
+    rnd = random.Random(5)
+    vals = [rnd.randint(0, 50) for _ in range(700)] + [None] * 20
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    ps = [0.75, 0.5, 0.75, 0.9, 0.0, 1.0]
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT quantile_disc(x, {p}) FROM (SELECT unnest(?) AS x)", [vals]).fetchall()[0][0]
+            for p in ps]
+    assert exact_percentiles(df, "x", ps) == want
+    assert exact_percentiles(df, "x", ps, buckets=4, band_rows=30) == want

@@ -119,10 +119,10 @@ def population_stability(baseline: DataFrame, current: DataFrame, column: str,
     value, counted per bucket (partial aggregation), and the two count tables
     (at most ``buckets`` rows each) are joined.  Empty buckets take ``floor``.
     """
-    from vidlake.operators.ranking import exact_percentile
+    from vidlake.operators.ranking import exact_percentiles
 
     qs = [i / buckets for i in range(1, buckets)]
-    edges = F.array(*[F.lit(exact_percentile(baseline, column, q)) for q in qs])
+    edges = F.array(*[F.lit(v) for v in exact_percentiles(baseline, column, qs)])
     v = F.col(column)
     bucket = F.aggregate(F.col("_edges"), F.lit(0), lambda acc, e: acc + F.when(v > e, 1).otherwise(0))
 

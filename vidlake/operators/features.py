@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from vidlake.functions import text as tx
 from vidlake.functions.clean import tag_count
 from vidlake.operators.joins import join_checked_broadcast
-from vidlake.operators.ranking import exact_percentile, ordered_slices
+from vidlake.operators.ranking import exact_percentiles, ordered_slices
 
 ROLLING_WINDOWS = (7, 14, 30)
 # Fixed month-day holidays used when no calendar table is given (FEA-30).
@@ -253,8 +253,7 @@ def target_variables(df: DataFrame, target_col: str = "views", high_threshold_pe
         arr = df.select(F.percentile_approx(target_col, ps, accuracy)).scalar()
         qs = [arr[i] for i in range(4)]
     else:
-        cache = {}
-        qs = [F.lit(cache.setdefault(p, exact_percentile(df, target_col, p))) for p in ps]
+        qs = [F.lit(v) for v in exact_percentiles(df, target_col, ps)]
     t = F.col(target_col)
     return df.withColumns({
         "high_performance": F.when(t >= qs[0], 1).otherwise(0),

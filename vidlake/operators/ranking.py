@@ -16,6 +16,29 @@ SELECT_BUCKETS = 4096
 SELECT_BAND_ROWS = 200_000
 
 
+def exact_percentiles(df: DataFrame, column: str, ps, buckets: int = SELECT_BUCKETS,
+                      band_rows: int = SELECT_BAND_ROWS) -> list:
+    """``exact_percentile`` for several ``ps`` sharing passes: one stats
+    pass; when all values fit the band, every rank comes from one bounded
+    top-k (ranks numbered over at most ``band_rows`` rows); otherwise each
+    percentile is refined on its own."""
+    import math
+
+    from pyspark.sql import Window
+
+    base = df.select(F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    if not st or not st["n"]:
+        return [None for _ in ps]
+    if st["n"] > band_rows:
+        return [exact_percentile(df, column, p, buckets, band_rows) for p in ps]
+    ks = [max(1, int(math.ceil(p * st["n"]))) for p in ps]
+    top = base.orderBy(F.col("_x").asc()).limit(max(ks))
+    ranked = top.select("_x", F.row_number().over(Window.orderBy(F.col("_x").asc())).alias("_r"))
+    got = {r["_r"]: r["_x"] for r in ranked.filter(F.col("_r").isin(sorted(set(ks)))).collect()}
+    return [got[k] for k in ks]
+
+
 def exact_percentile(df: DataFrame, column: str, p: float, buckets: int = SELECT_BUCKETS,
                      band_rows: int = SELECT_BAND_ROWS):
     """Exact ``PERCENTILE_DISC``: the value of rank ceil(p * n) among the
