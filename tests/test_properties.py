@@ -178,3 +178,27 @@ def test_exact_percentiles_shared_pass(spark):
             for p in ps]
     assert exact_percentiles(df, "x", ps) == want
     assert exact_percentiles(df, "x", ps, buckets=4, band_rows=30) == want
+
+
+@pytest.mark.parametrize("buckets,band", [(1024, 200_000), (4, 20)])
+def test_grouped_percentiles_match_quantile_disc(spark, buckets, band):
+    import duckdb
+
+    from vidlake.operators.ranking import grouped_percentiles
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(2500):
+        g = "hot" if rnd.random() < 0.5 else rnd.choice(["a", "b", "c", None])
+        v = None if rnd.random() < 0.05 else rnd.choice([rnd.randint(-50, 50), rnd.randint(0, 10**6), 7])
+        rows.append((g, v))
+    rows.append(("solo", 3))
+    df = spark.createDataFrame(rows, "g string, v long")
+    ps = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    got = {r.g: tuple(r[n] for n in ps) for r in grouped_percentiles(df, ["g"], "v", ps, buckets, band).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (g VARCHAR, v BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    sel = ", ".join(f"quantile_disc(v, {p})" for p in ps.values())
+    want = {r[0]: tuple(r[1:]) for r in con.sql(f"SELECT g, {sel} FROM t WHERE v IS NOT NULL GROUP BY g").fetchall()}
+    assert got == want

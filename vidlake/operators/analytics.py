@@ -1,7 +1,8 @@
 """The twelve analytic queries over silver (Q1..Q12), as DataFrame plans.
 
 Literal parameters of the original SQL (year, thresholds, limits) are keyword
-arguments.  Every LIMIT is a top-k report (TakeOrderedAndProject), with a
+arguments.  Percentiles are exact (``PERCENTILE_DISC``): global thresholds by
+``exact_percentile``, grouped ones by ``grouped_percentiles``.  Every LIMIT is a top-k report (TakeOrderedAndProject), with a
 deterministic tie-break.  Windows run on aggregated rows or on the k rows of a
 top-k, never on a whole unpartitioned table.
 """
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.text import day_name, title_class
-from vidlake.operators.ranking import PERCENTILE_ACCURACY, desc_then, percentile_of, row_number_within
+from vidlake.operators.ranking import desc_then, grouped_percentiles, percentile_of, row_number_within
 
-ACC = PERCENTILE_ACCURACY
+def _with(agg: DataFrame, pct: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach per-group percentiles (one row per group on both sides)."""
+    return agg.join(pct, keys, "left")
 
 
 def _pct_change(cur, prev):
@@ -59,17 +62,17 @@ def daily_trending(silver: DataFrame, max_days: int = 7, percentile: float = 0.9
 
 def category_comparison(silver: DataFrame, year: int = 2024) -> DataFrame:
     """Q4."""
-    g = silver.filter(F.col("publish_year") == year).groupBy("category_id").agg(
+    base = silver.filter(F.col("publish_year") == year)
+    g = base.groupBy("category_id").agg(
         F.count("video_id").alias("video_count"),
         F.avg("views").alias("avg_views"),
         F.avg("likes").alias("avg_likes"),
         F.avg("comment_count").alias("avg_comments"),
         F.avg("engagement_rate").alias("avg_engagement"),
         F.stddev_samp("views").alias("views_stddev"),
-        F.percentile_approx("views", 0.5, ACC).alias("median_views"),
-        F.percentile_approx("views", 0.9, ACC).alias("p90_views"),
     )
-    return g.orderBy(F.col("avg_views").desc(), "category_id")
+    pct = grouped_percentiles(base, ["category_id"], "views", {"median_views": 0.5, "p90_views": 0.9})
+    return _with(g, pct, ["category_id"]).orderBy(F.col("avg_views").desc(), "category_id")
 
 
 def weekly_growth(silver: DataFrame, limit: int = 52) -> DataFrame:
@@ -90,13 +93,14 @@ def weekly_growth(silver: DataFrame, limit: int = 52) -> DataFrame:
 
 def posting_slots(silver: DataFrame, limit: int = 50) -> DataFrame:
     """Q6."""
-    g = silver.groupBy("publish_hour", "publish_day_of_week").agg(
+    slot = ["publish_hour", "publish_day_of_week"]
+    g = silver.groupBy(*slot).agg(
         F.count("video_id").alias("videos_published"),
         F.avg("views").alias("avg_views"),
         F.avg("engagement_rate").alias("avg_engagement"),
         F.avg("viral_score").alias("avg_viral_score"),
-        F.percentile_approx("views", 0.75, ACC).alias("p75_views"),
     )
+    g = _with(g, grouped_percentiles(silver, slot, "views", {"p75_views": 0.75}), slot)
     g = g.withColumn("day_name", day_name(F.col("publish_day_of_week"), unknown=None))
     return g.orderBy(F.col("avg_viral_score").desc(), "publish_hour", "publish_day_of_week").limit(limit)
 
@@ -151,14 +155,14 @@ def channel_consistency(silver: DataFrame, min_videos: int = 10, limit: int = 10
 
 def title_characteristics(silver: DataFrame, min_length: int = 20, max_length: int = 100) -> DataFrame:
     """Q9 (title flags derived inline; silver does not store them)."""
-    g = (silver.filter(F.col("title_length").between(min_length, max_length))
-         .groupBy(title_class(F.col("title")).alias("title_type")).agg(
-             F.count("video_id").alias("video_count"),
-             F.avg("views").alias("avg_views"),
-             F.avg("engagement_rate").alias("avg_engagement"),
-             F.percentile_approx("views", 0.5, ACC).alias("median_views"),
-             F.percentile_approx("views", 0.9, ACC).alias("p90_views")))
-    return g.orderBy(F.col("avg_views").desc())
+    base = (silver.filter(F.col("title_length").between(min_length, max_length))
+            .select(title_class(F.col("title")).alias("title_type"), "video_id", "views", "engagement_rate"))
+    g = base.groupBy("title_type").agg(
+        F.count("video_id").alias("video_count"),
+        F.avg("views").alias("avg_views"),
+        F.avg("engagement_rate").alias("avg_engagement"))
+    pct = grouped_percentiles(base, ["title_type"], "views", {"median_views": 0.5, "p90_views": 0.9})
+    return _with(g, pct, ["title_type"]).orderBy(F.col("avg_views").desc())
 
 
 def monthly_category_growth(silver: DataFrame, year: int = 2024) -> DataFrame:
@@ -201,12 +205,10 @@ def channel_benchmark(silver: DataFrame, min_videos: int = 5, limit: int = 100)
         F.avg("engagement_rate").alias("avg_engagement"),
         F.avg("viral_score").alias("avg_viral_score"),
     ).filter(F.col("total_videos") >= min_videos)
-    cb = cm.groupBy("category_id").agg(
-        F.percentile_approx("avg_views", 0.25, ACC).alias("p25_views"),
-        F.percentile_approx("avg_views", 0.5, ACC).alias("p50_views"),
-        F.percentile_approx("avg_views", 0.75, ACC).alias("p75_views"),
-        F.percentile_approx("avg_engagement", 0.5, ACC).alias("p50_engagement"),
-    )
+    cb = grouped_percentiles(cm, ["category_id"], "avg_views",
+                             {"p25_views": 0.25, "p50_views": 0.5, "p75_views": 0.75})
+    cb = cb.join(grouped_percentiles(cm, ["category_id"], "avg_engagement", {"p50_engagement": 0.5}),
+                 "category_id", "full")
     j = cm.join(cb, "category_id", "inner")
     tier = (F.when(F.col("avg_views") >= F.col("p75_views"), F.lit("Top Performer"))
             .when(F.col("avg_views") >= F.col("p50_views"), F.lit("Above Average"))

@@ -161,3 +161,77 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
     rank = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
     return j.withColumn(name, rank.cast("int")).drop(
         "_mid", "_pid", "_opid", "_first", "_off", *[f"_k_{k}" for k in keys])
+
+
+def grouped_percentiles(df: DataFrame, keys: list[str], column: str, ps: dict[str, float],
+                        buckets: int = 1024, band_rows: int = SELECT_BAND_ROWS, max_passes: int = 8) -> DataFrame:
+    """Exact ``PERCENTILE_DISC`` per group: one row per group with a column
+    per entry of ``ps`` (name -> p).  The grouped form of
+    ``exact_percentile``, entirely as DataFrames:
+
+    * bands: per (group, percentile) an inclusive value range [lo, hi], the
+      rank ``k`` wanted inside it and its size; initially the group's min,
+      max and count;
+    * a pass counts the rows of every band still larger than ``band_rows``
+      per value bucket (partial aggregation; the group x percentile x bucket
+      table is small), a running sum over at most ``buckets`` rows per band
+      picks the bucket holding rank ``k`` and its [min, max] becomes the new
+      band (bucket index is monotone in the value, so the band is exactly
+      that bucket's rows).  The small band table is checkpointed between
+      passes;
+    * finally each band (at most ``band_rows`` values, or a single value) is
+      ranked and the ``k``-th value read.
+
+    No digest per task per group is merged in one reducer, so a group holding
+    a third of all rows costs the same passes as any other.
+    """
+    from pyspark.sql import Window
+
+    names = list(ps)
+    x = df.select(*keys, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
+    xd = F.col("_x").cast("double")
+    st = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    pis = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(ps[nm])).alias("p"))
+                              for i, nm in enumerate(names)])).alias("_pp")
+    bands = st.select(*keys, "_n", "_lo", "_hi", pis).select(
+        *keys, F.col("_pp.i").alias("_pi"),
+        F.greatest(F.lit(1), F.ceil(F.col("_pp.p") * F.col("_n"))).cast("long").alias("_k"),
+        F.col("_lo").cast("double").alias("_blo"), F.col("_hi").cast("double").alias("_bhi"),
+        F.col("_n").alias("_bn"))
+    bands = bands.checkpoint(eager=True)
+
+    def rows_in(b: DataFrame) -> DataFrame:
+        # null-safe on the keys: a null group is a group, as in GROUP BY
+        bk = b.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+        cond = (xd >= F.col("_blo")) & (xd <= F.col("_bhi"))
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        return x.join(bk, cond, "inner").drop(*[f"_g_{k}" for k in keys])
+
+    for _ in range(max_passes):
+        open_ = (F.col("_bn") > band_rows) & (F.col("_blo") < F.col("_bhi"))
+        if bands.filter(open_).limit(1).count() == 0:
+            break
+        big, done = bands.filter(open_), bands.filter(~open_)
+        width = (F.col("_bhi") - F.col("_blo")) / F.lit(float(buckets))
+        b = F.least(F.floor((xd - F.col("_blo")) / width), F.lit(buckets - 1)).cast("int")
+        cnt = rows_in(big).groupBy(*keys, "_pi", "_k", b.alias("_b")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min(xd).alias("_mn"), F.max(xd).alias("_mx"))
+        w = Window.partitionBy(*keys, "_pi").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        picked = cnt.filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_c") >= F.col("_k")))
+        picked = picked.select(*keys, "_pi", (F.col("_k") - F.col("_before")).alias("_k"),
+                               F.col("_mn").alias("_blo"), F.col("_mx").alias("_bhi"), F.col("_c").alias("_bn"))
+        bands = done.unionByName(picked).checkpoint(eager=True)
+
+    single = bands.filter(F.col("_blo") == F.col("_bhi")).select(*keys, "_pi", F.col("_blo").alias("_v"))
+    multi = bands.filter(F.col("_blo") < F.col("_bhi"))
+    r = rows_in(multi).withColumn(
+        "_r", F.row_number().over(Window.partitionBy(*keys, "_pi").orderBy(F.col("_x").asc())))
+    ranked = r.filter(F.col("_r") == F.col("_k")).select(*keys, "_pi", F.col("_x").cast("double").alias("_v"))
+    vals = single.unionByName(ranked)
+    out = vals.groupBy(*keys).agg(*[F.max(F.when(F.col("_pi") == i, F.col("_v"))).alias(nm)
+                                    for i, nm in enumerate(names)])
+    # restore the column's type (values are exact elements of it)
+    typ = df.schema[column].dataType
+    return out.select(*keys, *[F.col(nm).cast(typ).alias(nm) for nm in names])
