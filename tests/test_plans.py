@@ -53,3 +53,14 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * (1 << 40), cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert c["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_feature_rows_never_shuffled_on_channel_or_channel_day(silver_table):
+    from vidlake.operators.features import build_features
+    p = plan(build_features(silver_table))
+    exch = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: (\w+)\(([^\n]*)", p)
+    assert any(kind == "rangepartitioning" for _, kind, _ in exch)
+    for cols, kind, args in exch:
+        keys = re.sub(r"#\d+L?", "", args)
+        if kind == "hashpartitioning" and "_pid" not in keys and "video_id" in cols:
+            raise AssertionError(f"video rows shuffled on {keys}")
