@@ -29,3 +29,13 @@ def test_bronze_to_features_and_recommendations(spark, sf_small, scratch):
     # a rerun replaces partitions instead of duplicating them
     pipelines.bronze_to_silver_job(spark, landed, f"{base}/silver", as_of=AS_OF)
     assert read_table(spark, f"{base}/silver").count() == 953
+
+
+def test_command_line_silver_and_gold(spark, sf_small, scratch, capsys):
+    from vidlake.__main__ import main
+    base = scratch("cli")
+    landed, _ = sinks.write_bronze_csv(load_bronze(spark, sf_small), f"{base}/landing", run_ts="c1")
+    main(["silver", "--bronze", landed, "--silver", f"{base}/silver", "--as-of", AS_OF])
+    main(["gold", "--silver", f"{base}/silver", "--gold", f"{base}/gold", "--as-of", AS_OF])
+    out = capsys.readouterr().out
+    assert '"kept_rows": 953' in out and "posting_time_analysis" in out
