@@ -146,8 +146,12 @@ def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS, num_partiti
     # (range partitioning), so even one channel-day holding a third of all
     # rows spreads over many tasks: windows run per slice, and per-slice
     # prefix statistics carry the running sums across slices.
+    # Only the columns the history needs are sliced and windowed; the wide
+    # rows (titles, descriptions) are joined to the result once, on the row key.
     order = [F.col("publish_timestamp").asc_nulls_first(), F.col("video_id").asc_nulls_first()]
-    sliced = ordered_slices(df, [ch, day], order, num_partitions)
+    row_key = [c for c in ("video_id", "publish_timestamp", "publish_time") if c in df.columns]
+    narrow_cols = list(dict.fromkeys([ch, day, *row_key, "views", "engagement_rate"]))
+    sliced = ordered_slices(df.select(*narrow_cols), [ch, day], order, num_partitions)
     slice_stats = sliced.groupBy(ch, day, "_pid").agg(
         F.min("_mid").alias("s_first"), F.count(F.lit(1)).alias("s_rows"),
         F.count("video_id").alias("s_vid"), F.sum(v).alias("s_sv"), F.count(v).alias("s_cv"),
@@ -211,7 +215,14 @@ def channel_history_features(df: DataFrame, windows=ROLLING_WINDOWS, num_partiti
         "channel_consistency_score": F.try_divide(F.lit(1.0), gap_sd + F.lit(1.0)),
         "engagement_growth_rate": F.try_divide(e - prev_eng, F.nullif(prev_eng, F.lit(0.0))),
     }
-    return j.select(*df.columns, *rolling, *[c.alias(k) for k, c in out.items()])
+    hist = j.select(*[F.col(c).alias(f"_rk_{c}") for c in row_key], *rolling,
+                    *[c.alias(k) for k, c in out.items()])
+    cond = None
+    for c in row_key:
+        eq = F.col(c).eqNullSafe(F.col(f"_rk_{c}"))
+        cond = eq if cond is None else cond & eq
+    back = df.join(hist, cond, "left")
+    return back.select(*df.columns, *rolling, *out)
 
 
 def engagement_features(df: DataFrame) -> DataFrame:
