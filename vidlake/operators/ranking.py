@@ -187,6 +187,9 @@ def grouped_percentiles(df: DataFrame, keys: list[str], column: str, ps: dict[st
     """
     from pyspark.sql import Window
 
+    from vidlake.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)  # the session's shared folder (created only when unset)
     names = list(ps)
     x = df.select(*keys, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
     xd = F.col("_x").cast("double")
