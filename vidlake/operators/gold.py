@@ -157,18 +157,20 @@ def engagement_drivers(silver: DataFrame) -> DataFrame:
     """AGG-13 (declared in prose only): how publish time, tags and category
     relate to engagement.  Pearson correlations over all videos plus each
     category's mean engagement, one row per category."""
-    overall = silver.agg(
-        F.corr(F.col("publish_hour").cast("double"), "engagement_rate").alias("corr_hour_engagement"),
-        F.corr(F.col("publish_day_of_week").cast("double"), "engagement_rate").alias("corr_dow_engagement"),
-        F.corr(F.col("tag_count").cast("double"), "engagement_rate").alias("corr_tags_engagement"),
-        F.corr(F.col("title_length").cast("double"), "engagement_rate").alias("corr_title_length_engagement"),
-    )
+    pairs = {
+        "corr_hour_engagement": "publish_hour",
+        "corr_dow_engagement": "publish_day_of_week",
+        "corr_tags_engagement": "tag_count",
+        "corr_title_length_engagement": "title_length",
+    }
+    # one scalar subquery (a one-row struct), attached without any join
+    overall = silver.select(F.struct(*[F.corr(F.col(c).cast("double"), "engagement_rate").alias(n)
+                                       for n, c in pairs.items()])).scalar()
     per_cat = silver.groupBy("category_id").agg(
         F.count("video_id").alias("video_count"),
         F.avg("engagement_rate").alias("avg_engagement_rate"),
     )
-    # one-row side: join on a constant key instead of a cross join
-    return per_cat.withColumn("_k", F.lit(1)).join(F.broadcast(overall.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    return per_cat.withColumns({n: overall.getField(n) for n in pairs})
 
 
 GOLD_BUILDERS = {
