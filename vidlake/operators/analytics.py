@@ -205,10 +205,19 @@ def channel_benchmark(silver: DataFrame, min_videos: int = 5, limit: int = 100)
         F.avg("engagement_rate").alias("avg_engagement"),
         F.avg("viral_score").alias("avg_viral_score"),
     ).filter(F.col("total_videos") >= min_videos)
-    cb = grouped_percentiles(cm, ["category_id"], "avg_views",
-                             {"p25_views": 0.25, "p50_views": 0.5, "p75_views": 0.75})
-    cb = cb.join(grouped_percentiles(cm, ["category_id"], "avg_engagement", {"p50_engagement": 0.5}),
-                 "category_id", "full")
+    # both metrics in one set of passes: the metric name is an extra group key
+    stacked = cm.select("category_id", F.explode(F.array(
+        F.struct(F.lit("views").alias("m"), F.col("avg_views").alias("x")),
+        F.struct(F.lit("engagement").alias("m"), F.col("avg_engagement").alias("x")))).alias("s"))
+    pct = grouped_percentiles(stacked.select("category_id", "s.m", "s.x"), ["category_id", "m"], "x",
+                              {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+
+    def pick(metric, p):
+        return F.max(F.when(F.col("m") == metric, F.col(p)))
+    cb = pct.groupBy("category_id").agg(pick("views", "p25").alias("p25_views"),
+                                        pick("views", "p50").alias("p50_views"),
+                                        pick("views", "p75").alias("p75_views"),
+                                        pick("engagement", "p50").alias("p50_engagement"))
     j = cm.join(cb, "category_id", "inner")
     tier = (F.when(F.col("avg_views") >= F.col("p75_views"), F.lit("Top Performer"))
             .when(F.col("avg_views") >= F.col("p50_views"), F.lit("Above Average"))
