@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, quality_rules, url_filters
-from vidlake.llm.common import table
+from vidlake.llm import fingerprints, language_id, quality_model, quality_rules, url_filters
+from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@register("op3_quality_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    scored = quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = language_id.identify_learning(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
