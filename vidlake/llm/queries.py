@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, language_id, quality_model, quality_rules, url_filters
+from vidlake.llm import fingerprints, language_id, line_dedup, quality_model, quality_rules, url_filters
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     found = language_id.identify_learning(table(spark, sf_dir, "documents"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op7_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, row, place, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, row, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), frequent AS (
+  SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (f.key IS NOT NULL) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN frequent f ON l.key = f.key GROUP BY doc_id, row
+"""
