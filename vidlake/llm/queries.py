@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, language_id, line_dedup, quality_model, quality_rules, url_filters
+from vidlake.llm import fingerprints, language_id, line_dedup, packing, quality_model, quality_rules, url_filters
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (f.key
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
 FROM lines l LEFT JOIN frequent f ON l.key = f.key GROUP BY doc_id, row
 """
+
+
+@register("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
