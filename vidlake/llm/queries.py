@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, language_id, line_dedup, packing, quality_model, quality_rules, url_filters
+from vidlake.llm import fingerprints, language_id, line_dedup, near_dup, packing, quality_model, quality_rules, url_filters
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ FROM lines l LEFT JOIN frequent f ON l.key = f.key GROUP BY doc_id, row
 @register("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op8_minhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, threshold=0.8)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
