@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, language_id, line_dedup, near_dup, packing, quality_model, quality_rules, url_filters
+from vidlake.llm import fingerprints, language_id, line_dedup, lm_score, near_dup, packing, quality_model, quality_rules, url_filters
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, threshold=0.8)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op10_lm_score")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    scored = lm_score.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
