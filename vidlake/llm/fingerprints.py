@@ -94,7 +94,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     ids = next_ids(docs)
     plain = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     own = with_fingerprint(plain.filter("doc_id is not null"), "text", "hashes")
-    follower = (own.join(ids, "doc_id").filter(F.xxhash64("text") == F.col("pick"))
+    # pick is the least hash of the id, so <= finds it; as an equality it would become a join key, and the two
+    # reads of the exchange of texts would differ.
+    follower = (own.join(ids, "doc_id").filter(F.xxhash64("text") <= F.col("pick"))
                 .select(F.col("prev_id").alias("doc_id"), F.expr("substring(text, 1, need)").alias("next_text"),
                         F.col("hashes").alias("next_hashes"))
                 .dropDuplicates(["doc_id"]))
