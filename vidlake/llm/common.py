@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vidlake.session import configure, scratch_path
@@ -46,3 +48,22 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     """The frame with a broadcast hint if it is proven to hold at most ``rows`` rows, else unhinted
     (the join then shuffles)."""
     return F.broadcast(df) if at_most(df, rows) else df
+
+
+def numbered(items: DataFrame, key: str, order: Sequence[str], n: int, name: str = "number",
+             group_rows: int = 200_000) -> DataFrame:
+    """``items`` with ``name``, 0, 1, ... within each value of ``key``.
+
+    Rows are numbered inside groups of (key, salt), the salt a hash of the ``order`` columns, with about
+    ``group_rows`` rows if one key holds all ``n``; offsets come from the groups' counts.  So no task gets all
+    rows of a key that holds a large share of them."""
+    salts = max(1, -(-n // group_rows))
+    items = items.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    group = F.struct(F.col(key).alias("key"), F.col("_salt").alias("salt"))
+    sizes = items.groupBy(group.alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group.key").orderBy("_group.salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_group").orderBy(*order)
+    return (items.withColumn("_group", group).withColumn("_inside", F.row_number().over(inside) - 1)
+            .join(offsets, "_group").withColumn(name, F.col("_before") + F.col("_inside"))
+            .drop("_group", "_salt", "_inside", "_before"))

@@ -14,7 +14,7 @@ Rows that repeat are scored each for itself and counted each time; further colum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -168,34 +168,36 @@ def _identify(letters: _Letters, names: list[str], grams: np.ndarray, ranks: np.
     return best, score
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: tuple[str, ...] = ("doc_id",),
-             size: int = PROFILE) -> DataFrame:
-    """The ``keep`` columns with lang_pred and score (0 to 1, one less the mean out-of-place distance over the
-    penalty) of each whole text."""
+def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: Sequence[str] = ("doc_id",),
+             names_out: tuple[str, str] = ("lang_pred", "score"), size: int = PROFILE) -> DataFrame:
+    """The ``keep`` columns with the predicted language and a score (0 to 1, one less the mean out-of-place
+    distance over the penalty) of each whole text."""
     names = sorted(profiles)
     grams = np.array(sorted({g for p in profiles.values() for g in p}), np.int64)
     ranks = np.full((len(grams), len(names)), -1, np.int32)
     for k, name in enumerate(names):
         ranks[np.searchsorted(grams, profiles[name]), k] = np.arange(len(profiles[name]))
+    keep = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _Letters()
         for batch in batches:
-            pred, score = [], []
-            for _, _, data, offsets in chunks(batch.column("_text"), _CHUNK):
+            pred, score = [], [np.zeros(0)]
+            for _, _, data, offsets in chunks(batch.column("text"), _CHUNK):
                 b, s = _identify(letters, names, grams, ranks, size, data, offsets)
                 pred += [names[k] if k >= 0 else "und" for k in b]
                 score.append(s)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(np.concatenate(score or [np.zeros(0)]))],
-                [*keep, "lang_pred", "score"])
+                [batch.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(np.concatenate(score))],
+                [*keep, *names_out])
 
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    schema = T.StructType([*source.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(names_out[0], T.StringType()),
+                           T.StructField(names_out[1], T.DoubleType())])
     return source.mapInArrow(run, schema)
 
 
-def identify_learning(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify_learning(docs: DataFrame, learns: Column, keep: Sequence[str] = ("doc_id",),
+                      names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Learn from the rows where ``learns`` holds, identify all rows."""
-    return identify(docs, learn(docs.filter(learns)), keep)
+    return identify(docs, learn(docs.filter(learns)), keep, names_out)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidlake.llm.common import written
+from vidlake.llm.common import numbered, written
 
 CAPACITY = 1024
 CLOSE = 2
@@ -70,12 +70,15 @@ def tokenizer(ranks: str, reserve: str):
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_ids: bool = False,
-           ranks: str | None = None, reserve: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ``ids``) of every piece of every document."""
+           carry: tuple[str, ...] = (), ranks: str | None = None, reserve: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ``ids``) of every piece of every document, with the columns
+    in ``carry`` of its document."""
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
     reserve = reserve or public_tokenizers.path("byte_bpe_50k.json")
     schema = T.StructType([docs.schema["doc_id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                            T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+    for c in carry:
+        schema = schema.add(docs.schema[c])
     if keep_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
@@ -96,12 +99,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_i
                     crc.append(zlib.crc32(whole[a:b].tobytes()))
                     if keep_ids:
                         ids.append(whole[a:b].astype(np.int32))
-            cols = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            of = pa.array(row, pa.int64())
+            cols = [batch.column("doc_id").take(of), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *(batch.column(c).take(of) for c in carry)]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(ids, pa.list_(pa.int32()))] if keep_ids else []),
                                              schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", *carry).mapInArrow(run, schema)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
@@ -182,31 +186,24 @@ def places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int]]
     return rows
 
 
-def numbered(items: DataFrame, n: int, group_rows: int = 200_000) -> DataFrame:
-    """``items`` with ``number``, 0, 1, ... within each length.  Groups of (length, salt) keep a length that
-    holds a large share of all ``n`` pieces from one task; offsets come from the groups' counts."""
-    salts = max(1, -(-n // group_rows))
-    items = items.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
-    sizes = items.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
-    return (items.withColumn("_inside", F.row_number().over(inside) - 1).join(offsets, ["length", "_salt"])
-            .withColumn("number", F.col("_before") + F.col("_inside")).drop("_salt", "_inside", "_before"))
-
-
-def pack(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_ids: bool = False, **files: str) -> DataFrame:
-    """Every piece with its sequence_id and its offset there; sequences are filled without gaps from 0."""
-    items = written(pieces(docs, capacity, close, keep_ids, **files), "pack_pieces")
+def pack(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_ids: bool = False,
+         order: str | None = None, **files: str) -> DataFrame:
+    """Every piece with its sequence_id and its offset there; sequences are filled without gaps from 0.  With
+    ``order``, a column of the documents, also ``sequence_order``, its least value in the sequence."""
+    carry = (order,) if order else ()
+    items = written(pieces(docs, capacity, close, keep_ids, carry, **files), "pack_pieces")
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = places(plan(counts, capacity))
     schema = "length long, _first long, _end long, _sequence long, _per long, _offset long"
     table = items.sparkSession.createDataFrame(rows, schema)
     # The places are bounded by the plan (a few rows per length), whatever the number of pieces.
-    return (numbered(items, sum(counts.values())).join(F.broadcast(table), "length")
-            .filter((F.col("number") >= F.col("_first")) & (F.col("number") < F.col("_end")))
-            .withColumn("_k", F.col("number") - F.col("_first"))
-            .withColumn("sequence_id", F.col("_sequence") + F.floor(F.col("_k") / F.col("_per")))
-            .withColumn("offset", F.col("_offset") + F.col("_k") % F.col("_per") * F.col("length"))
-            .select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []),
-                    "sequence_id", "offset"))
+    placed = (numbered(items, "length", [*carry, "doc_id", "piece", "ids_crc32"], sum(counts.values()))
+              .join(F.broadcast(table), "length")
+              .filter((F.col("number") >= F.col("_first")) & (F.col("number") < F.col("_end")))
+              .withColumn("_k", F.col("number") - F.col("_first"))
+              .withColumn("sequence_id", F.col("_sequence") + F.floor(F.col("_k") / F.col("_per")))
+              .withColumn("offset", F.col("_offset") + F.col("_k") % F.col("_per") * F.col("length")))
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []), "sequence_id", "offset"]
+    if order:  # a sequence has at most ``capacity`` pieces
+        return placed.select(*out, F.min(order).over(Window.partitionBy("sequence_id")).alias("sequence_order"))
+    return placed.select(*out)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidlake.llm import fingerprints, language_id, line_dedup, lm_score, near_dup, packing, quality_model, quality_rules, url_filters
+import corpus_pipeline
+from vidlake.llm import fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality_model, quality_rules, url_filters
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,106 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_mod(F.col("doc_id"), 7) == 2
     scored = lm_score.score(table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op9_source_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, 0.5).select("doc_id", "source", "slot", "place")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+# ---- SQL counterparts -----------------------------------------------------------------------------------
+
+_URL_RULES_SQL = " ".join(
+    f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN '{r.text}'"
+    for r in sorted(URL_RULES, key=lambda r: -len(r.text)))
+_URL_VERDICT_SQL = " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in URL_RULES)
+
+
+def _url_parts(column: str) -> str:
+    after = f"substr({column}, strpos({column}, '://') + 3)"
+    low = f"translate(regexp_extract({after}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    there = f"{column} IS NOT NULL AND strpos({column}, '://') > 0"
+    return (f"CASE WHEN {there} THEN {low} ELSE '' END AS host, "
+            f"CASE WHEN {there} THEN regexp_extract({after}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path")
+
+
+# Aliases by spelling only: the pages of the test tables declare neither canonical links nor redirects (the
+# query's tests plant some).
+ORACLE["op1_url_filters"] = f"""
+WITH parts AS (SELECT page_id, url, {_url_parts('url')} FROM pages),
+ruled AS (
+  SELECT *, CASE {_URL_RULES_SQL} END AS rule,
+    CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '') || coalesce('?' || nullif(array_to_string(list_sort(
+      list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(?i)(utm_[a-z0-9_]*|gclid|fbclid|ref)(=|$)'))), '&'), ''), '') END AS alias
+  FROM parts),
+judged AS (SELECT *, CASE rule {_URL_VERDICT_SQL} END AS own FROM ruled),
+shared AS (SELECT alias, min(own) AS verdict FROM judged WHERE alias IS NOT NULL AND own IS NOT NULL GROUP BY alias)
+SELECT page_id, host, path, rule, coalesce(own, verdict, 'allow') AS verdict,
+       CASE WHEN own IS NOT NULL THEN 'rule' WHEN verdict IS NOT NULL THEN 'alias' ELSE 'default' END AS decided_by
+FROM judged LEFT JOIN shared USING (alias)
+"""
+
+_STOPS_SQL = ", ".join(f"'{w}'" for w in sorted({*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)}))
+
+
+def _threshold_sql(t: quality_rules.Threshold) -> str:
+    value = f"coalesce({t.numerator} / nullif({t.denominator}, 0), 0)" if t.denominator else t.numerator
+    return " AND ".join([f"{value} >= {t.low}"] * (t.low is not None) + [f"{value} <= {t.high}"] * (t.high is not None))
+
+
+ORACLE["op5_quality_rules"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT row, i, array_to_string(w[i:i + 7], ' ') AS gram
+  FROM (SELECT row, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+), again AS (
+  SELECT row, gram FROM grams GROUP BY row, gram HAVING count(*) > 1
+), covered AS (
+  SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM grams JOIN again USING (row, gram))
+  GROUP BY row
+), lines AS (
+  SELECT row, count(*) AS n, count(DISTINCT line) AS k FROM (SELECT row, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row
+), s AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS BIGINT) AS n_upper,
+    CAST(len(list_filter(w, lambda x: x IN ({_STOPS_SQL}))) AS BIGINT) AS n_stop_words,
+    CAST(coalesce(lines.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(lines.n - lines.k, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (row) LEFT JOIN covered USING (row)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+  AND {" AND ".join(_threshold_sql(t) for t in quality_rules.THRESHOLDS)} AS kept
+FROM s
+"""
+
+ORACLE["op8_minhash_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (shingle)
+                    WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, doc_id = min(reach.b) AS kept
+FROM reach JOIN d ON d.doc_id = reach.a LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
