@@ -82,10 +82,16 @@ def quality_score(views: Column, title: Column, channel: Column) -> Column:
 
 
 def clean_and_standardize(df: DataFrame, as_of=None, job_name: str = "bronze_to_silver") -> DataFrame:
-    """CLN-1..13 + DQ-5: the de-duplication shuffle, then two projections
-    (casts, null fills, trims and timestamp parsing; then the columns derived
-    from them)."""
-    df = deduplicate(standardize_column_names(df))
+    """CLN-1..13 + DQ-5: a projection (casts, null fills, trims), the
+    de-duplication of the typed rows, and a projection of the columns derived
+    from them.  The survivor is chosen among typed values, so rows read back
+    from silver and newly landed ones follow the same rule (SRC-7)."""
+    return derive_columns(deduplicate(typed_columns(df)), as_of, job_name)
+
+
+def typed_columns(df: DataFrame) -> DataFrame:
+    """CLN-2..4, CLN-10: normalised names, casts, null fills and trims."""
+    df = standardize_column_names(df)
     fills = {"likes": 0, "dislikes": 0, "comment_count": 0}
     first = {}
     for c in df.columns:
@@ -101,9 +107,12 @@ def clean_and_standardize(df: DataFrame, as_of=None, job_name: str = "bronze_to_
         elif c in ("title", "channel_title", "description"):
             col = F.trim(col)
         first[c] = col.alias(c)
-    first["publish_timestamp"] = parse_publish_time(F.col("publish_time")).alias("publish_timestamp")
-    df = df.select(*first.values())
+    return df.select(*first.values())
+
 
+def derive_columns(df: DataFrame, as_of=None, job_name: str = "bronze_to_silver") -> DataFrame:
+    """CLN-5..9, CLN-11..13 and DQ-5 from typed rows."""
+    df = df.withColumn("publish_timestamp", parse_publish_time(F.col("publish_time")))
     ts, pd_ = F.col("publish_timestamp"), F.to_date("publish_timestamp")
     return df.select("*", *[e.alias(n) for n, e in {
         "publish_date": pd_,

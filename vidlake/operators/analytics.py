@@ -2,8 +2,8 @@
 
 Literal parameters of the original SQL (year, thresholds, limits) are keyword
 arguments.  Percentiles are exact (``PERCENTILE_DISC``): global thresholds by
-``exact_percentile``, grouped ones by ``grouped_percentiles``.  Every LIMIT is a top-k report (TakeOrderedAndProject), with a
-deterministic tie-break.  Windows run on aggregated rows or on the k rows of a
+``exact_percentile``, grouped ones by ``grouped_percentiles``.  Every LIMIT is a
+top-k report (TakeOrderedAndProject), with a deterministic tie-break.  Windows run on aggregated rows or on the k rows of a
 top-k, never on a whole unpartitioned table.
 """
 
@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.text import day_name, title_class
+from vidlake.operators.joins import join_checked_broadcast
 from vidlake.operators.ranking import desc_then, grouped_percentiles, percentile_of, row_number_within
 
+
 def _with(agg: DataFrame, pct: DataFrame, keys: list[str]) -> DataFrame:
     """Attach per-group percentiles (one row per group on both sides)."""
     return agg.join(pct, keys, "left")
@@ -30,8 +32,8 @@ def top_videos_by_views(silver: DataFrame, year: int = 2024, limit: int = 100) -
     first, distributed, and the rank window sees ``limit`` rows."""
     top = (silver.filter(F.col("publish_year") == year)
            .select("video_id", "title", "channel_title", "category_id", "views", "likes",
-                   "comment_count", "engagement_rate", "publish_date")
-           .orderBy(*desc_then("views")).limit(limit))
+                   "comment_count", "engagement_rate", "publish_date", "publish_time")
+           .orderBy(*desc_then("views")).limit(limit).drop("publish_time"))
     return top.withColumn("view_rank", F.rank().over(Window.orderBy(F.col("views").desc())))
 
 
@@ -54,10 +56,10 @@ def daily_trending(silver: DataFrame, max_days: int = 7, percentile: float = 0.9
     p = percentile_of(silver, "viral_score", percentile)
     t = silver.filter((F.col("days_since_publish") <= max_days) & (F.col("viral_score") > p))
     t = t.select("publish_date", "video_id", "title", "channel_title", "category_id", "views",
-                 "engagement_rate", "viral_score")
+                 "engagement_rate", "viral_score", "publish_time")
     # one day may hold most of the last week's uploads: skew-safe numbering
     t = row_number_within(t, ["publish_date"], desc_then("viral_score"), "daily_rank")
-    return t.orderBy(F.col("publish_date").desc(), F.col("viral_score").desc(), F.col("video_id"))
+    return t.orderBy(F.col("publish_date").desc(), "daily_rank").drop("publish_time")
 
 
 def category_comparison(silver: DataFrame, year: int = 2024) -> DataFrame:
@@ -112,8 +114,8 @@ def high_engagement(silver: DataFrame, percentile: float = 0.9, min_views: int =
     t = silver.filter((F.col("engagement_rate") >= p) & (F.col("views") >= min_views))
     t = t.select("video_id", "title", "channel_title", "category_id", "views", "likes", "comment_count",
                  "engagement_rate", "like_ratio", "comment_ratio", "title_length", "description_length",
-                 "tag_count", "publish_hour", "publish_day_of_week")
-    return t.orderBy(*desc_then("engagement_rate")).limit(limit)
+                 "tag_count", "publish_hour", "publish_day_of_week", "publish_time")
+    return t.orderBy(*desc_then("engagement_rate")).limit(limit).drop("publish_time")
 
 
 def channel_consistency(silver: DataFrame, min_videos: int = 10, limit: int = 100) -> DataFrame:
@@ -183,18 +185,19 @@ def monthly_category_growth(silver: DataFrame, year: int = 2024) -> DataFrame:
 def viral_videos(silver: DataFrame, percentile: float = 0.95, max_days: int = 30,
                  min_ratio: float = 2.0, limit: int = 50) -> DataFrame:
     """Q11: candidate filter first (pushed below the join), then an inner
-    join to the per-channel average (one row per channel)."""
+    join to the per-channel average (one row per channel), broadcast when its
+    checked size allows, so that a hot channel's candidates stay spread."""
     p = percentile_of(silver, "viral_score", percentile)
     c = silver.groupBy("channel_title").agg(F.avg("views").alias("channel_avg_views"))
     v = silver.filter((F.col("viral_score") > p) & (F.col("days_since_publish") <= max_days))
-    j = v.join(c, "channel_title", "inner")
+    j = join_checked_broadcast(v, c, ["channel_title"], "inner")
     perf = F.try_divide(F.col("views"), F.nullif(F.col("channel_avg_views"), F.lit(0.0)))
     j = j.filter(perf >= min_ratio).select(
         "video_id", "title", "channel_title", "category_id", "views", "engagement_rate", "viral_score",
         "days_since_publish",
         F.try_divide(F.col("views"), F.nullif(F.col("days_since_publish"), F.lit(0))).alias("views_per_day"),
-        "channel_avg_views", perf.alias("performance_vs_channel_avg"))
-    return j.orderBy(*desc_then("viral_score")).limit(limit)
+        "channel_avg_views", perf.alias("performance_vs_channel_avg"), "publish_time")
+    return j.orderBy(*desc_then("viral_score")).limit(limit).drop("publish_time")
 
 
 def channel_benchmark(silver: DataFrame, min_videos: int = 5, limit: int = 100) -> DataFrame:

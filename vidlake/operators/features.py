@@ -35,6 +35,7 @@ ROLLING_WINDOWS = (7, 14, 30)
 # Fixed month-day holidays used when no calendar table is given (FEA-30).
 DEFAULT_HOLIDAYS = ("01-01", "07-04", "11-11", "12-25")
 
+# The columns of the feature table, by group.
 ID_COLUMNS = ["video_id", "channel_title", "publish_timestamp"]
 TEMPORAL = ["publish_hour", "publish_day_of_week", "publish_month", "hour_sin", "hour_cos", "dow_sin",
             "dow_cos", "month_sin", "month_cos", "is_weekend", "days_since_publish"]
@@ -238,11 +239,13 @@ def engagement_features(df: DataFrame) -> DataFrame:
     })
 
 
-def category_features(df: DataFrame) -> DataFrame:
+def category_features(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """FEA-24..25: per-category aggregate (partial aggregation, one row per
     category) joined back with a size-checked broadcast, instead of an
-    unordered window that would put each category's rows into one task."""
-    cat = df.groupBy(F.col("category_id").alias("_cat")).agg(
+    unordered window that would put each category's rows into one task.
+    ``source`` holds the same rows before other features were added, so that
+    the aggregate does not run their plan."""
+    cat = (source or df).groupBy(F.col("category_id").alias("_cat")).agg(
         F.avg("views").alias("category_avg_views"),
         F.avg("engagement_rate").alias("category_avg_engagement"),
         F.count("video_id").alias("category_video_count"),
@@ -254,17 +257,10 @@ def category_features(df: DataFrame) -> DataFrame:
     })
 
 
-def target_variables(df: DataFrame, target_col: str = "views", high_threshold_percentile: float = 0.75,
-                     accuracy: int | None = None) -> DataFrame:
-    """FEA-26..27: thresholds at the high-performance percentile and at
-    0.5 / 0.75 / 0.9 (exact by default; ``accuracy`` switches to one
-    ``percentile_approx`` scalar subquery)."""
-    ps = [high_threshold_percentile, 0.5, 0.75, 0.9]
-    if accuracy is not None:
-        arr = df.select(F.percentile_approx(target_col, ps, accuracy)).scalar()
-        qs = [arr[i] for i in range(4)]
-    else:
-        qs = [F.lit(v) for v in exact_percentiles(df, target_col, ps)]
+def target_variables(df: DataFrame, target_col: str = "views", high_threshold_percentile: float = 0.75) -> DataFrame:
+    """FEA-26..27: exact thresholds at the high-performance percentile and at
+    0.5 / 0.75 / 0.9."""
+    qs = [F.lit(v) for v in exact_percentiles(df, target_col, [high_threshold_percentile, 0.5, 0.75, 0.9])]
     t = F.col(target_col)
     return df.withColumns({
         "high_performance": F.when(t >= qs[0], 1).otherwise(0),
@@ -310,6 +306,6 @@ def build_features(silver: DataFrame, windows=ROLLING_WINDOWS, target_col: str =
     df = text_features(df)
     df = channel_history_features(df, windows)
     df = engagement_features(df)
-    df = category_features(df)
+    df = category_features(df, silver)
     df = holiday_flag(df, holidays)
     return select_feature_columns(df, include_declared)

@@ -114,14 +114,14 @@ def category_analysis(silver: DataFrame, rolling_rows: int = 7) -> DataFrame:
 
 
 def trending_videos(silver: DataFrame, percentile: float = 0.9, max_days: int = 7,
-                    min_engagement: float = 0.03, accuracy: int | None = None) -> DataFrame:
+                    min_engagement: float = 0.03) -> DataFrame:
     """AGG-10, FLT-1, WIN-2, PRJ-1."""
-    threshold = percentile_of(silver, "viral_score", percentile, accuracy)
+    threshold = percentile_of(silver, "viral_score", percentile)
     t = silver.filter((F.col("viral_score") >= threshold)
                       & (F.col("days_since_publish") <= max_days)
                       & (F.col("engagement_rate") >= min_engagement))
     # rank inside category without funnelling a category into one task
-    t = row_number_within(t.select(*[c for c in TRENDING_COLUMNS if c != "trending_rank_in_category"]),
+    t = row_number_within(t.select(*[c for c in TRENDING_COLUMNS if c != "trending_rank_in_category"], "publish_time"),
                           ["category_id"], desc_then("viral_score"), "trending_rank_in_category")
     return t.select(*TRENDING_COLUMNS)
 

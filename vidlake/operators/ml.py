@@ -21,13 +21,17 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClas
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.functions import text as tx
+from vidlake.operators.joins import join_checked_broadcast
+from vidlake.operators.ranking import exact_percentiles
+from vidlake.session import materialize, scratch_path
 
 # Fixed defaults for missing scoring inputs.
 DEFAULTS = {"publish_hour": 12, "publish_day_of_week": 3, "publish_month": 6, "category_id": 24}
+# The columns of the scoring contract.
 MODEL_FEATURES = ["publish_hour", "publish_day_of_week", "publish_month", "is_weekend", "title_length",
                   "title_word_count", "title_has_question", "title_has_exclamation", "description_length",
                   "tag_count", "category_id", "hour_sin", "hour_cos"]
@@ -39,16 +43,18 @@ DEGRADATION_THRESHOLD = 0.1
 
 # ---------------------------------------------------------------- features
 
-def scoring_input_from_silver(silver: DataFrame) -> DataFrame:
-    """Scoring-input shape (``SCORING_INPUT_SCHEMA``) from silver rows."""
+def scoring_input_from_silver(silver: DataFrame, *more: Column) -> DataFrame:
+    """Scoring-input shape (``SCORING_INPUT_SCHEMA``) from silver rows, with
+    ``more`` columns beside it."""
     return silver.select(
         "video_id", "title", "description",
         F.when(F.col("tags").isNotNull(), F.split("tags", r"\|")).alias("tags"),
-        "category_id", "publish_hour", "publish_day_of_week", "publish_month")
+        "category_id", "publish_hour", "publish_day_of_week", "publish_month", *more)
 
 
-def scoring_features(inputs: DataFrame) -> DataFrame:
-    """ML-1: defaults for missing fields, text and time features, nulls -> 0."""
+def scoring_features(inputs: DataFrame, carry=()) -> DataFrame:
+    """ML-1: defaults for missing fields, text and time features, nulls -> 0;
+    the columns in ``carry`` pass through."""
     def opt(c, default):
         return F.coalesce(F.col(c), F.lit(default)) if c in inputs.columns else F.lit(default)
     title = opt("title", "")
@@ -71,35 +77,38 @@ def scoring_features(inputs: DataFrame) -> DataFrame:
         opt("category_id", DEFAULTS["category_id"]).cast("int").alias("category_id"),
         F.sin(F.lit(2 * math.pi) * hour / F.lit(24)).alias("hour_sin"),
         F.cos(F.lit(2 * math.pi) * hour / F.lit(24)).alias("hour_cos"),
+        *[F.col(c) for c in carry],
     )
     return out.fillna(0, subset=MODEL_FEATURES)
 
 
 def training_frame(silver: DataFrame) -> DataFrame:
-    """Features + targets for training: views (regression) and
-    high engagement (classification)."""
-    feats = scoring_features(scoring_input_from_silver(silver))
-    labels = silver.select("video_id", F.col("views").cast("double").alias("label_views"),
-                           (F.col("engagement_rate") >= ENGAGEMENT_LABEL_THRESHOLD).cast("double")
-                           .alias("label_engaged"))
-    return feats.join(labels, "video_id")
+    """Features + targets for training: views (regression) and high engagement
+    (classification), one row per silver row, in a single projection."""
+    labels = {"publish_time": F.col("publish_time"), "label_views": F.col("views").cast("double"),
+              "label_engaged": (F.col("engagement_rate") >= ENGAGEMENT_LABEL_THRESHOLD).cast("double")}
+    inputs = scoring_input_from_silver(silver, *(c.alias(n) for n, c in labels.items()))
+    return scoring_features(inputs, carry=list(labels))
 
 
 # ---------------------------------------------------------------- splits
 
+def split_number(key: str = "video_id", weights=SPLIT_WEIGHTS, seed: int = SEED) -> Column:
+    """ML-4: 0 (train), 1 (validation) or 2 (test) from the first 32 bits of
+    the MD5 of key and seed.  Unlike a sampler over partition order, a
+    recomputed partition (lost executor, different partitioning) lands every
+    row in the same split, all rows of one video in one, and any engine can
+    tell a row's split."""
+    digest = F.md5(F.concat_ws(":", F.col(key), F.lit(str(seed))).cast("binary"))
+    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
+    bounds = [round(10_000 * sum(weights[:i + 1]) / sum(weights)) for i in range(len(weights) - 1)]
+    return sum(((share >= b).cast("int") for b in bounds), F.lit(0))
+
+
 def split_frame(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SEED, key: str = "video_id"):
-    """ML-4: train / validation / test by a seeded hash of the row key.
-    Unlike a sampler over partition order, a recomputed partition (lost
-    executor, different partitioning) lands every row in the same split."""
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) / F.lit(10_000.0)
-    out, lo = [], 0.0
-    total = float(sum(weights))
-    for i, w in enumerate(weights):
-        hi = lo + w / total
-        cond = (b >= lo) & ((b < hi) if i < len(weights) - 1 else F.lit(True))
-        out.append(df.filter(cond))
-        lo = hi
-    return out
+    """The train, validation and test rows."""
+    number = split_number(key, weights, seed)
+    return [df.filter(number == i) for i in range(len(weights))]
 
 
 # ---------------------------------------------------------------- estimators
@@ -122,7 +131,6 @@ def fit(estimator, train: DataFrame) -> PipelineModel:
     """
     model = _pipeline(estimator).fit(train)
     if any(getattr(st, "hasSummary", False) and isinstance(st, LogisticRegressionModel) for st in model.stages):
-        from vidlake.session import scratch_path
         path = scratch_path(train.sparkSession, "fitted_model")
         model.write().overwrite().save(path)
         model = PipelineModel.load(path)
@@ -256,19 +264,33 @@ def predict(model: PipelineModel, inputs: DataFrame, model_version: str, interva
                         F.current_timestamp().alias("prediction_timestamp"),
                         F.lit(model_version).alias("model_version"))
     if interval is not None:
-        lo, hi = interval.select("residual_lo").scalar(), interval.select("residual_hi").scalar()
-        out = out.withColumns({"predicted_views_lo": F.col("predicted_views") + lo,
-                               "predicted_views_hi": F.col("predicted_views") + hi})
+        bounds = interval.first()
+        out = out.withColumns({"predicted_views_lo": F.col("predicted_views") + F.lit(bounds["residual_lo"]),
+                               "predicted_views_hi": F.col("predicted_views") + F.lit(bounds["residual_hi"])})
     return out
 
 
-def residual_interval(model: PipelineModel, valid: DataFrame, label: str = "label_views",
+def residual_interval(model: PipelineModel | DataFrame, valid: DataFrame | None = None, label: str = "label_views",
                       coverage: float = 0.9) -> DataFrame:
-    """ML-12: empirical interval from validation residuals (one-row frame)."""
+    """ML-12: empirical interval from validation residuals (one-row frame),
+    exact quantiles.  ``model`` scores ``valid``, or is a frame of predictions
+    itself."""
     a = (1 - coverage) / 2
-    r = model.transform(valid).select((F.col(label) - F.col("prediction")).alias("r"))
-    q = r.select(F.percentile_approx("r", [a, 1 - a], 10_000).alias("q"))
-    return q.select(F.col("q")[0].alias("residual_lo"), F.col("q")[1].alias("residual_hi"))
+    scored = model if isinstance(model, DataFrame) else model.transform(valid)
+    residuals = scored.select((F.col(label) - F.col("prediction")).alias("r"))
+    if not isinstance(model, DataFrame):
+        residuals = materialize(residuals, "residuals")       # score once, not once a pass
+    lo, hi = exact_percentiles(residuals, "r", [a, 1 - a])
+    return residuals.sparkSession.createDataFrame([(lo, hi)], "residual_lo double, residual_hi double")
+
+
+def category_mean_model(train: DataFrame, rows: DataFrame, label: str = "label_views") -> DataFrame:
+    """A deterministic baseline: predict the training mean of the row's
+    category (of all rows for a category not seen)."""
+    mean = train.groupBy(F.col("category_id").alias("_c")).agg(F.avg(label).alias("_m"))
+    overall = train.agg(F.avg(label)).first()[0]
+    return (join_checked_broadcast(rows, mean, F.col("category_id").eqNullSafe(F.col("_c")))
+            .withColumn("prediction", F.coalesce("_m", F.lit(overall))).drop("_c", "_m"))
 
 
 def retrain_decision(current: dict, previous: dict | None, drift_psi: float | None,

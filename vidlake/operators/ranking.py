@@ -1,109 +1,128 @@
-"""Shared scalar-threshold and ranking helpers."""
+"""Exact percentiles and skew-safe row numbers.
+
+Percentiles are ``PERCENTILE_DISC``: the value of rank ceil(p * n) among the
+non-null values.  They are found by histogram refinement.  A *band* is a value
+range that holds a wanted rank, first from the least to the greatest value.
+Every pass counts the rows of all open bands per value bucket (one scan,
+partial aggregation) and narrows each band to the least and greatest value of
+the bucket that holds its rank, until a band is a single value.  A bucket's
+number never falls as the value grows, and a band with two values always has
+them in two buckets, so every pass narrows; the number of passes follows from
+the values' range (10^12 rows need three or four), and there is one way at
+every size.  Values keep their type: bands are compared in it, and doubles (or
+whole-number steps for integral columns) serve for bucketing only.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Accuracy of grouped percentile_approx (Spark's default).  Each task keeps a
-# digest of about 1/accuracy relative rank error per group (~0.25 MB), so
-# digests stay small however many rows a task holds; exact below ~10k rows
-# per group.
-PERCENTILE_ACCURACY = 10_000
-# Exact global thresholds: histogram buckets per refinement pass, and the band
-# size below which the remaining candidates are resolved by a top-k.
-SELECT_BUCKETS = 4096
-SELECT_BAND_ROWS = 200_000
-
-
-def exact_percentiles(df: DataFrame, column: str, ps, buckets: int = SELECT_BUCKETS,
-                      band_rows: int = SELECT_BAND_ROWS) -> list:
-    """``exact_percentile`` for several ``ps`` sharing passes: one stats
-    pass; when all values fit the band, every rank comes from one bounded
-    top-k (ranks numbered over at most ``band_rows`` rows); otherwise each
-    percentile is refined on its own."""
-    import math
-
-    from pyspark.sql import Window
-
-    base = df.select(F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
-    if not st or not st["n"]:
-        return [None for _ in ps]
-    if st["n"] > band_rows:
-        return [exact_percentile(df, column, p, buckets, band_rows) for p in ps]
-    ks = [max(1, int(math.ceil(p * st["n"]))) for p in ps]
-    top = base.orderBy(F.col("_x").asc()).limit(max(ks))
-    ranked = top.select("_x", F.row_number().over(Window.orderBy(F.col("_x").asc())).alias("_r"))
-    got = {r["_r"]: r["_x"] for r in ranked.filter(F.col("_r").isin(sorted(set(ks)))).collect()}
-    return [got[k] for k in ks]
-
-
-def exact_percentile(df: DataFrame, column: str, p: float, buckets: int = SELECT_BUCKETS,
-                     band_rows: int = SELECT_BAND_ROWS):
-    """Exact ``PERCENTILE_DISC``: the value of rank ceil(p * n) among the
-    non-null values (what ``percentile_approx`` returns when it is exact).
-
-    A single global ``percentile_approx`` funnels every task's digest into
-    one reducer; at high accuracy those digests approach the task's row
-    count.  Here every pass is a distributed, partially aggregated count:
-
-    1. n, min, max of the column;
-    2. while the candidate band holds more than ``band_rows`` values: count
-       the band per value bucket (``buckets`` equal-width buckets between the
-       band's min and max; at most ``buckets`` rows reach the driver) and keep
-       the bucket that contains the wanted rank;
-    3. the k-th smallest of the remaining band by a distributed top-k.
-
-    A band whose values are all equal (a hot value) ends the search at once.
-    Each pass narrows by about ``buckets``x, so 10^12 rows need ~3 passes.
-    Returns a Python scalar (None when there are no values).
-    """
-    import math
+import math
 
-    base = df.select(F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
-    if not st or not st["n"]:
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vidlake.session import materialize
+
+BUCKETS = 1024
+# Rows of the band table (groups x percentiles) that are kept on the driver and
+# sent to every task; with more groups the bands stay a table and are joined.
+DRIVER_BANDS = 4096
+# Bucket counts that a pass may send to the driver.
+PASS_ROWS = 1 << 18
+
+
+def _bucket(x: Column, lo: Column, hi: Column, buckets: int, integral: bool) -> Column:
+    """Number (0..buckets-1) of the value's bucket between ``lo`` and ``hi``."""
+    if integral:
+        # Halved where the range itself would not fit into a long.
+        far = F.shiftright(hi, 1) - F.shiftright(lo, 1) >= F.lit(2**62)
+        step = F.when(far, F.shiftright(x, 1) - F.shiftright(lo, 1)).otherwise(x - lo)
+        span = F.when(far, F.shiftright(hi, 1) - F.shiftright(lo, 1)).otherwise(hi - lo)
+        width = F.call_function("div", span, F.lit(buckets)) + 1
+        return F.least(F.call_function("div", step, width), F.lit(buckets - 1)).cast("int")
+    half = lambda c: c.cast("double") / 2  # noqa: E731  no range of doubles overflows
+    width = (half(hi) - half(lo)) / buckets
+    return (F.when(width > 0, F.least(F.floor((half(x) - half(lo)) / F.when(width > 0, width)), F.lit(buckets - 1)).cast("int"))
+            .otherwise(F.when(x == lo, 0).otherwise(1)))
+
+
+def _values(df: DataFrame, keys: list[str], column: str) -> tuple[DataFrame, bool]:
+    kind = df.schema[column].dataType
+    integral = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    x = F.col(column).cast("long") if integral else F.col(column)
+    return df.select(*keys, x.alias("_x")).filter(F.col("_x").isNotNull()), integral
+
+
+def _passes(values: DataFrame, keys: list[str], ps: list[float], integral: bool, buckets: int, most: int):
+    """{group: [value per percentile]} on the driver, or None if there are more than ``most`` bands."""
+    stats = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    rows = stats.limit(most // len(ps) + 1).collect()
+    if len(rows) * len(ps) > most:
         return None
-    k = max(1, int(math.ceil(p * st["n"])))
-    band, lo, hi, n_band = base, st["lo"], st["hi"], st["n"]
-    v = F.col("_x").cast("double")
-    while n_band > band_rows and lo != hi:
-        width = (float(hi) - float(lo)) / buckets
-        b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-        counts = sorted(band.groupBy(b.alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")).collect())
-        seen = 0
+    bands = {}
+    for r in rows:
+        if r["n"]:
+            for i, p in enumerate(ps):
+                bands[tuple(r[k] for k in keys), i] = (max(1, math.ceil(p * r["n"])), r["lo"], r["hi"])
+    kind = values.schema["_x"].dataType
+    band_type = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("lo", kind), T.StructField("hi", kind)]))
+    while open_ := {b: v for b, v in bands.items() if v[1] != v[2]}:
+        per_group: dict[tuple, list] = {}
+        for (group, i), (_, lo, hi) in open_.items():
+            per_group.setdefault(group, []).append((i, lo, hi))
+        if keys:
+            table = values.sparkSession.createDataFrame(
+                [(*g, b) for g, b in per_group.items()],
+                T.StructType([*(T.StructField(f"_g_{k}", values.schema[k].dataType) for k in keys), T.StructField("_b", band_type)]))
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+            tagged = values.join(F.broadcast(table), same)
+        else:
+            tagged = values.withColumn("_b", F.array(*(F.struct(F.lit(i).alias("i"), F.lit(lo).cast(kind).alias("lo"),
+                                                                F.lit(hi).cast(kind).alias("hi")) for i, lo, hi in per_group[()])))
+        inside = F.filter("_b", lambda b: (F.col("_x") >= b["lo"]) & (F.col("_x") <= b["hi"]))
+        n = max(2, min(buckets, PASS_ROWS // len(open_)))
+        counts = (tagged.select(*keys, "_x", F.explode(inside).alias("_b"))
+                  .groupBy(*keys, F.col("_b.i").alias("i"), _bucket(F.col("_x"), F.col("_b.lo"), F.col("_b.hi"), n, integral).alias("b"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect())
+        found: dict[tuple, list] = {}
         for r in counts:
-            if seen + r["c"] >= k:
-                break
-            seen += r["c"]
-        k -= seen
-        band = band.filter(b == F.lit(r["b"]))
-        lo, hi, n_band = r["mn"], r["mx"], r["c"]
-    if lo == hi:
-        return lo
-    return band.orderBy(F.col("_x").asc()).limit(k).agg(F.max("_x")).first()[0]
-
-
-def percentile_of(df: DataFrame, column: str, p, accuracy: int | None = None) -> Column:
-    """Global threshold (BLK-2) as a literal for the outer plan.
-
-    Default: exact (``exact_percentile``).  With ``accuracy`` given, an
-    uncorrelated scalar subquery over ``percentile_approx`` instead (one lazy
-    aggregate, no driver round trip, approximate above ~accuracy rows)."""
-    if accuracy is not None:
-        return df.select(F.percentile_approx(column, p, accuracy)).scalar()
+            found.setdefault((tuple(r[k] for k in keys), r["i"]), []).append((r["b"], r["c"], r["lo"], r["hi"]))
+        for band, hist in found.items():
+            rank = open_[band][0]
+            for _, c, lo, hi in sorted(hist):
+                if rank <= c:
+                    bands[band] = (rank, lo, hi)
+                    break
+                rank -= c
+    out: dict[tuple, list] = {}
+    for (group, i), (_, lo, _) in bands.items():
+        out.setdefault(group, [None] * len(ps))[i] = lo
+    return out
+
+
+def exact_percentiles(df: DataFrame, column: str, ps, buckets: int = BUCKETS) -> list:
+    """The global percentiles ``ps`` as Python values (None without values), all in shared passes."""
+    values, integral = _values(df, [], column)
+    found = _passes(values, [], list(ps), integral, buckets, max(DRIVER_BANDS, len(ps)))
+    return found.get((), [None] * len(ps)) if ps else []
+
+
+def exact_percentile(df: DataFrame, column: str, p: float, buckets: int = BUCKETS):
+    return exact_percentiles(df, column, [p], buckets)[0]
+
+
+def percentile_of(df: DataFrame, column: str, p: float) -> Column:
+    """A global threshold (BLK-2) as a literal for the outer plan."""
     return F.lit(exact_percentile(df, column, p))
 
 
-def desc_then(*cols: str, tie: str = "video_id") -> list[Column]:
-    """Sort keys: the given columns descending, then ``tie`` ascending so ties
-    break deterministically (same rule in the SQL oracle)."""
-    out = [F.col(c).desc() for c in cols]
-    if tie:
-        out.append(F.col(tie).asc())
-    return out
+def desc_then(*cols: str, tie=("video_id", "publish_time")) -> list[Column]:
+    """Sort keys: the given columns descending, then the ``tie`` columns (a
+    unique key) ascending, so that ranks and cuts are determined."""
+    ties = [tie] if isinstance(tie, str) else list(tie)
+    return [F.col(c).desc() for c in cols] + [F.col(c).asc() for c in ties]
 
 
 def ordered_slices(df: DataFrame, keys: list[str], order: list[Column],
@@ -111,17 +130,17 @@ def ordered_slices(df: DataFrame, keys: list[str], order: list[Column],
     """Range-partition on (keys, order), sort inside each partition, and tag
     rows with ``_mid`` (partition index << 33 | position in sorted order) and
     ``_pid`` (the partition index).  A key's rows inside one partition form a
-    contiguous *slice*; a hot key spans many slices.  Persisted so that every
-    consumer sees the same assignment (a lost executor recomputes its
-    partitions from the same plan and total order)."""
-    from pyspark import StorageLevel
-
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    contiguous *slice*; a hot key spans many slices.  Written to the shared
+    scratch folder, so every consumer sees one assignment even if an executor
+    is lost.  Unless ``num_partitions`` is given, adaptive execution merges
+    ranges that turn out small, so a few rows do not become as many tasks as a
+    large shuffle would have."""
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    return (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-            .withColumn("_mid", F.monotonically_increasing_id())
-            .withColumn("_pid", F.shiftright("_mid", 33))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else df.repartitionByRange(*sort_cols))
+    return materialize(ranged.sortWithinPartitions(*sort_cols)
+                       .withColumn("_mid", F.monotonically_increasing_id())
+                       .withColumn("_pid", F.shiftright("_mid", 33)), "slices")
 
 
 def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name: str,
@@ -144,11 +163,7 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
     4. rank = offset + local rank.
 
     All JVM-side.  ``order`` must be a total order (end with a unique column).
-    The numbered frame is persisted so both consumers see one assignment; a
-    lost executor recomputes its partitions from the same plan and order.
     """
-    from pyspark.sql import Window
-
     numbered = ordered_slices(df, keys, order, num_partitions)
     stats = numbered.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,77 +179,56 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
 
 
 def grouped_percentiles(df: DataFrame, keys: list[str], column: str, ps: dict[str, float],
-                        buckets: int = 1024, band_rows: int = SELECT_BAND_ROWS, max_passes: int = 8) -> DataFrame:
-    """Exact ``PERCENTILE_DISC`` per group: one row per group with a column
-    per entry of ``ps`` (name -> p).  The grouped form of
-    ``exact_percentile``, entirely as DataFrames:
-
-    * bands: per (group, percentile) an inclusive value range [lo, hi], the
-      rank ``k`` wanted inside it and its size; initially the group's min,
-      max and count;
-    * a pass counts the rows of every band still larger than ``band_rows``
-      per value bucket (partial aggregation; the group x percentile x bucket
-      table is small), a running sum over at most ``buckets`` rows per band
-      picks the bucket holding rank ``k`` and its [min, max] becomes the new
-      band (bucket index is monotone in the value, so the band is exactly
-      that bucket's rows).  The small band table is checkpointed between
-      passes;
-    * finally each band (at most ``band_rows`` values, or a single value) is
-      ranked and the ``k``-th value read.
-
-    No digest per task per group is merged in one reducer, so a group holding
-    a third of all rows costs the same passes as any other.
-    """
-    from pyspark.sql import Window
-
-    from vidlake.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)  # the session's shared folder (created only when unset)
+                        buckets: int = BUCKETS, driver_bands: int = DRIVER_BANDS) -> DataFrame:
+    """Exact percentiles per group: one row per group with a column per entry
+    of ``ps`` (name -> p), in the column's type.
+
+    With at most ``driver_bands`` bands (groups x percentiles; checked) the
+    bands are broadcast and each pass is one partially aggregated scan, so rows
+    are never exchanged on the group key, whatever share of them one group
+    holds.  With more groups the bands stay a table in the shared scratch
+    folder, joined by key."""
     names = list(ps)
-    x = df.select(*keys, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
-    xd = F.col("_x").cast("double")
-    st = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    pis = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(ps[nm])).alias("p"))
-                              for i, nm in enumerate(names)])).alias("_pp")
-    bands = st.select(*keys, "_n", "_lo", "_hi", pis).select(
-        *keys, F.col("_pp.i").alias("_pi"),
-        F.greatest(F.lit(1), F.ceil(F.col("_pp.p") * F.col("_n"))).cast("long").alias("_k"),
-        F.col("_lo").cast("double").alias("_blo"), F.col("_hi").cast("double").alias("_bhi"),
-        F.col("_n").alias("_bn"))
-    bands = bands.checkpoint(eager=True)
-
-    def rows_in(b: DataFrame) -> DataFrame:
-        # null-safe on the keys: a null group is a group, as in GROUP BY
-        bk = b.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-        cond = (xd >= F.col("_blo")) & (xd <= F.col("_bhi"))
-        for k in keys:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-        return x.join(bk, cond, "inner").drop(*[f"_g_{k}" for k in keys])
-
-    for _ in range(max_passes):
-        open_ = (F.col("_bn") > band_rows) & (F.col("_blo") < F.col("_bhi"))
-        if bands.filter(open_).limit(1).count() == 0:
+    values, integral = _values(df, keys, column)
+    kind = df.schema[column].dataType
+    found = _passes(values, keys, list(ps.values()), integral, buckets, driver_bands)
+    if found is not None:
+        schema = T.StructType([*(T.StructField(k, df.schema[k].dataType) for k in keys),
+                               *(T.StructField(n, kind) for n in names)])
+        return df.sparkSession.createDataFrame([(*g, *v) for g, v in found.items()], schema)
+    return _table_percentiles(values, keys, ps, integral, buckets, kind)
+
+
+def _table_percentiles(values: DataFrame, keys: list[str], ps: dict[str, float], integral: bool, buckets: int,
+                       kind: T.DataType) -> DataFrame:
+    """The same search with the bands as a table, for any number of groups."""
+    names = list(ps)
+    wanted = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(ps[n])).alias("p")) for i, n in enumerate(names))))
+    stats = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    bands = materialize(stats.select(*keys, "n", "lo", "hi", wanted.alias("w")).select(
+        *keys, F.col("w.i").alias("i"), F.greatest(F.lit(1), F.ceil(F.col("w.p") * F.col("n"))).cast("long").alias("k"),
+        "lo", "hi"), "bands")
+    done = []
+    while True:
+        done.append(bands.filter("lo = hi"))
+        bands = bands.filter("lo <> hi")
+        if bands.isEmpty():
             break
-        big, done = bands.filter(open_), bands.filter(~open_)
-        width = (F.col("_bhi") - F.col("_blo")) / F.lit(float(buckets))
-        b = F.least(F.floor((xd - F.col("_blo")) / width), F.lit(buckets - 1)).cast("int")
-        cnt = rows_in(big).groupBy(*keys, "_pi", "_k", b.alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min(xd).alias("_mn"), F.max(xd).alias("_mx"))
-        w = Window.partitionBy(*keys, "_pi").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        picked = cnt.filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_c") >= F.col("_k")))
-        picked = picked.select(*keys, "_pi", (F.col("_k") - F.col("_before")).alias("_k"),
-                               F.col("_mn").alias("_blo"), F.col("_mx").alias("_bhi"), F.col("_c").alias("_bn"))
-        bands = done.unionByName(picked).checkpoint(eager=True)
-
-    single = bands.filter(F.col("_blo") == F.col("_bhi")).select(*keys, "_pi", F.col("_blo").alias("_v"))
-    multi = bands.filter(F.col("_blo") < F.col("_bhi"))
-    r = rows_in(multi).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(*keys, "_pi").orderBy(F.col("_x").asc())))
-    ranked = r.filter(F.col("_r") == F.col("_k")).select(*keys, "_pi", F.col("_x").cast("double").alias("_v"))
-    vals = single.unionByName(ranked)
-    out = vals.groupBy(*keys).agg(*[F.max(F.when(F.col("_pi") == i, F.col("_v"))).alias(nm)
-                                    for i, nm in enumerate(names)])
-    # restore the column's type (values are exact elements of it)
-    typ = df.schema[column].dataType
-    return out.select(*keys, *[F.col(nm).cast(typ).alias(nm) for nm in names])
+        table = bands.select(*(F.col(k).alias(f"_g_{k}") for k in keys), "i", "k", "lo", "hi")
+        same = (F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        # Sort-merge, so that neither side is built in memory.
+        counts = (values.hint("merge").join(table, same)
+                  .groupBy(*keys, "i", "k", _bucket(F.col("_x"), F.col("lo"), F.col("hi"), buckets, integral).alias("b"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
+        before = Window.partitionBy(*keys, "i").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("seen", F.coalesce(F.sum("c").over(before), F.lit(0)))
+        bands = materialize(
+            counts.filter((F.col("seen") < F.col("k")) & (F.col("seen") + F.col("c") >= F.col("k")))
+            .select(*keys, "i", (F.col("k") - F.col("seen")).alias("k"), F.col("mn").alias("lo"), F.col("mx").alias("hi")), "bands")
+    every = done[0]
+    for part in done[1:]:
+        every = every.unionByName(part)
+    return every.groupBy(*keys).agg(*(F.max(F.when(F.col("i") == i, F.col("lo"))).cast(kind).alias(n)
+                                      for i, n in enumerate(names)))

@@ -148,3 +148,24 @@ def recommendation_bundle(posting: DataFrame, top_n: int = 5, videos_per_week: i
     ).alias("strategy_comparison"))
     out = top.join(sched, "category_id", "left").join(strat, "category_id", "left")
     return out.withColumn("generated_at", F.lit(gen))
+
+
+def flat_bundle(bundle: DataFrame) -> DataFrame:
+    """The bundle as rows: one per recommended time, scheduled slot and
+    strategy, numbered inside its section (times by rank, slots by day and
+    hour, strategies by name)."""
+    def rows(section, items, name, number, views, engagement, score):
+        return bundle.select("category_id", "generated_at", F.posexplode(items).alias("_p", "_x")).select(
+            "category_id", "generated_at", F.lit(section).alias("section"), number.cast("int").alias("number"),
+            name.alias("name"), views.alias("avg_views"), engagement.alias("avg_engagement"), score.alias("score"))
+    x, none = F.col("_x"), F.lit(None).cast("double")
+    place = F.concat_ws(" ", x["day_name"], x["hour"].cast("string"))
+    s = F.col("strategy_comparison")
+    named = [(n, s[g][n]) for g, ns in (("weekday_vs_weekend", ("weekday", "weekend")),
+                                        ("time_of_day", ("morning", "afternoon", "evening"))) for n in ns]
+    strategies = F.array(*(F.struct(F.lit(n).alias("name"), c["avg_views"].alias("v"), c["avg_engagement"].alias("e"))
+                           for n, c in sorted(named, key=lambda p: p[0])))
+    return (rows("time", "top_posting_times", place, x["slot_rank"], x["avg_views"], x["avg_engagement"], x["composite_score"])
+            .unionByName(rows("schedule", "recommended_schedule", x["time_slot"], F.col("_p") + 1, x["expected_views"],
+                              x["expected_engagement"], x["recommendation_score"]))
+            .unionByName(rows("strategy", strategies, x["name"], F.col("_p") + 1, x["v"], x["e"], none)))

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlake.operators import gold
-from vidlake.plans.silver import LINEAGE_COLUMNS, bronze_to_silver
-from vidlake.session import configure
+from vidlake.plans.silver import LINEAGE_COLUMNS, SILVER_COLUMNS, bronze_to_silver
+from vidlake.session import configure, materialize, scratch_path
 from vidlake.sources.adapter import load_bronze
+from vidlake.sources.files import read_table
+from vidlake.sources.sinks import write_silver
 
 # Fixed reference date of the test adapter (FIXTURES.md section 2).
 AS_OF = "2024-01-31"
@@ -43,13 +45,18 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as the jobs see it: derived from the raw tables, written, and read
+    back, so that operators with several passes do not derive it again."""
     configure(spark)
-    return bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF)
+    path = scratch_path(spark, "silver")
+    write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), path)
+    return read_table(spark, path)
 
 
 @register("silver")
 def q_silver(spark, sf_dir):
-    return round_doubles(silver_of(spark, sf_dir).drop(*LINEAGE_COLUMNS))
+    configure(spark)
+    return round_doubles(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF).drop(*LINEAGE_COLUMNS))
 
 
 @register("gold_trending_videos")
@@ -146,34 +153,127 @@ def q_rec_strategy(spark, sf_dir):
     return round_doubles(strategy_comparison(_posting(spark, sf_dir)))
 
 
+GENERATED_AT = "2024-01-31T00:00:00"
+
+
 @register("rec_bundle")
 def q_rec_bundle(spark, sf_dir):
-    from vidlake.operators.recommend import recommendation_bundle
-    return recommendation_bundle(_posting(spark, sf_dir), generated_at="2024-01-31T00:00:00")
+    """REC-11, as rows."""
+    from vidlake.operators.recommend import flat_bundle, recommendation_bundle
+    return round_doubles(flat_bundle(recommendation_bundle(_posting(spark, sf_dir), generated_at=GENERATED_AT)))
+
+
+SILVER_OUT_ORDER = [c for c in SILVER_COLUMNS if c not in LINEAGE_COLUMNS]
+
+
+def _landed(spark, sf_dir, base, run_ts="fixed"):
+    from vidlake.plans.pipelines import ingest
+    configure(spark)
+    return ingest(load_bronze(spark, sf_dir), f"{base}/landing", run_ts=run_ts, source="driver tables")
+
+
+def _silver_job(spark, sf_dir, base, table=None):
+    from vidlake.plans.pipelines import bronze_to_silver_job
+    landed = _landed(spark, sf_dir, base).outputs["landed"]
+    bronze_to_silver_job(spark, landed, f"{base}/silver", as_of=AS_OF, table=table)
+    return f"{base}/silver"
+
+
+@register("pip_ingest")
+def q_pip_ingest(spark, sf_dir):
+    """PIP-1, SNK-1, SNK-2: validation verdict, landed rows read back, the manifest's own count and columns."""
+    from vidlake.sources.files import read_bronze_csv
+    configure(spark)
+    base = scratch_path(spark, "ingest")
+    rep = _landed(spark, sf_dir, base)
+    manifest = spark.read.json(f"{base}/landing/_manifests/video_stats_fixed")
+    landed = read_bronze_csv(spark, rep.outputs["landed"])
+    counted = landed.agg(F.count(F.lit(1)).alias("landed_rows"), F.sum(F.length("description")).alias("description_chars"))
+    return counted.withColumns({
+        "manifest_rows": manifest.select(F.col("record_count").cast("long")).scalar(),
+        "manifest_columns": manifest.select("columns").scalar(), "manifest_source": manifest.select("source").scalar(),
+        "is_valid": F.lit(bool(rep.counts["validation"]["is_valid"]))})
 
 
 @register("pip_landed_csv_to_silver")
 def q_csv_silver(spark, sf_dir):
     """SNK-1 -> SRC-1 -> PIP-2 -> SNK-3 -> SRC-2 through files in the shared
     scratch folder; the result must equal the in-memory silver."""
+    configure(spark)
+    silver = read_table(spark, _silver_job(spark, sf_dir, scratch_path(spark, "csv_silver")))
+    return round_doubles(silver.select(*SILVER_OUT_ORDER))
+
+
+@register("src_csv_by_name")
+def q_csv_by_name(spark, sf_dir):
+    """SRC-1: a landing whose columns come in another order, with a further
+    one among them, gives the same silver."""
     from vidlake.plans.pipelines import bronze_to_silver_job
-    from vidlake.session import scratch_path
     from vidlake.sources import sinks
-    from vidlake.sources.files import read_table
-
     configure(spark)
-    base = scratch_path(spark, "csv_silver")
-    landed, _ = sinks.write_bronze_csv(load_bronze(spark, sf_dir), f"{base}/landing", run_ts="fixed")
+    base = scratch_path(spark, "csv_by_name")
+    bronze = load_bronze(spark, sf_dir)
+    mixed = bronze.select(F.col("video_id").alias("Video ID"), F.lit("24.01.01").alias("trending_date"),
+                          *sorted(c for c in bronze.columns if c != "video_id"))
+    landed, _ = sinks.write_bronze_csv(mixed, f"{base}/landing", run_ts="fixed")
     bronze_to_silver_job(spark, landed, f"{base}/silver", as_of=AS_OF)
-    silver = read_table(spark, f"{base}/silver")
-    return round_doubles(silver.drop(*LINEAGE_COLUMNS).select(*[c for c in SILVER_OUT_ORDER]))
+    return round_doubles(read_table(spark, f"{base}/silver").select(*SILVER_OUT_ORDER))
+
+
+@register("pip_catalog_silver")
+def q_catalog_silver(spark, sf_dir):
+    """SNK-6: the silver job registers its table; read by name."""
+    import uuid
+    configure(spark)
+    name = f"silver_{uuid.uuid4().hex[:8]}"
+    _silver_job(spark, sf_dir, scratch_path(spark, "catalog"), table=name)
+    return round_doubles(spark.table(name).select(*SILVER_OUT_ORDER))
+
+
+def _pip_gold(name):
+    def run(spark, sf_dir):
+        from vidlake.plans.pipelines import silver_to_gold_job
+        configure(spark)
+        base = scratch_path(spark, "gold")
+        write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), f"{base}/silver")
+        out = silver_to_gold_job(spark, f"{base}/silver", f"{base}/gold", as_of=AS_OF, only=[name])
+        return round_doubles(read_table(spark, out.outputs[name]))
+    run.__doc__ = f"PIP-3, SNK-4: {name}, written by the job and read back."
+    register(f"pip_gold_{name}")(run)
+
+
+for _n in gold.GOLD_BUILDERS:
+    _pip_gold(_n)
+
+
+@register("pip_features")
+def q_pip_features(spark, sf_dir):
+    """PIP-4, SNK-5: the feature table, written by the job and read back."""
+    from vidlake.plans.pipelines import features_job
+    configure(spark)
+    base = scratch_path(spark, "features_job")
+    write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), f"{base}/silver")
+    return round_doubles(read_table(spark, features_job(spark, f"{base}/silver", f"{base}/features").outputs["features"]))
+
+
+@register("pip_recommendations")
+def q_pip_recommendations(spark, sf_dir):
+    """PIP-5, SNK-7: the recommendation records, written as JSON by the job and read back."""
+    from vidlake.operators.recommend import flat_bundle, recommendation_bundle
+    from vidlake.plans.pipelines import recommendations_job, silver_to_gold_job
+    configure(spark)
+    base = scratch_path(spark, "recommendations_job")
+    write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), f"{base}/silver")
+    posting = silver_to_gold_job(spark, f"{base}/silver", f"{base}/gold", only=["posting_time_analysis"]).outputs["posting_time_analysis"]
+    out = recommendations_job(spark, posting, f"{base}/out", run_ts="fixed", generated_at=GENERATED_AT)
+    schema = recommendation_bundle(read_table(spark, posting), generated_at=GENERATED_AT).schema
+    return round_doubles(flat_bundle(spark.read.schema(schema).json(out.outputs["recommendations"])))
 
 
 @register("src_api_flatten")
 def q_api_flatten(spark, sf_dir):
     """SRC-6: API-shaped JSON landed from the driver tables, read back and
     flattened to bronze rows."""
-    from vidlake.session import scratch_path
     from vidlake.sources.api import bronze_to_api_responses, read_api_responses
 
     configure(spark)
@@ -184,31 +284,46 @@ def q_api_flatten(spark, sf_dir):
 
 @register("stream_incremental_silver")
 def q_stream_silver(spark, sf_dir):
-    """SRC-7: two landings (videos published before 2024, then the rest,
-    plus a re-landing of already-seen rows) consumed by two availableNow
-    runs; silver must hold every video exactly once."""
-    from pyspark.sql import functions as F
-
-    from vidlake.session import scratch_path
+    """SRC-7: three runs over four landings.  Early uploads; the others; then
+    early uploads again with changed counters, a changed category, and with an
+    unparsable time, the last landed once more in a fourth landing.  Silver
+    must equal the batch job over all landed rows."""
     from vidlake.sources import sinks
-    from vidlake.sources.files import read_table
     from vidlake.streaming.incremental import incremental_silver
 
     configure(spark)
     base = scratch_path(spark, "stream")
     bronze = load_bronze(spark, sf_dir)
     early = F.col("publish_time") < F.lit("2024-01-01")
-    sinks.write_bronze_csv(bronze.filter(early), f"{base}/landing", run_ts="1")
-    incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)
-    sinks.write_bronze_csv(bronze.filter(~early | early.isNull()), f"{base}/landing", run_ts="2")
-    sinks.write_bronze_csv(bronze.filter(early), f"{base}/landing", run_ts="3")
-    incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)
-    silver = read_table(spark, f"{base}/silver")
-    return round_doubles(silver.drop(*LINEAGE_COLUMNS).select(*SILVER_OUT_ORDER))
+    number = F.substring("video_id", 5, 20).cast("long")
+    views = F.col("views").cast("long")
+    changed = (bronze.filter(early)
+               .withColumn("views", F.when(number % 4 == 0, views + 900).when(number % 4 == 1, views - 1).otherwise(views).cast("string"))
+               .withColumn("category_id", F.when(number % 8 == 0, F.lit("10")).otherwise(F.col("category_id")))
+               .withColumn("title", F.when(number % 16 == 4, F.lit("")).otherwise(F.col("title"))))
+    junk = bronze.filter(early & (number % 4 == 2)).withColumn("publish_time", F.lit("yesterday"))
+
+    def land(rows, ts):
+        sinks.write_bronze_csv(rows, f"{base}/landing", run_ts=ts)
+
+    def run():
+        incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)
 
+    land(bronze.filter(early), "1")
+    run()
+    land(bronze.filter(~early | early.isNull()), "2")
+    land(changed.unionByName(junk), "3")
+    run()
+    land(junk, "4")
+    run()
+    return round_doubles(read_table(spark, f"{base}/silver").select(*SILVER_OUT_ORDER))
 
-SILVER_OUT_ORDER = [c for c in __import__("vidlake.plans.silver", fromlist=["SILVER_COLUMNS"]).SILVER_COLUMNS
-                    if c not in LINEAGE_COLUMNS]
+
+@register("features_time_of_day")
+def q_time_of_day(spark, sf_dir):
+    """FEA-5, which the feature table's column list leaves out."""
+    from vidlake.operators.features import temporal_features
+    return temporal_features(silver_of(spark, sf_dir)).select("video_id", "publish_time", "publish_hour", "time_of_day")
 
 
 @register("ml_scoring_features")
@@ -219,15 +334,55 @@ def q_ml_features(spark, sf_dir):
 
 def _ml_frames(spark, sf_dir):
     from vidlake.operators.ml import split_frame, training_frame
-    return split_frame(training_frame(silver_of(spark, sf_dir)))
+    return split_frame(materialize(training_frame(silver_of(spark, sf_dir)), "training_frame"))
+
+
+@register("ml_split_membership")
+def q_ml_split(spark, sf_dir):
+    """ML-4: every silver row with its split."""
+    from vidlake.operators.ml import split_number, training_frame
+    return training_frame(silver_of(spark, sf_dir)).select("video_id", "publish_time", "label_views", "label_engaged",
+                                                           split_number().alias("split"))
+
+
+@register("ml_baseline_metrics")
+def q_ml_metrics(spark, sf_dir):
+    """ML-7 and ML-12 on a deterministic predictor (the training mean of the
+    category): regression metrics and the residual interval per split."""
+    from vidlake.operators.ml import category_mean_model, regression_metrics, residual_interval
+    train, valid, test = _ml_frames(spark, sf_dir)
+    out = None
+    for name, rows in (("validation", valid), ("test", test)):
+        scored = materialize(category_mean_model(train, rows), "baseline")
+        bounds = residual_interval(scored).first()
+        line = regression_metrics(scored).select(
+            F.lit(name).alias("split"), "rmse", "mae", "r2", "mape", F.lit(bounds["residual_lo"]).alias("residual_lo"),
+            F.lit(bounds["residual_hi"]).alias("residual_hi"))
+        out = line if out is None else out.unionByName(line)
+    return round_doubles(out)
+
+
+@register("ml_retrain_decision")
+def q_ml_retrain(spark, sf_dir):
+    """ML-11: the baseline's error on the test split against validation, and
+    the drift of views between early and late uploads."""
+    from vidlake.functions.quality import population_stability
+    from vidlake.operators.ml import category_mean_model, regression_metrics, retrain_decision
+    silver = silver_of(spark, sf_dir)
+    train, valid, test = _ml_frames(spark, sf_dir)
+    scores = [regression_metrics(category_mean_model(train, rows)).first().asDict() for rows in (valid, test)]
+    early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
+    psi = population_stability(silver.filter(early), silver.filter(~early), "views").first()["psi"]
+    d = retrain_decision(scores[1], scores[0], psi)
+    return round_doubles(spark.createDataFrame([(d["metric_drop"], d["degraded"], d["drifted"], d["retrain"])],
+                                               "metric_drop double, degraded boolean, drifted boolean, retrain boolean"))
 
 
 @register("ml_regressor_selection")
 def q_ml_selection(spark, sf_dir):
     """ML-4, ML-5, ML-7, ML-8: candidates on validation, winner on test."""
     from vidlake.operators.ml import train_and_select
-    train, valid, test = (f.persist() for f in _ml_frames(spark, sf_dir))
-    _, _, rows = train_and_select(train, valid, test)
+    _, _, rows = train_and_select(*_ml_frames(spark, sf_dir))
     return spark.createDataFrame(rows, "model string, split string, rmse double, mae double, r2 double, mape double")
 
 
@@ -235,8 +390,7 @@ def q_ml_selection(spark, sf_dir):
 def q_ml_classifiers(spark, sf_dir):
     """ML-6, ML-7: the three engagement classifiers on the validation split."""
     from vidlake.operators.ml import classification_metrics, classifiers, fit
-    configure(spark)
-    train, valid, _ = (f.persist() for f in _ml_frames(spark, sf_dir))
+    train, valid, _ = _ml_frames(spark, sf_dir)
     rows = []
     for name, est in classifiers().items():
         m = classification_metrics(fit(est, train).transform(valid))
@@ -247,23 +401,20 @@ def q_ml_classifiers(spark, sf_dir):
 
 @register("ml_batch_scoring")
 def q_ml_scoring(spark, sf_dir):
-    """ML-10 save (quality gate), ML-3 load latest, ML-2 + ML-12 score the
-    held-out split with an interval, SNK-8 write, read back."""
+    """ML-10 save (quality gate), ML-3 load latest, ML-2 + ML-12 score every
+    silver row with an interval, SNK-8 write, read back."""
     from vidlake.operators.ml import (fit, load_latest, predict, regression_metrics, regressors,
                                       residual_interval, save_model, scoring_input_from_silver)
-    from vidlake.session import scratch_path
     from vidlake.sources.sinks import write_predictions
 
-    configure(spark)
     silver = silver_of(spark, sf_dir)
-    train, valid, test = (f.persist() for f in _ml_frames(spark, sf_dir))
+    train, valid, _ = _ml_frames(spark, sf_dir)
     model = fit(regressors()["linear_regression"], train)
     metrics = regression_metrics(model.transform(valid)).first().asDict()
     registry = scratch_path(spark, "models")
     save_model(spark, model, registry, "views_regressor", metrics, version="20240131_000000")
     loaded, meta = load_latest(spark, registry, "views_regressor")
-    to_score = scoring_input_from_silver(silver.join(test.select("video_id"), "video_id", "left_semi"))
-    preds = predict(loaded, to_score, meta["timestamp"], residual_interval(loaded, valid))
+    preds = predict(loaded, scoring_input_from_silver(silver), meta["timestamp"], residual_interval(loaded, valid))
     out = scratch_path(spark, "predictions")
     write_predictions(preds, out, mode="overwrite")
     return spark.read.parquet(out).drop("prediction_timestamp")
@@ -330,12 +481,16 @@ def q_dq_retention_mask(spark, sf_dir):
     return mask_columns(s.select("video_id", "channel_title", "publish_date", "views"))
 
 
-def _sql_text(name):
-    def run(spark, sf_dir):
-        from vidlake.plans.sql import analytic_sql
-        return round_doubles(analytic_sql(spark, name, silver_of(spark, sf_dir)))
-    register(f"sql_{name}")(run)
+@register("sql_weekday_reach")
+def q_sql_reach(spark, sf_dir):
+    """REC-10: a SQL text with bound parameters over silver."""
+    from vidlake.plans.sql import WEEKDAY_REACH, run_sql
+    return round_doubles(run_sql(spark, WEEKDAY_REACH, {"least_engagement": 0.01, "least_uploads": 2},
+                                 silver=silver_of(spark, sf_dir)))
 
 
-for _n in ANALYTIC_QUERIES:
-    _sql_text(_n)
+@register("sql_first_rows")
+def q_sql_first(spark, sf_dir):
+    """SRC-8: a look at the first rows in order."""
+    from vidlake.plans.sql import FIRST_ROWS, run_sql
+    return run_sql(spark, FIRST_ROWS, {"n": 10}, table=silver_of(spark, sf_dir))

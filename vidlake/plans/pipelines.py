@@ -50,14 +50,15 @@ def bronze_to_silver_job(spark: SparkSession, bronze_path: str, silver_path: str
     return rep
 
 
-def silver_to_gold_job(spark: SparkSession, silver_path: str, gold_base: str, as_of=None) -> RunReport:
-    """PIP-3: the five gold tables from one silver read.  Each builder is an
+def silver_to_gold_job(spark: SparkSession, silver_path: str, gold_base: str, as_of=None, only=None) -> RunReport:
+    """PIP-3: the five gold tables (or those named in ``only``) from one silver read.  Each builder is an
     independent aggregate over the (pruned) Parquet scan, so there is nothing
     worth caching: every table reads only the columns it needs."""
     silver = read_table(spark, silver_path)
     rep = RunReport()
-    builders = dict(gold.GOLD_BUILDERS)
-    for name, fn in builders.items():
+    for name, fn in gold.GOLD_BUILDERS.items():
+        if only is not None and name not in only:
+            continue
         df = fn(silver, as_of=as_of) if name == "channel_performance" else fn(silver)
         rep.outputs[name] = sinks.write_gold(df, gold_base, name)
     return rep
@@ -70,8 +71,8 @@ def features_job(spark: SparkSession, silver_path: str, features_path: str, **kw
 
 
 def recommendations_job(spark: SparkSession, posting_path: str, out_base: str, top_n: int = 5,
-                        videos_per_week: int = 3, run_ts: str | None = None) -> RunReport:
+                        videos_per_week: int = 3, run_ts: str | None = None, generated_at: str | None = None) -> RunReport:
     """PIP-5: every category's recommendation record -> JSON (SNK-7)."""
-    bundle = recommendation_bundle(read_table(spark, posting_path), top_n, videos_per_week)
+    bundle = recommendation_bundle(read_table(spark, posting_path), top_n, videos_per_week, generated_at)
     return RunReport(outputs={"recommendations": sinks.write_json(bundle, out_base, "posting_recommendations",
                                                                    run_ts)})

@@ -65,7 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file
-    system).  Only when it is unset -- local tests -- do we create one.
+    system); without the setting a session on a cluster fails here, because a
+    folder of the driver's machine is invisible to executors.  Only a local
+    master (tests) gets a temporary folder.
     """
     try:
         sc = spark.sparkContext
@@ -73,6 +75,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="vidlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is None:
@@ -90,18 +95,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread_small(df):
-    """Round-robin a DataFrame whose scan has fewer splits than the cluster
-    has cores (a small table stored as one file), so the narrow work after
-    it uses every core.  Large inputs already have at least that many splits
-    and pass through untouched: no shuffle is added at scale."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # e.g. Spark Connect: no RDD access; leave the plan alone
-        pass
-    return df
+def materialize(df, name: str):
+    """``df`` written as Parquet into the shared scratch folder and read back:
+    computed once, lineage cut, independent of any executor's memory."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,

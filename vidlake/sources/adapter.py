@@ -5,13 +5,11 @@ The output has the landed-CSV shape: every column is text, exactly what
 ``spark.read.schema(BRONZE_SCHEMA).csv`` returns, so the cleaning step is
 exercised with real casts and timestamp parsing.
 
-Plan shape: one scan of each table, one equi-join on ``doc_id``.  The document
-count is a scalar subquery (no driver round trip).  Documents are narrowed
-before the join to the character span the title and description rules read
-(positions 1..299 by the formulas below), so the shuffle moves a bounded
-amount of text per document whatever its length; the derived values are
-identical to slicing the full text.  Duplicate landing of every 50th event is
-produced with ``explode`` in the same pass instead of a second scan + union.
+Plan shape: one scan of each table, one equi-join on ``doc_id`` with whole
+texts (the description of a video is the whole text of its document).  The
+document count is a scalar subquery (no driver round trip).  The second landing
+of every 50th event is produced with ``explode`` in the same pass instead of a
+second scan + union.
 """
 
 from __future__ import annotations
@@ -20,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.schemas import BRONZE_COLUMNS
-from vidlake.session import spread_small
 
 # Fixed values of the adapter specification (FIXTURES.md section 2).
 EVENT_TYPE_TO_CATEGORY = {"signup": 10, "error": 20, "click": 22, "view": 24, "purchase": 28}
@@ -29,9 +26,10 @@ TAG_VALUES = {1: "howto|learning|fun", 2: "[none]"}
 PUBLISH_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 SHIFT_DAYS = 30
 DUPLICATE_EVERY = 50
-
-# Highest character position any rule reads: description = substr(text, 1, 200 + id % 100).
-_TEXT_SPAN = 200 + 99
+PUBLISH_TIME_SHORT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+SHORT_TIME_EVERY = 13
+CHANGED_COPY_EVERY, CHANGED_COPY_VIEWS = 100, 7
+REPEATED_ID = (89, 1)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +51,12 @@ def bronze_from_events(events: DataFrame, documents: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         (e % n_docs).alias("doc_key"),
     )
-    docs = documents.select(F.col("doc_id").alias("doc_key"), F.substring("text", 1, _TEXT_SPAN).alias("text"))
-    joined = spread_small(ev).join(spread_small(docs), "doc_key", "inner")
+    docs = documents.select(F.col("doc_id").alias("doc_key"), "text")
+    joined = ev.join(docs, "doc_key", "inner")
 
-    video_id = F.format_string("vid_%06d", e)
+    # every 89th event is another upload (another publish time) of its predecessor's video
+    every, rest = REPEATED_ID
+    video_id = F.format_string("vid_%06d", F.when(e % every == rest, e - 1).otherwise(e))
     title_body = F.col("text").substr(F.lit(1) + (e * 7) % 40, F.lit(10) + e % 70)
     title = F.when(e % 107 == 0, F.lit("")).otherwise(
         F.concat(title_body, _when_map(e % 5, TITLE_SUFFIXES, "")))
@@ -72,7 +72,8 @@ def bronze_from_events(events: DataFrame, documents: DataFrame) -> DataFrame:
         F.when(e % 109 == 0, F.lit(None)).otherwise(
             F.concat(F.lit("Channel_"), F.col("user_id").cast("string"))).alias("channel_title"),
         _when_map(F.col("event_type"), EVENT_TYPE_TO_CATEGORY).cast("string").alias("category_id"),
-        F.date_format(publish_ts, PUBLISH_TIME_TEXT).alias("publish_time"),
+        F.when(e % SHORT_TIME_EVERY == 0, F.date_format(publish_ts, PUBLISH_TIME_SHORT))
+        .otherwise(F.date_format(publish_ts, PUBLISH_TIME_TEXT)).alias("publish_time"),
         _when_map(e % 3, TAG_VALUES).alias("tags"),
         views.cast("string").alias("views"),
         likes.cast("string").alias("likes"),
@@ -82,11 +83,14 @@ def bronze_from_events(events: DataFrame, documents: DataFrame) -> DataFrame:
         F.lit("false").alias("comments_disabled"),
         F.lit("false").alias("ratings_disabled"),
         F.lit("false").alias("video_error_or_removed"),
-        F.col("text").substr(F.lit(1), F.lit(200) + e % 100).alias("description"),
-        # copies: 2 for every 50th event (landed twice), else 1
+        F.col("text").alias("description"),
+        # copies: 2 for every 50th event (landed twice), else 1; every other second copy has more views
         F.explode(F.sequence(F.lit(1), F.when(e % DUPLICATE_EVERY == 0, 2).otherwise(1))).alias("_copy"),
+        ((e % CHANGED_COPY_EVERY == 0) & (views >= 0)).alias("_grows"),
     )
-    return bronze.select(*BRONZE_COLUMNS)
+    grown = (F.col("views").cast("bigint") + CHANGED_COPY_VIEWS).cast("string")
+    return bronze.withColumn("views", F.when((F.col("_copy") == 2) & F.col("_grows"), grown).otherwise(F.col("views"))
+                             ).select(*BRONZE_COLUMNS)
 
 
 def load_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vidlake.operators.ranking import ordered_slices
 from vidlake.schemas import API_RESPONSE_SCHEMA, BRONZE_COLUMNS
 
 
@@ -48,10 +49,10 @@ def read_api_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bronze_to_api_responses(bronze: DataFrame, page_size: int = 50) -> DataFrame:
-    """Shape bronze rows as API responses (pages of ``page_size`` items keyed
-    by the numeric part of the video id) -- used to land test responses from
-    the driver tables.  One ``items`` array per page; pages are bounded."""
-    page = F.floor(F.regexp_extract("video_id", r"(\d+)$", 1).cast("long") / page_size)
+    """Shape bronze rows as API responses of at most ``page_size`` items -- used
+    to land test responses from the driver tables.  Rows are numbered inside
+    the ranges of ``ordered_slices``; a range's rows are cut into pages, so a
+    page is bounded whatever the ids look like and however often they repeat."""
     item = F.struct(
         F.col("video_id").alias("id"),
         F.struct(
@@ -64,4 +65,6 @@ def bronze_to_api_responses(bronze: DataFrame, page_size: int = 50) -> DataFrame
         F.struct(F.col("views").alias("viewCount"), F.col("likes").alias("likeCount"),
                  F.col("comment_count").alias("commentCount")).alias("statistics"),
     )
-    return bronze.groupBy(page.alias("page")).agg(F.collect_list(item).alias("items")).select("items")
+    rows = ordered_slices(bronze, [], [F.col("video_id").asc_nulls_first(), F.col("publish_time").asc_nulls_first()])
+    page = F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / page_size)
+    return rows.groupBy("_pid", page.alias("page")).agg(F.collect_list(item).alias("items")).select("items")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.schemas import FEATURE_PARTITION_KEYS, GOLD_PARTITION_KEYS, SILVER_PARTITION_KEYS
+from vidlake.sources.files import escape_breaks, hadoop_path
 
 
 def _stamp(ts: str | None = None) -> str:
@@ -48,8 +49,15 @@ def write_features(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
-    """SNK-6: catalog entry over the written files, partitions discovered."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    """SNK-6: catalog entry over the written files, partitions discovered.  A
+    table of that name at another location is an error, not kept silently."""
+    if spark.catalog.tableExists(name):
+        there = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+        fs, p = hadoop_path(spark, path)
+        if fs.makeQualified(p).toString().rstrip("/") != there.rstrip("/"):
+            raise ValueError(f"table {name} lies at {there}, not at {path}")
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet")
     if partitioned:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
@@ -58,12 +66,15 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
 def write_bronze_csv(df: DataFrame, base: str, run_ts: str | None = None, source: str = "landed"):
     """SNK-1 + SNK-2: land rows as CSV with a header under
     ``base/video_stats_{ts}`` and a one-row JSON manifest under
-    ``base/_manifests``.  Values are written verbatim (no whitespace trim).  The
-    record count is observed during the CSV write (no second pass)."""
+    ``base/_manifests``.  Values are written verbatim (no whitespace trim) but
+    for line breaks, which are escaped, so that a file of any size splits into
+    tasks.  The record count is observed during the CSV write (no second
+    pass)."""
     ts = _stamp(run_ts)
     path = f"{base.rstrip('/')}/video_stats_{ts}"
     obs = Observation(f"landing_{ts}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("record_count"))
+    lines = df.select(*(escape_breaks(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns))
+    observed = lines.observe(obs, F.count(F.lit(1)).alias("record_count"))
     (observed.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     count = obs.get["record_count"]

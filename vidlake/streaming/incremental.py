@@ -3,64 +3,103 @@
 The reference relies on job bookmarks so that each run only processes newly
 landed files.  The Spark form: a file stream over the landing folder with
 ``trigger(availableNow=True)`` -- each run consumes exactly the files not yet
-recorded in the checkpoint, then stops -- and ``foreachBatch`` running the
-batch cleaning on each micro-batch.
-
-Dedup across runs: a landed file may repeat videos already in silver.  Each
-batch is cleaned (which de-duplicates within the batch) and then anti-joined
-on (video_id, publish_time) against the silver rows already written before
-appending.  A retried micro-batch finds its own committed rows and appends
-nothing, so the sink is idempotent.  (A watermark-based streaming dedup would
-drop late files carrying old videos; the anti-join does not.)
+recorded in the checkpoint, then stops -- and ``foreachBatch`` merging each
+micro-batch into silver.
+
+Silver after any number of runs equals the batch job over all landed files: a
+key's survivor is chosen by the batch rule (CLN-1) among what was landed
+before and what lands now, and only then filtered by quality.  Survivors that
+fail the filter are kept beside silver (``<silver>_rejected``), because a
+later copy of the same key must still be compared with them.
+
+A key fixes its publish time, hence its year and month, but a later copy may
+have another category; so a batch rewrites the silver months that it touches
+(matched null-safe: an unparsable time has no year) and removes category
+folders that its rows have left.  A retried micro-batch arrives at the same
+survivors, so the sink is idempotent.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vidlake.plans.silver import bronze_to_silver
-from vidlake.schemas import BRONZE_SCHEMA, SILVER_PARTITION_KEYS
+from vidlake.functions.clean import clean_and_standardize, deduplicate
+from vidlake.functions.metrics import add_derived_metrics
+from vidlake.functions.quality import DEFAULT_QUALITY_THRESHOLD, quality_filter_condition
+from vidlake.operators.joins import join_checked_broadcast
+from vidlake.plans.silver import SILVER_COLUMNS
+from vidlake.schemas import SILVER_PARTITION_KEYS
+from vidlake.session import materialize
+from vidlake.sources.files import hadoop_path, path_exists, read_bronze_csv
 from vidlake.sources.sinks import write_silver
 
-KEYS = ["video_id", "publish_time"]
+MONTH = ["publish_year", "publish_month"]
+
 
+def _of_months(table: DataFrame, months: DataFrame) -> DataFrame:
+    other = months.select(*(F.col(c).alias(f"_{c}") for c in MONTH))
+    same = F.lit(True)
+    for c in MONTH:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return join_checked_broadcast(table, other, same, "left_semi")
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+def _replace(rows: DataFrame, path: str, before: DataFrame | None) -> None:
+    """Write ``rows`` over their partitions and drop those of ``before`` that no row is left in."""
+    spark = rows.sparkSession
+    write_silver(rows, path)
+    if before is None:
+        return
+    keys = SILVER_PARTITION_KEYS
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    now = rows.select(*(F.col(c).alias(f"_{c}") for c in keys)).distinct()
+    for r in before.join(now, same, "left_anti").collect():      # partitions, not rows
+        name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if r[k] is None else r[k]}" for k in keys)
+        fs, p = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
+        fs.delete(p, True)
 
-def _existing_keys(spark: SparkSession, silver_path: str) -> DataFrame | None:
-    if not path_exists(spark, silver_path):  # first run
-        return None
-    return spark.read.parquet(silver_path).select(*KEYS, *SILVER_PARTITION_KEYS)
+
+def merge_batch(bronze: DataFrame, silver_path: str, as_of=None, threshold: float = DEFAULT_QUALITY_THRESHOLD) -> None:
+    """Merge newly landed rows into silver and the rejected survivors beside it."""
+    spark = bronze.sparkSession
+    rejected_path = f"{silver_path.rstrip('/')}_rejected"
+    new = materialize(add_derived_metrics(clean_and_standardize(bronze, as_of=as_of)).select(*SILVER_COLUMNS), "stream_new")
+    if new.isEmpty():
+        return
+    months = materialize(new.select(*MONTH).distinct(), "stream_months")
+    rows, partitions = new, {}
+    for path in (silver_path, rejected_path):
+        if path_exists(spark, path):
+            old = _of_months(spark.read.schema(new.schema).parquet(path).select(*SILVER_COLUMNS), months)
+            partitions[path] = materialize(old.select(*SILVER_PARTITION_KEYS).distinct(), "stream_partitions")
+            rows = rows.unionByName(old)
+    rows = materialize(deduplicate(rows), "stream_merged")
+    keep = F.coalesce(quality_filter_condition(threshold), F.lit(False))
+    _replace(rows.filter(keep), silver_path, partitions.get(silver_path))
+    _replace(rows.filter(~keep), rejected_path, partitions.get(rejected_path))
 
 
 def incremental_silver(spark: SparkSession, landing_dir: str, silver_path: str, checkpoint: str,
                        as_of=None, max_files_per_trigger: int | None = None):
     """Process every landed CSV not seen by ``checkpoint``; returns the query
-    after it terminated."""
-    reader = (spark.readStream.schema(BRONZE_SCHEMA).option("header", True)
-              .option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True))
+    after it terminated.  The stream only tells which files are new; their
+    rows are read by header names, as in the batch job."""
+    # Paths only: the content column is not asked for, so no file is read here.
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+              .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing_dir)
-
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        silver = bronze_to_silver(batch, as_of=as_of).persist()
-        try:
-            seen = _existing_keys(batch.sparkSession, silver_path)
-            if seen is not None:
-                # only the partitions this batch touches (bounded: days x categories)
-                parts = silver.select(*SILVER_PARTITION_KEYS).distinct()
-                seen = seen.join(parts, SILVER_PARTITION_KEYS, "left_semi").select(*KEYS)
-                silver = silver.join(seen, KEYS, "left_anti")
-            write_silver(silver, silver_path, mode="append")
-        finally:
-            silver.unpersist()
-
-    q = (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    stream = reader.load(landing_dir).select("path")
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        files = [r["path"] for r in batch.filter(F.col("path").endswith(".csv")).collect()]
+        if files:
+            merge_batch(read_bronze_csv(batch.sparkSession, sorted(files)), silver_path, as_of)
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
