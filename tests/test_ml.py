@@ -10,13 +10,24 @@ from vidlake.plans.catalog import silver_of
 def test_split_is_disjoint_complete_and_stable(spark, sf_small):
     frame = ml.training_frame(silver_of(spark, sf_small))
     parts = ml.split_frame(frame)
-    ids = [set(r.video_id for r in p.select("video_id").collect()) for p in parts]
+    ids = [set(r.video_id for r in p.select("video_id").collect()) for p in parts]   # a video stays in one split
     assert not (ids[0] & ids[1]) and not (ids[0] & ids[2]) and not (ids[1] & ids[2])
-    assert len(ids[0] | ids[1] | ids[2]) == frame.count()
+    assert sum(p.count() for p in parts) == frame.count() == silver_of(spark, sf_small).count()
+    assert 0.7 < parts[0].count() / frame.count() < 0.9
     again = ml.split_frame(frame.repartition(3))
     assert ids[1] == set(r.video_id for r in again[1].select("video_id").collect())
 
 
+def test_training_frame_keeps_one_row_per_silver_row(spark, sf_small):
+    silver = silver_of(spark, sf_small)
+    assert silver.count() > silver.select("video_id").distinct().count()      # repeated ids are there
+    frame = ml.training_frame(silver)
+    assert frame.count() == silver.count()
+    assert "Join" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    back = frame.join(silver.select("video_id", "publish_time", "views"), ["video_id", "publish_time"])
+    assert back.filter(F.col("views").cast("double") != F.col("label_views")).count() == 0
+
+
 def test_scoring_defaults(spark):
     df = spark.createDataFrame([("x", None, None, None, None, None, None, None)], ml.SCORING_INPUT_SCHEMA
                                if hasattr(ml, "SCORING_INPUT_SCHEMA") else

@@ -40,7 +40,14 @@ def test_views_predicate_pushed_to_scan(silver_table):
     assert "GreaterThanOrEqual(views,10000)" in p
 
 
-def test_trending_rank_is_range_partitioned(silver_table):
+@pytest.fixture()
+def unwritten(monkeypatch):
+    """Slices stay part of the plan instead of being written first."""
+    from vidlake.operators import ranking
+    monkeypatch.setattr(ranking, "materialize", lambda df, name: df)
+
+
+def test_trending_rank_is_range_partitioned(silver_table, unwritten):
     p = plan(gold.trending_videos(silver_table))
     assert "rangepartitioning(category_id" in p
     # an exchange keyed on the category alone (5 keys -> 5 busy tasks) may
@@ -55,7 +62,7 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.adaptive.enabled"] == "true"
 
 
-def test_feature_rows_never_shuffled_on_channel_or_channel_day(silver_table):
+def test_feature_rows_never_shuffled_on_channel_or_channel_day(silver_table, unwritten):
     # wide rows move once (row-key join); narrow rows by range / (channel, day, slice)
     from vidlake.operators.features import build_features
     p = plan(build_features(silver_table))
@@ -71,3 +78,51 @@ def test_feature_rows_never_shuffled_on_channel_or_channel_day(silver_table):
             # narrow per-video rows: by slice or by the unique row key only
             assert "_pid" in keys or "video_id" in keys, keys
     assert wide == 1
+
+
+def test_grouped_percentiles_exchange_no_rows_on_the_group_key(silver_table):
+    # bands are broadcast: only counts per (group, band, bucket) are exchanged on keys with the category
+    from vidlake.operators import ranking
+    values, integral = ranking._values(silver_table, ["category_id"], "views")
+    seen = []
+    collect = type(values).collect
+
+    def watched(df):
+        seen.append(plan(df))
+        return collect(df)
+
+    type(values).collect = watched
+    try:
+        ranking._passes(values, ["category_id"], [0.5, 0.9], integral, 8, 4096)
+    finally:
+        type(values).collect = collect
+    assert len(seen) > 2
+    for p in seen:
+        assert "SortMergeJoin" not in p and "BuildLeft" not in p
+        exch = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning", p)
+        assert exch and all("count" in cols for cols in exch)
+
+
+def test_no_text_prefix_and_no_size_switch():
+    import inspect
+
+    from vidlake.sources import adapter
+    assert "_TEXT_SPAN" not in inspect.getsource(adapter)
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from vidlake.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

@@ -160,7 +160,7 @@ def test_exact_percentile_matches_quantile_disc(spark, seed):
     con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
     for p in (0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0):
         want = con.sql(f"SELECT quantile_disc(x, {p}) FROM t").fetchall()[0][0]
-        assert exact_percentile(df, "x", p, buckets=8, band_rows=50) == want, p
+        assert exact_percentile(df, "x", p, buckets=8) == want, p
         assert exact_percentile(df, "x", p) == want, p
 
 
@@ -177,11 +177,11 @@ def test_exact_percentiles_shared_pass(spark):
     want = [con.execute(f"SELECT quantile_disc(x, {p}) FROM (SELECT unnest(?) AS x)", [vals]).fetchall()[0][0]
             for p in ps]
     assert exact_percentiles(df, "x", ps) == want
-    assert exact_percentiles(df, "x", ps, buckets=4, band_rows=30) == want
+    assert exact_percentiles(df, "x", ps, buckets=4) == want
 
 
-@pytest.mark.parametrize("buckets,band", [(1024, 200_000), (4, 20)])
-def test_grouped_percentiles_match_quantile_disc(spark, buckets, band):
+@pytest.mark.parametrize("buckets,bands", [(1024, 4096), (4, 4096), (1024, 0), (4, 0)])
+def test_grouped_percentiles_match_quantile_disc(spark, buckets, bands):
     import duckdb
 
     from vidlake.operators.ranking import grouped_percentiles
@@ -195,10 +195,30 @@ def test_grouped_percentiles_match_quantile_disc(spark, buckets, band):
     rows.append(("solo", 3))
     df = spark.createDataFrame(rows, "g string, v long")
     ps = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    got = {r.g: tuple(r[n] for n in ps) for r in grouped_percentiles(df, ["g"], "v", ps, buckets, band).collect()}
+    got = {r.g: tuple(r[n] for n in ps) for r in grouped_percentiles(df, ["g"], "v", ps, buckets, bands).collect()}
     con = duckdb.connect()
     con.execute("CREATE TABLE t (g VARCHAR, v BIGINT)")
     con.executemany("INSERT INTO t VALUES (?, ?)", rows)
     sel = ", ".join(f"quantile_disc(v, {p})" for p in ps.values())
     want = {r[0]: tuple(r[1:]) for r in con.sql(f"SELECT g, {sel} FROM t WHERE v IS NOT NULL GROUP BY g").fetchall()}
     assert got == want
+
+
+@pytest.mark.parametrize("bands", [4096, 0])
+def test_percentiles_keep_type_and_value_at_the_ends_of_a_type(spark, bands):
+    from vidlake.operators.ranking import exact_percentiles, grouped_percentiles
+
+    near = 2**60
+    for kind, values in (("long", [near + i for i in (0, 1, 3, 4)]), ("long", [-2**63, -1, 0, 2**63 - 1]),
+                         ("int", [-2**31, 5, 6, 2**31 - 1]), ("double", [-1.7e308, -0.0, 5e-324, 1.7e308]),
+                         ("double", [5e-324, 1e-323, 1.5e-323, 2e-323])):
+        df = spark.createDataFrame([("g", v) for v in values] + [("g", None)], f"g string, x {kind}")
+        assert exact_percentiles(df, "x", [0.25, 0.5, 0.75, 1.0], buckets=2) == sorted(values)
+        out = grouped_percentiles(df, ["g"], "x", {"a": 0.25, "b": 0.5, "c": 0.75, "d": 1.0}, 2, bands)
+        assert out.schema["a"].dataType == df.schema["x"].dataType
+        assert list(out.first())[1:] == sorted(values)
+    nothing = spark.createDataFrame([], "g string, x double")
+    assert exact_percentiles(nothing, "x", [0.5]) == [None]
+    assert grouped_percentiles(nothing, ["g"], "x", {"a": 0.5}, driver_bands=bands).count() == 0
+    odd = spark.createDataFrame([("g", float("nan")), ("g", 1.0)], "g string, x double")
+    assert exact_percentiles(odd, "x", [1.0]) == [1.0]

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vidlake.functions.quality import validation_report
@@ -19,7 +21,7 @@ def test_csv_with_raw_headers_and_newlines(spark, scratch):
                                "`Video ID` string, description string, `publish-time` string")
     df.write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False) \
         .option("ignoreLeadingWhiteSpace", False).csv(path)
-    back = read_bronze_csv(spark, path, schema=None)
+    back = read_bronze_csv(spark, path, schema=None, multi_line=True, escaped=False)
     assert back.columns == ["video_id", "description", "publish_time"]
     r = back.collect()[0]
     assert r.description == "line1\nline2, with comma" and r.publish_time == " padded "
@@ -81,3 +83,87 @@ def test_dynamic_partition_overwrite_keeps_other_partitions(spark, scratch):
     sinks.write_partitioned(df, path, ["k"])
     sinks.write_partitioned(spark.createDataFrame([(1, "z")], "k int, v string"), path, ["k"])
     assert sorted((r.k, r.v) for r in read_table(spark, path).collect()) == [(1, "z"), (2, "b")]
+
+
+def _rows(spark, n=3, **extra):
+    base = {c: f"{c}-{{}}" for c in BRONZE_COLUMNS}
+    return spark.createDataFrame([tuple(v.format(i) for v in base.values()) for i in range(n)], BRONZE_COLUMNS)
+
+
+def test_csv_columns_are_taken_by_name(spark, scratch):
+    path = scratch("by_name")
+    rows = _rows(spark)
+    mixed = rows.select(F.col("video_id").alias("Video ID"), F.lit("24.01.01").alias("trending_date"),
+                        *reversed([c for c in BRONZE_COLUMNS if c not in ("video_id", "thumbnail_link")]))
+    sinks.write_bronze_csv(mixed, path, run_ts="1")
+    sinks.write_bronze_csv(rows, path, run_ts="2")           # another landing with another header
+    back = read_bronze_csv(spark, path)
+    assert back.columns == BRONZE_COLUMNS and back.count() == 6
+    first = back.filter("video_id = 'video_id-0'").orderBy(F.col("thumbnail_link").asc_nulls_first()).collect()
+    assert first[0].title == first[1].title == "title-0" and first[0].views == "views-0"
+    assert first[0].thumbnail_link is None and first[1].thumbnail_link == "thumbnail_link-0"
+
+
+def test_csv_without_a_required_column_is_an_error(spark, scratch):
+    path = scratch("lacking")
+    sinks.write_bronze_csv(_rows(spark).drop("views"), path, run_ts="1")
+    with pytest.raises(ValueError, match="views"):
+        read_bronze_csv(spark, path)
+
+
+def test_csv_round_trip_of_line_breaks_and_quotes(spark, scratch):
+    path = scratch("breaks")
+    texts = ["a\nb", "\\n literal", "\\\n", 'say "x", y', "\r\n", "\\", " padded ", "tab\tü日"]
+    rows = _rows(spark, 1).drop("description").crossJoin(spark.createDataFrame([(t,) for t in texts], "description string"))
+    sinks.write_bronze_csv(rows, path, run_ts="1")
+    assert sorted(r.description for r in read_bronze_csv(spark, path).collect()) == sorted(texts)
+
+
+def test_one_large_landed_file_splits_into_tasks(spark, scratch):
+    path = scratch("large")
+    wide = spark.range(3000).select(*(F.lit("1").alias(c) for c in BRONZE_COLUMNS if c != "description"),
+                                    F.repeat(F.lit("text\n"), 200).alias("description")).coalesce(1)
+    sinks.write_bronze_csv(wide.select(*BRONZE_COLUMNS), path, run_ts="1")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))
+    try:
+        back = read_bronze_csv(spark, path)
+        assert back.rdd.getNumPartitions() > 4 and back.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_table_name_is_not_moved_silently(spark, scratch):
+    one, two = scratch("t1"), scratch("t2")
+    for p in (one, two):
+        sinks.write_partitioned(spark.createDataFrame([(1, "a")], "k int, v string"), p, ["k"])
+    sinks.register_table(spark, "moved_tbl", one)
+    sinks.register_table(spark, "moved_tbl", one)
+    with pytest.raises(ValueError, match="moved_tbl"):
+        sinks.register_table(spark, "moved_tbl", two)
+
+
+def test_stream_month_and_category_changes(spark, scratch):
+    from vidlake.streaming.incremental import incremental_silver
+    base = scratch("stream_changes")
+    row = lambda views, cat="10", title="t", time="2024-01-02T03:04:05Z": (
+        "v1", title, "c", cat, time, None, views, "1", "0", "0", None, "false", "false", "false", "d")
+
+    def land(ts, *rows):
+        sinks.write_bronze_csv(spark.createDataFrame(list(rows), ", ".join(f"{c} string" for c in BRONZE_COLUMNS)),
+                               f"{base}/landing", run_ts=ts)
+        incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of="2024-01-31")
+        return sorted((r.category_id, r.views) for r in spark.read.parquet(f"{base}/silver").collect())
+
+    assert land("1", row("100"), row("5", time="junk")) == [(10, 5), (10, 100)]
+    assert land("2", row("900", cat="20"), row("5", time="junk")) == [(10, 5), (20, 900)]
+    assert land("3", row("1000", title="")) == [(10, 5)]                  # the survivor fails the quality filter
+    assert land("4", row("950")) == [(10, 5)]                             # and still survives a lesser copy
+    assert land("5", row("2000")) == [(10, 5), (10, 2000)]
+
+
+def test_api_pages_are_bounded_whatever_the_ids(spark):
+    from vidlake.sources.api import bronze_to_api_responses
+    rows = _rows(spark, 130).withColumn("video_id", F.lit("no digits"))
+    pages = bronze_to_api_responses(rows, page_size=50).select(F.size("items").alias("n")).collect()
+    assert sum(r.n for r in pages) == 130 and max(r.n for r in pages) <= 50

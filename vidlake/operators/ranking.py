@@ -50,7 +50,10 @@ def _values(df: DataFrame, keys: list[str], column: str) -> tuple[DataFrame, boo
     kind = df.schema[column].dataType
     integral = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     x = F.col(column).cast("long") if integral else F.col(column)
-    return df.select(*keys, x.alias("_x")).filter(F.col("_x").isNotNull()), integral
+    values = df.select(*keys, x.alias("_x")).filter(F.col("_x").isNotNull())
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        values = values.filter(~F.isnan("_x"))          # not a number, like null, has no rank
+    return values, integral
 
 
 def _passes(values: DataFrame, keys: list[str], ps: list[float], integral: bool, buckets: int, most: int):
