@@ -7,9 +7,12 @@ similar sets tend to be equal, so bands of ROWS registers serve as bucket keys:
 shares none of the M / ROWS bands with a probability below 1e-7.
 
 Documents with equal sets form one class; only classes are compared.  In every bucket the classes of a round
-are compared with one centre, not with each other; then those joined already fall together, and the next round
-takes up buckets that still hold more than one component.  What is left after STAR_ROUNDS is compared pair by
-pair, but only across components.  A candidate pair is first judged from the sketches: the joint likelihood of
+are compared with one centre, not with each other: first with the class that meets most others in its buckets
+(the original of a group of copies), then with others by a hash.  Those joined already fall together, and the
+next round takes up buckets that still hold more than one component.  Classes that are still apart in a bucket
+after STAR_ROUNDS share registers without being similar, as texts with a long common passage do; pairs among
+them are found exactly by their rarest shingles: sets whose similarity reaches t share one of the first
+n - ceil(t n) + 1 shingles of each, in ascending order of frequency.  A candidate pair is first judged from the sketches: the joint likelihood of
 the numbers of greater, equal and lesser registers, given both cardinalities, rules out pairs for which a
 similarity at the threshold is out of reach; the others are confirmed on their full sets.  Links are joined to
 components by random contraction.
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,27 +77,26 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _sets(column: pa.Array, k: int):
-    """Per chunk of documents: for each its sorted distinct shingle hashes, and all shingles with their bounds."""
-    for _, _, data, offsets in chunks(column):
+    """Per chunk of documents lo..hi: for each its sorted distinct shingle hashes, and all shingles with their
+    bounds."""
+    for lo, hi, data, offsets in chunks(column):
         h, first = shingles(words_of(data, offsets), k)
-        yield [np.unique(h[a:b]) for a, b in zip(first[:-1], first[1:])], h, first
+        yield lo, hi, [np.unique(h[a:b]) for a, b in zip(first[:-1], first[1:])], h, first
 
 
 def sketches(docs: DataFrame, k: int = 4) -> DataFrame:
     """doc_id, n_shingles, set1, set2 (a 128-bit hash of the set, null for the empty set) and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, regs = [], [], [], []
-            for sets, h, first in _sets(batch.column("text"), k):
-                for s in sets:
-                    n.append(len(s))
-                    a, b = mix64(s), mix64(s ^ np.uint64(0x9E3779B97F4A7C15))
-                    one.append(int(a.sum(dtype=np.uint64).view(np.int64)) if len(s) else None)
-                    two.append(int(b.sum(dtype=np.uint64).view(np.int64)) if len(s) else None)
-                regs += [r.tobytes() for r in sketch(h, first)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "set1", "set2", "sketch"])
+            for lo, hi, sets, h, first in _sets(batch.column("text"), k):
+                one = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else None for s in sets]
+                two = [int(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)) if len(s) else None
+                       for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                     pa.array([r.tobytes() for r in sketch(h, first)], pa.binary())],
+                    ["doc_id", "n_shingles", "set1", "set2", "sketch"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set1", T.LongType()),
                            T.StructField("set2", T.LongType()), T.StructField("sketch", T.BinaryType())])
@@ -149,9 +151,12 @@ class NearDuplicates:
         keys = F.transform(F.sequence(F.lit(0), F.lit(M // ROWS - 1)),
                            lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * width + 1, F.lit(width))))
         banded = self.classes.select("class", F.explode(keys).alias("bucket"))
-        shared = (banded.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-                  .filter("lo <> hi").select("bucket"))
-        self.buckets = written(banded.join(shared, "bucket").distinct(), "nd_buckets")
+        shared = (banded.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"),
+                                               F.count(F.lit(1)).alias("size"))
+                  .filter("lo <> hi").select("bucket", "size"))
+        met = written(banded.join(shared, "bucket").distinct(), "nd_met")
+        mates = met.groupBy("class").agg(F.sum("size").alias("mates"))
+        self.buckets = written(met.select("bucket", "class").join(mates, "class"), "nd_buckets")
         self.tested: list[DataFrame] = []
         self.links: list[DataFrame] = []
 
@@ -173,29 +178,54 @@ class NearDuplicates:
             .distinct(), f"nd_likely_{name}")
         self.links.append(written(self._confirmed(likely), f"nd_links_{name}"))
 
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets reach the threshold."""
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    def _elements(self, ids: DataFrame) -> DataFrame:
+        """(doc_id, elements) of the documents with the given ids: their full sets, from their texts."""
         chosen = self.docs.select("doc_id", "text").join(small_side(written(ids, "nd_ids"), BROADCAST_IDS), "doc_id", "left_semi")
         k = self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sets = [s.view(np.int64) for part, _, _ in _sets(batch.column("text"), k) for s in part]
-                bounds = np.cumsum([0, *map(len, sets)])
-                values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))],
-                    ["doc_id", "elements"])
+                for lo, hi, sets, _, _ in _sets(batch.column("text"), k):
+                    bounds = np.cumsum([0, *map(len, sets)])
+                    values = np.concatenate(sets).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(lo, hi - lo),
+                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))], ["doc_id", "elements"])
+
+        return chosen.mapInArrow(run, T.StructType([self.docs.schema["doc_id"],
+                                                    T.StructField("elements", T.ArrayType(T.LongType()))]))
 
-        sets = written(chosen.mapInArrow(run, T.StructType([
-            self.docs.schema["doc_id"], T.StructField("elements", T.ArrayType(T.LongType()))])), "nd_sets")
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets reach the threshold."""
+        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        sets = written(self._elements(ids), "nd_sets")
         both = (pairs.join(sets.withColumnsRenamed({"doc_id": "a", "elements": "x"}), "a")
                 .join(sets.withColumnsRenamed({"doc_id": "b", "elements": "y"}), "b"))
         shared = F.size(F.array_intersect("x", "y"))
         percent = round(100 * self.threshold)
         return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
 
+    def _rare_pairs(self, left: DataFrame) -> DataFrame:
+        """Pairs (a < b) of different components among the classes in ``left`` that may reach the threshold,
+        found by shared rare shingles.  Shingles of one document only cannot be shared but count for its
+        first ones."""
+        t = self.threshold
+        ids = left.select(F.col("class").alias("doc_id"), "comp").distinct()
+        sets = self._elements(ids.select("doc_id").distinct()).withColumn("n", F.size("elements")).filter("n > 0")
+        held = written(sets.select("doc_id", "n", F.explode("elements").alias("e")).distinct(), "nd_held")
+        often = held.groupBy("e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        common = held.join(often, "e")
+        place = F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("df", "e"))
+        several = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "n"))
+        first = F.col("n") - F.ceil(t * F.col("n") - 1e-9) + 1
+        probes = written(common.withColumn("place", place + F.col("n") - several).filter(F.col("place") <= first)
+                         .join(ids, "doc_id").select("e", "doc_id", "n", "comp"), "nd_probes")
+        other = probes.withColumnsRenamed({"doc_id": "b", "n": "n_b", "comp": "comp_b"})
+        return (probes.withColumnRenamed("doc_id", "a").join(other, "e")
+                .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
+                        & (F.least("n", "n_b") >= t * F.greatest("n", "n_b") - 1e-9))
+                .select("a", "b").distinct())
+
     def _all_links(self) -> DataFrame:
         kind = self.classes.schema["class"].dataType.simpleString()
         found = self.docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
@@ -204,9 +234,10 @@ class NearDuplicates:
         return found
 
     def _unsettled(self) -> DataFrame:
-        """(bucket, class, comp) of the buckets that hold more than one component."""
+        """(bucket, class, mates, comp) of the buckets that hold more than one component."""
         comp = components(self._all_links()).withColumnRenamed("node", "class")
-        rows = (self.buckets.join(comp, "class", "left").select("bucket", "class", F.coalesce("component", "class").alias("comp")))
+        rows = self.buckets.join(comp, "class", "left").select("bucket", "class", "mates",
+                                                               F.coalesce("component", "class").alias("comp"))
         mixed = (rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .filter("lo <> hi").select("bucket"))
         return written(rows.join(mixed, "bucket"), "nd_unsettled")
@@ -217,21 +248,15 @@ class NearDuplicates:
             left = self._unsettled()
             if left.isEmpty():
                 return self._all_links()
-            centre = F.min_by(F.struct("class", "comp"), F.xxhash64("class", F.lit(r)))
-            centres = left.groupBy("bucket").agg(centre.alias("c")).select("bucket", "c.*").withColumnsRenamed(
-                {"class": "centre", "comp": "centre_comp"})
+            wish = F.struct(F.lit(0) if r else F.col("mates"), F.xxhash64("class", F.lit(r)))
+            centres = (left.groupBy("bucket").agg(F.max_by(F.struct("class", "comp"), wish).alias("c"))
+                       .select("bucket", F.col("c.class").alias("centre"), F.col("c.comp").alias("centre_comp")))
             pairs = (left.join(centres, "bucket").filter("comp <> centre_comp")
                      .select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct())
             self._judged(pairs, f"star{r}")
-        left = self._unsettled().join(self.classes.groupBy("class").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi")), "class")
-        other = left.select("bucket", F.col("class").alias("b"), F.col("comp").alias("comp_b"),
-                            F.col("n_lo").alias("lo_b"), F.col("n_hi").alias("hi_b"))
-        t = self.threshold
-        pairs = (left.withColumnRenamed("class", "a").join(other, "bucket")
-                 .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
-                         & (F.col("hi_b") >= t * F.col("n_lo") - 1e-9) & (F.col("n_hi") >= t * F.col("lo_b") - 1e-9))
-                 .select("a", "b").distinct())
-        self._judged(pairs, "rest")
+        left = self._unsettled()
+        if not left.isEmpty():
+            self._judged(self._rare_pairs(left), "rare")
         return self._all_links()
 
 
