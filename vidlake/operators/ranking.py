@@ -42,7 +42,8 @@ def _bucket(x: Column, lo: Column, hi: Column, buckets: int, integral: bool) ->
         return F.least(F.call_function("div", step, width), F.lit(buckets - 1)).cast("int")
     half = lambda c: c.cast("double") / 2  # noqa: E731  no range of doubles overflows
     width = (half(hi) - half(lo)) / buckets
-    return (F.when(width > 0, F.least(F.floor((half(x) - half(lo)) / F.when(width > 0, width)), F.lit(buckets - 1)).cast("int"))
+    number = F.floor((half(x) - half(lo)) / F.when(width > 0, width))
+    return (F.when(width > 0, F.least(number, F.lit(buckets - 1)).cast("int"))
             .otherwise(F.when(x == lo, 0).otherwise(1)))
 
 
@@ -68,26 +69,29 @@ def _passes(values: DataFrame, keys: list[str], ps: list[float], integral: bool,
             for i, p in enumerate(ps):
                 bands[tuple(r[k] for k in keys), i] = (max(1, math.ceil(p * r["n"])), r["lo"], r["hi"])
     kind = values.schema["_x"].dataType
-    band_type = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("lo", kind), T.StructField("hi", kind)]))
+    band_type = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("lo", kind),
+                                          T.StructField("hi", kind)]))
     while open_ := {b: v for b, v in bands.items() if v[1] != v[2]}:
         per_group: dict[tuple, list] = {}
         for (group, i), (_, lo, hi) in open_.items():
             per_group.setdefault(group, []).append((i, lo, hi))
         if keys:
-            table = values.sparkSession.createDataFrame(
-                [(*g, b) for g, b in per_group.items()],
-                T.StructType([*(T.StructField(f"_g_{k}", values.schema[k].dataType) for k in keys), T.StructField("_b", band_type)]))
+            fields = [T.StructField(f"_g_{k}", values.schema[k].dataType) for k in keys]
+            table = values.sparkSession.createDataFrame([(*g, b) for g, b in per_group.items()],
+                                                        T.StructType([*fields, T.StructField("_b", band_type)]))
             same = F.lit(True)
             for k in keys:
                 same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
             tagged = values.join(F.broadcast(table), same)
         else:
-            tagged = values.withColumn("_b", F.array(*(F.struct(F.lit(i).alias("i"), F.lit(lo).cast(kind).alias("lo"),
-                                                                F.lit(hi).cast(kind).alias("hi")) for i, lo, hi in per_group[()])))
+            tagged = values.withColumn("_b", F.array(*(
+                F.struct(F.lit(i).alias("i"), F.lit(lo).cast(kind).alias("lo"), F.lit(hi).cast(kind).alias("hi"))
+                for i, lo, hi in per_group[()])))
         inside = F.filter("_b", lambda b: (F.col("_x") >= b["lo"]) & (F.col("_x") <= b["hi"]))
         n = max(2, min(buckets, PASS_ROWS // len(open_)))
+        number = _bucket(F.col("_x"), F.col("_b.lo"), F.col("_b.hi"), n, integral)
         counts = (tagged.select(*keys, "_x", F.explode(inside).alias("_b"))
-                  .groupBy(*keys, F.col("_b.i").alias("i"), _bucket(F.col("_x"), F.col("_b.lo"), F.col("_b.hi"), n, integral).alias("b"))
+                  .groupBy(*keys, F.col("_b.i").alias("i"), number.alias("b"))
                   .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect())
         found: dict[tuple, list] = {}
         for r in counts:
@@ -229,7 +233,8 @@ def _table_percentiles(values: DataFrame, keys: list[str], ps: dict[str, float],
         counts = counts.withColumn("seen", F.coalesce(F.sum("c").over(before), F.lit(0)))
         bands = materialize(
             counts.filter((F.col("seen") < F.col("k")) & (F.col("seen") + F.col("c") >= F.col("k")))
-            .select(*keys, "i", (F.col("k") - F.col("seen")).alias("k"), F.col("mn").alias("lo"), F.col("mx").alias("hi")), "bands")
+            .select(*keys, "i", (F.col("k") - F.col("seen")).alias("k"), F.col("mn").alias("lo"), F.col("mx").alias("hi")),
+            "bands")
     every = done[0]
     for part in done[1:]:
         every = every.unionByName(part)

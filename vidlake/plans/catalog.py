@@ -264,7 +264,8 @@ def q_pip_recommendations(spark, sf_dir):
     configure(spark)
     base = scratch_path(spark, "recommendations_job")
     write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), f"{base}/silver")
-    posting = silver_to_gold_job(spark, f"{base}/silver", f"{base}/gold", only=["posting_time_analysis"]).outputs["posting_time_analysis"]
+    name = "posting_time_analysis"
+    posting = silver_to_gold_job(spark, f"{base}/silver", f"{base}/gold", only=[name]).outputs[name]
     out = recommendations_job(spark, posting, f"{base}/out", run_ts="fixed", generated_at=GENERATED_AT)
     schema = recommendation_bundle(read_table(spark, posting), generated_at=GENERATED_AT).schema
     return round_doubles(flat_bundle(spark.read.schema(schema).json(out.outputs["recommendations"])))
@@ -298,7 +299,8 @@ def q_stream_silver(spark, sf_dir):
     number = F.substring("video_id", 5, 20).cast("long")
     views = F.col("views").cast("long")
     changed = (bronze.filter(early)
-               .withColumn("views", F.when(number % 4 == 0, views + 900).when(number % 4 == 1, views - 1).otherwise(views).cast("string"))
+               .withColumn("views", F.when(number % 4 == 0, views + 900).when(number % 4 == 1, views - 1)
+                           .otherwise(views).cast("string"))
                .withColumn("category_id", F.when(number % 8 == 0, F.lit("10")).otherwise(F.col("category_id")))
                .withColumn("title", F.when(number % 16 == 4, F.lit("")).otherwise(F.col("title"))))
     junk = bronze.filter(early & (number % 4 == 2)).withColumn("publish_time", F.lit("yesterday"))
