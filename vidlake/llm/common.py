@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vidlake.session import configure, scratch_path
+from vidlake.session import configure
+from vidlake.session import materialize as written  # noqa: F401  the operators take it from here
 
 # Characters that separate words: space and the controls 0x09-0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,15 +31,6 @@ def crc_mod(c: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared scratch folder: cuts lineage, survives lost executors,
-    and is not computed twice."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether the frame has at most ``rows`` rows; reads no more than that."""
     return df.limit(rows + 1).count() <= rows

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vidlake.llm import fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality_model, quality_rules, url_filters
+from vidlake.llm import (fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality_model,
+                         quality_rules, url_filters)
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,7 +148,8 @@ SELECT page_id, host, path, rule, coalesce(own, verdict, 'allow') AS verdict,
 FROM judged LEFT JOIN shared USING (alias)
 """
 
-_STOPS_SQL = ", ".join(f"'{w}'" for w in sorted({*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)}))
+_STOPS_SQL = ", ".join(f"'{w}'" for w in sorted(
+    {*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)}))
 
 
 def _threshold_sql(t: quality_rules.Threshold) -> str:
@@ -201,6 +203,7 @@ WITH RECURSIVE d AS (
 ), reach(a, b) AS (
   SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
 )
-SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, doc_id = min(reach.b) AS kept
+SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id,
+  doc_id = min(reach.b) AS kept
 FROM reach JOIN d ON d.doc_id = reach.a LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
