@@ -459,6 +459,25 @@ def test_near_duplicates(spark, edge, edge_rows, none):
     assert len(whole) == 2
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_rare_shingles_alone_find_every_link(spark, monkeypatch, rounds):
+    """Texts with a long common passage share buckets without being similar; some of them are near copies."""
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
+    rng = random.Random(13)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        own = [f"o{i}x{j}" for j in range(rng.choice([6, 12, 25, 40]))]
+        rows.append((3 * i, " ".join(passage + own)))
+        if i % 4 == 0:
+            rows.append((3 * i + 1, " ".join(passage + own[:-1] + ["changed"])))
+            rows.append((3 * i + 2, " ".join(["begin"] + passage + own)))
+    expected, _ = plain_components(rows, 4, 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()} == expected
+    assert 1 < len(set(expected.values())) < len(rows)
+
+
 def test_an_id_with_several_texts_joins_their_groups(spark):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     df = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b)], "doc_id long, text string")
@@ -523,7 +542,7 @@ def test_bloom_levels():
     assert (got >= lm_score.level(counts)).all() and (got == lm_score.level(counts)).mean() > 0.9999
     assert (f.levels(h + np.uint64(1)) > 0).mean() < 1e-3
     means = lm_score.level_mean(lm_score.level(counts))
-    assert (np.abs(means - counts) <= 0.34 * counts + 1e-9).all()
+    assert (np.abs(means - counts) <= 0.5 * counts + 1e-9).all()
 
 
 @pytest.mark.parametrize("hot", [10**6, 20, 0])

@@ -11,8 +11,9 @@ are compared with one centre, not with each other: first with the class that mee
 (the original of a group of copies), then with others by a hash.  Those joined already fall together, and the
 next round takes up buckets that still hold more than one component.  Classes that are still apart in a bucket
 after STAR_ROUNDS share registers without being similar, as texts with a long common passage do; pairs among
-them are found exactly by their rarest shingles: sets whose similarity reaches t share one of the first
-n - ceil(t n) + 1 shingles of each, in ascending order of frequency.  A candidate pair is first judged from the sketches: the joint likelihood of
+them are found exactly by their rarest shingles: sets of n and m shingles whose similarity reaches t share at least
+t (n + m) / (1 + t), so in ascending order of frequency the first one they share must have that many from its
+place on in each.  A candidate pair is first judged from the sketches: the joint likelihood of
 the numbers of greater, equal and lesser registers, given both cardinalities, rules out pairs for which a
 similarity at the threshold is out of reach; the others are confirmed on their full sets.  Links are joined to
 components by random contraction.
@@ -35,11 +36,11 @@ from pyspark.sql import types as T
 
 from vidlake.llm.common import small_side, written
 from vidlake.llm.components import components
-from vidlake.llm.textscan import chunks, mix64, shingles, words_of
+from vidlake.llm.textscan import chunks, mix64, shingles, slices, words_of
 
 M, ROWS = 128, 4
 B, RATE, Q = 1.001, 20.0, 2**16 - 2
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 # A pair is ruled out by its sketches only if its likelihood ratio against the threshold exceeds this
 # (twice the log; 36 is six standard deviations).
 RULED_OUT = 36.0
@@ -87,7 +88,7 @@ def _sets(column: pa.Array, k: int):
 def sketches(docs: DataFrame, k: int = 4) -> DataFrame:
     """doc_id, n_shingles, set1, set2 (a 128-bit hash of the set, null for the empty set) and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for lo, hi, sets, h, first in _sets(batch.column("text"), k):
                 one = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else None for s in sets]
                 two = [int(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)) if len(s) else None
@@ -184,7 +185,7 @@ class NearDuplicates:
         k = self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 for lo, hi, sets, _, _ in _sets(batch.column("text"), k):
                     bounds = np.cumsum([0, *map(len, sets)])
                     values = np.concatenate(sets).view(np.int64)
@@ -219,11 +220,14 @@ class NearDuplicates:
         several = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "n"))
         first = F.col("n") - F.ceil(t * F.col("n") - 1e-9) + 1
         probes = written(common.withColumn("place", place + F.col("n") - several).filter(F.col("place") <= first)
-                         .join(ids, "doc_id").select("e", "doc_id", "n", "comp"), "nd_probes")
-        other = probes.withColumnsRenamed({"doc_id": "b", "n": "n_b", "comp": "comp_b"})
+                         .join(ids, "doc_id").select("e", "doc_id", "n", "comp", "place"), "nd_probes")
+        other = probes.withColumnsRenamed({"doc_id": "b", "n": "n_b", "comp": "comp_b", "place": "place_b"})
+        # The first shingle that a pair shares, in that order, leaves room for all that it must share.
+        room = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1
         return (probes.withColumnRenamed("doc_id", "a").join(other, "e")
                 .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
-                        & (F.least("n", "n_b") >= t * F.greatest("n", "n_b") - 1e-9))
+                        & (F.least("n", "n_b") >= t * F.greatest("n", "n_b") - 1e-9)
+                        & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("n_b")) - 1e-9)))
                 .select("a", "b").distinct())
 
     def _all_links(self) -> DataFrame:

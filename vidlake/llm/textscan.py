@@ -28,6 +28,15 @@ _PLACE_CODE = _RANDOM.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) +
 _GRAM_CODE = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what a worker builds from one stays small; Arrow's freed memory goes
+    back to the system at the end, as an idle worker would keep it."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (the public splitmix64 step)."""
     x = x.astype(np.uint64, copy=True)
