@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from vidlake.llm import language_id, line_dedup, mixing, near_dup, packing
-from vidlake.llm.common import crc_mod, small_side, table, written
+from vidlake.llm.common import bounded_batches, crc_mod, small_side, table, written
 
 # Ids of dropped copies that are sent to every worker at most; beyond, documents are joined with them.
 BROADCAST_IDS = 500_000
@@ -19,12 +19,14 @@ BROADCAST_IDS = 500_000
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no letter) go."""
+    bounded_batches(spark)
     told = language_id.identify_learning(docs, crc_mod(F.col("doc_id"), 4) != 2, docs.columns, ("_lang_pred", "_lang_score"))
     return told.filter(F.col("_lang_pred") != "und").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; n_chars follows the text."""
+    bounded_batches(spark)
     kept = line_dedup.dedup_lines(docs, min_docs=10, n_lines="_n_lines", n_dropped="_n_dropped")
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -34,6 +36,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one of the least doc_id.  Rows that repeat a doc_id
     are one document; of rows without doc_id one of each equal text stays."""
+    bounded_batches(spark)
     found = written(near_dup.near_duplicates(docs, k=5, threshold=0.8).filter("doc_id is not null")
                     .select("doc_id", "kept"), "pipeline_kept")
     gone = found.filter(~F.col("kept")).select("doc_id").distinct()
@@ -56,6 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 tokens, with the mixture's order of the sequences where the
     documents come from files (their order is the mixture's)."""
+    bounded_batches(spark)
     try:
         ordered = docs.select("doc_id", "text", F.concat_ws(
             ":", "_metadata.file_name", F.lpad(F.col("_metadata.row_index").cast("string"), 15, "0")).alias("_order"))

@@ -16,8 +16,19 @@ BLANK_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows and bytes that go to a Python worker at once: whole texts can be long, and both sides hold a batch.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep what passes between executors and their Python workers small, whatever the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

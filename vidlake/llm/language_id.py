@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidlake.llm.textscan import chunks
+from vidlake.llm.textscan import chunks, slices
 
 PROFILE = 300
-_CHUNK = 2 << 20
+_CHUNK = 1 << 18    # bytes of text at a time; a letter takes about 200 bytes in the arrays of a chunk
 _PAD = 1            # code of the word boundary; 0 fills the front of shorter n-grams
 _BITS = 21          # a code point has 21 bits, so three pack into one signed 64-bit integer
 
@@ -94,7 +94,7 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     letters, found = _Letters(), {}
-    for batch in batches:
+    for batch in slices(batches):
         langs = batch.column("lang").to_pylist()
         for lo, hi, data, offsets in chunks(batch.column("text"), _CHUNK):
             c1, c2, c3, of = _grams(letters, data, offsets)
@@ -181,7 +181,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: Sequence[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _Letters()
-        for batch in batches:
+        for batch in slices(batches):
             pred, score = [], [np.zeros(0)]
             for _, _, data, offsets in chunks(batch.column("text"), _CHUNK):
                 b, s = _identify(letters, names, grams, ranks, size, data, offsets)

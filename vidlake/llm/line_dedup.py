@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlake.llm.common import BLANKS, at_most, written
+from vidlake.llm.textscan import slices
 from vidlake.session import scratch_path
 
 _STRIP = BLANKS.encode()
@@ -47,7 +48,7 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
 
 def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(batch, h1, h2, n): documents of this Arrow batch per distinct line key."""
-    for rows in batches:
+    for rows in slices(batches, 5000):
         counts: dict[tuple[int, bytes], int] = {}
         for which, text in zip(rows.column("batch").to_pylist(), _texts(rows.column("text"))):
             for d in {_digest(line) for line in text.split(b"\n")}:
@@ -138,7 +139,7 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, n_lines: str = "n_lines", n
         keys = frozenset(struct.pack("<qq", r.h1, r.h2) for r in frequent.collect())
 
         def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in batches:
+            for rows in slices(batches):
                 yield rebuilt(rows, [_kept(t, lambda _, line: _digest(line) in keys) for t in _texts(rows.column("text"))])
 
         return docs.mapInArrow(by_key, schema)
@@ -153,7 +154,7 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, n_lines: str = "n_lines", n
                                              ["row", "place", "h1", "h2"])
 
     def by_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             hits = [frozenset(x or ()) for x in rows.column("_gone").to_pylist()]
             yield rebuilt(rows, [_kept(t, lambda i, _, g=g: i in g) for t, g in zip(_texts(rows.column("text")), hits)])
 

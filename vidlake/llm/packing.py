@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlake.llm.common import numbered, written
+from vidlake.llm.textscan import slices
 
 CAPACITY = 1024
 CLOSE = 2
@@ -84,7 +85,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(ranks, reserve)
-        for batch in batches:
+        for batch in slices(batches):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for k, text in enumerate(batch.column("text")):
                 tokens = encode(text.as_py() or "")

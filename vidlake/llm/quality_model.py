@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlake.llm.common import written
-from vidlake.llm.textscan import _GRAM_CODE, chunks, words_of
+from vidlake.llm.textscan import _GRAM_CODE, chunks, slices, words_of
 
 FEATURES = (
     "log_bytes", "log_words", "mean_word", "sd_word", "longest_word", "distinct_words", "top_word", "word_repeats_last",
@@ -103,7 +103,7 @@ def statistics_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns with ``stats``, the array of FEATURES of the whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [statistics_of(data, offsets) for _, _, data, offsets in chunks(batch.column("_text"))]
             flat = np.concatenate(rows) if rows else np.zeros((0, len(FEATURES)))
             stats = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * len(FEATURES), pa.int32()),
@@ -199,7 +199,7 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", sample_ro
 def score(stats: DataFrame, model: Trees | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns with ``score``, the probability of label 1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array(batch.column("stats").flatten()).reshape(-1, len(FEATURES))
             s = model.score(x) if model else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(s)], [*keep, "score"])
