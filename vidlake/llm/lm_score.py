@@ -2,8 +2,8 @@
 
 Tokens are the A-Z-lower-cased words of a text and one end.  Counts of words and of pairs of neighbouring
 tokens are quantised on a log scale, level(c) = 1 + floor(log_BASE c), and an n-gram is entered in the filter
-once per level from 1 to its own; its level is found again by probing 1, 2, ... until one is missing, and a
-level stands for the mean of the counts it covers.  The filter is made of segments, one per range of n-gram
+once per level from 1 to its own; its level is found again by probing 1, 2, 4, ... until one is missing and
+halving the gap, and a level stands for the mean of the counts it covers.  The filter is made of segments, one per range of n-gram
 hashes; a segment is counted and built in one task from packed sorted hashes, so no task sees more than its
 range.  The finished filter is broadcast; its size is bounded by ``max_bytes``: if all n-grams need more at
 the wanted error rate, pairs of the lowest counts are left out first, then words (their probability then comes
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidlake.llm.common import written
-from vidlake.llm.textscan import Words, chunks, mix64, words_of
+from vidlake.llm.textscan import Words, chunks, mix64, slices, words_of
 
-BASE = 1.5
+BASE = 2.0
 PAIRS = 0.3                   # weight of the pair in a token's probability
 MIN_PAIR = 2                  # pairs seen once are left to smoothing
 ERROR_BITS = 17               # a missing n-gram is found by mistake once in 2^17 probes
@@ -85,7 +85,7 @@ def level_mean(levels: np.ndarray, least: int = 1) -> np.ndarray:
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) per chunk of documents, and a null word for the number of documents."""
-    for batch in batches:
+    for batch in slices(batches):
         for lo, hi, data, offsets in chunks(batch.column("text")):
             w = words_of(data, offsets)
             h, at, n = np.unique(w.hashes(), return_index=True, return_counts=True)
@@ -114,12 +114,12 @@ def _segment_rows(segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {WORD: [], PAIR: []}
-        for batch in batches:
+        for batch in slices(batches):
             for _, _, data, offsets in chunks(batch.column("text")):
                 t, first = tokens_of(words_of(data, offsets))
                 for kind, h in ((WORD, t), (PAIR, pairs_of(t, first))):
                     held[kind].append(_counted(h))
-                    if sum(len(p[0]) for p in held[kind]) > 2_000_000:
+                    if sum(len(p[0]) for p in held[kind]) > 1_000_000:
                         yield packed(kind, held[kind])
                         held[kind] = []
         for kind, parts in held.items():
@@ -154,7 +154,7 @@ class LogBloom:
     words: np.ndarray        # uint64 words of all segments
     begin: np.ndarray        # first word of each segment; one more entry than segments
 
-    def _has(self, h: np.ndarray, lev: int) -> np.ndarray:
+    def _has(self, h: np.ndarray, lev) -> np.ndarray:
         seg = _segment(h, len(self.begin) - 1)
         bits = ((self.begin[seg + 1] - self.begin[seg]) * 64).astype(np.uint64)
         alive = np.flatnonzero(bits > 0)
@@ -171,15 +171,21 @@ class LogBloom:
         return found
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), np.int64)
-        alive, lev = np.arange(len(h)), 1
-        while len(alive):
-            alive = alive[self._has(h[alive], lev)]
-            out[alive] = lev
-            lev += 1
-            if lev > 200:
-                break
-        return out
+        """The highest level present: all below it are present too."""
+        low, high = np.zeros(len(h), np.int64), np.full(len(h), 256)
+        todo, lev = np.arange(len(h)), 1
+        while len(todo) and lev < 256:
+            there = self._has(h[todo], lev)
+            high[todo[~there]] = lev
+            todo = todo[there]
+            low[todo] = lev
+            lev *= 2
+        while len(todo := np.flatnonzero(high - low > 1)):
+            middle = (low[todo] + high[todo]) // 2
+            there = self._has(h[todo], middle)
+            low[todo[there]] = middle[there]
+            high[todo[~there]] = middle[~there]
+        return low
 
 
 def _probe_hashes(h: np.ndarray, lev) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +194,8 @@ def _probe_hashes(h: np.ndarray, lev) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _place(a: np.ndarray, b: np.ndarray, i: int, bits: np.ndarray) -> np.ndarray:
-    return ((a + np.uint64(i) * b) >> np.uint64(16)) % bits
+    # The upper half of the hash, scaled to the segment's bits (fewer than 2^32).
+    return ((a + np.uint64(i) * b) >> np.uint64(32)) * bits >> np.uint64(32)
 
 
 def build_segment(h: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
@@ -235,20 +242,47 @@ class Model:
     def count(self, kind: int, h: np.ndarray) -> np.ndarray:
         return level_mean(self.filters[kind].levels(h), self.least[kind])
 
+
+class Scorer:
+    """Scores chunks with a model; remembers the counts of words met before in the same task."""
+
+    REMEMBERED = 500_000
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.words, self.counts = np.zeros(0, np.uint64), np.zeros(0)
+
+    def _word_counts(self, word: np.ndarray) -> np.ndarray:
+        """Counts of sorted distinct word hashes."""
+        at = np.minimum(np.searchsorted(self.words, word), max(len(self.words) - 1, 0))
+        known = self.words[at] == word if len(self.words) else np.zeros(len(word), bool)
+        new = word[~known]
+        found = self.model.count(WORD, new)
+        out = np.empty(len(word))
+        out[known], out[~known] = self.counts[at[known]], found
+        if len(self.words) + len(new) > self.REMEMBERED:
+            self.words, self.counts = np.zeros(0, np.uint64), np.zeros(0)
+        place = np.searchsorted(self.words, new)
+        self.words, self.counts = np.insert(self.words, place, new), np.insert(self.counts, place, found)
+        return out
+
     def log10(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of every document of a chunk (each has at least its end)."""
-        if not self.n:
+        m = self.model
+        if not m.n:
             return np.zeros(len(first) - 1)
         word, at = np.unique(tokens, return_inverse=True)
-        c = self.count(WORD, word)
-        pair, pair_at = np.unique(pairs_of(tokens, first), return_inverse=True)
-        both = self.count(PAIR, pair)[pair_at]
-        own = c[at]
+        own = self._word_counts(word)[at]
         before = np.empty(len(tokens))
         before[1:] = own[:-1]
-        before[first[:-1]] = self.docs
-        both = np.minimum(both, np.minimum(before, own))   # a pair is no more frequent than its parts
-        alone = (own + 1) / (self.n + self.v + 1)
+        before[first[:-1]] = m.docs
+        # A pair is no more frequent than its parts, so pairs with a rare part need no probe.
+        most = np.minimum(before, own)
+        asked = np.flatnonzero(most >= m.least[PAIR])
+        pair, pair_at = np.unique(pairs_of(tokens, first)[asked], return_inverse=True)
+        both = np.zeros(len(tokens))
+        both[asked] = np.minimum(m.count(PAIR, pair)[pair_at], most[asked])
+        alone = (own + 1) / (m.n + m.v + 1)
         p = np.where(before > 0, PAIRS * both / np.maximum(before, 1) + (1 - PAIRS) * alone, alone)
         return np.add.reduceat(np.log10(p), first[:-1])
 
@@ -316,7 +350,7 @@ def _hot_least(counts: DataFrame, most: int) -> int:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for lo, hi, data, offsets in chunks(batch.column("word")):
             h = words_of(data, offsets).hashes()
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("n").slice(lo, hi - lo)], ["h", "n"])
@@ -327,9 +361,10 @@ def _scored(model, hot, keep: list[str]):
         from pyspark import TaskContext
 
         m, (hot_hash, hot_n) = model.value, hot.value
+        scorer = Scorer(m)
         floor = np.log10(1 / (m.n + m.v + 1)) if m.n else 0.0
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 w = words_of(data, offsets)
                 h = w.hashes()
@@ -354,7 +389,7 @@ def _scored(model, hot, keep: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, hi - lo) for c in keep]
                     + [pa.array(row + np.arange(hi - lo)), pa.array(np.diff(first)), pa.array(n_known), pa.array(base),
-                       pa.array(m.log10(tokens, first)), cold],
+                       pa.array(scorer.log10(tokens, first)), cold],
                     [*keep, "row", "n_tokens", "hot_known", "hot_base", "score", "cold"])
                 row += hi - lo
     return run
