@@ -484,6 +484,28 @@ def test_an_id_with_several_texts_joins_their_groups(spark):
     assert {(r.doc_id, r.component_id) for r in near_dup.near_duplicates(df).collect()} == {(3, 3), (5, 3), (9, 3)}
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_a_text_and_its_continuation_at_the_threshold_are_linked(spark, monkeypatch, rounds):
+    """Sizes exactly 4:5, the smaller set inside the larger: similarity exactly 0.80."""
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
+    rows = []
+    for n, m in ((4, 5), (80, 100), (400, 500), (79, 100), (399, 500)):
+        for i in range(3):
+            text = [f"t{n}x{m}x{i}x{j}" for j in range(m + 3)]
+            rows += [(len(rows), " ".join(text[:n + 3])), (len(rows) + 1, " ".join(text))]
+    expected, _ = plain_components(rows, 4, 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()} == expected
+    assert len(set(expected.values())) == len(rows) - 9
+
+
+def test_a_similarity_just_over_the_threshold_is_never_ruled_out():
+    """All but containment: one register shows what the smaller set has for itself."""
+    _, against = near_dup.likely_jaccard(np.array([805.0, 4.0]), np.array([1000.0, 5.0]), np.array([1.0, 0.0]),
+                                         np.array([25.0, 26.0]), 0.8)
+    assert (against <= near_dup.RULED_OUT).all()
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)

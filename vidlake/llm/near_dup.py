@@ -44,6 +44,8 @@ STAR_ROUNDS = 1
 # A pair is ruled out by its sketches only if its likelihood ratio against the threshold exceeds this
 # (twice the log; 36 is six standard deviations).
 RULED_OUT = 36.0
+# Allowance for rounding where a similarity or a size stands exactly at the threshold.
+ROUNDING = 1e-9
 # Ids that are sent to every worker at most when texts of candidates are read again; beyond, they are joined.
 BROADCAST_IDS = 500_000
 
@@ -109,8 +111,9 @@ def likely_jaccard(n_a: np.ndarray, n_b: np.ndarray, more: np.ndarray, less: np.
     """(most likely similarity, twice the log-likelihood ratio of it against the best one at or above the
     threshold) from the numbers of registers in which a exceeds b (``more``) and falls short of it (``less``)."""
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    top = np.minimum(u / v, v / u)
-    grid = np.linspace(0, 1, steps + 1)[None, :] * top[:, None]
+    top = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
+    # The threshold itself (or what the sizes allow, if that is all but the threshold) is always judged.
+    grid = np.column_stack([np.linspace(0, 1, steps + 1)[None, :] * top[:, None], np.minimum(top, threshold)])
     # Probability that a register of one set exceeds that of the other, for x the share of the former's own elements.
     p = lambda x: -np.log1p(-np.clip(x, 0, 1) * (B - 1) / B) / np.log(B)
     up, down = p(u[:, None] - v[:, None] * grid), p(v[:, None] - u[:, None] * grid)
@@ -118,7 +121,7 @@ def likely_jaccard(n_a: np.ndarray, n_b: np.ndarray, more: np.ndarray, less: np.
     ll = (more[:, None] * np.log(np.maximum(up, tiny)) + less[:, None] * np.log(np.maximum(down, tiny))
           + (M - more - less)[:, None] * np.log(np.maximum(1 - up - down, tiny)))
     best = ll.argmax(1)
-    above = np.where(grid >= threshold, ll, -np.inf).max(1)
+    above = np.where(grid >= threshold - ROUNDING, ll, -np.inf).max(1)
     return grid[np.arange(len(best)), best], 2 * (ll.max(1) - above)
 
 
@@ -131,7 +134,7 @@ def _plausible(threshold: float):
             b = np.frombuffer(b"".join(p["sketch_b"]), np.uint16).reshape(-1, M)
             est, against = likely_jaccard(p["n_a"].to_numpy(float), p["n_b"].to_numpy(float), (a > b).sum(1).astype(float),
                                           (a < b).sum(1).astype(float), threshold)
-            yield p.loc[(est >= threshold) | (against <= RULED_OUT), ["a", "b"]]
+            yield p.loc[(est >= threshold - ROUNDING) | (against <= RULED_OUT), ["a", "b"]]
     return run
 
 
