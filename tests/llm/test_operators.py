@@ -590,6 +590,16 @@ def test_lm_score(spark, edge, edge_rows, none, hot):
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in empty} == {(0, 0, 0.0, 0.0)}
 
 
+def test_lm_score_is_the_same_when_the_filter_exceeds_its_bound(spark, edge):
+    learns = common.crc_mod(F.col("doc_id"), 7) != 2
+    plain = lambda df: sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score)
+                               for r in df.collect()))
+    got, expected = (plain(lm_score.score(edge, learns, max_bytes=b)) for b in (1, lm_score.MAX_BYTES))
+    assert len(got) == len(expected)
+    for a, b in zip(got, expected):
+        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12, atol=1e-9)
+
+
 def test_lm_filter_respects_its_bound(spark, edge):
     n = edge.count() * 100
     whole, least = lm_score.filters_of(edge, n)

@@ -5,9 +5,9 @@ tokens are quantised on a log scale, level(c) = 1 + floor(log_BASE c), and an n-
 once per level from 1 to its own; its level is found again by probing 1, 2, 4, ... until one is missing and
 halving the gap, and a level stands for the mean of the counts it covers.  The filter is made of segments, one per range of n-gram
 hashes; a segment is counted and built in one task from packed sorted hashes, so no task sees more than its
-range.  The finished filter is broadcast; its size is bounded by ``max_bytes``: if all n-grams need more at
-the wanted error rate, pairs of the lowest counts are left out first, then words (their probability then comes
-from smoothing alone).
+range.  A filter of at most ``max_bytes`` is broadcast.  A larger one stays a table: the distinct n-grams of each
+chunk of texts go to their segments by a shuffle, are probed there, and their levels go back to the chunk, so all
+n-grams count at every size and the scores are the same both ways.
 
 The probability of a token w after v interpolates the pair with the token alone, PAIRS c(vw) / c(v) +
 (1 - PAIRS) p(w) with p(w) = (c(w) + 1) / (N + V + 1), and is p(w) after an unknown v.  The exact base score
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ PAIRS = 0.3                   # weight of the pair in a token's probability
 MIN_PAIR = 2                  # pairs seen once are left to smoothing
 ERROR_BITS = 17               # a missing n-gram is found by mistake once in 2^17 probes
 BITS_PER_ENTRY = ERROR_BITS / np.log(2)
-MAX_BYTES = 256 << 20
+MAX_BYTES = 256 << 20         # of a filter that is broadcast
 HOT_WORDS = 250_000           # words whose exact counts are broadcast
 SEGMENT_TOKENS = 2 << 20      # training tokens per segment of the filter
 
@@ -188,6 +189,17 @@ class LogBloom:
         return low
 
 
+@dataclass
+class Levels:
+    """Levels found before, by sorted hashes; knows those only."""
+
+    hashes: np.ndarray
+    found: np.ndarray
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.hashes, h)].astype(np.int64)
+
+
 def _probe_hashes(h: np.ndarray, lev) -> tuple[np.ndarray, np.ndarray]:
     a = mix64(h + np.asarray(lev, np.uint64).reshape(-1) * _LEVEL)
     return a, mix64(a ^ _SECOND) | np.uint64(1)
@@ -233,7 +245,7 @@ def _built(least: dict[int, int]):
 class Model:
     """What scoring needs: the two filters with the least counts they hold, N, V and the number of documents."""
 
-    filters: dict[int, LogBloom]
+    filters: dict[int, LogBloom | Levels]
     least: dict[int, int]
     n: int
     v: int
@@ -293,27 +305,40 @@ def word_counts(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def filters_of(docs: DataFrame, n: int, max_bytes: int = MAX_BYTES) -> tuple[dict[int, LogBloom], dict[int, int]]:
-    """The filters of words and pairs of ``docs`` (with ``n`` tokens) and the least counts they hold."""
-    segments = max(16, -(-n // SEGMENT_TOKENS))
-    least = {WORD: 1, PAIR: MIN_PAIR}
-    schema = "kind int, segment int, bits binary, sizes array<long>"
-    while True:
-        rows = (docs.select("text").mapInArrow(_segment_rows(segments),
-                                               "kind int, segment int, once binary, often binary, counts binary")
-                .groupBy("kind", "segment").applyInArrow(_built(dict(least)), schema))
-        rows = written(rows, "lm_filter")
-        size = rows.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
-        if size <= max_bytes:
-            break
-        _raise_least(rows, least, max_bytes, size)
+def filter_table(docs: DataFrame, segments: int, least: dict[int, int]) -> tuple[DataFrame, int]:
+    """The segments of the filters of words and pairs of ``docs``, written, and their bytes in all."""
+    rows = (docs.select("text").mapInArrow(_segment_rows(segments),
+                                           "kind int, segment int, once binary, often binary, counts binary")
+            .groupBy("kind", "segment").applyInArrow(_built(dict(least)), "kind int, segment int, bits binary, sizes array<long>"))
+    rows = written(rows, "lm_filter")
+    return rows, rows.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
+
+
+def segments_for(n: int) -> int:
+    return max(16, -(-n // SEGMENT_TOKENS))
+
+
+def gathered(rows: DataFrame, segments: int) -> dict[int, LogBloom]:
+    """The filters of a table of segments, on the driver."""
     filters = {}
     for kind in (WORD, PAIR):
         parts = {r["segment"]: np.frombuffer(r["bits"], np.uint64)
                  for r in rows.filter(F.col("kind") == kind).select("segment", "bits").toLocalIterator()}
         whole = [parts.get(s, np.zeros(0, np.uint64)) for s in range(segments)]
         filters[kind] = LogBloom(np.concatenate(whole), np.cumsum([0, *map(len, whole)]))
-    return filters, least
+    return filters
+
+
+def filters_of(docs: DataFrame, n: int, max_bytes: int = MAX_BYTES) -> tuple[dict[int, LogBloom], dict[int, int]]:
+    """Filters of words and pairs of ``docs`` (with ``n`` tokens) that are held to ``max_bytes`` by leaving out the
+    rarest n-grams, and the least counts they hold; ``score`` leaves out none."""
+    segments = segments_for(n)
+    least = {WORD: 1, PAIR: MIN_PAIR}
+    while True:
+        rows, size = filter_table(docs, segments, least)
+        if size <= max_bytes:
+            return gathered(rows, segments), least
+        _raise_least(rows, least, max_bytes, size)
 
 
 def _raise_least(rows: DataFrame, least: dict[int, int], max_bytes: int, size: int) -> None:
@@ -356,7 +381,8 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("n").slice(lo, hi - lo)], ["h", "n"])
 
 
-def _scored(model, hot, keep: list[str]):
+def _scored(model, hot, keep: list[str], apart: bool):
+    """``apart``: the score is left open, and the text goes along with the number of its chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -386,15 +412,80 @@ def _scored(model, hot, keep: list[str]):
                 bounds = np.searchsorted(doc[rare[head]], np.arange(hi - lo + 1))
                 cold = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(
                     [pa.array(w.strings(rare[head]), pa.string()), pa.array(times, pa.int64())], ["word", "times"]))
+                last = ([pa.array(np.full(hi - lo, row)), batch.column("text").slice(lo, hi - lo)] if apart
+                        else [pa.array(scorer.log10(tokens, first))])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, hi - lo) for c in keep]
                     + [pa.array(row + np.arange(hi - lo)), pa.array(np.diff(first)), pa.array(n_known), pa.array(base),
-                       pa.array(scorer.log10(tokens, first)), cold],
-                    [*keep, "row", "n_tokens", "hot_known", "hot_base", "score", "cold"])
+                       cold, *last],
+                    [*keep, "row", "n_tokens", "hot_known", "hot_base", "cold", *(["chunk", "_text"] if apart else ["score"])])
                 row += hi - lo
     return run
 
 
+def _asked(segments: int, parts: int):
+    """(chunk, kind, segment, part, hashes): the distinct n-grams of a chunk of texts by segment."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            chunk = batch.column("chunk").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = int(mix64(chunk[a:a + 1].view(np.uint64))[0] % np.uint64(parts)) if a < b else 0
+                for _, _, data, offsets in chunks(batch.column("_text").slice(a, b - a)):
+                    t, first = tokens_of(words_of(data, offsets))
+                    rows = []
+                    for kind, h in ((WORD, np.unique(t)), (PAIR, np.unique(pairs_of(t, first)))):
+                        cut = np.searchsorted(_segment(h, segments), np.arange(segments + 1))
+                        rows += [(kind, s, h[cut[s]:cut[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(cut)).tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(chunk[a])] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
+                         pa.array([r[1] for r in rows], pa.int32()), pa.array([part] * len(rows), pa.int32()),
+                         pa.array([r[2] for r in rows], pa.binary())], ["chunk", "kind", "segment", "part", "hashes"])
+    return run
+
+
+def _probed(asked: pa.Table, segment: pa.Table) -> pa.Table:
+    """(chunk, kind, hashes, levels) of what is asked of one segment."""
+    bits = np.frombuffer(b"".join(segment.column("bits").to_pylist()), np.uint64)
+    bloom = LogBloom(bits, np.array([0, len(bits)]))
+    levels: list[bytes] = []
+    for batch in asked.select(["hashes"]).to_batches(max_chunksize=1000):
+        hashes = [np.frombuffer(x, np.uint64) for x in batch.column(0).to_pylist()]
+        found = bloom.levels(np.concatenate(hashes)).astype(np.uint8)
+        levels += [x.tobytes() for x in np.split(found, np.cumsum([len(x) for x in hashes])[:-1])]
+    return asked.select(["chunk", "kind", "hashes"]).append_column("levels", pa.array(levels, pa.binary()))
+
+
+def _scored_chunk(n: int, v: int, n_docs: int, least: dict[int, int]):
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        filters = {}
+        for kind in (WORD, PAIR):
+            mine = found.filter(pc.equal(found.column("kind"), kind))
+            h = np.frombuffer(b"".join(mine.column("hashes").to_pylist()), np.uint64)
+            h, at = np.unique(h, return_index=True)
+            filters[kind] = Levels(h, np.frombuffer(b"".join(mine.column("levels").to_pylist()), np.uint8)[at])
+        scorer = Scorer(Model(filters, least, n, v, n_docs))
+        scores = [scorer.log10(*tokens_of(words_of(data, offsets))) for _, _, data, offsets in chunks(texts.column("_text"))]
+        return pa.table({"row": texts.column("row"), "score": pa.array(np.concatenate([*scores, np.zeros(0)]))})
+    return run
+
+
+def _scores_by_segments(rows: DataFrame, bits: DataFrame, segments: int, least: dict[int, int], n: int, v: int,
+                        n_docs: int) -> DataFrame:
+    """(row, score) of ``rows`` (chunk, row, _text), with the filter left where it is.  Segments are sized by the
+    training tokens; where far more are scored, what is asked of a segment is dealt to several parts."""
+    tokens = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    parts = max(1, -(-tokens // (2 * segments * SEGMENT_TOKENS)))
+    keys = ["kind", "segment", "part"]
+    asked = rows.select("chunk", "_text").mapInArrow(
+        _asked(segments, parts), "chunk long, kind int, segment int, part int, hashes binary")
+    held = bits.select("kind", "segment", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "bits")
+    found = (asked.groupBy(*keys).cogroup(held.groupBy(*keys))
+             .applyInArrow(_probed, "chunk long, kind int, hashes binary, levels binary"))
+    return (rows.select("chunk", "row", "_text").groupBy("chunk").cogroup(found.groupBy("chunk"))
+            .applyInArrow(_scored_chunk(n, v, n_docs, least), "row long, score double"))
+
+
 def score(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",), max_bytes: int = MAX_BYTES,
           hot_words: int = HOT_WORDS) -> DataFrame:
     """The ``keep`` columns with n_tokens, n_known, train_tokens, base_score and score of every whole text; learned
@@ -410,17 +501,22 @@ def score(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",),
     h = np.asarray(hot_rows.column("h")).view(np.uint64)
     order = np.argsort(h)
     hot = sc.broadcast((h[order], np.asarray(hot_rows.column("n")).astype(np.float64)[order]))
-    filters, kept = filters_of(train, n, max_bytes)
-    model = sc.broadcast(Model(filters, kept, n, v, n_docs))
+    segments, kept = segments_for(n), {WORD: 1, PAIR: MIN_PAIR}
+    bits, size = filter_table(train, segments, kept)
+    apart = size > max_bytes
+    model = sc.broadcast(Model({} if apart else gathered(bits, segments), kept, n, v, n_docs))
     source = docs.select(*keep, "text")
     schema = T.StructType([*docs.select(*keep).schema.fields]).add("row", "long").add("n_tokens", "long").add(
-        "hot_known", "long").add("hot_base", "double").add("score", "double").add(
+        "hot_known", "long").add("hot_base", "double").add(
         "cold", T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.LongType())])))
-    rows = written(source.mapInArrow(_scored(model, hot, list(keep)), schema), "lm_rows")
+    schema = schema.add("chunk", "long").add("_text", "string") if apart else schema.add("score", "double")
+    rows = written(source.mapInArrow(_scored(model, hot, list(keep), apart), schema), "lm_rows")
     rare = (rows.select("row", F.inline("cold")).join(words.filter(F.col("n") < least), "word", "left")
             .withColumn("n", F.coalesce("n", F.lit(0)))
             .groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_base"),
                                 F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
+    if apart:
+        rows = rows.drop("_text").join(_scores_by_segments(rows, bits, segments, kept, n, v, n_docs), "row")
     return rows.drop("cold").join(rare, "row", "left").select(
         *keep, "n_tokens", (F.col("hot_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
