@@ -200,6 +200,32 @@ def test_pack_round_trip(spark, edge, edge_rows, none):
     assert all(r.sequence_order == least[r.sequence_id] for r in ordered)
 
 
+def test_packing_keeps_an_order_by_windows(spark, monkeypatch):
+    """No sequence joins pieces from further apart than a window, and sequences follow the order."""
+    monkeypatch.setattr(packing, "WINDOW", 100)
+    rng = random.Random(21)
+    # Late documents are long: over all rows, they would be joined with early short ones.
+    rows = [(i, " ".join("ab" for _ in range(rng.randint(1, 8 if i < 300 else 100))), f"{i:06d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, o string").repartition(5, "doc_id")
+    got = packing.pack(df, capacity=64, order="o").collect()
+    rank = {x: i for i, x in enumerate(sorted((r.doc_id, r.piece) for r in got))}
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((rank[r.doc_id, r.piece], r.offset, r.length, r.sequence_order, f"{r.doc_id:06d}"))
+    assert sorted(sequences) == list(range(len(sequences))) and len(rank) == len(got) > 600
+    firsts = []
+    for k in sorted(sequences):
+        parts = sequences[k]
+        assert len({p[0] // 100 for p in parts}) == 1 and sum(p[2] for p in parts) <= 64
+        assert {p[3] for p in parts} == {min(p[4] for p in parts)}
+        firsts.append(min(p[0] for p in parts))
+        at = 0
+        for _, offset, length, *_ in sorted(parts, key=lambda p: p[1]):
+            assert offset == at
+            at += length
+    assert firsts == sorted(firsts)
+
+
 # ---- 3 quality model ------------------------------------------------------------------------------------
 
 def test_trees_learn_a_rule_and_walk_alike():

@@ -11,6 +11,10 @@ patterns with multiplicities.
 Pieces are then numbered within their length in Spark (per salted group, with offsets from the groups'
 counts), and a piece's number tells its pattern, its sequence and its place there.
 
+Where an order is to be kept (a mixture), pieces are ranked in it over all rows and each window of WINDOW
+consecutive pieces has a histogram and a plan of its own, so a piece moves by less than a window at any size of
+the input; sequences are numbered by their first piece.
+
 Defined cases: a null or empty text is the closing id alone.  A text that holds the tokenizer's special
 strings is ordinary text.  Rows that repeat, also with a null doc_id, are packed each for itself.  An empty
 table gives an empty result; further columns are not read.
@@ -32,9 +36,11 @@ from pyspark.sql import types as T
 
 from vidlake.llm.common import numbered, written
 from vidlake.llm.textscan import slices
+from vidlake.operators.ranking import ordered_slices
 
 CAPACITY = 1024
 CLOSE = 2
+WINDOW = 4096                 # consecutive pieces that are planned together where an order is kept
 
 
 class Pattern(NamedTuple):
@@ -190,21 +196,67 @@ def places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int]]
 def pack(docs: DataFrame, capacity: int = CAPACITY, close: int = CLOSE, keep_ids: bool = False,
          order: str | None = None, **files: str) -> DataFrame:
     """Every piece with its sequence_id and its offset there; sequences are filled without gaps from 0.  With
-    ``order``, a column of the documents, also ``sequence_order``, its least value in the sequence."""
+    ``order``, a column of the documents, sequences follow it by windows, and ``sequence_order`` is its least
+    value in the sequence."""
     carry = (order,) if order else ()
     items = written(pieces(docs, capacity, close, keep_ids, carry, **files), "pack_pieces")
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []), "sequence_id", "offset"]
+    if order:
+        return _in_windows(items, order, capacity).select(*out, "sequence_order")
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = places(plan(counts, capacity))
     schema = "length long, _first long, _end long, _sequence long, _per long, _offset long"
     table = items.sparkSession.createDataFrame(rows, schema)
     # The places are bounded by the plan (a few rows per length), whatever the number of pieces.
-    placed = (numbered(items, "length", [*carry, "doc_id", "piece", "ids_crc32"], sum(counts.values()))
+    placed = (numbered(items, "length", ["doc_id", "piece", "ids_crc32"], sum(counts.values()))
               .join(F.broadcast(table), "length")
               .filter((F.col("number") >= F.col("_first")) & (F.col("number") < F.col("_end")))
               .withColumn("_k", F.col("number") - F.col("_first"))
               .withColumn("sequence_id", F.col("_sequence") + F.floor(F.col("_k") / F.col("_per")))
               .withColumn("offset", F.col("_offset") + F.col("_k") % F.col("_per") * F.col("length")))
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []), "sequence_id", "offset"]
-    if order:  # a sequence has at most ``capacity`` pieces
-        return placed.select(*out, F.min(order).over(Window.partitionBy("sequence_id")).alias("sequence_order"))
     return placed.select(*out)
+
+
+def _in_windows(items: DataFrame, order: str, capacity: int) -> DataFrame:
+    """Pieces with sequence_id, offset and sequence_order, planned by windows of consecutive pieces."""
+    ranged = ordered_slices(items, [], [F.col(c).asc() for c in (order, "doc_id", "piece", "ids_crc32")])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # a row per partition
+    begins = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_from"))
+              .select("_pid", "_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    rank = F.col("_before") + F.col("_mid") - F.col("_from")
+    ranked = (ranged.join(begins, "_pid").withColumn("_rank", rank)
+              .withColumn("_window", F.floor(F.col("_rank") / WINDOW)).drop("_pid", "_mid", "_from", "_before"))
+    schema = T.StructType([*ranked.schema.fields, T.StructField("_sequence", T.LongType()), T.StructField("offset", T.LongType()),
+                           T.StructField("sequence_order", items.schema[order].dataType)])
+    packed = written(ranked.groupBy("_window").applyInArrow(_packed_window(order, capacity), schema), "pack_windows")
+    earlier = Window.orderBy("_window").rowsBetween(Window.unboundedPreceding, -1)   # a row per window
+    offsets = (packed.groupBy("_window").agg((F.max("_sequence") + 1).alias("_n"))
+               .select("_window", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    return packed.join(offsets, "_window").withColumn("sequence_id", F.col("_before") + F.col("_sequence"))
+
+
+def _packed_window(order: str, capacity: int):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_rank")
+        length = rows.column("length").to_numpy()
+        by_length = np.argsort(length, kind="stable")     # within a length in the order
+        value, first, n = np.unique(length[by_length], return_index=True, return_counts=True)
+        at = dict(zip(value.tolist(), first.tolist()))
+        sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+        for size, begin, end, seq, per, start in places(plan(dict(zip(value.tolist(), n.tolist())), capacity)):
+            k = np.arange(end - begin)
+            mine = by_length[at[size] + begin:at[size] + end]
+            sequence[mine], offset[mine] = seq + k // per, start + k % per * size
+        # Sequences by their first piece; their order is the first that is not null.
+        _, head, sequence = np.unique(sequence, return_index=True, return_inverse=True)
+        place = np.empty(len(head), np.int64)
+        place[np.argsort(head)] = np.arange(len(head))
+        sequence = place[sequence]
+        known = np.flatnonzero(rows.column(order).is_valid().to_numpy())
+        least = np.full(len(head), len(length))
+        np.minimum.at(least, sequence[known], known)
+        least = least[sequence]
+        take = pa.array(least, mask=least == len(length))
+        return (rows.append_column("_sequence", pa.array(sequence)).append_column("offset", pa.array(offset))
+                .append_column("sequence_order", rows.column(order).take(take)))
+    return run
