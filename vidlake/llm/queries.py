@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vidlake.llm import (fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality_model,
+from vidlake.llm import (fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, pieces, quality_model,
                          quality_rules, url_filters)
 from vidlake.llm.common import crc_mod, table
 
@@ -110,6 +110,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, 0.5).select("doc_id", "source", "slot", "place")
 
 
+@register("op11_sentence_pieces")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
