@@ -151,7 +151,7 @@ def ordered_slices(df: DataFrame, keys: list[str], order: list[Column],
 
 
 def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name: str,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, kind: str = "int") -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays
     balanced when one key holds most rows.
 
@@ -169,7 +169,8 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
        partitions + keys rows, joined back by AQE's broadcast);
     4. rank = offset + local rank.
 
-    All JVM-side.  ``order`` must be a total order (end with a unique column).
+    All JVM-side.  ``order`` must be a total order (end with a unique column).  ``kind`` is the rank's type: ``long``
+    where one key can hold more rows than an int counts.
     """
     numbered = ordered_slices(df, keys, order, num_partitions)
     stats = numbered.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -181,7 +182,7 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     j = numbered.join(stats, cond, "inner")
     rank = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
-    return j.withColumn(name, rank.cast("int")).drop(
+    return j.withColumn(name, rank.cast(kind)).drop(
         "_mid", "_pid", "_opid", "_first", "_off", *[f"_k_{k}" for k in keys])
 
 
