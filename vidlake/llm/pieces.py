@@ -7,13 +7,7 @@ original byte it came from is recorded.  *Segmentation*: the normalised text is
 the public library, with a copy of the model whose own normalisation is switched off.  A piece's normalised
 bytes, looked up in the recorded places, give its span of original UTF-8 bytes.
 
-No piece of a merge model crosses a boundary that no vocabulary entry spans, so a normalised text is cut there
-(before word marks, around characters that no entry holds) and each segment is split by itself; segments seen
-before in a task are remembered (at most MEMORY of them, then all are forgotten).  A model of another kind, or
-with entries across such boundaries, takes whole texts.
-
-Everything runs per row in ``mapInArrow``: no shuffle, a worker holds a slice of the rows and the remembered
-segments.
+Everything runs per row in ``mapInArrow``: no shuffle, a worker holds the ids and places of one text at a time.
 
 Defined cases: a null or empty text has no piece.  Bytes that are not UTF-8 count as U+FFFD, one for each byte.
 Texts of any length are encoded whole.  Rows that repeat, also with a null doc_id, are encoded each for itself;
@@ -22,7 +16,6 @@ an empty table gives an empty result; further columns are not read, whatever the
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 from hashlib import sha256
@@ -39,9 +32,7 @@ from vidlake.llm.textscan import slices
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"               # the word mark that stands for a space
-MEMORY = 200_000              # segments that a task remembers
-LONGEST = 64                  # characters of a segment that is worth remembering
-MERGES, UNKNOWN, USER, BYTE = 2, 2, 4, 6      # fixed values of the model format: model and piece kinds
+UNKNOWN, USER, BYTE = 2, 4, 6      # fixed values of the model format: kinds of pieces
 
 
 class Encoded(NamedTuple):
@@ -106,14 +97,7 @@ class Model:
         rules.precompiled_charsmap, rules.remove_extra_whitespaces = b"", False
         rules.add_dummy_prefix = rules.escape_whitespaces = False
         self.split = SentencePieceProcessor(model_proto=proto.SerializeToString())
-        entries = [p.piece for p in proto.pieces if p.type != BYTE]
-        held = set("".join(e for e in entries if len(e) > 1))
-        cuts = (proto.trainer_spec.model_type == MERGES and not self.user and self.escape and not self.after
-                and MARK in entries and not any(MARK in e.lstrip(MARK) for e in entries))
-        # without byte pieces, unknown characters side by side become one piece
-        alone = "".join(c for c in "\n\t\r" if c not in held) if proto.trainer_spec.byte_fallback else ""
-        self.segment = (re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else "")) if cuts else None)
-        self.seen: dict[str, tuple[str, np.ndarray, np.ndarray]] = {}     # segment -> decimals, ids, widths
+        self.decimals = [str(i) for i in range(len(self.size))]
 
     def normalise(self, raw: bytes) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its bytes (and its end) the place in ``raw``."""
@@ -192,37 +176,27 @@ class Model:
             place.extend([last] * len(self.space))
         return text.decode("utf-8", "replace"), np.array([*place, last], np.int64)
 
-    def _split(self, segments: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-        for s, ids in zip(segments, self.split.encode(segments, num_threads=1)):
-            part = np.array(ids, np.int32)
-            if self.unknown in ids:  # an unknown piece is as wide as what it stands for
-                pieces = self.split.encode(s, out_type=str)
-                width = np.array([1 if self.split.is_byte(i) else len(p.encode()) for i, p in zip(ids, pieces)], np.int64)
-            else:
-                width = self.size[part]
-            yield ",".join(map(str, ids)), part, width
+    def _widths(self, text: str, ids: np.ndarray) -> np.ndarray:
+        """Normalised bytes of every piece; an unknown piece is as wide as what it stands for."""
+        if not (ids == self.unknown).any():
+            return self.size[ids]
+        pieces = self.split.encode(text, out_type=str)
+        return np.array([len(p.encode()) if i == self.unknown else self.size[i] for i, p in zip(ids, pieces)], np.int64)
 
-    def encode(self, raw: bytes, spans: bool = True) -> tuple[Encoded, str]:
-        """Ids with spans, and the ids as decimals joined by commas."""
+    def encode(self, raw: bytes, spans: bool = True) -> Encoded:
         none = np.zeros(0, np.int64)
         text, place = self.normalise(raw)
         if not text:
-            return Encoded(none.astype(np.int32), none, none), ""
-        segments = self.segment.findall(text) if self.segment else [text]
-        if len(self.seen) > MEMORY:
-            self.seen = {}
-        new = [s for s in set(segments) if s not in self.seen]
-        once = {}
-        for s, found in zip(new, self._split(new)):
-            (self.seen if len(s) <= LONGEST else once)[s] = found
-        parts = [self.seen[s] if s in self.seen else once[s] for s in segments] if once else [self.seen[s] for s in segments]
-        ids = np.concatenate([p[1] for p in parts])
-        begin = end = none
-        if spans:
-            edge = np.cumsum(np.concatenate([p[2] for p in parts]))
-            end = place[edge]
-            begin = np.concatenate([place[:1], end[:-1]])
-        return Encoded(ids, begin, end), ",".join([p[0] for p in parts])
+            return Encoded(none.astype(np.int32), none, none)
+        ids = self.split.encode_as_numpy(text)
+        if not spans:
+            return Encoded(ids, none, none)
+        end = place[np.cumsum(self._widths(text, ids))]
+        return Encoded(ids, np.concatenate([place[:1], end[:-1]]), end)
+
+    def joined(self, ids: np.ndarray) -> str:
+        """The ids as decimals joined by commas."""
+        return ",".join([self.decimals[i] for i in ids.tolist()])
 
 
 def encode(docs: DataFrame, model: str | None = None, spans: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -245,10 +219,10 @@ def encode(docs: DataFrame, model: str | None = None, spans: bool = True, keep:
             n, ids_sha, decoded_sha, crc = [], [], [], []
             kept = {k: [] for k in keep}
             for text in batch.column("text").cast(pa.binary()):
-                e, number = m.encode(text.as_py() or b"", spans)
-                decoded = m.whole.decode(e.ids.tolist()) if len(e.ids) else ""
+                e = m.encode(text.as_py() or b"", spans)
+                decoded = m.whole.decode(e.ids) if len(e.ids) else ""
                 n.append(len(e.ids))
-                ids_sha.append(sha256(number.encode()).hexdigest())
+                ids_sha.append(sha256(m.joined(e.ids).encode()).hexdigest())
                 decoded_sha.append(sha256(decoded.encode()).hexdigest())
                 crc.append(crc32(e.end.astype("<i8").tobytes(), crc32(e.begin.astype("<i8").tobytes())) if spans else None)
                 for k in keep:
