@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vidlake.llm import (fingerprints, language_id, line_dedup, lm_score, mixing, near_dup, packing, pieces, quality_model,
-                         quality_rules, url_filters)
+from vidlake.llm import (fingerprints, language_id, line_dedup, lm_score, manifest, mixing, near_dup, packing, pieces,
+                         prefix_trie, quality_model, quality_rules, url_filters)
 from vidlake.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
+@register("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(9))
+    return prefix_trie.trie(prefix_trie.branches(table(spark, sf_dir, "conversations"), 5, shared))
+
+
+@register("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered, where = manifest.lower_cased_fifth()
+    rows = manifest.manifest(table(spark, sf_dir, "documents"), tampered=tampered, where=where)
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -212,3 +225,85 @@ SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(re
   doc_id = min(reach.b) AS kept
 FROM reach JOIN d ON d.doc_id = reach.a LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a short ASCII text: the reflected polynomial's table, then one step a byte."""
+    bit = "xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    steps = f"list_reduce(list_concat([i], range(8)), lambda a, b: {bit})"
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), "
+            f"lambda c, x: xor(c >> 8, (list_transform(range(256), lambda i: {steps}))[(xor(c, x) & 255) + 1])))")
+
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(said ORDER BY k) AS turns FROM t GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, conv_id - conv_id % 5 AS first, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM c
+), r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) AS turns
+  FROM h LEFT JOIN c b ON b.conv_id = h.first
+), p AS (
+  SELECT conv_id, turns, d, turns[1:d] AS path FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = d), '')) AS ends FROM p GROUP BY path, d
+), kids AS (
+  SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), valued AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS kids, CASE WHEN d = 0 THEN 0 ELSE (nodes.n - 1) * strlen(nodes.path[d].t) END AS saved
+  FROM nodes LEFT JOIN kids ON kids.path = nodes.path
+), sums AS (
+  SELECT above, count(*) FILTER (kids = 0) AS leaves, sum(saved) AS saved
+  FROM (SELECT kids, saved, path[1:j] AS above FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM valued)) GROUP BY above
+)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.n AS n_convs, CAST(v.kids AS BIGINT) AS n_children,
+  CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM valued v JOIN sums ON sums.above = v.path LEFT JOIN nodes u ON v.d > 0 AND u.d = v.d - 1 AND u.path = v.path[1:v.d - 1]
+"""
+
+
+def _manifest_sql(leaf_levels: int = 5, source_levels: int = 4) -> str:
+    """Level by level: 16^5 rows a source and 16^4 sources are enough for the test tables."""
+    def digest(text: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tables = [f"""l0 AS (
+  SELECT doc_id, g, source, leaf AS h, CASE WHEN crc % 5 = 0 THEN changed ELSE leaf END AS folded,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r
+  FROM (SELECT *, 0 AS g, {digest('text')} AS leaf, {digest(low)} AS changed, coalesce({_crc32_sql("CAST(doc_id AS VARCHAR)")}, 1) AS crc
+        FROM documents))"""]
+
+    def level(new: str, old: str, key: str) -> str:
+        return f"""{new} AS (SELECT {key}, r // 16 AS r, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY r)) END AS h,
+  CASE WHEN any_value(n) > 1 THEN list(h ORDER BY r) END AS kids FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {old}) GROUP BY {key}, r // 16)"""
+
+    for k in range(leaf_levels):
+        tables.append(level(f"l{k + 1}", f"l{k}", "source"))
+    tables.append(f"""s0 AS (SELECT 0 AS g, source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r FROM l{leaf_levels})""")
+    for k in range(source_levels):
+        tables.append(level(f"s{k + 1}", f"s{k}", "g"))
+    steps = [f"l{k + 1}.source IS NOT DISTINCT FROM l0.source AND l{k + 1}.r = l0.r // {16 ** (k + 1)}" for k in range(leaf_levels)]
+    joins = " ".join(f"JOIN l{k + 1} ON {s}" for k, s in enumerate(steps)) + " JOIN s0 ON s0.source IS NOT DISTINCT FROM l0.source "
+    joins += " ".join(f"JOIN s{k + 1} ON s{k + 1}.r = s0.r // {16 ** (k + 1)}" for k in range(source_levels))
+    at = [(f"l{k + 1}", f"(l0.r // {16 ** k}) % 16") for k in range(leaf_levels)]
+    at += [(f"s{k + 1}", f"(s0.r // {16 ** k}) % 16") for k in range(source_levels)]
+    path = ", ".join(f"CASE WHEN {t}.kids IS NOT NULL THEN {{'a': array_to_string({t}.kids[1:CAST({i} AS BIGINT)], ''), "
+                     f"'b': array_to_string({t}.kids[CAST({i} AS BIGINT) + 2:], '')}} END" for t, i in at)
+    tables.append(f"""proofs AS (SELECT l0.doc_id, l0.h AS leaf, l0.folded, s0.h AS subroot, s{source_levels}.h AS root,
+  list_filter([{path}], lambda x: x IS NOT NULL) AS path FROM l0 {joins})""")
+    tables.append("""folds AS (SELECT *, list_reduce(list_concat([{'a': '', 'b': '', 'x': folded}],
+    list_transform(path, lambda s: {'a': s.a, 'b': s.b, 'x': ''})), lambda acc, s: {'a': '', 'b': '', 'x': sha256(s.a || acc.x || s.b)}).x AS folded_root
+  FROM proofs)""")
+    return "WITH " + ",\n".join(tables) + """
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(path, lambda s: s.a || s.b), ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM folds
+"""
+
+
+ORACLE["op13_merkle_manifest"] = _manifest_sql()
