@@ -204,6 +204,48 @@ def test_grouped_percentiles_match_quantile_disc(spark, buckets, bands):
     assert got == want
 
 
+@pytest.mark.parametrize("bands", [4096, 0])
+@pytest.mark.parametrize("rows_on_driver", [1 << 18, 100])
+def test_percentiles_outside_their_brackets_are_found(spark, monkeypatch, bands, rows_on_driver):
+    """With the smallest sketches and no margin many ranks lie outside their brackets; results stay exact, also
+    where the values inside are narrowed in the scratch folder."""
+    from vidlake.operators import ranking
+
+    monkeypatch.setattr(ranking, "SKETCH", 8)
+    monkeypatch.setattr(ranking, "GROUP_SKETCH", 8)
+    monkeypatch.setattr(ranking, "MARGIN", 1e-9)
+    monkeypatch.setattr(ranking, "PASS_ROWS", rows_on_driver)
+    rnd = random.Random(3)
+    rows = [(rnd.choice("aaab"), rnd.choice([rnd.gauss(0, 1), 0.25])) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    ps = {f"p{i}": i / 4 for i in range(5)}
+    disc = lambda vs, p: sorted(vs)[max(1, math.ceil(p * len(vs))) - 1]
+    every = [v for _, v in rows]
+    assert ranking.exact_percentiles(df, "v", list(ps.values())) == [disc(every, p) for p in ps.values()]
+    for r in ranking.grouped_percentiles(df, ["g"], "v", ps, 16, bands).collect():
+        mine = [v for g, v in rows if g == r.g]
+        assert [r[n] for n in ps] == [disc(mine, p) for p in ps.values()]
+
+
+@pytest.mark.parametrize("bands", [4096, 0])
+def test_percentiles_scan_their_rows_twice(spark, bands, scratch):
+    """Rows are read by one scan for the sketches and one for the brackets, whatever the percentiles."""
+    from pyspark.sql.functions import udf
+
+    from vidlake.operators.ranking import grouped_percentiles
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+
+    n = 20_000
+    df = spark.range(n, numPartitions=4).select(F.col("id") % 2, udf(look, "double")(F.rand(7) * 1e6)).toDF("g", "v")
+    grouped_percentiles(df, ["g"], "v", {"a": 0.1, "b": 0.5, "c": 0.99}, 64, bands).collect()
+    assert n <= seen.value <= 2 * n
+
+
 @pytest.mark.parametrize("bands", [4096, 0])
 def test_percentiles_keep_type_and_value_at_the_ends_of_a_type(spark, bands):
     from vidlake.operators.ranking import exact_percentiles, grouped_percentiles

@@ -162,6 +162,54 @@ def test_stream_month_and_category_changes(spark, scratch):
     assert land("5", row("2000")) == [(10, 5), (10, 2000)]
 
 
+def test_a_batch_of_one_key_rewrites_one_folder(spark, scratch):
+    from vidlake.sources.files import hadoop_path
+    from vidlake.streaming.incremental import bucket_silver, layout, merge_batch
+    path = scratch("bucketed")
+    row = lambda k, views, cat="10": (f"v{k}", "t", "c", cat, f"2024-01-0{1 + k % 9}T03:04:05Z", None, str(views), "1", "0", "0",
+                                      None, "false", "false", "false", "d")
+    batch = lambda *rows: spark.createDataFrame(list(rows), ", ".join(f"{c} string" for c in BRONZE_COLUMNS))
+
+    def files():
+        fs, at = hadoop_path(spark, path)
+        found, it = {}, fs.listFiles(at, True)
+        while it.hasNext():
+            f = it.next()
+            if f.getPath().getName().endswith(".parquet"):
+                found[f.getPath().toString()] = f.getModificationTime()
+        return found
+
+    def rows():
+        return {(r.video_id, r.category_id, r.views) for r in spark.read.parquet(path).collect()}
+
+    merge_batch(batch(*(row(k, 10, str(10 + k % 3)) for k in range(300))), path, as_of="2024-01-31", buckets=16)
+    before, had = files(), rows()
+    assert layout(spark, path) == 16 and len(before) >= 3 * 16 - 3 and len(had) == 300
+    merge_batch(batch(row(7, 5000, "11")), path, as_of="2024-01-31")
+    after = files()
+    gone, new = set(before) - set(after), set(after) - set(before)
+    assert 1 <= len(gone) <= 3 and len(new) <= 3          # one bucket of the month, in its three categories
+    assert rows() == {r for r in had if r[0] != "v7"} | {("v7", 11, 5000)}
+    with pytest.raises(ValueError, match="buckets"):
+        layout(spark, path, 8)
+    plain = scratch("plain")
+    sinks.write_silver(spark.read.parquet(path).drop("key_bucket"), plain)
+    with pytest.raises(ValueError, match="bucket_silver"):
+        merge_batch(batch(row(1, 1)), plain)
+    anew = scratch("anew")
+    bucket_silver(spark.read.parquet(plain), anew, 4)
+    merge_batch(batch(row(1, 77)), anew, as_of="2024-01-31")
+    assert spark.read.parquet(anew).filter("video_id = 'v1'").first().views == 77 and spark.read.parquet(anew).count() == 300
+
+
+def test_landings_of_one_header_are_one_scan(spark, scratch):
+    base = scratch("landings")
+    for k in range(6):
+        sinks.write_bronze_csv(_rows(spark, 5), base, run_ts=str(k))
+    df = read_bronze_csv(spark, base)
+    assert df.count() == 30 and df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_api_pages_are_bounded_whatever_the_ids(spark):
     from vidlake.sources.api import bronze_to_api_responses
     rows = _rows(spark, 130).withColumn("video_id", F.lit("no digits"))

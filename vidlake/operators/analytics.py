@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlake.functions.text import day_name, title_class
-from vidlake.operators.joins import join_checked_broadcast
 from vidlake.operators.ranking import desc_then, grouped_percentiles, percentile_of, row_number_within
 
 
@@ -185,12 +184,13 @@ def monthly_category_growth(silver: DataFrame, year: int = 2024) -> DataFrame:
 def viral_videos(silver: DataFrame, percentile: float = 0.95, max_days: int = 30,
                  min_ratio: float = 2.0, limit: int = 50) -> DataFrame:
     """Q11: candidate filter first (pushed below the join), then an inner
-    join to the per-channel average (one row per channel), broadcast when its
-    checked size allows, so that a hot channel's candidates stay spread."""
+    join to the per-channel average (one row per channel).  Adaptive execution
+    knows both sides' sizes by then: it broadcasts small averages, and splits a
+    hot channel's candidates otherwise."""
     p = percentile_of(silver, "viral_score", percentile)
     c = silver.groupBy("channel_title").agg(F.avg("views").alias("channel_avg_views"))
     v = silver.filter((F.col("viral_score") > p) & (F.col("days_since_publish") <= max_days))
-    j = join_checked_broadcast(v, c, ["channel_title"], "inner")
+    j = v.join(c, "channel_title")
     perf = F.try_divide(F.col("views"), F.nullif(F.col("channel_avg_views"), F.lit(0.0)))
     j = j.filter(perf >= min_ratio).select(
         "video_id", "title", "channel_title", "category_id", "views", "engagement_rate", "viral_score",

@@ -294,7 +294,7 @@ def q_stream_silver(spark, sf_dir):
 
     configure(spark)
     base = scratch_path(spark, "stream")
-    bronze = load_bronze(spark, sf_dir)
+    bronze = materialize(load_bronze(spark, sf_dir), "stream_bronze")
     early = F.col("publish_time") < F.lit("2024-01-01")
     number = F.substring("video_id", 5, 20).cast("long")
     views = F.col("views").cast("long")

@@ -59,19 +59,44 @@ def leaf_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def first_line(spark: SparkSession, folder: str) -> str | None:
+    """The first line of a folder's (or of a file) first file that is not empty, read on the driver; None if all are
+    empty."""
+    fs, at = hadoop_path(spark, folder)
+    files = sorted((s.getPath().toString(), s.getLen()) for s in fs.listStatus(at) if s.isFile())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, size in files:
+        if size and not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+            stream = fs.open(path)
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            try:
+                return reader.readLine()
+            finally:
+                reader.close()
+    return None
+
+
 def read_bronze_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = BRONZE_SCHEMA,
                     keep_corrupt: bool = False, multi_line: bool = False, escaped: bool = True) -> DataFrame:
     """SRC-1: landed CSV with a header row, all text, nothing inferred.
 
     Columns are taken by the names in each folder's header (the files of one landing share it; a file whose
-    header differs from its folder's is an error), normalised as in CLN-2.  With ``schema`` (default) the
+    header differs from its folder's is an error).  Folders are read together, one scan per distinct header, so
+    the plan does not grow with the number of landings.  Names are normalised as in CLN-2.  With ``schema`` (default) the
     declared columns come in declared order, others are left out, a missing required column is an error and
     another missing one null; with ``schema=None`` all columns of the header.  Malformed lines are kept, with
     their raw text in ``_corrupt_record`` when ``keep_corrupt``.  ``escaped`` files (as ``write_bronze_csv``
     lands them) have their line breaks restored; files from elsewhere with line breaks inside quotes need
     ``multi_line``, which makes each file one task."""
     folders = [f for p in ([path] if isinstance(path, str) else path) for f in leaf_folders(spark, p)]
-    parts = [_read_folder(spark, f, schema, keep_corrupt, multi_line, escaped) for f in folders]
+    headers: dict[str, list[str]] = {}
+    for f in folders:
+        line = first_line(spark, f)
+        if line is not None:
+            headers.setdefault(line, []).append(f)
+    parts = [_read_folders(spark, fs, schema, keep_corrupt, multi_line, escaped) for fs in headers.values()]
     if not parts:
         raise FileNotFoundError(f"no landed files in {path}")
     out = parts[0]
@@ -80,18 +105,20 @@ def read_bronze_csv(spark: SparkSession, path: str | list[str], schema: T.Struct
     return out
 
 
-def _read_folder(spark, folder, schema, keep_corrupt, multi_line, escaped) -> DataFrame:
+def _read_folders(spark, folders, schema, keep_corrupt, multi_line, escaped) -> DataFrame:
+    """Landed folders (or files) of one header."""
     r = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
          .option("multiLine", multi_line).option("enforceSchema", False))
-    raw = r.csv(folder)
+    declared = r.csv(folders[0]).schema
     if keep_corrupt:
-        wide = T.StructType([*raw.schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-        raw = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(wide).csv(folder)
+        declared = T.StructType([*declared.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    raw = r.schema(declared).csv(folders)
     named = standardize_column_names(raw)
     if schema is not None:
         missing = [c for c in REQUIRED_COLUMNS if c in schema.fieldNames() and c not in named.columns]
         if missing:
-            raise ValueError(f"{folder} lacks the required columns {', '.join(missing)}")
+            raise ValueError(f"{folders[0]} lacks the required columns {', '.join(missing)}")
         wanted = [normalize_name(c) for c in schema.fieldNames()] + ([CORRUPT_COLUMN] if keep_corrupt else [])
         named = named.select(*(F.col(f"`{c}`") if c in named.columns else F.lit(None).cast("string").alias(c)
                                for c in wanted))

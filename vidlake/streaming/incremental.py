@@ -12,78 +12,123 @@ before and what lands now, and only then filtered by quality.  Survivors that
 fail the filter are kept beside silver (``<silver>_rejected``), because a
 later copy of the same key must still be compared with them.
 
-A key fixes its publish time, hence its year and month, but a later copy may
-have another category; so a batch rewrites the silver months that it touches
-(matched null-safe: an unparsable time has no year) and removes category
-folders that its rows have left.  A retried micro-batch arrives at the same
-survivors, so the sink is idempotent.
+A key fixes its publish time, hence its year and month, and the hash of a key
+its *bucket*, one more partition level below the category.  A batch reads and
+rewrites only the (year, month, bucket) folders that its own keys fall into,
+whatever their categories (a later copy may have another one), so its cost
+follows the batch and not the months it touches.  The number of buckets is
+fixed when the table is first written (a month's bytes divided by the bytes a
+batch may rewrite per key) and recorded in ``_layout``; a silver table that was
+written without buckets is brought into this layout by ``bucket_silver``.
+Folders that its rows have left are removed.  A retried micro-batch arrives at
+the same survivors, so the sink is idempotent.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vidlake.functions.clean import clean_and_standardize, deduplicate
+from vidlake.functions.clean import DEDUP_KEYS, clean_and_standardize, deduplicate
 from vidlake.functions.metrics import add_derived_metrics
 from vidlake.functions.quality import DEFAULT_QUALITY_THRESHOLD, quality_filter_condition
-from vidlake.operators.joins import join_checked_broadcast
 from vidlake.plans.silver import SILVER_COLUMNS
 from vidlake.schemas import SILVER_PARTITION_KEYS
 from vidlake.session import materialize
 from vidlake.sources.files import hadoop_path, path_exists, read_bronze_csv
-from vidlake.sources.sinks import write_silver
+from vidlake.sources.sinks import write_partitioned
 
 MONTH = ["publish_year", "publish_month"]
-
-
-def _of_months(table: DataFrame, months: DataFrame) -> DataFrame:
-    other = months.select(*(F.col(c).alias(f"_{c}") for c in MONTH))
-    same = F.lit(True)
-    for c in MONTH:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return join_checked_broadcast(table, other, same, "left_semi")
-
-
-def _replace(rows: DataFrame, path: str, before: DataFrame | None) -> None:
-    """Write ``rows`` over their partitions and drop those of ``before`` that no row is left in."""
-    spark = rows.sparkSession
-    write_silver(rows, path)
-    if before is None:
-        return
-    keys = SILVER_PARTITION_KEYS
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    now = rows.select(*(F.col(c).alias(f"_{c}") for c in keys)).distinct()
-    for r in before.join(now, same, "left_anti").collect():      # partitions, not rows
-        name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if r[k] is None else r[k]}" for k in keys)
-        fs, p = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
-        fs.delete(p, True)
-
-
-def merge_batch(bronze: DataFrame, silver_path: str, as_of=None, threshold: float = DEFAULT_QUALITY_THRESHOLD) -> None:
+BUCKET = "key_bucket"
+FOLDERS = [*SILVER_PARTITION_KEYS, BUCKET]
+BUCKETS = 8
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def key_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*DEDUP_KEYS), F.lit(buckets)).cast("int")
+
+
+def _folder(names: list[str], values) -> str:
+    return "/".join(f"{n}={NULL_FOLDER if v is None else v}" for n, v in zip(names, values))
+
+
+def layout(spark: SparkSession, silver_path: str, buckets: int | None = None) -> int:
+    """The table's number of buckets; recorded (``buckets``, else BUCKETS) where there is no table yet."""
+    path = f"{silver_path.rstrip('/')}/_layout"
+    if path_exists(spark, path):
+        had = json.loads(spark.read.text(path).first()[0])["buckets"]
+        if buckets and buckets != had:
+            raise ValueError(f"{silver_path} has {had} buckets, not {buckets}")
+        return had
+    if path_exists(spark, silver_path):
+        raise ValueError(f"{silver_path} is not bucketed by key; write it anew with bucket_silver")
+    had = buckets or BUCKETS
+    spark.createDataFrame([(json.dumps({"buckets": had}),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return had
+
+
+def bucket_silver(silver: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """A silver table (say, of the batch job) written in the layout that batches are merged into."""
+    had = layout(silver.sparkSession, path, buckets)
+    write_partitioned(silver.select(*SILVER_COLUMNS).withColumn(BUCKET, key_bucket(had)), path, FOLDERS)
+
+
+def _folders(spark: SparkSession, path: str, touched: list) -> list[tuple]:
+    """Existing folders (year, month, category, bucket) of the touched (year, month, bucket).  Names only; as many as
+    Spark itself lists to read them."""
+    found, months = [], {}
+    for r in touched:
+        months.setdefault((r[0], r[1]), set()).add(str(r[2]))
+    for (year, month), buckets in months.items():
+        fs, at = hadoop_path(spark, f"{path.rstrip('/')}/{_folder(MONTH, (year, month))}")
+        if not fs.exists(at):
+            continue
+        for category in (s.getPath() for s in fs.listStatus(at) if s.isDirectory()):
+            name = category.getName().split("=", 1)[1]
+            for status in fs.listStatus(category):
+                bucket = status.getPath().getName().split("=", 1)[1]
+                if bucket in buckets:
+                    found.append((year, month, None if name == NULL_FOLDER else int(name), int(bucket)))
+    return found
+
+
+def merge_batch(bronze: DataFrame, silver_path: str, as_of=None, threshold: float = DEFAULT_QUALITY_THRESHOLD,
+                buckets: int | None = None) -> None:
     """Merge newly landed rows into silver and the rejected survivors beside it."""
     spark = bronze.sparkSession
-    rejected_path = f"{silver_path.rstrip('/')}_rejected"
-    new = materialize(add_derived_metrics(clean_and_standardize(bronze, as_of=as_of)).select(*SILVER_COLUMNS), "stream_new")
-    if new.isEmpty():
+    buckets = layout(spark, silver_path, buckets)
+    paths = (silver_path.rstrip("/"), f"{silver_path.rstrip('/')}_rejected")
+    new = materialize(add_derived_metrics(clean_and_standardize(bronze, as_of=as_of)).select(*SILVER_COLUMNS)
+                      .withColumn(BUCKET, key_bucket(buckets)), "stream_new")
+    touched = new.select(*MONTH, BUCKET).distinct().collect()      # folders, not rows
+    if not touched:
         return
-    months = materialize(new.select(*MONTH).distinct(), "stream_months")
-    rows, partitions = new, {}
-    for path in (silver_path, rejected_path):
-        if path_exists(spark, path):
-            old = _of_months(spark.read.schema(new.schema).parquet(path).select(*SILVER_COLUMNS), months)
-            partitions[path] = materialize(old.select(*SILVER_PARTITION_KEYS).distinct(), "stream_partitions")
+    schema = T.StructType(new.schema.fields)
+    rows, before = new, {}
+    for path in paths:
+        before[path] = _folders(spark, path, touched) if path_exists(spark, path) else []
+        if before[path]:
+            old = spark.read.schema(schema).option("basePath", path).parquet(*(f"{path}/{_folder(FOLDERS, f)}" for f in before[path]))
             rows = rows.unionByName(old)
-    rows = materialize(deduplicate(rows), "stream_merged")
+    if any(before.values()):
+        rows = materialize(deduplicate(rows), "stream_merged")
     keep = F.coalesce(quality_filter_condition(threshold), F.lit(False))
-    _replace(rows.filter(keep), silver_path, partitions.get(silver_path))
-    _replace(rows.filter(~keep), rejected_path, partitions.get(rejected_path))
+    now = rows.select(*FOLDERS, keep.alias("keep")).distinct().collect()      # folders, not rows
+    for path, kept in zip(paths, (True, False)):
+        mine = {tuple(r)[:-1] for r in now if r["keep"] is kept}
+        if mine:
+            write_partitioned(rows.filter(keep if kept else ~keep), path, FOLDERS)
+        for gone in set(before[path]) - mine:
+            fs, at = hadoop_path(spark, f"{path}/{_folder(FOLDERS, gone)}")
+            fs.delete(at, True)
 
 
 def incremental_silver(spark: SparkSession, landing_dir: str, silver_path: str, checkpoint: str,
-                       as_of=None, max_files_per_trigger: int | None = None):
+                       as_of=None, max_files_per_trigger: int | None = None, buckets: int | None = None):
     """Process every landed CSV not seen by ``checkpoint``; returns the query
     after it terminated.  The stream only tells which files are new; their
     rows are read by header names, as in the batch job."""
@@ -97,7 +142,7 @@ def incremental_silver(spark: SparkSession, landing_dir: str, silver_path: str,
     def merge(batch: DataFrame, epoch_id: int) -> None:
         files = [r["path"] for r in batch.filter(F.col("path").endswith(".csv")).collect()]
         if files:
-            merge_batch(read_bronze_csv(batch.sparkSession, sorted(files)), silver_path, as_of)
+            merge_batch(read_bronze_csv(batch.sparkSession, sorted(files)), silver_path, as_of, buckets=buckets)
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
