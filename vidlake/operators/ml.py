@@ -39,6 +39,7 @@ SPLIT_WEIGHTS = (0.8, 0.1, 0.1)
 SEED = 42
 ENGAGEMENT_LABEL_THRESHOLD = 0.05
 DEGRADATION_THRESHOLD = 0.1
+COMMITTED = "_COMMITTED"
 
 
 # ---------------------------------------------------------------- features
@@ -227,29 +228,38 @@ def _fs(spark: SparkSession, path: str):
 def save_model(spark: SparkSession, model: PipelineModel, registry: str, name: str, metrics: dict,
                gate: tuple[str, float] | None = None, version: str | None = None) -> str | None:
     """ML-10: ``registry/name/version/{model,metadata}``; skipped (None) when
-    ``gate=(metric, minimum)`` is not met."""
+    ``gate=(metric, minimum)`` is not met.  A version counts once its marker
+    ``_COMMITTED`` is there, which is written after all else."""
     if gate is not None:
         metric, minimum = gate
         if metrics.get(metric) is None or metrics[metric] < minimum:
             return None
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     base = f"{registry.rstrip('/')}/{name}/{version}"
+    fs, marker = _fs(spark, f"{base}/{COMMITTED}")
+    if fs.exists(marker):                      # a version that is written again does not count meanwhile
+        fs.delete(marker, False)
     model.write().overwrite().save(f"{base}/model")
     meta = {"timestamp": version, "model_name": name, "features": MODEL_FEATURES,
             "metrics": {k: (None if v is None else float(v)) for k, v in metrics.items()}}
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{base}/metadata")
+    fs, marker = _fs(spark, f"{base}/{COMMITTED}")
+    fs.create(marker, True).close()
     return base
 
 
 def load_latest(spark: SparkSession, registry: str, name: str):
-    """ML-3: newest version directory (lexicographic max), its model and metadata."""
+    """ML-3: newest committed version (lexicographic max), its model and
+    metadata.  Versions without a marker (a writer that is still at work, or
+    was lost) are passed over."""
     fs, p = _fs(spark, f"{registry.rstrip('/')}/{name}")
     if not fs.exists(p):
         raise FileNotFoundError(f"no model named {name!r} in {registry}")
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    marker = lambda at: _fs(spark, f"{at.toString()}/{COMMITTED}")[1]
+    versions = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and fs.exists(marker(s.getPath())))
     if not versions:
-        raise FileNotFoundError(f"no versions of {name!r} in {registry}")
+        raise FileNotFoundError(f"no committed versions of {name!r} in {registry}")
     base = f"{registry.rstrip('/')}/{name}/{versions[-1]}"
     meta = json.loads(spark.read.text(f"{base}/metadata").first()[0])
     return PipelineModel.load(f"{base}/model"), meta

@@ -419,7 +419,53 @@ def q_ml_scoring(spark, sf_dir):
     preds = predict(loaded, scoring_input_from_silver(silver), meta["timestamp"], residual_interval(loaded, valid))
     out = scratch_path(spark, "predictions")
     write_predictions(preds, out, mode="overwrite")
-    return spark.read.parquet(out).drop("prediction_timestamp")
+    return round_doubles(spark.read.parquet(out).drop("prediction_timestamp"), 3)
+
+
+def _ridge(spark, sf_dir):
+    from vidlake.operators.linear import tune_ridge
+    from vidlake.operators.ml import MODEL_FEATURES
+    train, valid, test = _ml_frames(spark, sf_dir)
+    return valid, test, *tune_ridge(train, MODEL_FEATURES, "label_views")
+
+
+@register("ml_ridge_tuning")
+def q_ml_ridge(spark, sf_dir):
+    """ML-5, ML-8, ML-9: five-fold scores of every penalty from one scan's sums, and the chosen model's metrics on
+    validation and test."""
+    from vidlake.operators.ml import regression_metrics
+    valid, test, model, best, scores = _ridge(spark, sf_dir)
+    out = spark.createDataFrame([(float(s), r, s == best) for s, r in scores.items()], "strength double, cv_r2 double, chosen boolean")
+    for name, part in (("validation", valid), ("test", test)):
+        m = regression_metrics(part.withColumn("prediction", model.score())).select(
+            *(F.col(c).alias(f"{name}_{c}") for c in ("rmse", "mae", "r2", "mape"))).withColumn("chosen", F.lit(True))
+        out = out.join(m, "chosen", "left")
+    return round_doubles(out)
+
+
+@register("ml_conformal_scoring")
+def q_ml_conformal(spark, sf_dir):
+    """ML-2, ML-12: the test rows with the ridge model's prediction and the interval of their category."""
+    from vidlake.operators.linear import conformal_widths, with_intervals
+    valid, test, model, _, _ = _ridge(spark, sf_dir)
+    widths, pooled = conformal_widths(valid.withColumn("prediction", model.score()), "category_id", "label_views")
+    scored = with_intervals(test.withColumn("prediction", model.score()), widths, pooled, "category_id")
+    return round_doubles(scored.select("video_id", "publish_time", "category_id", "label_views", "prediction", "lo", "hi", "own_group",
+                                       (F.col("label_views").between(F.col("lo"), F.col("hi"))).alias("covered")), 3)
+
+
+@register("ml_logistic_newton")
+def q_ml_logistic(spark, sf_dir):
+    """ML-6, ML-7: logistic regression of high engagement by Newton steps, measured on validation and test."""
+    from vidlake.operators.linear import binary_metrics, logistic
+    from vidlake.operators.ml import MODEL_FEATURES
+    train, valid, test = _ml_frames(spark, sf_dir)
+    model = logistic(train, MODEL_FEATURES, "label_engaged")
+    out = None
+    for name, part in (("validation", valid), ("test", test)):
+        m = binary_metrics(part.withColumn("prediction", model.score()), "label_engaged").withColumn("split", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return round_doubles(out)
 
 
 @register("dq_validation_report")
