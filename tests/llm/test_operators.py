@@ -584,13 +584,40 @@ def test_bloom_levels():
     h = rng.integers(0, 2**63, 20_000, dtype=np.uint64) * np.uint64(2)
     counts = rng.geometric(0.2, len(h))
     seg = lm_score._segment(h, 4)
-    parts = [lm_score.build_segment(h[seg == s], counts[seg == s], 1) for s in range(4)]
+    parts = [lm_score.build_segment(h[seg == s], counts[seg == s]) for s in range(4)]
     f = lm_score.LogBloom(np.concatenate(parts), np.cumsum([0, *map(len, parts)]))
     got = f.levels(h)
     assert (got >= lm_score.level(counts)).all() and (got == lm_score.level(counts)).mean() > 0.9999
     assert (f.levels(h + np.uint64(1)) > 0).mean() < 1e-3
-    means = lm_score.level_mean(lm_score.level(counts))
-    assert (np.abs(means - counts) <= 0.5 * counts + 1e-9).all()
+    low, high = lm_score.bounds_of(lm_score.level(counts))
+    assert (low <= counts).all() and (counts <= high).all() and (high < 2 * low).all()
+
+
+START = object()
+
+
+def quantised_chances(train):
+    """p(token after another), from exact counts brought to their levels: powers of two."""
+    one, two = collections.Counter(), collections.Counter()
+    for t in train:
+        one.update(t)
+        two.update(zip([START, *t], t))
+    n, v = sum(one.values()), len(one)
+    level = lambda c: c.bit_length()
+    on = collections.defaultdict(list)
+    for c in one.values():
+        on[level(c)].append(c)
+    mean = {k: sum(x) / len(x) for k, x in on.items()}
+
+    def p(a, b):
+        alone = (mean.get(level(one[b]), 0) + 1) / (n + v + 1)
+        most = len(train) if a is START else 2 ** level(one[a]) - 1
+        if not most:
+            return alone
+        low = 2 ** (level(two[a, b]) - 1) if two[a, b] else 0
+        return lm_score.PAIRS * max(low - lm_score.DISCOUNT, 0) / most + (1 - lm_score.PAIRS) * alone
+
+    return p
 
 
 @pytest.mark.parametrize("hot", [10**6, 20, 0])
@@ -610,12 +637,22 @@ def test_lm_score(spark, edge, edge_rows, none, hot):
         t = [*words(text[r.doc_id]), None]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[x] > 0 for x in t), n)
         assert math.isclose(r.base_score, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in t), abs_tol=1e-6)
-        assert r.score < 0
+        p = quantised_chances([[*words(t), None] for i, t, *_ in edge_rows if learned(i)])
+        assert math.isclose(r.score, sum(math.log10(p(a, b)) for a, b in zip([START, *t], t)), rel_tol=1e-6, abs_tol=1e-6)
     assert lm_score.score(none, F.lit(True)).count() == 0
     empty = lm_score.score(edge, F.lit(False)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in empty} == {(0, 0, 0.0, 0.0)}
 
 
+def test_lm_contexts_hold_no_more_than_one(spark, edge, edge_rows):
+    """Summed over all learned words and one unknown, after every learned word and at a start."""
+    train = [[*words(t), None] for _, t, *_ in edge_rows]
+    p = quantised_chances(train)
+    known = sorted({x for t in train for x in t}, key=str)
+    assert all(sum(p(v, w) for w in [*known, "never seen"]) <= 1 + 1e-9 for v in [START, *known[:80]])
+    assert math.isclose(sum(p("never seen", w) for w in [*known, "another"]), 1.0, rel_tol=1e-9)
+
+
 def test_lm_score_is_the_same_when_the_filter_exceeds_its_bound(spark, edge):
     learns = common.crc_mod(F.col("doc_id"), 7) != 2
     plain = lambda df: sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score)
@@ -624,11 +661,3 @@ def test_lm_score_is_the_same_when_the_filter_exceeds_its_bound(spark, edge):
     assert len(got) == len(expected)
     for a, b in zip(got, expected):
         assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12, atol=1e-9)
-
-
-def test_lm_filter_respects_its_bound(spark, edge):
-    n = edge.count() * 100
-    whole, least = lm_score.filters_of(edge, n)
-    size = sum(len(f.words) for f in whole.values()) * 8
-    small, more = lm_score.filters_of(edge, n, max_bytes=size // 2)
-    assert sum(len(f.words) for f in small.values()) * 8 <= size // 2 and more[lm_score.PAIR] > least[lm_score.PAIR]

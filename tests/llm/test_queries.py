@@ -11,7 +11,7 @@ from vidlake.llm.queries import ORACLE, QUERIES
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(ORACLE) <= set(entry.oracle_sql()) and set(QUERIES) <= set(names)
 
 
@@ -68,3 +68,32 @@ def test_pipeline_stages(spark, sf_small, tmp_path):
 
 def test_pipeline_runs_whole(spark, sf_small):
     assert entry.queries()["pipeline"](spark, sf_small).count() > 200
+
+
+def test_workers_need_no_copy_of_the_package(sf_small, tmp_path):
+    """All queries of the operators, in a session whose Python workers cannot import it."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    script = tmp_path / "elsewhere.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from vidlake.llm.queries import QUERIES
+from vidlake.session import local_session
+spark = local_session(4)
+def missing(batches):
+    import importlib.util
+    import pyarrow as pa
+    for b in batches:
+        yield pa.RecordBatch.from_pydict({{"there": [importlib.util.find_spec("vidlake") is not None]}})
+assert not spark.range(1).mapInArrow(missing, "there boolean").first().there
+for name in sorted(QUERIES):
+    print(name, QUERIES[name](spark, {sf_small!r}).count())
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert len(done.stdout.split("\n")) - 1 >= len(QUERIES)

@@ -3,15 +3,19 @@
 Tokens are the A-Z-lower-cased words of a text and one end.  Counts of words and of pairs of neighbouring
 tokens are quantised on a log scale, level(c) = 1 + floor(log_BASE c), and an n-gram is entered in the filter
 once per level from 1 to its own; its level is found again by probing 1, 2, 4, ... until one is missing and
-halving the gap, and a level stands for the mean of the counts it covers.  The filter is made of segments, one per range of n-gram
+halving the gap.  The filter is made of segments, one per range of n-gram
 hashes; a segment is counted and built in one task from packed sorted hashes, so no task sees more than its
 range.  A filter of at most ``max_bytes`` is broadcast.  A larger one stays a table: the distinct n-grams of each
 chunk of texts go to their segments by a shuffle, are probed there, and their levels go back to the chunk, so all
 n-grams count at every size and the scores are the same both ways.
 
-The probability of a token w after v interpolates the pair with the token alone, PAIRS c(vw) / c(v) +
-(1 - PAIRS) p(w) with p(w) = (c(w) + 1) / (N + V + 1), and is p(w) after an unknown v.  The exact base score
-needs exact counts of all words: the most frequent words (a bounded number) are sent along with the filter,
+The probability of a token w after v interpolates the pair with the token alone, PAIRS (low(vw) - DISCOUNT) /
+high(v) + (1 - PAIRS) p(w) with p(w) = (mean(w) + 1) / (N + V + 1), and is p(w) after an unknown v.  low and high
+are the least and greatest count of a level, mean that of the words on the level, so that the means of all
+words add up to N.  Hence the p(w) of all words and one unknown add up to 1, and the pairs of v to PAIRS at most:
+no context has more than 1.  (The filter finds a missing n-gram by mistake once in 2^ERROR_BITS probes; the
+discount leaves more than these add for any vocabulary that a test can sum over.)  All n-grams count, those seen
+once too.  The exact base score needs exact counts of all words: the most frequent words (a bounded number) are sent along with the filter,
 rarer words are joined with their counts.
 
 Defined cases: a null text is empty: one end.  Nothing to learn from gives N = V = 0 and probability 1 for
@@ -35,13 +39,15 @@ from vidlake.llm.textscan import Words, chunks, mix64, slices, words_of
 
 BASE = 2.0
 PAIRS = 0.3                   # weight of the pair in a token's probability
-MIN_PAIR = 2                  # pairs seen once are left to smoothing
+DISCOUNT = 0.5                # taken from every pair's count
 ERROR_BITS = 17               # a missing n-gram is found by mistake once in 2^17 probes
 BITS_PER_ENTRY = ERROR_BITS / np.log(2)
 MAX_BYTES = 256 << 20         # of a filter that is broadcast
 HOT_WORDS = 250_000           # words whose exact counts are broadcast
 SEGMENT_TOKENS = 2 << 20      # training tokens per segment of the filter
 
+LEVELS = 64                   # levels of 64-bit counts
+
 END = np.uint64(0x243F6A8885A308D3)
 START = np.uint64(0x13198A2E03707344)
 _FIRST, _SECOND, _LEVEL = (np.uint64(x) for x in (0xA4093822299F31D1, 0x082EFA98EC4E6C89, 0x9E3779B97F4A7C15))
@@ -72,14 +78,14 @@ def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[at], np.diff(np.append(at, len(h)))
 
 
-def level(counts: np.ndarray, least: int = 1) -> np.ndarray:
-    return 1 + np.floor(np.log(counts / least) / np.log(BASE) + 1e-9).astype(np.int64)
+def level(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
-def level_mean(levels: np.ndarray, least: int = 1) -> np.ndarray:
-    """Mean count of a level, 0 for level 0."""
-    low, high = np.ceil(least * BASE ** (levels - 1.0) - 1e-9), np.ceil(least * BASE ** levels - 1e-9) - 1
-    return np.where(levels > 0, (low + np.maximum(high, low)) / 2, 0.0)
+def bounds_of(levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest count of a level; 0 for level 0."""
+    low, high = np.ceil(BASE ** (levels - 1.0) - 1e-9), np.ceil(BASE ** levels - 1e-9) - 1
+    return np.where(levels > 0, low, 0.0), np.where(levels > 0, np.maximum(high, low), 0.0)
 
 
 # ---- counting -------------------------------------------------------------------------------------------
@@ -210,11 +216,11 @@ def _place(a: np.ndarray, b: np.ndarray, i: int, bits: np.ndarray) -> np.ndarray
     return ((a + np.uint64(i) * b) >> np.uint64(32)) * bits >> np.uint64(32)
 
 
-def build_segment(h: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
+def build_segment(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The 64-bit words of one segment."""
     if not len(h):
         return np.zeros(0, np.uint64)
-    top = level(counts, least)
+    top = level(counts)
     entries = int(top.sum())
     size = -(-int(entries * BITS_PER_ENTRY + 1) // 64)
     bits = np.zeros(size * 64, bool)
@@ -226,77 +232,80 @@ def build_segment(h: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
-def _built(least: dict[int, int]):
-    def run(rows: pa.Table) -> pa.Table:
-        kind, segment = rows.column("kind")[0].as_py(), rows.column("segment")[0].as_py()
-        read = lambda c, t: [np.frombuffer(x, t) for x in rows.column(c).to_pylist()]
-        once = read("once", np.uint64)
-        h, c = _summed([*once, *read("often", np.uint64)],
-                       [*(np.ones(len(x), np.int64) for x in once), *read("counts", np.uint32)])
-        sizes = np.bincount(np.minimum(np.log2(c).astype(int), 63), minlength=64)
-        keep = c >= least[kind]
-        return pa.table({"kind": pa.array([kind], pa.int32()), "segment": pa.array([segment], pa.int32()),
-                         "bits": pa.array([build_segment(h[keep], c[keep], least[kind]).tobytes()], pa.binary()),
-                         "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64()))})
-    return run
+def _built(rows: pa.Table) -> pa.Table:
+    """A segment's filter, with the number and the sum of the counts on every level."""
+    kind, segment = rows.column("kind")[0].as_py(), rows.column("segment")[0].as_py()
+    read = lambda c, t: [np.frombuffer(x, t) for x in rows.column(c).to_pylist()]
+    once = read("once", np.uint64)
+    h, c = _summed([*once, *read("often", np.uint64)],
+                   [*(np.ones(len(x), np.int64) for x in once), *read("counts", np.uint32)])
+    on = level(c)
+    lists = pa.list_(pa.int64())
+    return pa.table({"kind": pa.array([kind], pa.int32()), "segment": pa.array([segment], pa.int32()),
+                     "bits": pa.array([build_segment(h, c).tobytes()], pa.binary()),
+                     "sizes": pa.array([np.bincount(on, minlength=LEVELS).tolist()], lists),
+                     "sums": pa.array([np.bincount(on, c, LEVELS).astype(np.int64).tolist()], lists)})
 
 
 @dataclass
 class Model:
-    """What scoring needs: the two filters with the least counts they hold, N, V and the number of documents."""
+    """What scoring needs: the two filters, the mean count of the words on each level, N, V and the number of
+    documents."""
 
     filters: dict[int, LogBloom | Levels]
-    least: dict[int, int]
+    means: np.ndarray
     n: int
     v: int
     docs: int
 
-    def count(self, kind: int, h: np.ndarray) -> np.ndarray:
-        return level_mean(self.filters[kind].levels(h), self.least[kind])
-
 
 class Scorer:
-    """Scores chunks with a model; remembers the counts of words met before in the same task."""
+    """Scores chunks with a model; remembers the levels of words met before in the same task."""
 
     REMEMBERED = 500_000
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.words, self.counts = np.zeros(0, np.uint64), np.zeros(0)
+        self.words, self.found = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def _word_counts(self, word: np.ndarray) -> np.ndarray:
-        """Counts of sorted distinct word hashes."""
+    def _word_levels(self, word: np.ndarray) -> np.ndarray:
+        """Levels of sorted distinct word hashes."""
         at = np.minimum(np.searchsorted(self.words, word), max(len(self.words) - 1, 0))
         known = self.words[at] == word if len(self.words) else np.zeros(len(word), bool)
         new = word[~known]
-        found = self.model.count(WORD, new)
-        out = np.empty(len(word))
-        out[known], out[~known] = self.counts[at[known]], found
+        found = self.model.filters[WORD].levels(new)
+        out = np.empty(len(word), np.int64)
+        out[known], out[~known] = self.found[at[known]], found
         if len(self.words) + len(new) > self.REMEMBERED:
-            self.words, self.counts = np.zeros(0, np.uint64), np.zeros(0)
+            self.words, self.found = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         place = np.searchsorted(self.words, new)
-        self.words, self.counts = np.insert(self.words, place, new), np.insert(self.counts, place, found)
+        self.words, self.found = np.insert(self.words, place, new), np.insert(self.found, place, found)
         return out
 
-    def log10(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of every document of a chunk (each has at least its end)."""
+    def chances(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Probability of every token of a chunk after the one before it."""
         m = self.model
-        if not m.n:
-            return np.zeros(len(first) - 1)
         word, at = np.unique(tokens, return_inverse=True)
-        own = self._word_counts(word)[at]
+        levels = self._word_levels(word)
+        own, most = m.means[levels][at], bounds_of(levels)[1][at]
         before = np.empty(len(tokens))
-        before[1:] = own[:-1]
+        before[1:] = most[:-1]
         before[first[:-1]] = m.docs
-        # A pair is no more frequent than its parts, so pairs with a rare part need no probe.
-        most = np.minimum(before, own)
-        asked = np.flatnonzero(most >= m.least[PAIR])
+        # A pair is no more frequent than its parts, so pairs with an unknown part need no probe.
+        least = np.minimum(before, most)
+        asked = np.flatnonzero(least > 0)
         pair, pair_at = np.unique(pairs_of(tokens, first)[asked], return_inverse=True)
         both = np.zeros(len(tokens))
-        both[asked] = np.minimum(m.count(PAIR, pair)[pair_at], most[asked])
+        both[asked] = np.minimum(bounds_of(m.filters[PAIR].levels(pair))[0][pair_at], least[asked])
         alone = (own + 1) / (m.n + m.v + 1)
-        p = np.where(before > 0, PAIRS * both / np.maximum(before, 1) + (1 - PAIRS) * alone, alone)
-        return np.add.reduceat(np.log10(p), first[:-1])
+        paired = np.maximum(both - DISCOUNT, 0) / np.maximum(before, 1)
+        return np.where(before > 0, PAIRS * paired + (1 - PAIRS) * alone, alone)
+
+    def log10(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log10 probability of every document of a chunk (each has at least its end)."""
+        if not self.model.n:
+            return np.zeros(len(first) - 1)
+        return np.add.reduceat(np.log10(self.chances(tokens, first)), first[:-1])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -305,15 +314,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def filter_table(docs: DataFrame, segments: int, least: dict[int, int]) -> tuple[DataFrame, int]:
+def filter_table(docs: DataFrame, segments: int) -> tuple[DataFrame, int]:
     """The segments of the filters of words and pairs of ``docs``, written, and their bytes in all."""
     rows = (docs.select("text").mapInArrow(_segment_rows(segments),
                                            "kind int, segment int, once binary, often binary, counts binary")
-            .groupBy("kind", "segment").applyInArrow(_built(dict(least)), "kind int, segment int, bits binary, sizes array<long>"))
+            .groupBy("kind", "segment").applyInArrow(
+                _built, "kind int, segment int, bits binary, sizes array<long>, sums array<long>"))
     rows = written(rows, "lm_filter")
     return rows, rows.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
 
 
+def word_means(rows: DataFrame) -> np.ndarray:
+    """Mean count of the words on each level."""
+    total = lambda c: F.array(*(F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for i in range(LEVELS)))
+    r = rows.filter(F.col("kind") == WORD).agg(total("sizes").alias("n"), total("sums").alias("s")).first()
+    return np.array(r["s"], float) / np.maximum(np.array(r["n"], float), 1)
+
+
 def segments_for(n: int) -> int:
     return max(16, -(-n // SEGMENT_TOKENS))
 
@@ -329,38 +346,6 @@ def gathered(rows: DataFrame, segments: int) -> dict[int, LogBloom]:
     return filters
 
 
-def filters_of(docs: DataFrame, n: int, max_bytes: int = MAX_BYTES) -> tuple[dict[int, LogBloom], dict[int, int]]:
-    """Filters of words and pairs of ``docs`` (with ``n`` tokens) that are held to ``max_bytes`` by leaving out the
-    rarest n-grams, and the least counts they hold; ``score`` leaves out none."""
-    segments = segments_for(n)
-    least = {WORD: 1, PAIR: MIN_PAIR}
-    while True:
-        rows, size = filter_table(docs, segments, least)
-        if size <= max_bytes:
-            return gathered(rows, segments), least
-        _raise_least(rows, least, max_bytes, size)
-
-
-def _raise_least(rows: DataFrame, least: dict[int, int], max_bytes: int, size: int) -> None:
-    """Raise the least count of pairs, then of words, until the n-grams that remain must fit."""
-    sums = {r["kind"]: np.array(r["s"]) for r in rows.groupBy("kind").agg(
-        F.array(*(F.sum(F.col("sizes")[i]) for i in range(64))).alias("s")).collect()}
-    powers = np.arange(64)
-
-    def need(kind: int) -> float:
-        at = int(np.ceil(np.log2(least[kind])))
-        here = sums.get(kind, np.zeros(64))[at:]
-        top = 1 + (powers[at:] + 1 - np.log2(least[kind])) / np.log2(BASE)
-        return float((here * top).sum()) * BITS_PER_ENTRY / 8 + 64 * 8
-
-    before = dict(least)
-    for kind in (PAIR, WORD):
-        while need(WORD) + need(PAIR) > max_bytes and least[kind] < 2**62:
-            least[kind] = 2 ** (int(np.log2(least[kind])) + 1)
-    if least == before:
-        raise ValueError(f"the filter takes {size} bytes; max_bytes={max_bytes} cannot be met")
-
-
 def _hot_least(counts: DataFrame, most: int) -> int:
     """The least n such that at most ``most`` words have a count of n or more, from a histogram of log counts."""
     bins = counts.groupBy(F.floor(F.log("n") / np.log(1.02)).alias("b")).agg(
@@ -386,7 +371,10 @@ def _scored(model, hot, keep: list[str], apart: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        m, (hot_hash, hot_n) = model.value, hot.value
+        # Broadcasts hold plain arrays and numbers: their objects are unpickled before this function's code is there.
+        filters, means, n, v, n_docs = model.value
+        hot_hash, hot_n = hot.value
+        m = Model({k: LogBloom(*f) for k, f in filters.items()}, means, n, v, n_docs)
         scorer = Scorer(m)
         floor = np.log10(1 / (m.n + m.v + 1)) if m.n else 0.0
         row = TaskContext.get().partitionId() << 33
@@ -456,7 +444,7 @@ def _probed(asked: pa.Table, segment: pa.Table) -> pa.Table:
     return asked.select(["chunk", "kind", "hashes"]).append_column("levels", pa.array(levels, pa.binary()))
 
 
-def _scored_chunk(n: int, v: int, n_docs: int, least: dict[int, int]):
+def _scored_chunk(means: list[float], n: int, v: int, n_docs: int):
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         filters = {}
         for kind in (WORD, PAIR):
@@ -464,13 +452,13 @@ def _scored_chunk(n: int, v: int, n_docs: int, least: dict[int, int]):
             h = np.frombuffer(b"".join(mine.column("hashes").to_pylist()), np.uint64)
             h, at = np.unique(h, return_index=True)
             filters[kind] = Levels(h, np.frombuffer(b"".join(mine.column("levels").to_pylist()), np.uint8)[at])
-        scorer = Scorer(Model(filters, least, n, v, n_docs))
+        scorer = Scorer(Model(filters, np.array(means), n, v, n_docs))
         scores = [scorer.log10(*tokens_of(words_of(data, offsets))) for _, _, data, offsets in chunks(texts.column("_text"))]
         return pa.table({"row": texts.column("row"), "score": pa.array(np.concatenate([*scores, np.zeros(0)]))})
     return run
 
 
-def _scores_by_segments(rows: DataFrame, bits: DataFrame, segments: int, least: dict[int, int], n: int, v: int,
+def _scores_by_segments(rows: DataFrame, bits: DataFrame, segments: int, means: np.ndarray, n: int, v: int,
                         n_docs: int) -> DataFrame:
     """(row, score) of ``rows`` (chunk, row, _text), with the filter left where it is.  Segments are sized by the
     training tokens; where far more are scored, what is asked of a segment is dealt to several parts."""
@@ -483,7 +471,7 @@ def _scores_by_segments(rows: DataFrame, bits: DataFrame, segments: int, least:
     found = (asked.groupBy(*keys).cogroup(held.groupBy(*keys))
              .applyInArrow(_probed, "chunk long, kind int, hashes binary, levels binary"))
     return (rows.select("chunk", "row", "_text").groupBy("chunk").cogroup(found.groupBy("chunk"))
-            .applyInArrow(_scored_chunk(n, v, n_docs, least), "row long, score double"))
+            .applyInArrow(_scored_chunk(means.tolist(), n, v, n_docs), "row long, score double"))
 
 
 def score(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",), max_bytes: int = MAX_BYTES,
@@ -501,10 +489,11 @@ def score(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",),
     h = np.asarray(hot_rows.column("h")).view(np.uint64)
     order = np.argsort(h)
     hot = sc.broadcast((h[order], np.asarray(hot_rows.column("n")).astype(np.float64)[order]))
-    segments, kept = segments_for(n), {WORD: 1, PAIR: MIN_PAIR}
-    bits, size = filter_table(train, segments, kept)
-    apart = size > max_bytes
-    model = sc.broadcast(Model({} if apart else gathered(bits, segments), kept, n, v, n_docs))
+    segments = segments_for(n)
+    bits, size = filter_table(train, segments)
+    apart, means = size > max_bytes, word_means(bits)
+    filters = {} if apart else {k: (f.words, f.begin) for k, f in gathered(bits, segments).items()}
+    model = sc.broadcast((filters, means, n, v, n_docs))
     source = docs.select(*keep, "text")
     schema = T.StructType([*docs.select(*keep).schema.fields]).add("row", "long").add("n_tokens", "long").add(
         "hot_known", "long").add("hot_base", "double").add(
@@ -516,7 +505,7 @@ def score(docs: DataFrame, learns: Column, keep: tuple[str, ...] = ("doc_id",),
             .groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_base"),
                                 F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
     if apart:
-        rows = rows.drop("_text").join(_scores_by_segments(rows, bits, segments, kept, n, v, n_docs), "row")
+        rows = rows.drop("_text").join(_scores_by_segments(rows, bits, segments, means, n, v, n_docs), "row")
     return rows.drop("cold").join(rare, "row", "left").select(
         *keep, "n_tokens", (F.col("hot_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
