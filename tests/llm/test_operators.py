@@ -482,7 +482,34 @@ def test_near_duplicates(spark, edge, edge_rows, none):
     assert len({expected[i] for i in range(60, 75)}) == 1
     assert near_dup.near_duplicates(none).count() == 0
     whole = near_dup.near_duplicates(edge).filter("doc_id is null").collect()
-    assert len(whole) == 2
+    assert len(whole) == 2 and not any(r.kept for r in whole)
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_rows_without_id_are_linked_and_bridge(spark, monkeypatch, rounds):
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
+    words_ = [f"w{i}" for i in range(100)]
+    far = " ".join(words_[:-6] + [f"e{i}" for i in range(6)])            # like the middle one, not like the first
+    first, middle = " ".join([f"b{i}" for i in range(6)] + words_[6:]), " ".join(words_)
+    alone = " ".join(f"z{i}" for i in range(60))
+    rows = [(5, first), (None, middle), (None, middle), (8, far), (None, alone), (None, alone + " more"), (9, "x y z w v"), (None, None)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(5, 5, True), (None, 5, False), (8, 5, False), (None, None, False), (9, 9, True)}
+
+
+def test_a_passage_below_the_threshold_brings_no_pairs_together(spark):
+    """Texts that share 85 % of their words: what they offer each other does not grow with the square of their number."""
+    passage = [f"p{i}" for i in range(170)]
+    met = []
+    for n in (60, 240):
+        rows = [(i, " ".join(passage + [f"o{i}x{j}" for j in range(30)])) for i in range(n)]
+        found = near_dup.NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        left = found.classes.select("class", F.col("class").alias("comp"))
+        offered, probes = found._rare_shingles(left)
+        met.append(offered.join(probes.select("e"), "e").count())
+        assert probes.count() >= n and found._rare_pairs(left).count() == 0
+    assert met[1] <= 4 * met[0]
 
 
 @pytest.mark.parametrize("rounds", [0, 1])

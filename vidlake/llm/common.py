@@ -42,6 +42,14 @@ def crc_mod(c: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def fresh(names, base: str) -> str:
+    """A column name like ``base`` that is not among ``names`` (compared without case)."""
+    taken, name = {n.lower() for n in names}, base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether the frame has at most ``rows`` rows; reads no more than that."""
     return df.limit(rows + 1).count() <= rows

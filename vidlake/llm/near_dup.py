@@ -11,16 +11,22 @@ are compared with one centre, not with each other: first with the class that mee
 (the original of a group of copies), then with others by a hash.  Those joined already fall together, and the
 next round takes up buckets that still hold more than one component.  Classes that are still apart in a bucket
 after STAR_ROUNDS share registers without being similar, as texts with a long common passage do; pairs among
-them are found exactly by their rarest shingles: sets of n and m shingles whose similarity reaches t share at least
-t (n + m) / (1 + t), so in ascending order of frequency the first one they share must have that many from its
-place on in each.  A candidate pair is first judged from the sketches: the joint likelihood of
+them are found exactly by their rarest shingles: sets of n <= m shingles whose similarity reaches t share at least
+t (n + m) / (1 + t), which is 2 t n / (1 + t) at least, and t m at least.  So in ascending order of frequency the
+first one they share is among the first n - 2 t n / (1 + t) + 1 of the smaller set (11 % of it at 0.8) and the
+first m - t m + 1 of the larger (20 %), and has as many as they must share from its place on in each.  Texts with
+a passage of 80 to 89 % in common therefore probe for it, but do not offer it, and meet no one.  A candidate pair is first judged from the sketches: the joint likelihood of
 the numbers of greater, equal and lesser registers, given both cardinalities, rules out pairs for which a
 similarity at the threshold is out of reach; the others are confirmed on their full sets.  Links are joined to
 components by random contraction.
 
+A class is named by the 128-bit hash of its set, so it needs no doc_id; a component takes the least doc_id of all
+its rows at the end.
+
 Defined cases: null texts and texts without words have an empty set and are linked with nothing.  Rows that
 repeat a doc_id are one document, linked wherever any of its texts is; a row without doc_id is linked like
-any other and its class takes the least doc_id in it.  An empty table gives an empty result.
+any other, bridges others, and shares their component's least doc_id (null if no row of it has one); it is never
+``kept``.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -79,6 +85,13 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
+def set_hash(elements: np.ndarray) -> bytes | None:
+    """128 bits that name a set of element hashes, None for the empty set."""
+    if not len(elements):
+        return None
+    return b"".join(mix64(x).sum(dtype=np.uint64).tobytes() for x in (elements, elements ^ np.uint64(0x9E3779B97F4A7C15)))
+
+
 def _sets(column: pa.Array, k: int):
     """Per chunk of documents lo..hi: for each its sorted distinct shingle hashes, and all shingles with their
     bounds."""
@@ -88,21 +101,18 @@ def _sets(column: pa.Array, k: int):
 
 
 def sketches(docs: DataFrame, k: int = 4) -> DataFrame:
-    """doc_id, n_shingles, set1, set2 (a 128-bit hash of the set, null for the empty set) and sketch."""
+    """doc_id, n_shingles, set (its 128-bit hash, null for the empty set) and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for lo, hi, sets, h, first in _sets(batch.column("text"), k):
-                one = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else None for s in sets]
-                two = [int(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)) if len(s) else None
-                       for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                     pa.array([set_hash(s) for s in sets], pa.binary()),
                      pa.array([r.tobytes() for r in sketch(h, first)], pa.binary())],
-                    ["doc_id", "n_shingles", "set1", "set2", "sketch"])
+                    ["doc_id", "n_shingles", "set", "sketch"])
 
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set1", T.LongType()),
-                           T.StructField("set2", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType()),
+                           T.StructField("sketch", T.BinaryType())])
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -144,13 +154,11 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame, k: int = 4, threshold: float = 0.8) -> None:
         self.docs, self.k, self.threshold = docs, k, threshold
         self.rows = written(sketches(docs, k), "nd_sketches")
-        # One class per set, named by its least doc_id.
-        self.members = (self.rows.filter("set1 is not null").groupBy("set1", "set2")
-                        .agg(F.min("doc_id").alias("class"), F.max("n_shingles").alias("n")))
-        named = self.rows.filter("set1 is not null and doc_id is not null")
-        self.classes = written(
-            named.join(self.members.withColumnRenamed("class", "doc_id"), ["set1", "set2", "doc_id"])
-            .select(F.col("doc_id").alias("class"), "n", "sketch").dropDuplicates(["class", "n", "sketch"]), "nd_classes")
+        filled = self.rows.filter("set is not null")
+        # One class per set; ``doc_id`` is one of its documents, where it has any.
+        self.members = written(filled.groupBy(F.col("set").alias("class")).agg(F.min("doc_id").alias("doc_id")), "nd_members")
+        self.classes = written(filled.groupBy(F.col("set").alias("class")).agg(
+            F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nd_classes")
         width = 2 * ROWS
         keys = F.transform(F.sequence(F.lit(0), F.lit(M // ROWS - 1)),
                            lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * width + 1, F.lit(width))))
@@ -177,61 +185,74 @@ class NearDuplicates:
         kind = self.classes.schema["class"].dataType
         likely = written(
             pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(F.least("n_a", "n_b") >= self.threshold * F.greatest("n_a", "n_b") - 1e-9)
+            .filter(F.least("n_a", "n_b") >= self.threshold * F.greatest("n_a", "n_b") - ROUNDING)
             .mapInPandas(_plausible(self.threshold), T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
             .distinct(), f"nd_likely_{name}")
         self.links.append(written(self._confirmed(likely), f"nd_links_{name}"))
 
-    def _elements(self, ids: DataFrame) -> DataFrame:
-        """(doc_id, elements) of the documents with the given ids: their full sets, from their texts."""
-        chosen = self.docs.select("doc_id", "text").join(small_side(written(ids, "nd_ids"), BROADCAST_IDS), "doc_id", "left_semi")
+    def _elements(self, classes: DataFrame) -> DataFrame:
+        """(class, elements) of the given classes: their full sets, from the text of one of their documents.  For
+        classes without any doc_id, all rows without doc_id are read."""
+        wanted = small_side(written(classes.select("class").distinct(), "nd_ids"), BROADCAST_IDS)
+        ids = written(self.members.join(wanted, "class").select("doc_id").distinct(), "nd_ids")
+        docs = self.docs.select("doc_id", "text")
+        chosen = docs.join(small_side(ids, BROADCAST_IDS), "doc_id", "left_semi")
+        if not ids.filter("doc_id is null").isEmpty():
+            chosen = chosen.unionByName(docs.filter("doc_id is null"))
         k = self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                for lo, hi, sets, _, _ in _sets(batch.column("text"), k):
+                for _, _, sets, _, _ in _sets(batch.column("text"), k):
                     bounds = np.cumsum([0, *map(len, sets)])
                     values = np.concatenate(sets).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(lo, hi - lo),
-                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))], ["doc_id", "elements"])
+                        [pa.array([set_hash(s) for s in sets], pa.binary()),
+                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))], ["class", "elements"])
 
-        return chosen.mapInArrow(run, T.StructType([self.docs.schema["doc_id"],
-                                                    T.StructField("elements", T.ArrayType(T.LongType()))]))
+        # An id may have several texts, and rows without id many copies.
+        return chosen.mapInArrow(run, "class binary, elements array<long>").join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold."""
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        ids = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
         sets = written(self._elements(ids), "nd_sets")
-        both = (pairs.join(sets.withColumnsRenamed({"doc_id": "a", "elements": "x"}), "a")
-                .join(sets.withColumnsRenamed({"doc_id": "b", "elements": "y"}), "b"))
+        both = (pairs.join(sets.withColumnsRenamed({"class": "a", "elements": "x"}), "a")
+                .join(sets.withColumnsRenamed({"class": "b", "elements": "y"}), "b"))
         shared = F.size(F.array_intersect("x", "y"))
         percent = round(100 * self.threshold)
         return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
 
-    def _rare_pairs(self, left: DataFrame) -> DataFrame:
-        """Pairs (a < b) of different components among the classes in ``left`` that may reach the threshold,
-        found by shared rare shingles.  Shingles of one document only cannot be shared but count for its
-        first ones."""
+    def _rare_shingles(self, left: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What the classes in ``left`` offer as the smaller of a pair, and what they probe for as the larger: rows
+        (e, class, n, comp, place).  Shingles of one set only cannot be shared but count for its first ones."""
         t = self.threshold
-        ids = left.select(F.col("class").alias("doc_id"), "comp").distinct()
-        sets = self._elements(ids.select("doc_id").distinct()).withColumn("n", F.size("elements")).filter("n > 0")
-        held = written(sets.select("doc_id", "n", F.explode("elements").alias("e")).distinct(), "nd_held")
+        ids = left.select("class", "comp").distinct()
+        sets = self._elements(ids).withColumn("n", F.size("elements")).filter("n > 0")
+        held = written(sets.select("class", "n", F.explode("elements").alias("e")), "nd_held")
         often = held.groupBy("e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
         common = held.join(often, "e")
-        place = F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("df", "e"))
-        several = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "n"))
-        first = F.col("n") - F.ceil(t * F.col("n") - 1e-9) + 1
-        probes = written(common.withColumn("place", place + F.col("n") - several).filter(F.col("place") <= first)
-                         .join(ids, "doc_id").select("e", "doc_id", "n", "comp", "place"), "nd_probes")
-        other = probes.withColumnsRenamed({"doc_id": "b", "n": "n_b", "comp": "comp_b", "place": "place_b"})
-        # The first shingle that a pair shares, in that order, leaves room for all that it must share.
+        place = F.row_number().over(Window.partitionBy("class", "n").orderBy("df", "e"))
+        several = F.count(F.lit(1)).over(Window.partitionBy("class", "n"))
+        longest = F.col("n") - F.ceil(t * F.col("n") - ROUNDING) + 1
+        probes = written(common.withColumn("place", place + F.col("n") - several).filter(F.col("place") <= longest)
+                         .join(ids, "class").select("e", "class", "n", "comp", "place"), "nd_probes")
+        # What a set offers as the smaller of a pair (of equal sizes, the one with the lesser name).
+        shortest = F.col("n") - F.ceil(2 * t / (1 + t) * F.col("n") - ROUNDING) + 1
+        return probes.filter(F.col("place") <= shortest), probes
+
+    def _rare_pairs(self, left: DataFrame) -> DataFrame:
+        """Pairs (a < b) of different components among the classes in ``left`` that may reach the threshold,
+        found by shared rare shingles."""
+        t = self.threshold
+        offered, probes = self._rare_shingles(left)
+        other = probes.withColumnsRenamed({"class": "b", "n": "n_b", "comp": "comp_b", "place": "place_b"})
         room = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1
-        return (probes.withColumnRenamed("doc_id", "a").join(other, "e")
-                .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
-                        & (F.least("n", "n_b") >= t * F.greatest("n", "n_b") - 1e-9)
-                        & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("n_b")) - 1e-9)))
-                .select("a", "b").distinct())
+        smaller = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("a") < F.col("b")))
+        return (offered.withColumnRenamed("class", "a").join(other, "e")
+                .filter(smaller & (F.col("comp") != F.col("comp_b")) & (F.col("n") >= t * F.col("n_b") - ROUNDING)
+                        & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("n_b")) - ROUNDING)))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def _all_links(self) -> DataFrame:
         kind = self.classes.schema["class"].dataType.simpleString()
@@ -268,17 +289,18 @@ class NearDuplicates:
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, set1, set2, component_id, kept per row of ``docs``."""
+    """doc_id, n_shingles, set, component_id, kept per row of ``docs``."""
     found = NearDuplicates(docs, k, threshold)
-    named = found.rows.filter("set1 is not null").join(found.members, ["set1", "set2"])
+    named = found.rows.filter("set is not null and doc_id is not null")
     # An id with several texts joins the classes it is in.
-    several = (named.groupBy("doc_id").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-               .filter("lo <> hi").select("doc_id"))
-    joined = named.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
+    several = named.groupBy("doc_id").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).filter("lo <> hi")
+    joined = named.join(several, "doc_id").select(F.col("lo").alias("a"), F.col("set").alias("b"))
     comp = components(found.run().unionByName(joined)).withColumnRenamed("node", "class")
-    classes = found.members.join(comp, "class", "left").select(
-        "set1", "set2", F.coalesce("component", "class").alias("component_id"))
-    rows = found.rows.join(classes, ["set1", "set2"], "left")
-    return rows.select(
-        "doc_id", "n_shingles", "set1", "set2", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+    members = written(found.members.join(comp, "class", "left").select(
+        "class", "doc_id", F.coalesce("component", "class").alias("component")), "nd_components")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    classes = written(members.join(least, "component").select(F.col("class").alias("set"), "component_id"), "nd_components")
+    rows = found.rows.join(small_side(classes, BROADCAST_IDS), "set", "left")
+    own = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", "set", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
