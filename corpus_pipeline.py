@@ -6,48 +6,57 @@ scratch folder and reads it again for the next.  All stages but the last return
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from vidlake.llm import language_id, line_dedup, mixing, near_dup, packing
-from vidlake.llm.common import bounded_batches, crc_mod, small_side, table, written
+from vidlake.llm.common import bounded_batches, fresh, small_side, table, written
 
 # Ids of dropped copies that are sent to every worker at most; beyond, documents are joined with them.
 BROADCAST_IDS = 500_000
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (no letter) go."""
+    """Documents in which no language can be told (no letter) go.  Profiles are learned from all rows with a lang."""
     bounded_batches(spark)
-    told = language_id.identify_learning(docs, crc_mod(F.col("doc_id"), 4) != 2, docs.columns, ("_lang_pred", "_lang_score"))
-    return told.filter(F.col("_lang_pred") != "und").select(*docs.columns)
+    names = tuple(fresh(docs.columns, n) for n in ("_lang_pred", "_lang_score"))
+    told = language_id.identify_learning(docs, F.lit(True), docs.columns, names)
+    return told.filter(F.col(names[0]) != "und").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; n_chars follows the text."""
     bounded_batches(spark)
-    kept = line_dedup.dedup_lines(docs, min_docs=10, n_lines="_n_lines", n_dropped="_n_dropped")
+    lines, dropped = (fresh(docs.columns, n) for n in ("_n_lines", "_n_dropped"))
+    kept = line_dedup.dedup_lines(docs, min_docs=10, n_lines=lines, n_dropped=dropped)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
 
 
+def document_key(doc_id: Column, text: Column) -> Column:
+    """Names a row by id and text, ordered by id (ids are 64-bit numbers; rows without one come last)."""
+    number = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.concat(F.coalesce(number, F.lit("~")), F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of the least doc_id.  Rows that repeat a doc_id
-    are one document; of rows without doc_id one of each equal text stays."""
+    """One row of each group of near copies stays: the one of the least doc_id (of rows with one id, or without any,
+    the one with the least digest of its text).  Only texts count: different texts under one doc_id are apart, and a
+    row without doc_id is a copy like any other.  Of rows equal in id and text one stays."""
     bounded_batches(spark)
-    found = written(near_dup.near_duplicates(docs, k=5, threshold=0.8).filter("doc_id is not null")
-                    .select("doc_id", "kept"), "pipeline_kept")
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    several = found.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    known = docs.filter("doc_id is not null")
-    row = F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row")
+    key = fresh(docs.columns, "_key")
+    keyed = docs.withColumn(key, document_key(F.col("doc_id"), F.col("text")))
+    found = written(near_dup.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), k=5, threshold=0.8)
+                    .select(F.col("doc_id").alias(key), "kept"), "pipeline_kept")
+    gone = found.filter(~F.col("kept")).select(key).distinct()
+    several = found.filter("kept").groupBy(key).count().filter("count > 1").select(key)
     again = small_side(several, BROADCAST_IDS)
-    single = (known.join(small_side(gone, BROADCAST_IDS), "doc_id", "left_anti").join(again, "doc_id", "left_anti"))
-    repeated = known.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("row.*")
-    unnamed = docs.filter("doc_id is null").groupBy(F.sha2("text", 256).alias("_text")).agg(row).select("row.*")
-    return single.select(*docs.columns).unionByName(repeated).unionByName(unnamed)
+    single = keyed.join(small_side(gone, BROADCAST_IDS), key, "left_anti").join(again, key, "left_anti")
+    row = F.any_value(F.struct(*docs.columns)).alias(key)
+    repeated = keyed.join(again, key, "left_semi").groupBy(F.col(key).alias("of")).agg(row).select(f"{key}.*")
+    return single.select(*docs.columns).unionByName(repeated)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
