@@ -572,25 +572,53 @@ def test_sketches_merge_and_estimate():
 
 # ---- 9 mixing -------------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("weights", [[1], [5, 3, 2], [0.5] + [0.05] * 10, [0.9, 0.09, 0.01], [1] * 97])
-def test_schedule_stays_within_a_block_of_its_targets(weights):
-    parts = mixing.shares(weights, 1000)
-    assert sum(parts) == 1000 and min(parts) >= 1
-    slots = mixing.schedule(parts)
-    owner = [None] * 1000
-    for k, s in enumerate(slots):
-        assert len(s) == parts[k]
-        for x in s:
-            assert owner[x] is None
-            owner[x] = k
-    done = [0] * len(parts)
-    for t, k in enumerate(owner, 1):
-        done[k] += 1
-        assert all(abs(done[k] - t * p / 1000) < 1 for k, p in enumerate(parts))
+@pytest.mark.parametrize(("sources", "slots"), [(1, 50), (7, 5000), (300, 20_000), (20_000, 1_000_000)])
+def test_schedule_stays_within_a_block_of_its_targets(sources, slots):
+    rng = np.random.default_rng(sources)
+    w = rng.lognormal(0, 2, sources)
+    if sources == 7:
+        w = np.array([1.0, 1, 1, 2, 3, 1e-5, 0.3])
+    w /= w.sum()
+    last = np.ceil(slots * w).astype(int)
+    found = mixing.earliest_deadline_first(w, np.zeros(sources, int), last, 0, 2 * slots + sources)
+    every = np.sort(np.concatenate(found))
+    assert (np.diff(every) > 0).all()
+    for k, s in enumerate(found):       # a block between its release and its deadline is less than one block off
+        j = np.arange(len(s))
+        assert (s >= np.floor(j / w[k] - 1e-6)).all() and (s < np.ceil((j + 1) / w[k] + 1e-6)).all()
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 64])
+def test_mix_deviates_by_less_than_its_bound(spark, segment):
+    """Rows of 30 sources, hundreds of them in one, many without id; targets hold until a source runs out."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, i]), "hot" if i % 3 == 0 else f"s{rng.randrange(30)}", i % 5) for i in range(3000)] + [(None, None, 0)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, source string, _number int").repartition(4)
+    n = collections.Counter(r[1] for r in rows)
+    total = sum(x ** 0.5 for x in n.values())
+    got = mixing.mix(df, 0.5, block=2, segment=segment).collect()
+    assert sorted(((r.doc_id, r.source, r._number) for r in got), key=repr) == sorted(rows, key=repr)
+    owner = {}
+    for r in got:
+        assert owner.setdefault(r.slot, r.source) == r.source
+    assert len({(r.slot, r.place) for r in got}) == len(rows)
+    until = min(-(-x // 2) / (x ** 0.5 / total) for x in n.values())      # the first source runs out
+    done = collections.Counter()
+    for t in range(int(until) - 1):
+        done[owner.get(t, "empty")] += 1
+        assert all(abs(done[s] - (t + 1) * x ** 0.5 / total) < (1 if segment > 64 else 2) for s, x in n.items())
+    assert done["empty"] == 0
+
+
+@pytest.mark.parametrize("name", ["row", "of", "h1", "number", "j", "near", "segment", "weight", "below", "first", "slots", "_of", "from",
+                                  "_segment", "h3", "inside"])
+def test_mix_passes_columns_of_any_name(spark, name):
+    df = spark.createDataFrame([(i, "ab"[i % 2], f"v{i}") for i in range(20)], f"doc_id long, source string, `{name}` string")
+    assert {(r.doc_id, r[name]) for r in mixing.mix(df, 0.5).collect()} == {(i, f"v{i}") for i in range(20)}
 
 
 def test_mix_places_every_row_once_and_keeps_targets(spark, edge, edge_rows, none):
-    rows = mixing.mix(edge, {"s0": 2.0, "s1": 1.0}, period=100, block=2, slot="m", place="n").collect()
+    rows = mixing.mix(edge, {"s0": 2.0, "s1": 1.0}, block=2, slot="m", place="n").collect()
     assert len(rows) == len(edge_rows)
     assert len({(r.m, r.n) for r in rows}) == len(rows) and {r.n for r in rows} <= {0, 1}
     by = collections.defaultdict(set)
@@ -598,7 +626,7 @@ def test_mix_places_every_row_once_and_keeps_targets(spark, edge, edge_rows, non
         by[r.m].add(r.source)
     assert all(len(s) == 1 for s in by.values())
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("source"))
-    order = [r.source for r in mixing.in_order(mixing.mix(many, {"a": 1, "b": 1}, period=10, block=10)).collect()]
+    order = [r.source for r in mixing.in_order(mixing.mix(many, {"a": 1, "b": 1}, block=10)).collect()]
     for t in range(10, 2000, 10):      # until b runs out after 1000 of its documents
         assert abs(order[:t].count("b") - t / 2) <= 10
     assert mixing.mix(none, 0.5, slot="m").count() == 0
