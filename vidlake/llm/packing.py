@@ -15,8 +15,8 @@ Where an order is to be kept (a mixture), pieces are ranked in it over all rows
 consecutive pieces has a histogram and a plan of its own, so a piece moves by less than a window at any size of
 the input; sequences are numbered by their first piece.
 
-Defined cases: a null or empty text is the closing id alone.  A text that holds the tokenizer's special
-strings is ordinary text.  Rows that repeat, also with a null doc_id, are packed each for itself.  An empty
+Defined cases: a null or empty text is the closing id alone.  The string of a token that the
+tokenizer's file adds (``<|endoftext|>``) is that token.  Rows that repeat, also with a null doc_id, are packed each for itself.  An empty
 table gives an empty result; further columns are not read.
 """
 
@@ -51,27 +51,29 @@ class Pattern(NamedTuple):
 
 
 def tokenizer(ranks: str, reserve: str):
-    """text -> ids.  ``ranks`` holds the vocabulary as byte strings with their ids (fast), ``reserve`` the same
-    vocabulary as a tokenizers file, which takes the texts that the first cannot (very long runs without a
-    break)."""
+    """text -> ids as the tokenizers file ``reserve`` gives them without adding special tokens: strings of its added
+    tokens become their ids.  ``ranks`` holds the same vocabulary as byte strings with their ids, which is faster;
+    texts with an added token's string, and those that the faster form cannot take (very long runs without a
+    break), are left to the file itself."""
     import tiktoken
     from tokenizers import Tokenizer
 
     with open(ranks, "rb") as f:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    slow = []
+    whole = Tokenizer.from_file(reserve)
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> list[int]:
-        try:
-            return fast.encode_ordinary(text)
-        except BaseException as e:  # the regular expression engine gives up by a panic
-            if isinstance(e, (KeyboardInterrupt, SystemExit)):
+        if not any(t in text for t in added):
+            try:
+                return fast.encode_ordinary(text)
+            except (KeyboardInterrupt, SystemExit, MemoryError):
                 raise
-            if not slow:
-                slow.append(Tokenizer.from_file(reserve))
-                slow[0].encode_special_tokens = True
-            return slow[0].encode(text, add_special_tokens=False).ids
+            except BaseException as e:  # the regular expression engine gives up by a panic, which is no Exception
+                if not isinstance(e, Exception) and type(e).__name__ != "PanicException":
+                    raise
+        return whole.encode(text, add_special_tokens=False).ids
 
     return encode
 
