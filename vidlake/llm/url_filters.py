@@ -5,6 +5,8 @@ that no rule fits takes the verdict of its aliases: urls joined to it by canonic
 the pages, directly or through others (connected components, also over targets that are no page themselves).
 Among aliases an explicit allow wins over any block; without either the url is allowed.
 
+All links that a page declares count, each resolved against the page's ``<base href>`` or url.
+
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and has no aliases
 (verdict allow).  Null html declares no links.  Repeated pages each get their row.  An empty table gives an
 empty result.  Only the named columns are read, so further columns cannot clash.
@@ -68,25 +70,58 @@ def alias_key(url: Column) -> Column:
     return F.when(host != "", key)
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved; ``..`` at the top is dropped."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, p: (
+        F.when(p == ".", acc)
+        .when((p == "..") & (F.size(acc) > 1), F.slice(acc, F.lit(1), F.size(acc) - 1))
+        .when(p == "..", acc)
+        .otherwise(F.concat(acc, F.array(p)))))
+    folder = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise("")
+    return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, "/"), folder)).otherwise("/")
+
+
 def absolute(url: Column, target: Column) -> Column:
-    """A link target resolved against the url of its page; null or blank targets give null."""
+    """A link target resolved against a url: complete, without scheme, from the root, relative to the folder (with dot
+    segments), a query or a fragment of the same page.  Null or blank targets give null, as does a relative target
+    if the url itself is none."""
     t = F.trim(F.regexp_replace(target, "&amp;", "&"))
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/(?:[^?#]*/)?)?)", 1)
-    return (F.when(t == "", None)
-            .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), t)
-            .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-            .when(t.startswith("/"), F.concat(origin, t))
-            .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), t)))
+    folder = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*((?:/(?:[^?#]*/)?)?)", 1)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    page = F.regexp_extract(url, r"(?s)^([^?#]*)", 1)
+    whole = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    complete = t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://")
+    joined = (F.when(complete, t)
+              .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
+              .when(t.startswith("#"), whole)
+              .when(t.startswith("?"), F.concat(page, t))
+              .when(t.startswith("/"), F.concat(origin, t))
+              .otherwise(F.concat(origin, folder, t)))
+    head = F.regexp_extract(joined, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(joined, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(joined, r"(?s)^[^?#]*(.*)$", 1)
+    dotted = path.rlike(r"(^|/)\.\.?(/|$)")
+    return (F.when(t == "", None).when(~complete & ~F.contains(url, F.lit("://")), None)
+            .when(dotted, F.concat(head, without_dots(path), tail)).otherwise(joined))
 
 
 def declared_links(html: Column) -> Column:
-    """Targets of the canonical link and of the meta refresh of a page (null where absent)."""
-    canon = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    fresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    return F.array(F.regexp_extract(canon, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-                   F.regexp_extract(fresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    """Targets of all canonical links and meta refreshes of a page, as written (null for null html)."""
+    def targets(tags: str, target: str) -> Column:
+        found = F.regexp_extract_all(html, F.lit(tags), F.lit(0))
+        return F.filter(F.transform(found, lambda t: F.regexp_extract(t, target, 1)), lambda t: t != "")
+    return F.concat(targets(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"),
+                    targets(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"))
+
+
+def base_of(url: Column, html: Column) -> Column:
+    """What relative targets of a page are resolved against: its first ``<base href>``, else its url."""
+    tag = F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    return F.coalesce(absolute(url, tag), url)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -95,9 +130,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     seen = written(
         pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                      alias_key(F.col("url")).alias("key"),
-                     F.when(host_of(F.col("url")) != "", F.transform(declared_links(F.col("html")),
-                                                                     lambda t: absolute(F.col("url"), t))).alias("links"))
-        .withColumn("fit", found), "url_pages")
+                     base_of(F.col("url"), F.col("html")).alias("base"), declared_links(F.col("html")).alias("declared"))
+        .withColumn("links", F.when(F.col("host") != "", F.transform("declared", lambda t: absolute(F.col("base"), t))))
+        .drop("base", "declared").withColumn("fit", found), "url_pages")
     targets = (seen.select("key", F.explode("links").alias("target")).filter("target is not null")
                .select("key", alias_key(F.col("target")).alias("other"), host_of(F.col("target")).alias("host"),
                        path_of(F.col("target")).alias("path"))
