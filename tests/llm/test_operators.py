@@ -716,3 +716,33 @@ def test_lm_score_is_the_same_when_the_filter_exceeds_its_bound(spark, edge):
     assert len(got) == len(expected)
     for a, b in zip(got, expected):
         assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12, atol=1e-9)
+
+
+# ---- links and special strings ---------------------------------------------------------------------------
+
+def test_all_declared_links_count_and_are_resolved(spark):
+    from urllib.parse import urljoin
+    page = "http://a.org/x/y/z?q=1#f"
+    targets = ["http://b.org/t", "//b.org/t", "/t", "t", "./t", "../t", "../../t", "../../../t", "t/../u", "?r=2", "#g", ".", "..", "../", "t/./u/"]
+    got = [r.u for r in spark.createDataFrame([(page, t) for t in targets], "p string, t string").select(
+        url_filters.absolute(F.col("p"), F.col("t")).alias("u")).collect()]
+    want = ["http://a.org/x/y/z?q=1" if t.startswith("#") else urljoin(page, t) for t in targets]
+    assert got == want
+    link = lambda *hrefs: "<html>" + "".join(f'<link rel="canonical" href="{h}">' for h in hrefs)
+    pages = [(1, "http://p.org/1", link("http://free.org/", "http://bad.net/2")),            # the second one is blocked
+             (2, "http://p.org/a/b/2", link("../z")), (3, "http://p.org/a/z", link("http://bad.net/9")),
+             (4, "http://p.org/4?v=1", link("?v=2")), (5, "http://p.org/4?v=2", '<meta http-equiv="refresh" content="0; url=http://bad.net/5">'),
+             (6, "http://p.org/c/6", '<base href="http://bad.net/d/">' + link("k")), (7, "http://p.org/7", None), (8, None, link("http://bad.net/"))]
+    got = url_filters.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow", 8: "allow"}
+
+
+def test_special_strings_are_their_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(file)
+    encode = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), file)
+    for t in ("a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "plain text", "<|endoftext", "", "é日本 \n\t  x" * 5, "a" * 3000):
+        assert encode(t) == whole.encode(t, add_special_tokens=False).ids, t[:30]
+    assert 50256 in encode("a <|endoftext|> b")

@@ -125,6 +125,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | float = 0.5, bloc
     at = at.withColumn("segment", F.greatest(F.when(F.col("j") < had(F.col("near")), F.col("near") - 1)
                                              .when(F.col("j") >= had(F.col("near") + 1), F.col("near") + 1)
                                              .otherwise(F.col("near")), F.lit(0)).cast("long"))
+    at = at.select("row", "of", "number", "j", "segment", "weight")
     blocks = at.groupBy("of", "segment", "weight").agg(F.min("j").alias("first"), (F.max("j") + 1).alias("last"))
     schema = "of string, segment long, first long, slots array<long>"
     made = written(blocks.groupBy("segment").applyInPandas(_segment_slots(segment), schema), "mixing_slots")
