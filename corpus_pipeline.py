@@ -37,7 +37,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def document_key(doc_id: Column, text: Column) -> Column:
     """Names a row by id and text, ordered by id (ids are 64-bit numbers; rows without one come last)."""
-    number = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    number = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
     return F.concat(F.coalesce(number, F.lit("~")), F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
@@ -61,8 +61,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of a mixture whose weights follow the root of the sources' sizes."""
-    mixed = mixing.mix(docs, 0.5, slot="_slot", place="_place")
-    return mixing.in_order(mixed, "_slot", "_place").select(*docs.columns)
+    slot, place = (fresh(docs.columns, n) for n in ("_slot", "_place"))
+    return mixing.in_order(mixing.mix(docs, 0.5, slot=slot, place=place), slot, place).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
