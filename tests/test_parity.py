@@ -25,7 +25,8 @@ def test_query_matches_oracle(spark, con, sf_small, name):
     assert res["ok"], res
 
 
-@pytest.mark.parametrize("name", ["q03_daily_trending", "q09_title_characteristics", "dq_drift_psi"])
+@pytest.mark.parametrize("name", ["q03_daily_trending", "q09_title_characteristics", "dq_drift_psi", "dq_drift_report",
+                                  "gold_driver_strength", "gold_distinct_reach"])
 def test_percentile_queries_match_oracle_on_more_rows(spark, name):
     sf = "/root/testdata/sf0.1"
     res = compare(QUERIES[name](spark, sf), duckdb_connection(sf), ORACLE[name])

@@ -144,6 +144,32 @@ def posting_time_analysis(silver: DataFrame, optimal_percentile: float = 0.8) ->
                                    & (F.col("engagement_percentile") >= optimal_percentile), F.lit(False)))
 
 
+# Sketches of 2^12 registers: relative standard error 1.04 / sqrt(2^12) = 1.6 %; the bound is four times that.
+REACH_REGISTERS, REACH_BOUND = 12, 0.065
+
+
+def daily_reach(silver: DataFrame) -> DataFrame:
+    """BLK-5: per (publish_date, category_id), mergeable sketches of the
+    distinct videos and channels, beside the exact counts of that day.  Exact
+    distinct counts of days cannot be added up; the sketches can, so a range of
+    dates needs this table only, not the videos."""
+    return silver.groupBy("publish_date", "category_id").agg(
+        F.count(F.lit(1)).alias("video_count"),
+        F.hll_sketch_agg("video_id", F.lit(REACH_REGISTERS)).alias("videos_sketch"),
+        F.hll_sketch_agg("channel_title", F.lit(REACH_REGISTERS)).alias("channels_sketch"),
+    )
+
+
+def distinct_reach(daily: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimated distinct videos and channels per ``keys`` from any rows of
+    ``daily_reach``; null ids and names are not counted."""
+    return daily.groupBy(*keys).agg(
+        F.sum("video_count").alias("video_rows"),
+        F.hll_sketch_estimate(F.hll_union_agg("videos_sketch")).alias("videos_estimate"),
+        F.hll_sketch_estimate(F.hll_union_agg("channels_sketch")).alias("channels_estimate"),
+    )
+
+
 def category_performance(silver: DataFrame) -> DataFrame:
     """AGG-12 (declared in configuration only): daily category averages."""
     return silver.groupBy("category_id", "publish_date").agg(

@@ -94,6 +94,33 @@ def q_engagement_drivers(spark, sf_dir):
     return round_doubles(gold.engagement_drivers(silver_of(spark, sf_dir)))
 
 
+@register("gold_driver_strength")
+def q_driver_strength(spark, sf_dir):
+    """AGG-13: rank correlations and shares of variance."""
+    from vidlake.operators.drivers import driver_strength
+    return round_doubles(driver_strength(silver_of(spark, sf_dir)))
+
+
+@register("gold_distinct_reach")
+def q_distinct_reach(spark, sf_dir):
+    """BLK-5, AGG-4, AGG-8: distinct videos and channels of months and categories from daily sketches, beside the exact
+    counts; the estimates themselves have no counterpart in SQL, so that they keep their bound is returned."""
+    silver = silver_of(spark, sf_dir)
+    keys = ["category_id", "year", "month"]
+    daily = gold.daily_reach(silver)
+    told = gold.distinct_reach(daily.withColumns({"year": F.year("publish_date"), "month": F.month("publish_date")}), keys)
+    exact = silver.groupBy("category_id", F.year("publish_date").alias("year"), F.month("publish_date").alias("month")).agg(
+        F.countDistinct("video_id").alias("n_videos"), F.countDistinct("channel_title").alias("n_channels"))
+    t, e = told.alias("t"), exact.alias("e")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"t.{k}").eqNullSafe(F.col(f"e.{k}"))
+    near = lambda est, n: F.abs(F.col(est) - F.col(n)) <= F.greatest(F.lit(1.0), gold.REACH_BOUND * F.col(n))
+    return t.join(e, same).select(*[f"e.{k}" for k in keys], "n_videos", "n_channels",
+                                  near("videos_estimate", "n_videos").alias("videos_within"),
+                                  near("channels_estimate", "n_channels").alias("channels_within"))
+
+
 def _analytic(name, fn):
     def run(spark, sf_dir):
         return round_doubles(fn(silver_of(spark, sf_dir)))
@@ -506,6 +533,17 @@ def q_dq_drift(spark, sf_dir):
     return round_doubles(population_stability(s.filter(early), s.filter(~early), "views"))
 
 
+@register("dq_drift_report")
+def q_dq_drift_report(spark, sf_dir):
+    """DQ-11, ML-11: every watched column of 2024 uploads against the stored profile of the earlier ones."""
+    from vidlake.functions.drift import drift_report, reference_profile
+    s = silver_of(spark, sf_dir)
+    early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
+    profile = materialize(reference_profile(s.filter(early), numeric=["views", "likes", "comment_count", "engagement_rate", "title_length"],
+                                            categories=["category_id", "engagement_category"]), "drift_profile")
+    return round_doubles(drift_report(profile, s.filter(~early)))
+
+
 @register("dq_observed_filter_counts")
 def q_dq_observed(spark, sf_dir):
     """DQ-7: kept/removed counts observed during the (here: no-op) write."""
