@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidlake.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, table_bytes
+from vidlake.operators.joins import BROADCAST_MAX_ROWS
 from vidlake.operators.ranking import ordered_slices
 from vidlake.session import materialize
 
@@ -47,11 +47,10 @@ def average_ranks(values: DataFrame, keys: list[str], value: str, count: str, na
     return counted.join(starts, same).withColumn(name, rank).select(*values.columns, name)
 
 
-def _with_ranks(rows: DataFrame, ranks: DataFrame, column: str, target: str, max_rows: int) -> DataFrame:
-    """``rows`` with the rank of ``column``: a broadcast of a checked size, or
-    a join in which the rows of a frequent value go to SALTS tasks."""
-    ranks = materialize(ranks, "driver_ranks")
-    if ranks.count() <= max_rows and table_bytes(ranks) <= BROADCAST_MAX_BYTES:
+def _with_ranks(rows: DataFrame, ranks: DataFrame, column: str, target: str, fits: bool) -> DataFrame:
+    """``rows`` with the rank of ``column``: a broadcast if it ``fits``, or a
+    join in which the rows of a frequent value go to SALTS tasks."""
+    if fits:
         return rows.join(F.broadcast(ranks), column)
     salted = ranks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     part = F.pmod(F.xxhash64(target), F.lit(SALTS)).cast("int")
@@ -63,6 +62,8 @@ def driver_strength(silver: DataFrame, ordered=ORDERED_DRIVERS, named=NAMED_DRIV
     """AGG-13, one row per driver: ``driver``, ``n_videos``, ``n_values``,
     ``spearman`` (null for drivers without an order) and ``variance_share``.
 
+    The ranks of a driver of at most ``max_rows`` values (counted; two numbers
+    each) are broadcast, those of others joined.
     Videos in which a driver or the target is null are left out.  Both measures
     are null where nothing varies, and for a table without videos
     (``n_videos`` 0 then).
@@ -94,7 +95,7 @@ def driver_strength(silver: DataFrame, ordered=ORDERED_DRIVERS, named=NAMED_DRIV
     wide = rows
     for i, c in enumerate(ordered):
         wide = _with_ranks(wide, ranked.filter(F.col("driver") == c).select(F.col("value").alias(c), F.col("dev").alias(f"_d{i}")),
-                           c, target, max_rows)
+                           c, target, c not in spread or spread[c]["n_values"] <= max_rows)
     # One row per value of the target on both sides of the last join.
     sums = wide.groupBy(target).agg(*[F.sum(F.col("n") * F.col(f"_d{i}")).alias(f"_s{i}") for i in range(len(ordered))])
     own = ranked.filter(F.col("driver") == target).select(F.col("value").alias(target), "dev")

@@ -59,6 +59,14 @@ def q_silver(spark, sf_dir):
     return round_doubles(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF).drop(*LINEAGE_COLUMNS))
 
 
+@register("silver_lineage")
+def q_silver_lineage(spark, sf_dir):
+    """CLN-13: the job that wrote the rows; one time for all of them, none without."""
+    return silver_of(spark, sf_dir).groupBy("processing_job").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("processed_timestamp").alias("n_times"),
+        F.count_if(F.col("processed_timestamp").isNull()).alias("n_without_time"))
+
+
 @register("gold_trending_videos")
 def q_trending(spark, sf_dir):
     return round_doubles(gold.trending_videos(silver_of(spark, sf_dir)))
