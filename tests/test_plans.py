@@ -81,7 +81,7 @@ def test_feature_rows_never_shuffled_on_channel_or_channel_day(silver_table, unw
 
 
 def test_grouped_percentiles_exchange_no_rows_on_the_group_key(silver_table):
-    # bands are broadcast: only counts per (group, band, bucket) are exchanged on keys with the category
+    # brackets are broadcast: only sketches with counts, and counts per (group, bracket, value), are exchanged on the category
     from vidlake.operators import ranking
     values, integral = ranking._values(silver_table, ["category_id"], "views")
     seen = []
@@ -93,10 +93,11 @@ def test_grouped_percentiles_exchange_no_rows_on_the_group_key(silver_table):
 
     type(values).collect = watched
     try:
-        ranking._passes(values, ["category_id"], [0.5, 0.9], integral, 8, 4096)
+        stats = ranking._brackets(values, ["category_id"], [0.5, 0.9], integral, ranking.GROUP_SKETCH)
+        ranking._passes(values, ["category_id"], [0.5, 0.9], integral, 8, stats, 4096)
     finally:
         type(values).collect = collect
-    assert len(seen) > 2
+    assert len(seen) == 2  # two scans: sketches, then the values inside the brackets
     for p in seen:
         assert "SortMergeJoin" not in p and "BuildLeft" not in p
         exch = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning", p)
