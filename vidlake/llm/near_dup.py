@@ -18,7 +18,7 @@ first m - t m + 1 of the larger (20 %), and has as many as they must share from
 a passage of 80 to 89 % in common therefore probe for it, but do not offer it, and meet no one.  A candidate pair is first judged from the sketches: the joint likelihood of
 the numbers of greater, equal and lesser registers, given both cardinalities, rules out pairs for which a
 similarity at the threshold is out of reach; the others are confirmed on their full sets.  Links are joined to
-components by random contraction.
+components by random contraction; those of a later round are contracted between the components of the earlier ones.
 
 A class is named by the 128-bit hash of its set, so it needs no doc_id; a component takes the least doc_id of all
 its rows at the end.
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidlake.llm.common import small_side, written
+from vidlake.llm.common import at_most, fresh, small_side, written
 from vidlake.llm.components import components
 from vidlake.llm.textscan import chunks, mix64, shingles, slices, words_of
 
@@ -54,6 +54,8 @@ RULED_OUT = 36.0
 ROUNDING = 1e-9
 # Ids that are sent to every worker at most when texts of candidates are read again; beyond, they are joined.
 BROADCAST_IDS = 500_000
+# Candidate pairs, with the sketch of one side, that are sent to every worker at most; beyond, they are joined.
+BROADCAST_PAIRS = 100_000
 
 _seeds = np.random.default_rng(808)
 _MULTIPLY = _seeds.integers(0, 2**31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -170,10 +172,23 @@ class NearDuplicates:
         mates = met.groupBy("class").agg(F.sum("size").alias("mates"))
         self.buckets = written(met.select("bucket", "class").join(mates, "class"), "nd_buckets")
         self.tested: list[DataFrame] = []
-        self.links: list[DataFrame] = []
+        self.levels: list[DataFrame] = []
+
+    def settled(self, rows: DataFrame, column: str) -> DataFrame:
+        """``rows`` with the class in ``column`` replaced by its component under all links so far."""
+        for level in self.levels:
+            to = fresh(rows.columns, "to")
+            rows = (rows.join(level.select(F.col("node").alias(column), F.col("component").alias(to)), column, "left")
+                    .withColumn(column, F.coalesce(to, column)).drop(to))
+        return rows
+
+    def link(self, links: DataFrame) -> None:
+        """Join the components of the classes a and b of each link."""
+        level = written(components(self.settled(self.settled(links, "a"), "b")), "nd_level")
+        self.levels.append(small_side(level, BROADCAST_IDS))
 
     def _judged(self, pairs: DataFrame, name: str) -> None:
-        """Test candidate pairs (a < b) not tested before; keep the links."""
+        """Test candidate pairs (a < b) not tested before; join the components of those that are links."""
         for old in self.tested:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         pairs = written(pairs, f"nd_pairs_{name}")
@@ -183,12 +198,13 @@ class NearDuplicates:
         side = lambda c: self.classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"),
                                              F.col("sketch").alias(f"sketch_{c}"))
         kind = self.classes.schema["class"].dataType
+        hint = F.broadcast if at_most(pairs, BROADCAST_PAIRS) else lambda df: df
         likely = written(
-            pairs.join(side("a"), "a").join(side("b"), "b")
+            side("b").join(hint(side("a").join(hint(pairs), "a")), "b")
             .filter(F.least("n_a", "n_b") >= self.threshold * F.greatest("n_a", "n_b") - ROUNDING)
-            .mapInPandas(_plausible(self.threshold), T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
-            .distinct(), f"nd_likely_{name}")
-        self.links.append(written(self._confirmed(likely), f"nd_links_{name}"))
+            .mapInPandas(_plausible(self.threshold), T.StructType([T.StructField("a", kind), T.StructField("b", kind)])),
+            f"nd_likely_{name}")
+        self.link(written(self._confirmed(likely), f"nd_links_{name}"))
 
     def _elements(self, classes: DataFrame) -> DataFrame:
         """(class, elements) of the given classes: their full sets, from the text of one of their documents.  For
@@ -217,11 +233,11 @@ class NearDuplicates:
         """The pairs whose full sets reach the threshold."""
         ids = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
         sets = written(self._elements(ids), "nd_sets")
-        both = (pairs.join(sets.withColumnsRenamed({"class": "a", "elements": "x"}), "a")
+        both = (sets.withColumnsRenamed({"class": "a", "elements": "x"}).join(small_side(pairs, BROADCAST_PAIRS), "a")
                 .join(sets.withColumnsRenamed({"class": "b", "elements": "y"}), "b"))
         shared = F.size(F.array_intersect("x", "y"))
         percent = round(100 * self.threshold)
-        return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
+        return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
     def _rare_shingles(self, left: DataFrame) -> tuple[DataFrame, DataFrame]:
         """What the classes in ``left`` offer as the smaller of a pair, and what they probe for as the larger: rows
@@ -254,28 +270,21 @@ class NearDuplicates:
                         & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("n_b")) - ROUNDING)))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    def _all_links(self) -> DataFrame:
-        kind = self.classes.schema["class"].dataType.simpleString()
-        found = self.docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
-        for part in self.links:
-            found = found.unionByName(part)
-        return found
-
     def _unsettled(self) -> DataFrame:
         """(bucket, class, mates, comp) of the buckets that hold more than one component."""
-        comp = components(self._all_links()).withColumnRenamed("node", "class")
-        rows = self.buckets.join(comp, "class", "left").select("bucket", "class", "mates",
-                                                               F.coalesce("component", "class").alias("comp"))
+        rows = self.settled(self.buckets.withColumn("comp", F.col("class")), "comp")
+        if not self.levels:  # every bucket kept holds several classes
+            return rows
         mixed = (rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .filter("lo <> hi").select("bucket"))
         return written(rows.join(mixed, "bucket"), "nd_unsettled")
 
-    def run(self) -> DataFrame:
-        """All links (a, b) found between classes, enough to join every component."""
+    def run(self) -> None:
+        """Find links between classes, enough to join every component."""
         for r in range(STAR_ROUNDS):
             left = self._unsettled()
             if left.isEmpty():
-                return self._all_links()
+                return
             wish = F.struct(F.lit(0) if r else F.col("mates"), F.xxhash64("class", F.lit(r)))
             centres = (left.groupBy("bucket").agg(F.max_by(F.struct("class", "comp"), wish).alias("c"))
                        .select("bucket", F.col("c.class").alias("centre"), F.col("c.comp").alias("centre_comp")))
@@ -285,7 +294,6 @@ class NearDuplicates:
         left = self._unsettled()
         if not left.isEmpty():
             self._judged(self._rare_pairs(left), "rare")
-        return self._all_links()
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, threshold: float = 0.8) -> DataFrame:
@@ -294,10 +302,11 @@ def near_duplicates(docs: DataFrame, k: int = 4, threshold: float = 0.8) -> Data
     named = found.rows.filter("set is not null and doc_id is not null")
     # An id with several texts joins the classes it is in.
     several = named.groupBy("doc_id").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).filter("lo <> hi")
-    joined = named.join(several, "doc_id").select(F.col("lo").alias("a"), F.col("set").alias("b"))
-    comp = components(found.run().unionByName(joined)).withColumnRenamed("node", "class")
-    members = written(found.members.join(comp, "class", "left").select(
-        "class", "doc_id", F.coalesce("component", "class").alias("component")), "nd_components")
+    joined = written(named.join(several, "doc_id").select(F.col("lo").alias("a"), F.col("set").alias("b")), "nd_joined")
+    found.run()
+    if not joined.isEmpty():
+        found.link(joined)
+    members = written(found.settled(found.members.withColumn("component", F.col("class")), "component"), "nd_components")
     least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     classes = written(members.join(least, "component").select(F.col("class").alias("set"), "component_id"), "nd_components")
     rows = found.rows.join(small_side(classes, BROADCAST_IDS), "set", "left")
