@@ -272,7 +272,7 @@ def test_winnowing_against_a_plain_scan(spark, edge):
     """Chosen places follow the rule window by window, given the hashes that the operator itself uses."""
     df = edge.filter("doc_id < 30").select("doc_id", "text")
     got = fingerprints.with_fingerprint(df, "text", "hashes", "places")
-    grams = df.select("doc_id", "text", fingerprints.words(F.coalesce("text", F.lit(""))).alias("w")).withColumn(
+    grams = df.select("doc_id", "text", fingerprints.units(fingerprints.words(F.coalesce("text", F.lit("")))).alias("w")).withColumn(
         "h1", F.transform("w", lambda w: F.xxhash64(w))).collect()
     two = {}
 
@@ -298,14 +298,39 @@ def test_winnowing_against_a_plain_scan(spark, edge):
         for i in range(max(1, len(h) - 3)):
             window = list(enumerate(h))[i:i + 4]
             places.add(max(p for p, x in window if x == min(y for _, y in window)))
-        expected.setdefault(r.doc_id, set()).add((tuple(sorted(places)), tuple(sorted({h[p] for p in places}))))
+        expected.setdefault(r.doc_id, set()).add((tuple(sorted((h[p], p) for p in places)), tuple(sorted({h[p] for p in places}))))
     seen = collections.defaultdict(set)
     for r in got.collect():
         if r.doc_id in expected:
-            seen[r.doc_id].add((tuple(r.places), tuple(r.hashes)))
+            seen[r.doc_id].add((tuple((p.hash, p.place) for p in r.places), tuple(r.hashes)))
     assert seen == expected and len(expected) > 25
 
 
+def test_units_of_few_or_long_words_are_code_points(spark):
+    texts = ["", " \t", "a bb", "a b c d e f", "a b c d e f g", "x" * 500, "日本語" * 40 + "\n" + "é😀" * 3, "w" * 32 + " " + "v" * 32,
+             " ".join("z" * 32 for _ in range(9)), " ".join("z" * 34 for _ in range(9)), "word " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in df.select("text", fingerprints.units(fingerprints.words(F.col("text"))).alias("u")).collect():
+        w = WORD.findall(r.text)
+        few = 0 < len(w) < 7 or len(" ".join(w)) > 33 * len(w)
+        assert r.u == (list(" ".join(w)) if few else w)
+
+
+def test_texts_without_blanks_are_alike_by_code_points(spark):
+    rng = random.Random(8)
+    long = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))
+    rows = [(1, long), (2, long[:-1] + "x"), (3, long[:200] + long[:200][::-1]), (4, "big red dog"), (5, "big red dogs")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by = {r.doc_id: r for r in fingerprints.with_fingerprint(df, "text", "hashes", "places").collect()}
+    like = lambda a, b: len(set(by[a].hashes) & set(by[b].hashes)) / len(set(by[a].hashes) | set(by[b].hashes))
+    assert like(1, 2) > 0.95 and 0.2 < like(1, 3) < 0.8 and like(4, 5) > 0.5 and like(1, 4) == 0
+    # Every shared run of seven units holds a choice of both texts, at its place in either.
+    places = lambda i: {(p.place, p.hash) for p in by[i].places}
+    for start in range(0, 393):
+        inside = {(p, h) for p, h in places(1) if start <= p <= start + 3}
+        assert inside & places(2)
+
+
 def test_match_guarantee(spark):
     common_run = "one two three four five six seven"        # K + W - 1 words
     df = spark.createDataFrame([(1, "p q r " + common_run + " s t u v"), (2, common_run + " w x y z")], "doc_id long, text string")
@@ -329,6 +354,8 @@ def test_fingerprint_edits(spark, edge, edge_rows, none):
     by = {r.doc_id: r for r in rows if r.doc_id is not None}
     assert by[60].near_next > 0.8 and by[20].near_next < 0.3 and by[40].near_edited > by[40].near_next
     assert by[3].hashes == by[81].hashes and by[75].hashes == by[76].hashes == []
+    assert all(sorted({p.hash for p in r.places}) == r.hashes and sorted({p.hash for p in r.edited_places}) == r.edited_hashes
+               for r in rows)
     assert fingerprints.fingerprint_edits(none).count() == 0
     one = spark.createDataFrame([(1, "abcd")], "doc_id long, text string")
     assert fingerprints.fingerprint_edits(one).collect()[0].edited_sha256 == sha256(b"abab").hexdigest()

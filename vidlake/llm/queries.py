@@ -41,7 +41,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("hashes")).alias("fingerprint"),
                         fingerprints.as_text(F.col("edited_hashes")).alias("edited_fingerprint"),
-                        "near_edited", "near_next")
+                        "near_edited", "near_next", fingerprints.places_text(F.col("places")).alias("places"),
+                        fingerprints.places_text(F.col("edited_places")).alias("edited_places"))
 
 
 @register("op5_quality_rules")
