@@ -58,12 +58,12 @@ def with_fingerprint(df: DataFrame, text: str, hashes: str, places: str | None =
     df = df.select(*kept, "_m1", _shifted_least("_m2", 2).alias("_m4"))
     chosen = (F.when(F.size("_m4") > 0, F.array_distinct("_m4"))
               .when(F.size("_m1") > 0, F.array(F.array_min("_m1"))).otherwise(F.col("_m1")))
-    df = df.select(*kept, chosen.alias("_c"))
-    out = [F.array_sort(F.array_distinct(F.transform("_c", lambda x: F.shiftright(x, 31).cast("int")))).alias(hashes)]
+    df = df.select(*kept, F.sort_array(F.transform(chosen, lambda x: x.bitwiseXOR(F.lit(_PLACES)))).alias("_c"))
+    out = [F.array_distinct(F.transform("_c", lambda x: F.shiftright(x, 31).cast("int"))).alias(hashes)]
     if places:
-        out.append(F.array_sort(F.transform("_c", lambda x: F.struct(
+        out.append(F.transform("_c", lambda x: F.struct(
             F.shiftright(x, 31).cast("int").alias("hash"),
-            (F.lit(_PLACES) - x.bitwiseAND(F.lit(_PLACES))).cast("int").alias("place")))).alias(places))
+            x.bitwiseAND(F.lit(_PLACES)).cast("int").alias("place"))).alias(places))
     return df.select(*kept, *out)
 
 
