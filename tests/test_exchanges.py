@@ -54,3 +54,8 @@ def test_survivors_are_the_same_however_many_keys_are_shared(spark, scratch):
 def test_bronze_dedup_equals_the_exchange_of_all_rows(spark, sf_small):
     typed = typed_columns(load_bronze(spark, sf_small))
     assert sorted(map(str, deduplicate(typed).collect())) == sorted(map(str, deduplicate(typed, max_shared=0).collect()))
+
+
+def test_documents_are_joined_by_an_exchange_of_both_sides(spark, sf_small):
+    p = formatted(load_bronze(spark, sf_small))
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
