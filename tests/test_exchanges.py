@@ -59,3 +59,24 @@ def test_bronze_dedup_equals_the_exchange_of_all_rows(spark, sf_small):
 def test_documents_are_joined_by_an_exchange_of_both_sides(spark, sf_small):
     p = formatted(load_bronze(spark, sf_small))
     assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+
+
+def test_landings_are_gzipped_files_of_bounded_rows_that_jobs_and_the_stream_read(spark, sf_small, scratch, monkeypatch):
+    from vidlake.plans import pipelines
+    from vidlake.plans.silver import bronze_to_silver
+    from vidlake.sources import sinks
+    from vidlake.sources.files import hadoop_path, read_bronze_csv, read_table
+    from vidlake.streaming.incremental import incremental_silver
+    monkeypatch.setattr(pipelines, "LANDED_ROWS", 100)
+    base = scratch("gzipped")
+    bronze = load_bronze(spark, sf_small)
+    landed = pipelines.ingest(bronze, f"{base}/landing", run_ts="1").outputs["landed"]
+    fs, at = hadoop_path(spark, landed)
+    files = [s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
+    assert all(f.endswith(".csv.gz") for f in files) and len(files) >= 10
+    plain, _ = sinks.write_bronze_csv(bronze, f"{base}/plain", run_ts="1")
+    assert sorted(map(str, read_bronze_csv(spark, landed).collect())) == sorted(map(str, read_bronze_csv(spark, plain).collect()))
+    incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of="2024-01-31")
+    want = bronze_to_silver(bronze, as_of="2024-01-31").select("video_id", "publish_time", "views", "description")
+    got = read_table(spark, f"{base}/silver").select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

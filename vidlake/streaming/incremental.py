@@ -140,7 +140,7 @@ def incremental_silver(spark: SparkSession, landing_dir: str, silver_path: str,
     stream = reader.load(landing_dir).select("path")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        files = [r["path"] for r in batch.filter(F.col("path").endswith(".csv")).collect()]
+        files = [r["path"] for r in batch.filter(F.col("path").rlike(r"\.csv(\.gz)?$")).collect()]
         if files:
             merge_batch(read_bronze_csv(batch.sparkSession, sorted(files)), silver_path, as_of, buckets=buckets)
 
