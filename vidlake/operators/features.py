@@ -303,7 +303,8 @@ def build_features(silver: DataFrame, windows=ROLLING_WINDOWS, target_col: str =
     # thresholds first: they read one column of silver, not the feature plan
     df = target_variables(silver, target_col, high_threshold_percentile)
     df = temporal_features(df)
-    df = text_features(df)
+    if not set(TEXT) <= set(df.columns):  # else derived where the texts were read
+        df = text_features(df)
     df = channel_history_features(df, windows)
     df = engagement_features(df)
     df = category_features(df, silver)

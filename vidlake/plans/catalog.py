@@ -187,8 +187,8 @@ for _n, _f in ANALYTIC_QUERIES.items():
 
 @register("features")
 def q_features(spark, sf_dir):
-    from vidlake.operators.features import build_features
-    return round_doubles(build_features(silver_of(spark, sf_dir)))
+    from vidlake.operators.features import build_features, text_features
+    return round_doubles(build_features(silver_of(spark, sf_dir, READS["features"], text_features)))
 
 
 def _posting(spark, sf_dir):
