@@ -46,20 +46,22 @@ COMMITTED = "_COMMITTED"
 
 def scoring_input_from_silver(silver: DataFrame, *more: Column) -> DataFrame:
     """Scoring-input shape (``SCORING_INPUT_SCHEMA``) from silver rows, with
-    ``more`` columns beside it."""
+    ``more`` columns beside it.  Silver rows without descriptions give their
+    ``description_length`` instead."""
     return silver.select(
-        "video_id", "title", "description",
+        "video_id", "title", "description" if "description" in silver.columns else "description_length",
         F.when(F.col("tags").isNotNull(), F.split("tags", r"\|")).alias("tags"),
         "category_id", "publish_hour", "publish_day_of_week", "publish_month", *more)
 
 
 def scoring_features(inputs: DataFrame, carry=()) -> DataFrame:
     """ML-1: defaults for missing fields, text and time features, nulls -> 0;
-    the columns in ``carry`` pass through."""
+    the columns in ``carry`` pass through.  Inputs without ``description`` may
+    have its ``description_length``, the one thing that is read of it."""
     def opt(c, default):
         return F.coalesce(F.col(c), F.lit(default)) if c in inputs.columns else F.lit(default)
     title = opt("title", "")
-    desc = opt("description", "")
+    length = F.length(opt("description", "")) if "description" in inputs.columns else opt("description_length", 0).cast("int")
     tags = F.col("tags") if "tags" in inputs.columns else F.lit(None).cast("array<string>")
     hour = opt("publish_hour", DEFAULTS["publish_hour"]).cast("int")
     dow = opt("publish_day_of_week", DEFAULTS["publish_day_of_week"]).cast("int")
@@ -73,7 +75,7 @@ def scoring_features(inputs: DataFrame, carry=()) -> DataFrame:
         tx.word_count(title).alias("title_word_count"),
         tx.has_question(title).alias("title_has_question"),
         tx.has_exclamation(title).alias("title_has_exclamation"),
-        F.length(desc).alias("description_length"),
+        length.alias("description_length"),
         F.when(tags.isNull(), F.lit(0)).otherwise(F.size(tags)).alias("tag_count"),
         opt("category_id", DEFAULTS["category_id"]).cast("int").alias("category_id"),
         F.sin(F.lit(2 * math.pi) * hour / F.lit(24)).alias("hour_sin"),

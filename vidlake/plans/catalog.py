@@ -412,9 +412,11 @@ def q_ml_features(spark, sf_dir):
     return round_doubles(scoring_features(scoring_input_from_silver(silver_of(spark, sf_dir))))
 
 
-def _ml_frames(spark, sf_dir):
+def _ml_frames(spark, sf_dir, silver=None):
     from vidlake.operators.ml import split_frame, training_frame
-    return split_frame(materialize(training_frame(silver_of(spark, sf_dir)), "training_frame"))
+    if silver is None:
+        silver = silver_of(spark, sf_dir, READS["models"])
+    return split_frame(materialize(training_frame(silver), "training_frame"))
 
 
 @register("ml_split_membership")
