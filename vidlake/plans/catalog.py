@@ -313,7 +313,7 @@ def _pip_gold(name):
         from vidlake.plans.pipelines import silver_to_gold_job
         configure(spark)
         base = scratch_path(spark, "gold")
-        write_silver(bronze_to_silver(load_bronze(spark, sf_dir), as_of=AS_OF), f"{base}/silver")
+        write_silver_of(spark, sf_dir, f"{base}/silver", READS[name])
         out = silver_to_gold_job(spark, f"{base}/silver", f"{base}/gold", as_of=AS_OF, only=[name])
         return round_doubles(read_table(spark, out.outputs[name]))
     run.__doc__ = f"PIP-3, SNK-4: {name}, written by the job and read back."
