@@ -581,7 +581,7 @@ def q_dq_dimensions(spark, sf_dir):
 def q_dq_drift(spark, sf_dir):
     """DQ-11: views of 2024 uploads against the earlier uploads."""
     from vidlake.functions.quality import population_stability
-    s = silver_of(spark, sf_dir)
+    s = silver_of(spark, sf_dir, READS["drift"])
     early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
     return round_doubles(population_stability(s.filter(early), s.filter(~early), "views"))
 
@@ -590,7 +590,7 @@ def q_dq_drift(spark, sf_dir):
 def q_dq_drift_report(spark, sf_dir):
     """DQ-11, ML-11: every watched column of 2024 uploads against the stored profile of the earlier ones."""
     from vidlake.functions.drift import drift_report, reference_profile
-    s = silver_of(spark, sf_dir)
+    s = silver_of(spark, sf_dir, READS["drift"])
     early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
     profile = materialize(reference_profile(s.filter(early), numeric=["views", "likes", "comment_count", "engagement_rate", "title_length"],
                                             categories=["category_id", "engagement_category"]), "drift_profile")
