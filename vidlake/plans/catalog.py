@@ -574,7 +574,7 @@ def q_dq_duplicates(spark, sf_dir):
 @register("dq_quality_dimensions")
 def q_dq_dimensions(spark, sf_dir):
     from vidlake.functions.quality import quality_dimensions
-    return round_doubles(quality_dimensions(silver_of(spark, sf_dir), as_of=AS_OF))
+    return round_doubles(quality_dimensions(silver_of(spark, sf_dir, READS["quality_dimensions"]), as_of=AS_OF))
 
 
 @register("dq_drift_psi")
