@@ -616,7 +616,7 @@ def q_dq_observed(spark, sf_dir):
 def q_dq_retention_mask(spark, sf_dir):
     """DQ-12 + DQ-13: a 90-day retention window, channel names hashed."""
     from vidlake.functions.quality import mask_columns, retain_recent
-    s = retain_recent(silver_of(spark, sf_dir), as_of=AS_OF, days=90)
+    s = retain_recent(silver_of(spark, sf_dir, READS["retained_masked"]), as_of=AS_OF, days=90)
     return mask_columns(s.select("video_id", "channel_title", "publish_date", "views"))
 
 
