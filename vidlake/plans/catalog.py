@@ -127,7 +127,7 @@ def q_channel_perf(spark, sf_dir):
 
 @register("gold_category_analysis")
 def q_category_analysis(spark, sf_dir):
-    return round_doubles(gold.category_analysis(silver_of(spark, sf_dir)))
+    return round_doubles(gold.category_analysis(silver_of(spark, sf_dir, READS["category_analysis"])))
 
 
 @register("gold_posting_time_analysis")
