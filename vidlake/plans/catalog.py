@@ -137,7 +137,7 @@ def q_posting_time(spark, sf_dir):
 
 @register("gold_category_performance")
 def q_category_performance(spark, sf_dir):
-    return round_doubles(gold.category_performance(silver_of(spark, sf_dir)))
+    return round_doubles(gold.category_performance(silver_of(spark, sf_dir, READS["category_performance"])))
 
 
 @register("gold_engagement_drivers")
