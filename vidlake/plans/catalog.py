@@ -122,7 +122,7 @@ def q_daily(spark, sf_dir):
 
 @register("gold_channel_performance")
 def q_channel_perf(spark, sf_dir):
-    return round_doubles(gold.channel_performance(silver_of(spark, sf_dir), as_of=AS_OF))
+    return round_doubles(gold.channel_performance(silver_of(spark, sf_dir, READS["channel_performance"]), as_of=AS_OF))
 
 
 @register("gold_category_analysis")
