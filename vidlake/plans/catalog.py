@@ -156,7 +156,7 @@ def q_driver_strength(spark, sf_dir):
 def q_distinct_reach(spark, sf_dir):
     """BLK-5, AGG-4, AGG-8: distinct videos and channels of months and categories from daily sketches, beside the exact
     counts; the estimates themselves have no counterpart in SQL, so that they keep their bound is returned."""
-    silver = silver_of(spark, sf_dir)
+    silver = silver_of(spark, sf_dir, READS["distinct_reach"])
     keys = ["category_id", "year", "month"]
     daily = gold.daily_reach(silver)
     told = gold.distinct_reach(daily.withColumns({"year": F.year("publish_date"), "month": F.month("publish_date")}), keys)
