@@ -149,7 +149,7 @@ def q_engagement_drivers(spark, sf_dir):
 def q_driver_strength(spark, sf_dir):
     """AGG-13: rank correlations and shares of variance."""
     from vidlake.operators.drivers import driver_strength
-    return round_doubles(driver_strength(silver_of(spark, sf_dir)))
+    return round_doubles(driver_strength(silver_of(spark, sf_dir, READS["driver_strength"])))
 
 
 @register("gold_distinct_reach")
