@@ -132,7 +132,7 @@ def q_category_analysis(spark, sf_dir):
 
 @register("gold_posting_time_analysis")
 def q_posting_time(spark, sf_dir):
-    return round_doubles(gold.posting_time_analysis(silver_of(spark, sf_dir)))
+    return round_doubles(gold.posting_time_analysis(silver_of(spark, sf_dir, READS["posting_time_analysis"])))
 
 
 @register("gold_category_performance")
@@ -192,7 +192,7 @@ def q_features(spark, sf_dir):
 
 
 def _posting(spark, sf_dir):
-    return gold.posting_time_analysis(silver_of(spark, sf_dir))
+    return gold.posting_time_analysis(silver_of(spark, sf_dir, READS["posting_time_analysis"]))
 
 
 @register("rec_category_top_slots")
