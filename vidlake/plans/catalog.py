@@ -112,7 +112,7 @@ def q_silver_lineage(spark, sf_dir):
 
 @register("gold_trending_videos")
 def q_trending(spark, sf_dir):
-    return round_doubles(gold.trending_videos(silver_of(spark, sf_dir)))
+    return round_doubles(gold.trending_videos(silver_of(spark, sf_dir, READS["trending_videos"])))
 
 
 @register("gold_daily_metrics")
