@@ -489,8 +489,8 @@ def q_ml_scoring(spark, sf_dir):
                                       residual_interval, save_model, scoring_input_from_silver)
     from vidlake.sources.sinks import write_predictions
 
-    silver = silver_of(spark, sf_dir)
-    train, valid, _ = _ml_frames(spark, sf_dir)
+    silver = silver_of(spark, sf_dir, READS["models"])
+    train, valid, _ = _ml_frames(spark, sf_dir, silver)
     model = fit(regressors()["linear_regression"], train)
     metrics = regression_metrics(model.transform(valid)).first().asDict()
     registry = scratch_path(spark, "models")
