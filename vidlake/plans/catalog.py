@@ -450,8 +450,8 @@ def q_ml_retrain(spark, sf_dir):
     the drift of views between early and late uploads."""
     from vidlake.functions.quality import population_stability
     from vidlake.operators.ml import category_mean_model, regression_metrics, retrain_decision
-    silver = silver_of(spark, sf_dir)
-    train, valid, test = _ml_frames(spark, sf_dir)
+    silver = silver_of(spark, sf_dir, READS["models"])
+    train, valid, test = _ml_frames(spark, sf_dir, silver)
     scores = [regression_metrics(category_mean_model(train, rows)).first().asDict() for rows in (valid, test)]
     early = F.col("publish_date") < F.lit("2024-01-01").cast("date")
     psi = population_stability(silver.filter(early), silver.filter(~early), "views").first()["psi"]
