@@ -80,3 +80,20 @@ def test_landings_are_gzipped_files_of_bounded_rows_that_jobs_and_the_stream_rea
     want = bronze_to_silver(bronze, as_of="2024-01-31").select("video_id", "publish_time", "views", "description")
     got = read_table(spark, f"{base}/silver").select(want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_api_pages_are_cut_where_rows_are_and_landed_compressed(spark, sf_small, scratch):
+    from vidlake.sources.api import bronze_to_api_responses, flatten_api_items, land_api_responses, read_api_responses
+    from vidlake.sources.files import hadoop_path
+    bronze = load_bronze(spark, sf_small)
+    pages = bronze_to_api_responses(bronze, page_size=7)
+    assert formatted(pages).count("Arguments: hashpartitioning") == 2 and "rangepartitioning" not in formatted(pages)     # the documents' join
+    path = scratch("api_landed")
+    land_api_responses(pages, path, pages_per_file=3)
+    fs, at = hadoop_path(spark, path)
+    files = [s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
+    assert all(f.endswith(".json.gz") for f in files) and len(files) >= 1000 // 21
+    back = read_api_responses(spark, path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, flatten_api_items(pages).collect()))
+    assert sorted(back.select("video_id", "title", "description").collect()) == sorted(
+        bronze.select("video_id", "title", "description").collect())

@@ -354,11 +354,11 @@ def q_pip_recommendations(spark, sf_dir):
 def q_api_flatten(spark, sf_dir):
     """SRC-6: API-shaped JSON landed from the driver tables, read back and
     flattened to bronze rows."""
-    from vidlake.sources.api import bronze_to_api_responses, read_api_responses
+    from vidlake.sources.api import bronze_to_api_responses, land_api_responses, read_api_responses
 
     configure(spark)
     path = scratch_path(spark, "api_json")
-    bronze_to_api_responses(load_bronze(spark, sf_dir)).write.mode("overwrite").json(path)
+    land_api_responses(bronze_to_api_responses(load_bronze(spark, sf_dir)), path)
     return read_api_responses(spark, path)
 
 

@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vidlake.operators.ranking import ordered_slices
 from vidlake.schemas import API_RESPONSE_SCHEMA, BRONZE_COLUMNS
 
+# Responses of one gzipped landing file, which is one task for its readers.
+LANDED_PAGES = 400
+
 
 def _count(c):
     return F.coalesce(F.expr(f"try_cast({c} AS BIGINT)"), F.lit(0)).cast("string")
@@ -48,11 +51,18 @@ def read_api_responses(spark: SparkSession, path: str) -> DataFrame:
     return flatten_api_items(spark.read.schema(API_RESPONSE_SCHEMA).json(path))
 
 
+def land_api_responses(responses: DataFrame, path: str, pages_per_file: int = LANDED_PAGES) -> None:
+    """Responses landed as gzipped JSON lines.  Such a file is one task for its readers, so it ends after
+    ``pages_per_file`` responses."""
+    responses.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", pages_per_file).json(path)
+
+
 def bronze_to_api_responses(bronze: DataFrame, page_size: int = 50) -> DataFrame:
     """Shape bronze rows as API responses of at most ``page_size`` items -- used
-    to land test responses from the driver tables.  Rows are numbered inside
-    the ranges of ``ordered_slices``; a range's rows are cut into pages, so a
-    page is bounded whatever the ids look like and however often they repeat."""
+    to land test responses from the driver tables.  Consecutive rows of a task
+    are cut into pages where they are: no row is exchanged or written for it,
+    and a page is bounded whatever the ids look like and however often they
+    repeat.  A page ends with its Arrow batch, so one may be shorter."""
     item = F.struct(
         F.col("video_id").alias("id"),
         F.struct(
@@ -65,6 +75,14 @@ def bronze_to_api_responses(bronze: DataFrame, page_size: int = 50) -> DataFrame
         F.struct(F.col("views").alias("viewCount"), F.col("likes").alias("likeCount"),
                  F.col("comment_count").alias("commentCount")).alias("statistics"),
     )
-    rows = ordered_slices(bronze, [], [F.col("video_id").asc_nulls_first(), F.col("publish_time").asc_nulls_first()])
-    page = F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / page_size)
-    return rows.groupBy("_pid", page.alias("page")).agg(F.collect_list(item).alias("items")).select("items")
+
+    def pages(batches):  # nested, so that workers get it by value and need not import this package
+        import pyarrow as pa
+        for batch in batches:
+            items, n = batch.column(0), batch.num_rows
+            if n:
+                starts = pa.array([*range(0, n, page_size), n], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts, items)], ["items"])
+
+    rows = bronze.select(item.alias("item"))
+    return rows.mapInArrow(pages, T.StructType([T.StructField("items", T.ArrayType(rows.schema["item"].dataType))]))
