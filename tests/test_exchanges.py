@@ -97,3 +97,53 @@ def test_api_pages_are_cut_where_rows_are_and_landed_compressed(spark, sf_small,
     assert sorted(map(str, back.collect())) == sorted(map(str, flatten_api_items(pages).collect()))
     assert sorted(back.select("video_id", "title", "description").collect()) == sorted(
         bronze.select("video_id", "title", "description").collect())
+
+
+def test_landings_by_other_headers_are_gzipped_too(spark, sf_small, monkeypatch):
+    from vidlake.plans import pipelines
+    from vidlake.plans.catalog import QUERIES
+    from vidlake.sources import sinks
+    from vidlake.sources.files import hadoop_path
+    landed, write = [], sinks.write_bronze_csv
+    monkeypatch.setattr(sinks, "write_bronze_csv", lambda *a, **b: landed.append(write(*a, **b)) or landed[-1])
+    monkeypatch.setattr(pipelines, "LANDED_ROWS", 100)
+    n = QUERIES["src_csv_by_name"](spark, sf_small).count()
+    fs, at = hadoop_path(spark, landed[0][0])
+    files = [s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
+    assert n == QUERIES["silver"](spark, sf_small).count() and len(files) >= 10 and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_whole_rows_are_regrouped_by_folder_without_an_exchange(spark, scratch):
+    from vidlake.session import SHUFFLES_FREED
+    from vidlake.sources import sinks
+    from vidlake.sources.files import hadoop_path, leaf_folders, read_table
+    i = F.col("id")
+    df = spark.range(4000, numPartitions=8).select(
+        i, F.repeat(F.lit("text "), 50).alias("description"), F.when(i % 3 > 0, i % 3).cast("int").alias("a"),
+        F.concat(F.lit("k/"), i % 5).alias("b"))
+    one, two = scratch("staged"), scratch("rebalanced")
+    sinks.write_partitioned(df, two, ["a", "b"])
+    sinks.write_staged(df, one, ["a", "b"])
+    sinks.write_staged(df.filter("a = 1").withColumn("description", F.lit("new")), one, ["a", "b"])     # replaces its folders only
+    want = read_table(spark, two).withColumn("description", F.expr("if(a = 1, 'new', description)"))
+    assert sorted(map(str, read_table(spark, one).collect())) == sorted(map(str, want.collect()))
+    folders = leaf_folders(spark, one)
+    fs, _ = hadoop_path(spark, one)
+    assert len(folders) == 15 and all(len([s for s in fs.listStatus(hadoop_path(spark, f)[1])
+                                           if s.getPath().getName().endswith(".parquet")]) == 1 for f in folders)
+    assert all(spark.conf.get(k, None) is None for k in [*SHUFFLES_FREED, *sinks.TASKS_KEPT])
+    sinks.write_staged(df.limit(0), scratch("nothing"), ["a", "b"])
+
+
+def test_the_silver_job_regroups_without_an_exchange(spark, sf_small, scratch, monkeypatch):
+    from vidlake.plans import pipelines
+    from vidlake.sources import sinks
+    from vidlake.sources.files import read_table
+    base = scratch("job")
+    landed, _ = sinks.write_bronze_csv(load_bronze(spark, sf_small), f"{base}/landing", run_ts="1")
+    pipelines.bronze_to_silver_job(spark, landed, f"{base}/silver", as_of="2024-01-31")
+    sinks.write_silver(read_table(spark, f"{base}/silver"), f"{base}/again")
+    monkeypatch.setattr(sinks, "write_partitioned", None)
+    rep = pipelines.bronze_to_silver_job(spark, landed, f"{base}/other", as_of="2024-01-31")
+    rows = lambda p: sorted(map(str, read_table(spark, p).drop("processed_timestamp").collect()))
+    assert rows(f"{base}/other") == rows(f"{base}/again") and rep.counts["kept_rows"] == len(rows(f"{base}/other"))

@@ -286,14 +286,14 @@ def q_csv_silver(spark, sf_dir):
 def q_csv_by_name(spark, sf_dir):
     """SRC-1: a landing whose columns come in another order, with a further
     one among them, gives the same silver."""
-    from vidlake.plans.pipelines import bronze_to_silver_job
+    from vidlake.plans.pipelines import LANDED_ROWS, bronze_to_silver_job
     from vidlake.sources import sinks
     configure(spark)
     base = scratch_path(spark, "csv_by_name")
     bronze = load_bronze(spark, sf_dir)
     mixed = bronze.select(F.col("video_id").alias("Video ID"), F.lit("24.01.01").alias("trending_date"),
                           *sorted(c for c in bronze.columns if c != "video_id"))
-    landed, _ = sinks.write_bronze_csv(mixed, f"{base}/landing", run_ts="fixed")
+    landed, _ = sinks.write_bronze_csv(mixed, f"{base}/landing", run_ts="fixed", compression="gzip", rows_per_file=LANDED_ROWS)
     bronze_to_silver_job(spark, landed, f"{base}/silver", as_of=AS_OF)
     return round_doubles(read_table(spark, f"{base}/silver").select(*SILVER_OUT_ORDER))
 

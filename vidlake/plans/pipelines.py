@@ -13,6 +13,7 @@ from vidlake.operators import gold
 from vidlake.operators.features import build_features
 from vidlake.operators.recommend import recommendation_bundle
 from vidlake.plans.silver import bronze_to_silver
+from vidlake.schemas import SILVER_PARTITION_KEYS
 from vidlake.sources import sinks
 from vidlake.sources.files import read_bronze_csv, read_table
 
@@ -47,7 +48,7 @@ def bronze_to_silver_job(spark: SparkSession, bronze_path: str, silver_path: str
     """PIP-2: SRC-1 -> CLN -> MET -> DQ-6/7 -> SNK-3 (+ SNK-6)."""
     silver, obs = bronze_to_silver(read_bronze_csv(spark, bronze_path), as_of=as_of, threshold=threshold,
                                    observe=True)
-    sinks.write_silver(silver, silver_path)
+    sinks.write_staged(silver, silver_path, SILVER_PARTITION_KEYS)
     rep = RunReport(outputs={"silver": silver_path}, counts=dict(obs.get))
     if table:
         sinks.register_table(spark, table, silver_path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -95,6 +96,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+SHUFFLES_FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict):
+    """``conf`` while the block runs, and what was set before afterwards.  With SHUFFLES_FREED shuffle files go when
+    the command that wrote them ends; else they lie on disk until the driver happens to collect garbage."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def materialize(df, name: str):
     """``df`` written as Parquet into the shared scratch folder and read back:
     computed once, lineage cut, independent of any executor's memory."""

@@ -38,6 +38,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def leaf_folders(spark: SparkSession, path: str) -> list[str]:
     """Folders at or below ``path`` that hold files, without hidden ones (names that start with _ or a dot);
     a file is its own folder."""

@@ -3,8 +3,10 @@
 Partitioned Parquet writes use the REBALANCE hint on the partition keys: rows
 of one output directory are co-located (few files per directory), and AQE
 splits an oversized key across several tasks instead of one task writing a
-third of the table.  Overwrites are dynamic: a rerun replaces only the
-partitions it produces, so jobs are idempotent and safe to retry.
+third of the table.  Rows that carry whole texts are regrouped through files
+instead (``write_staged``): an exchange would hold them all once more.
+Overwrites are dynamic: a rerun replaces only the partitions it produces, so
+jobs are idempotent and safe to retry.
 """
 
 from __future__ import annotations
@@ -15,7 +17,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.schemas import FEATURE_PARTITION_KEYS, GOLD_PARTITION_KEYS, SILVER_PARTITION_KEYS
-from vidlake.sources.files import escape_breaks, hadoop_path
+from vidlake.session import SHUFFLES_FREED, scratch_path, settings
+from vidlake.sources.files import escape_breaks, folder_bytes, hadoop_path, leaf_folders
+
+# write_staged: staged bytes of a written file; least staged bytes, and most folders, of the rounds they are moved in.
+FILE_BYTES, ROUND_BYTES, ROUND_FOLDERS = 32 << 20, 256 << 20, 64
+# A union of parts of one task each would otherwise be one task.
+TASKS_KEPT = {"spark.sql.unionOutputPartitioning": "false"}
 
 
 def _stamp(ts: str | None = None) -> str:
@@ -25,11 +33,48 @@ def _stamp(ts: str | None = None) -> str:
 def write_partitioned(df: DataFrame, path: str, partition_keys, mode: str = "overwrite") -> None:
     """SNK-3 / SNK-4 / SNK-5 writer: Snappy Parquet, dynamic partition overwrite."""
     keys = list(partition_keys)
-    out = df.hint("rebalance", *keys) if keys else df
-    (out.write.mode(mode).option("compression", "snappy")
+    _save(df.hint("rebalance", *keys) if keys else df, path, keys, mode)
+
+
+def _save(df: DataFrame, path: str, keys: list[str], mode: str) -> None:
+    (df.write.mode(mode).option("compression", "snappy")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
+def write_staged(df: DataFrame, path: str, partition_keys) -> None:
+    """The files and rows of ``write_partitioned`` without an exchange: every task writes its rows of a partition to
+    files of its own in the shared scratch folder (zstd), and then folder after folder is written anew as files of
+    about ``FILE_BYTES`` staged bytes, each by a task that reads that folder alone.  Rounds of a sixteenth of the
+    bytes (``ROUND_BYTES`` at least) are deleted from scratch once written, so the rows lie there and in the table
+    about once together."""
+    spark, keys = df.sparkSession, list(partition_keys)
+    staged = scratch_path(spark, "staged")
+    with settings(spark, SHUFFLES_FREED):
+        df.write.option("compression", "zstd").partitionBy(*keys).parquet(staged)
+    sizes = {f: folder_bytes(spark, f) for f in leaf_folders(spark, staged)}
+    most = max(ROUND_BYTES, sum(sizes.values()) // 16)
+    rounds, held = [], 0
+    for f, size in sizes.items():
+        if not rounds or held + size > most or len(rounds[-1]) == ROUND_FOLDERS:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(f)
+        held += size
+    for folders in rounds or [[]]:
+        rows = None if folders else spark.createDataFrame([], df.schema)
+        for f in folders:
+            part = (spark.read.schema(df.schema).option("basePath", staged).parquet(f)
+                    .coalesce(max(1, -(-sizes[f] // FILE_BYTES))))
+            rows = part if rows is None else rows.union(part)
+        with settings(spark, TASKS_KEPT):
+            _save(rows, path, keys, "overwrite")
+        for f in folders:
+            fs, at = hadoop_path(spark, f)
+            fs.delete(at, True)
+    fs, at = hadoop_path(spark, staged)
+    fs.delete(at, True)
+
+
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-3."""
     write_partitioned(df, path, SILVER_PARTITION_KEYS, mode)
