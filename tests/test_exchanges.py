@@ -147,3 +147,12 @@ def test_the_silver_job_regroups_without_an_exchange(spark, sf_small, scratch, m
     rep = pipelines.bronze_to_silver_job(spark, landed, f"{base}/other", as_of="2024-01-31")
     rows = lambda p: sorted(map(str, read_table(spark, p).drop("processed_timestamp").collect()))
     assert rows(f"{base}/other") == rows(f"{base}/again") and rep.counts["kept_rows"] == len(rows(f"{base}/other"))
+
+
+def test_the_registered_table_is_written_without_an_exchange(spark, sf_small, monkeypatch):
+    from vidlake.plans.catalog import QUERIES
+    from vidlake.sources import sinks
+    want = sorted(map(str, QUERIES["silver"](spark, sf_small).collect()))
+    monkeypatch.setattr(sinks, "write_partitioned", None)
+    got = QUERIES["pip_catalog_silver"](spark, sf_small)
+    assert len(want) == got.count() and sorted(map(str, got.select(QUERIES["silver"](spark, sf_small).columns).collect())) == want
