@@ -156,3 +156,36 @@ def test_the_registered_table_is_written_without_an_exchange(spark, sf_small, mo
     monkeypatch.setattr(sinks, "write_partitioned", None)
     got = QUERIES["pip_catalog_silver"](spark, sf_small)
     assert len(want) == got.count() and sorted(map(str, got.select(QUERIES["silver"](spark, sf_small).columns).collect())) == want
+
+
+def test_batches_are_merged_by_rounds_of_buckets(spark, sf_small, scratch, monkeypatch):
+    from vidlake.plans.silver import bronze_to_silver
+    from vidlake.session import scratch_path
+    from vidlake.sources.files import hadoop_path, path_exists, read_table
+    from vidlake.streaming import incremental
+    rounds, merge_round = [], incremental._merge_round
+    monkeypatch.setattr(incremental, "MERGE_BYTES", 1)
+    monkeypatch.setattr(incremental, "_merge_round", lambda rows, *a: rounds.append(rows.select("key_bucket").distinct().count())
+                        or merge_round(rows, *a))
+    top = scratch_path(spark, "any").rsplit("/", 1)[0]
+
+    def aside():
+        fs, at = hadoop_path(spark, top)
+        names = [s.getPath().getName() for s in fs.listStatus(at)] if path_exists(spark, top) else []
+        return {n for n in names if n.startswith(("stream_new-", "stream_merged-"))}
+
+    before, path, bronze = aside(), scratch("rounds"), load_bronze(spark, sf_small)
+    for part in ("video_id < 'vid_000600'", "video_id >= 'vid_000300'", "video_id < 'vid_000010'"):
+        incremental.merge_batch(bronze.filter(part), path, as_of="2024-01-31", buckets=4)
+    assert rounds[:8] == [1] * 8 and aside() == before          # a bucket a round, nothing left aside
+    want = bronze_to_silver(bronze, as_of="2024-01-31").drop("processed_timestamp")
+    got = read_table(spark, path).select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_streams_landings_are_gzipped(spark, sf_small, monkeypatch):
+    from vidlake.plans.catalog import QUERIES
+    from vidlake.sources import sinks
+    landed, write = [], sinks.write_bronze_csv
+    monkeypatch.setattr(sinks, "write_bronze_csv", lambda *a, **b: landed.append(b.get("compression")) or write(*a, **b))
+    assert QUERIES["stream_incremental_silver"](spark, sf_small).count() > 0 and landed == ["gzip"] * 4

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from vidlake.operators import gold
 from vidlake.plans.silver import LINEAGE_COLUMNS, SILVER_COLUMNS, bronze_to_silver
 from vidlake.schemas import SILVER_PARTITION_KEYS
-from vidlake.session import configure, materialize, scratch_path
+from vidlake.session import SHUFFLES_FREED, configure, materialize, scratch_path, settings
 from vidlake.sources.adapter import load_bronze
 from vidlake.sources.files import read_table
 from vidlake.sources.sinks import write_silver
@@ -368,12 +368,14 @@ def q_stream_silver(spark, sf_dir):
     early uploads again with changed counters, a changed category, and with an
     unparsable time, the last landed once more in a fourth landing.  Silver
     must equal the batch job over all landed rows."""
+    from vidlake.plans.pipelines import LANDED_ROWS
     from vidlake.sources import sinks
     from vidlake.streaming.incremental import incremental_silver
 
     configure(spark)
     base = scratch_path(spark, "stream")
-    bronze = materialize(load_bronze(spark, sf_dir), "stream_bronze")
+    with settings(spark, SHUFFLES_FREED):
+        bronze = materialize(load_bronze(spark, sf_dir), "stream_bronze", **sinks.STAGED)
     early = F.col("publish_time") < F.lit("2024-01-01")
     number = F.substring("video_id", 5, 20).cast("long")
     views = F.col("views").cast("long")
@@ -385,7 +387,7 @@ def q_stream_silver(spark, sf_dir):
     junk = bronze.filter(early & (number % 4 == 2)).withColumn("publish_time", F.lit("yesterday"))
 
     def land(rows, ts):
-        sinks.write_bronze_csv(rows, f"{base}/landing", run_ts=ts)
+        sinks.write_bronze_csv(rows, f"{base}/landing", run_ts=ts, compression="gzip", rows_per_file=LANDED_ROWS)
 
     def run():
         incremental_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/ckpt", as_of=AS_OF)

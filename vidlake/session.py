@@ -116,11 +116,11 @@ def settings(spark: SparkSession, conf: dict):
                 spark.conf.set(k, v)
 
 
-def materialize(df, name: str):
-    """``df`` written as Parquet into the shared scratch folder and read back:
+def materialize(df, name: str, **options):
+    """``df`` written as Parquet (with the writer's ``options``) into the shared scratch folder and read back:
     computed once, lineage cut, independent of any executor's memory."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

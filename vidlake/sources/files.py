@@ -43,6 +43,11 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def leaf_folders(spark: SparkSession, path: str) -> list[str]:
     """Folders at or below ``path`` that hold files, without hidden ones (names that start with _ or a dot);
     a file is its own folder."""

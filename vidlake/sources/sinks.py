@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from vidlake.schemas import FEATURE_PARTITION_KEYS, GOLD_PARTITION_KEYS, SILVER_PARTITION_KEYS
 from vidlake.session import SHUFFLES_FREED, scratch_path, settings
-from vidlake.sources.files import escape_breaks, folder_bytes, hadoop_path, leaf_folders
+from vidlake.sources.files import delete_folder, escape_breaks, folder_bytes, hadoop_path, leaf_folders
 
 # write_staged: staged bytes of a written file; least staged bytes, and most folders, of the rounds they are moved in.
 FILE_BYTES, ROUND_BYTES, ROUND_FOLDERS = 32 << 20, 256 << 20, 64
 # A text that rows of a file share is held once, also where the distinct ones exceed the usual dictionary of 1 MB; Parquet
 # leaves the dictionary by itself after the first page where values hardly repeat.
 SHARED_TEXTS = {"parquet.dictionary.page.size": 32 << 20}
-FAST_ZSTD = {"parquet.compression.codec.zstd.level": 1}
+STAGED = {"compression": "zstd", "parquet.compression.codec.zstd.level": 1, **SHARED_TEXTS}
 # A union of parts of one task each would otherwise be one task.
 TASKS_KEPT = {"spark.sql.unionOutputPartitioning": "false"}
 
@@ -34,10 +34,10 @@ def _stamp(ts: str | None = None) -> str:
     return ts or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
 
 
-def write_partitioned(df: DataFrame, path: str, partition_keys, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_keys, mode: str = "overwrite", **options) -> None:
     """SNK-3 / SNK-4 / SNK-5 writer: Snappy Parquet, dynamic partition overwrite."""
     keys = list(partition_keys)
-    _save(df.hint("rebalance", *keys) if keys else df, path, keys, mode)
+    _save(df.hint("rebalance", *keys) if keys else df, path, keys, mode, **options)
 
 
 def _save(df: DataFrame, path: str, keys: list[str], mode: str, **options) -> None:
@@ -54,7 +54,7 @@ def write_staged(df: DataFrame, path: str, partition_keys) -> None:
     spark, keys = df.sparkSession, list(partition_keys)
     staged = scratch_path(spark, "staged")
     with settings(spark, SHUFFLES_FREED):
-        df.write.options(compression="zstd", **FAST_ZSTD, **SHARED_TEXTS).partitionBy(*keys).parquet(staged)
+        df.write.options(**STAGED).partitionBy(*keys).parquet(staged)
     sizes = {f: folder_bytes(spark, f) for f in leaf_folders(spark, staged)}
     most = max(ROUND_BYTES, sum(sizes.values()) // 16)
     rounds, held = [], 0
@@ -73,10 +73,8 @@ def write_staged(df: DataFrame, path: str, partition_keys) -> None:
         with settings(spark, TASKS_KEPT):
             _save(rows, path, keys, "overwrite", **SHARED_TEXTS)
         for f in folders:
-            fs, at = hadoop_path(spark, f)
-            fs.delete(at, True)
-    fs, at = hadoop_path(spark, staged)
-    fs.delete(at, True)
+            delete_folder(spark, f)
+    delete_folder(spark, staged)
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -32,19 +32,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidlake.functions.clean import DEDUP_KEYS, clean_and_standardize, deduplicate
+from vidlake.functions.clean import DEDUP_KEYS, deduplicate, derive_columns, typed_columns
 from vidlake.functions.metrics import add_derived_metrics
 from vidlake.functions.quality import DEFAULT_QUALITY_THRESHOLD, quality_filter_condition
 from vidlake.plans.silver import SILVER_COLUMNS
 from vidlake.schemas import SILVER_PARTITION_KEYS
-from vidlake.session import materialize
-from vidlake.sources.files import hadoop_path, path_exists, read_bronze_csv
-from vidlake.sources.sinks import write_partitioned
+from vidlake.session import SHUFFLES_FREED, scratch_path, settings
+from vidlake.sources.files import delete_folder, folder_bytes, hadoop_path, leaf_folders, path_exists, read_bronze_csv
+from vidlake.sources.sinks import SHARED_TEXTS, STAGED, write_partitioned
 
 MONTH = ["publish_year", "publish_month"]
 BUCKET = "key_bucket"
 FOLDERS = [*SILVER_PARTITION_KEYS, BUCKET]
 BUCKETS = 8
+# Least bytes, staged and in silver, of the buckets that are merged together.
+MERGE_BYTES = 256 << 20
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -96,35 +98,71 @@ def _folders(spark: SparkSession, path: str, touched: list) -> list[tuple]:
     return found
 
 
+def _rounds(sizes: dict[int, int]) -> list[list[int]]:
+    """Buckets merged together: a sixteenth of the bytes, MERGE_BYTES at least, or one bucket that holds more."""
+    most, rounds, held = max(MERGE_BYTES, sum(sizes.values()) // 16), [], 0
+    for b, size in sorted(sizes.items()):
+        if not rounds or held + size > most:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(b)
+        held += size
+    return rounds
+
+
 def merge_batch(bronze: DataFrame, silver_path: str, as_of=None, threshold: float = DEFAULT_QUALITY_THRESHOLD,
                 buckets: int | None = None) -> None:
-    """Merge newly landed rows into silver and the rejected survivors beside it."""
+    """Merge newly landed rows into silver and the rejected survivors beside it.
+
+    The landed rows are read once and written by bucket, without an exchange.  A key's copies share a bucket, so
+    buckets are merged one round after another (``_rounds``); what a round exchanges and writes aside is deleted
+    when it ends, so next to silver there lies about one copy of the batch, however much of silver it touches."""
     spark = bronze.sparkSession
     buckets = layout(spark, silver_path, buckets)
     paths = (silver_path.rstrip("/"), f"{silver_path.rstrip('/')}_rejected")
-    new = materialize(add_derived_metrics(clean_and_standardize(bronze, as_of=as_of)).select(*SILVER_COLUMNS)
-                      .withColumn(BUCKET, key_bucket(buckets)), "stream_new")
-    touched = new.select(*MONTH, BUCKET).distinct().collect()      # folders, not rows
-    if not touched:
-        return
+    new = (add_derived_metrics(derive_columns(typed_columns(bronze), as_of)).select(*SILVER_COLUMNS)
+           .withColumn(BUCKET, key_bucket(buckets)))
     schema = T.StructType(new.schema.fields)
-    rows, before = new, {}
-    for path in paths:
-        before[path] = _folders(spark, path, touched) if path_exists(spark, path) else []
-        if before[path]:
-            old = spark.read.schema(schema).option("basePath", path).parquet(*(f"{path}/{_folder(FOLDERS, f)}" for f in before[path]))
-            rows = rows.unionByName(old)
-    if any(before.values()):
-        rows = materialize(deduplicate(rows), "stream_merged")
+    staged = scratch_path(spark, "stream_new")
     keep = F.coalesce(quality_filter_condition(threshold), F.lit(False))
+    with settings(spark, SHUFFLES_FREED):
+        new.write.options(**STAGED).partitionBy(BUCKET).parquet(staged)
+        mine = {int(f.rsplit("=", 1)[1]): f for f in leaf_folders(spark, staged)}
+        if mine:
+            touched = (spark.read.schema(schema).option("basePath", staged).parquet(*mine.values())
+                       .select(*MONTH, BUCKET).distinct().collect())     # folders, not rows
+            before = {p: _folders(spark, p, touched) if path_exists(spark, p) else [] for p in paths}
+            sizes = {b: folder_bytes(spark, f) for b, f in mine.items()}
+            for path in paths:
+                for f in before[path]:
+                    sizes[f[-1]] += folder_bytes(spark, f"{path}/{_folder(FOLDERS, f)}")
+            for group in _rounds(sizes):
+                rows = spark.read.schema(schema).option("basePath", staged).parquet(*(mine[b] for b in group))
+                old = {p: [f for f in before[p] if f[-1] in group] for p in paths}
+                _merge_round(rows, schema, old, keep)
+                for b in group:
+                    delete_folder(spark, mine[b])
+        delete_folder(spark, staged)
+
+
+def _merge_round(rows: DataFrame, schema: T.StructType, before: dict[str, list[tuple]], keep: Column) -> None:
+    """New rows of some buckets merged with the folders ``before`` of silver and of the rejected survivors."""
+    spark = rows.sparkSession
+    for path, folders in before.items():
+        if folders:
+            old = spark.read.schema(schema).option("basePath", path).parquet(*(f"{path}/{_folder(FOLDERS, f)}" for f in folders))
+            rows = rows.unionByName(old)
+    merged = scratch_path(spark, "stream_merged")
+    deduplicate(rows).write.options(**STAGED).parquet(merged)
+    rows = spark.read.schema(schema).parquet(merged)
     now = rows.select(*FOLDERS, keep.alias("keep")).distinct().collect()      # folders, not rows
-    for path, kept in zip(paths, (True, False)):
+    for path, kept in zip(before, (True, False)):
         mine = {tuple(r)[:-1] for r in now if r["keep"] is kept}
         if mine:
-            write_partitioned(rows.filter(keep if kept else ~keep), path, FOLDERS)
+            write_partitioned(rows.filter(keep if kept else ~keep), path, FOLDERS, **SHARED_TEXTS)
         for gone in set(before[path]) - mine:
-            fs, at = hadoop_path(spark, f"{path}/{_folder(FOLDERS, gone)}")
-            fs.delete(at, True)
+            delete_folder(spark, f"{path}/{_folder(FOLDERS, gone)}")
+    delete_folder(spark, merged)
 
 
 def incremental_silver(spark: SparkSession, landing_dir: str, silver_path: str, checkpoint: str,
